@@ -1,0 +1,22 @@
+"""Run a stream over what has arrived so far, into a table."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.streaming import StreamingQuery
+
+
+def start_table(stream: DataFrame, path: str, checkpoint: str, partition_by: tuple[str, ...] = (), **trigger) -> StreamingQuery:
+    """Append a stream's rows to a Parquet table, exactly once per checkpoint."""
+    writer = stream.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint)
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
+    return writer.trigger(**(trigger or {"availableNow": True})).start()
+
+
+def use_disk_state(spark: SparkSession) -> None:
+    """Keep streaming state in RocksDB, for key sets larger than executor memory."""
+    spark.conf.set(
+        "spark.sql.streaming.stateStore.providerClass",
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    )
