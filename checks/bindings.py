@@ -12,78 +12,73 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from staylift import Rules, Tables
-from staylift.schemas import RATE
+from staylift.functions.clock import from_epoch_seconds, wall_micros
 
 AS_OF = datetime(1998, 1, 15)
 CONTACTS_AS_OF = datetime(2024, 2, 5)
 RULES = Rules(name_words=("NATION_1", "BUILDING"), type_suffix="TURE")
 
 
-def read(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf}/{name}.parquet")
-
-
-def _never() -> Column:
-    return F.lit(None).cast("timestamp_ntz")
-
-
-def _price(column: str) -> Column:
-    return F.col(column).cast("decimal(14,2)")
+# The driver's tables as declared in FIXTURES.md; a declared schema saves a look into every file.
+SCHEMAS = {
+    "region": "r_regionkey INT, r_name STRING",
+    "nation": "n_nationkey INT, n_name STRING, n_regionkey INT",
+    "customer": "c_custkey LONG, c_name STRING, c_nationkey INT, c_acctbal DOUBLE, c_mktsegment STRING",
+    "supplier": "s_suppkey LONG, s_name STRING, s_nationkey INT, s_acctbal DOUBLE",
+    "orders": "o_orderkey LONG, o_custkey LONG, o_orderstatus STRING, o_totalprice DOUBLE, o_orderdate TIMESTAMP_NTZ, o_orderpriority STRING",
+    "lineitem": "l_orderkey LONG, l_partkey LONG, l_suppkey LONG, l_linenumber INT, l_quantity DOUBLE, l_extendedprice DOUBLE, "
+    "l_discount DOUBLE, l_tax DOUBLE, l_returnflag STRING, l_linestatus STRING, l_shipdate TIMESTAMP_NTZ",
+    "events": "event_id LONG, ts TIMESTAMP_NTZ, user_id LONG, event_type STRING, value DOUBLE, props STRING",
+    "conversations": "conv_id LONG, turn LONG, role STRING, text STRING",
+}
 
 
-def _flag_date(key: str, divisor: int) -> Column:
-    return F.when(F.col(key) % divisor == 0, F.lit("1997-01-01 00:00:00").cast("timestamp_ntz"))
+def read(spark: SparkSession, sf: str, name: str) -> DataFrame:
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf}/{name}.parquet")
 
 
 def _users(df: DataFrame, key: str, name: str) -> DataFrame:
     """Addresses with gaps: some missing, some marked as tests, some of the house itself."""
-    k, local = F.col(key), F.concat(F.lower(name), F.lit("@"))
-    email = (
-        F.when(k % 17 == 0, F.lit(None))
-        .when(k % 19 == 0, F.concat(F.lit("Test."), local, F.lit("example.com")))
-        .when(k % 23 == 0, F.concat(local, F.lit("house.example")))
-        .otherwise(F.concat(local, F.lit("example.com")))
+    return df.selectExpr(
+        f"{key} AS id",
+        f"{name} AS name",
+        f"""CASE WHEN {key} % 17 = 0 THEN NULL
+                 WHEN {key} % 19 = 0 THEN concat('Test.', lower({name}), '@example.com')
+                 WHEN {key} % 23 = 0 THEN concat(lower({name}), '@house.example')
+                 ELSE concat(lower({name}), '@example.com') END AS email""",
     )
-    return df.select(k.alias("id"), F.col(name).alias("name"), email.alias("email"))
 
 
 def _user_infos(df: DataFrame, key: str) -> DataFrame:
-    k = F.col(key)
-    digits = F.lpad(k.cast("string"), 8, "0")
-    phone = F.when(k % 3 == 0, F.concat(F.lit("010"), digits)).when(k % 3 == 1, F.concat(F.lit("02"), digits)).otherwise(
-        F.concat(F.lit("2"), digits)
-    )
-    return df.select(k.alias("user_id"), phone.alias("phone_number"))
+    prefix = f"CASE {key} % 3 WHEN 0 THEN '010' WHEN 1 THEN '02' ELSE '2' END"
+    return df.selectExpr(f"{key} AS user_id", f"concat({prefix}, lpad(CAST({key} AS STRING), 8, '0')) AS phone_number")
 
 
-def _status() -> Column:
-    both = F.concat("l_returnflag", "l_linestatus")
-    return (
-        F.when(both == "AF", 1).when(both == "AO", 3).when(both == "NF", 6)
-        .when(both == "NO", 7).when(both == "RF", 8).otherwise(12)
-    )
-
-
-def _reservations(lineitem: DataFrame, room: Column) -> DataFrame:
-    identity = F.xxhash64("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "l_extendedprice")
-    discounted = _price("l_extendedprice") * (F.lit(1).cast("decimal(4,2)") - F.col("l_discount").cast("decimal(4,2)"))
-    line = F.col("l_linenumber")
-    return lineitem.select(
-        identity.alias("id"),
-        room.alias("room_id"),
-        _status().alias("status"),
-        F.col("l_shipdate").alias("created_at"),
-        F.col("l_shipdate").alias("success_at"),
-        F.when(line % 3 == 0, _price("l_extendedprice")).otherwise(F.lit(0)).cast("decimal(14,2)").alias("suggestion_price"),
-        _price("l_extendedprice").alias("total_price"),
-        F.when(line % 2 == 0, F.lit(0)).otherwise(discounted).cast("decimal(14,2)").alias("total_price_set"),
+def _accommodations(nation: DataFrame, df: DataFrame, key: str, name: str, nation_key: str, segment: str, type_id: str) -> DataFrame:
+    return df.join(nation, F.expr(f"n_nationkey = {nation_key}")).selectExpr(
+        f"{key} AS id",
+        f"concat('[', n_name, '/', {segment}, '] ', {name}) AS name_expression",
+        f"CAST({nation_key} AS LONG) AS sales_id",
+        f"{key} AS user_id",
+        f"{type_id} AS type_id",
+        f"CASE WHEN {key} % 29 = 0 THEN TIMESTAMP_NTZ'1997-01-01' END AS deleted_at",
+        f"{key} % 31 = 0 AS is_test",
     )
 
 
-def _names(nation: DataFrame, df: DataFrame, nation_key: str, segment: Column, name: str) -> DataFrame:
-    joined = df.join(nation, F.col("n_nationkey") == F.col(nation_key))
-    return joined.withColumn(
-        "name_expression", F.concat(F.lit("["), F.col("n_name"), F.lit("/"), segment, F.lit("] "), F.col(name))
+def _reservations(lineitem: DataFrame, room: str) -> DataFrame:
+    price = "CAST(l_extendedprice AS DECIMAL(14,2))"
+    discounted = f"CAST({price} * (1 - CAST(l_discount AS DECIMAL(4,2))) AS DECIMAL(14,2))"
+    return lineitem.selectExpr(
+        "xxhash64(l_orderkey, l_linenumber, l_partkey, l_suppkey, l_shipdate, l_extendedprice) AS id",
+        f"{room} AS room_id",
+        """CASE concat(l_returnflag, l_linestatus) WHEN 'AF' THEN 1 WHEN 'AO' THEN 3 WHEN 'NF' THEN 6
+             WHEN 'NO' THEN 7 WHEN 'RF' THEN 8 ELSE 12 END AS status""",
+        "l_shipdate AS created_at",
+        "l_shipdate AS success_at",
+        f"CASE WHEN l_linenumber % 3 = 0 THEN {price} ELSE CAST(0 AS DECIMAL(14,2)) END AS suggestion_price",
+        f"{price} AS total_price",
+        f"CASE WHEN l_linenumber % 2 = 0 THEN CAST(0 AS DECIMAL(14,2)) ELSE {discounted} END AS total_price_set",
     )
 
 
@@ -91,29 +86,24 @@ def upsell_tables(spark: SparkSession, sf: str) -> Tables:
     """Customers as accommodations, orders as rooms and adverts, line items as bookings."""
     customer, orders = read(spark, sf, "customer"), read(spark, sf, "orders")
     nation, lineitem = read(spark, sf, "nation"), read(spark, sf, "lineitem")
-    type_id = F.crc32("c_mktsegment")
-    accommodations = _names(nation, customer, "c_nationkey", F.col("c_mktsegment"), "c_name").select(
-        F.col("c_custkey").alias("id"), "name_expression", F.col("c_nationkey").cast("long").alias("sales_id"),
-        F.col("c_custkey").alias("user_id"), type_id.alias("type_id"), _flag_date("c_custkey", 29).alias("deleted_at"),
-        (F.col("c_custkey") % 31 == 0).alias("is_test"),
-    )
-    in_force = (F.col("o_orderkey") % 4 == 0) & (F.col("o_orderstatus") != "P")
-    priority = F.col("o_orderpriority")
-    commission = F.when(priority == "1-URGENT", "0.30").when(priority == "2-HIGH", "0.20").when(priority == "3-MEDIUM", "0.15").otherwise("0.10")
-    adverts = orders.select(
-        F.col("o_orderkey").alias("id"), F.col("o_custkey").alias("accommodation_id"), priority.alias("advert_name"),
-        commission.cast(RATE).alias("advert_commission"),
-        F.when(in_force, F.col("o_orderdate")).otherwise(_never()).alias("success_at"),
-        F.when(F.col("o_orderkey") % 5 == 0, _never())
-        .otherwise(F.col("o_orderdate") + F.make_dt_interval(days=F.lit(365))).alias("expiration_at"),
+    adverts = orders.selectExpr(
+        "o_orderkey AS id",
+        "o_custkey AS accommodation_id",
+        "o_orderpriority AS advert_name",
+        """CAST(CASE o_orderpriority WHEN '1-URGENT' THEN 0.30 WHEN '2-HIGH' THEN 0.20 WHEN '3-MEDIUM' THEN 0.15 ELSE 0.10 END
+             AS DECIMAL(4,2)) AS advert_commission""",
+        "CASE WHEN o_orderkey % 4 = 0 AND o_orderstatus <> 'P' THEN o_orderdate END AS success_at",
+        "CASE WHEN o_orderkey % 5 <> 0 THEN o_orderdate + INTERVAL 365 DAYS END AS expiration_at",
     )
     return Tables(
-        accommodations=accommodations,
+        accommodations=_accommodations(
+            nation, customer, "c_custkey", "c_name", "c_nationkey", "c_mktsegment", "crc32(c_mktsegment)"
+        ),
         users=_users(customer, "c_custkey", "c_name"),
         user_infos=_user_infos(customer, "c_custkey"),
-        accommodation_types=customer.select(type_id.alias("id"), F.col("c_mktsegment").alias("name")).distinct(),
-        rooms=orders.select(F.col("o_orderkey").alias("id"), F.col("o_custkey").alias("accommodation_id")),
-        reservations=_reservations(lineitem, F.col("l_orderkey")),
+        accommodation_types=customer.selectExpr("crc32(c_mktsegment) AS id", "c_mktsegment AS name").distinct(),
+        rooms=orders.selectExpr("o_orderkey AS id", "o_custkey AS accommodation_id"),
+        reservations=_reservations(lineitem, "l_orderkey"),
         accommodation_adverts=adverts,
     )
 
@@ -122,45 +112,35 @@ def monthly_tables(spark: SparkSession, sf: str) -> Tables:
     """Suppliers as accommodations, (supplier, line number) as rooms, bulk line items as adverts."""
     supplier, lineitem = read(spark, sf, "supplier"), read(spark, sf, "lineitem")
     packages = RULES.packages
-    accommodations = _names(read(spark, sf, "nation"), supplier, "s_nationkey", F.lit("SUPPLIER"), "s_name").select(
-        F.col("s_suppkey").alias("id"), "name_expression", F.col("s_nationkey").cast("long").alias("sales_id"),
-        F.col("s_suppkey").alias("user_id"), F.lit(None).cast("long").alias("type_id"),
-        _flag_date("s_suppkey", 29).alias("deleted_at"), (F.col("s_suppkey") % 31 == 0).alias("is_test"),
-    )
-    flag = F.col("l_returnflag")
-    bulk = lineitem.filter((F.col("l_quantity") >= 48) & (F.col("l_linenumber") == 1))
-    adverts = bulk.select(
-        F.xxhash64("l_orderkey", "l_partkey", "l_suppkey", "l_shipdate", "l_extendedprice").alias("id"),
-        F.col("l_suppkey").alias("accommodation_id"),
-        F.when(flag == "A", packages.starter).when(flag == "N", packages.partner).otherwise(packages.top).alias("advert_name"),
-        F.when(flag == "A", "0.15").when(flag == "N", "0.20").otherwise("0.30").cast(RATE).alias("advert_commission"),
-        F.col("l_shipdate").alias("success_at"),
-        (F.col("l_shipdate") + F.make_dt_interval(days=F.lit(730))).alias("expiration_at"),
-    )
-    key = F.col("s_suppkey")
-    rooms = supplier.select(
-        F.explode(F.transform(F.sequence(F.lit(1), F.lit(7)), lambda line: key * 10 + line)).alias("id"),
-        key.alias("accommodation_id"),
+    adverts = lineitem.filter("l_quantity >= 48 AND l_linenumber = 1").selectExpr(
+        "xxhash64(l_orderkey, l_partkey, l_suppkey, l_shipdate, l_extendedprice) AS id",
+        "l_suppkey AS accommodation_id",
+        f"CASE l_returnflag WHEN 'A' THEN '{packages.starter}' WHEN 'N' THEN '{packages.partner}' ELSE '{packages.top}' END AS advert_name",
+        "CAST(CASE l_returnflag WHEN 'A' THEN 0.15 WHEN 'N' THEN 0.20 ELSE 0.30 END AS DECIMAL(4,2)) AS advert_commission",
+        "l_shipdate AS success_at",
+        "l_shipdate + INTERVAL 730 DAYS AS expiration_at",
     )
     return Tables(
-        accommodations=accommodations,
+        accommodations=_accommodations(
+            read(spark, sf, "nation"), supplier, "s_suppkey", "s_name", "s_nationkey", "'SUPPLIER'", "CAST(NULL AS LONG)"
+        ),
         users=_users(supplier, "s_suppkey", "s_name"),
         user_infos=_user_infos(supplier, "s_suppkey"),
-        accommodation_types=read(spark, sf, "region").select(F.col("r_regionkey").cast("long").alias("id"), F.col("r_name").alias("name")),
-        rooms=rooms,
-        reservations=_reservations(lineitem, F.col("l_suppkey") * 10 + F.col("l_linenumber")),
+        accommodation_types=read(spark, sf, "region").selectExpr("CAST(r_regionkey AS LONG) AS id", "r_name AS name"),
+        rooms=supplier.selectExpr("explode(transform(sequence(1, 7), n -> s_suppkey * 10 + n)) AS id", "s_suppkey AS accommodation_id"),
+        reservations=_reservations(lineitem, "l_suppkey * 10 + l_linenumber"),
         accommodation_adverts=adverts,
     )
 
 
 def click_contacts(spark: SparkSession, sf: str) -> DataFrame:
-    """Every click event as a contact: acm_id, at, event_id."""
+    """Every click event as a contact."""
     events = read(spark, sf, "events").filter(F.col("event_type") == "click")
-    return events.select(F.col("user_id").alias("acm_id"), F.col("ts").alias("at"), "event_id")
+    return events.select(F.col("user_id").alias("acm_id"), F.col("ts").alias("contacted_at"), "event_id")
 
 
 def shown_log(spark: SparkSession, sf: str) -> DataFrame:
-    return click_contacts(spark, sf).groupBy("acm_id").agg(F.max("at").alias("last_shown"))
+    return click_contacts(spark, sf).groupBy("acm_id").agg(F.max("contacted_at").alias("last_shown"))
 
 
 def sent_log(spark: SparkSession, sf: str, users: DataFrame) -> DataFrame:
@@ -216,16 +196,14 @@ def as_clicks(events: DataFrame) -> DataFrame:
             F.array(F.struct(action.alias("action_id"), value.alias("value"))).alias("actions"),
         )
     )
-    second = F.date_trunc("second", "ts").cast("timestamp_ntz")
-    epoch = F.timestamp_diff("SECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), second)
+    epoch = F.floor(wall_micros(F.col("ts")) / 1_000_000).cast("long")
     return events.select(
         F.col("event_id").alias("click_id"),
         F.concat(F.lit("token=x&payload="), F.url_encode(payload)).alias("form_body"),
         epoch.cast("string").alias("request_ts"),
-        (second + F.make_dt_interval(secs=(k * 5).cast("decimal(18,6)"))).alias("arrived_at"),
+        from_epoch_seconds(epoch + k * 5).alias("arrived_at"),
     )
 
 
 def event_stream(spark: SparkSession, sf: str) -> DataFrame:
-    schema = read(spark, sf, "events").schema
-    return spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf)
+    return spark.readStream.schema(SCHEMAS["events"]).option("pathGlobFilter", "events.parquet").parquet(sf)

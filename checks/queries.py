@@ -29,11 +29,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
 
-def query(sql: str | None = None):
+def query(sql: str | None = None, name: str | None = None):
     def register(fn):
-        QUERIES[fn.__name__] = fn
+        key = name or fn.__name__
+        QUERIES[key] = fn
         if sql is not None:
-            SQL[fn.__name__] = compose(sql)
+            SQL[key] = compose(sql)
         return fn
 
     return register
@@ -178,7 +179,7 @@ def bulk_ids(spark: SparkSession, sf: str) -> DataFrame:
     return lists.bulk_ids(_limited(spark, sf).filter(F.col("grade").isin("A", "B")), ["list_no", "pos"])
 
 
-@query("SELECT acm_id, acm_name, res_90d FROM u_no_ad WHERE acm_id IN (SELECT acm_id FROM k_approved)")
+@query("SELECT acm_id, acm_name, res_90d FROM u_no_ad WHERE acm_id IN (SELECT acm_id FROM k_approved)", "only_ids")
 def only_approved(spark: SparkSession, sf: str) -> DataFrame:
     found = weekly.no_ad_targets(b.upsell_tables(spark, sf), AS_OF, RULES, None)
     return only_ids(found, _approved(spark, sf)).select("acm_id", "acm_name", "res_90d")
@@ -440,7 +441,8 @@ def summary_prompts(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     f"SELECT acm_id, turn, {o.fixed(chr(39) + 'coupon ' + chr(39) + ' || role || ' + chr(39) + ' Package' + chr(39))} AS subject, {o.fixed('text')} AS body "
-    "FROM (SELECT p.acm_id, p.turn, v.role, v.text FROM c_parsed p JOIN conversations v ON v.conv_id = p.acm_id AND v.turn = p.turn WHERE p.usable)"
+    "FROM (SELECT p.acm_id, p.turn, v.role, v.text FROM c_parsed p JOIN conversations v ON v.conv_id = p.acm_id AND v.turn = p.turn WHERE p.usable)",
+    "parse_copy",
 )
 def parse_copy_texts(spark: SparkSession, sf: str) -> DataFrame:
     return parse_copy(b.conversation_responses(spark, sf))
@@ -454,7 +456,7 @@ def parse_copy_rejects(spark: SparkSession, sf: str) -> DataFrame:
 _PLANTED = "'coupon 쿠pon이 이ven트 PUSH Marketing packages ' || role || ' ' || text"
 
 
-@query(f"SELECT conv_id, turn, {o.fixed(_PLANTED)} AS fixed FROM conversations")
+@query(f"SELECT conv_id, turn, {o.fixed(_PLANTED)} AS fixed FROM conversations", "fix_words")
 def fix_words_in_turns(spark: SparkSession, sf: str) -> DataFrame:
     turns = b.read(spark, sf, "conversations")
     return turns.select("conv_id", "turn", fix_words(F.expr(_PLANTED)).alias("fixed"))
@@ -628,13 +630,13 @@ def _run(spark: SparkSession, stream: DataFrame, label: str) -> DataFrame:
 
 def _stream_contacts(spark: SparkSession, sf: str) -> DataFrame:
     events = b.event_stream(spark, sf).filter(F.col("event_type") == "click")
-    return events.select(F.col("user_id").alias("acm_id"), F.col("ts").alias("at"), "event_id")
+    return events.select(F.col("user_id").alias("acm_id"), F.col("ts").alias("contacted_at"), "event_id")
 
 
 @query("SELECT acm_id, last_shown FROM e_shown")
 def contact_state_stream(spark: SparkSession, sf: str) -> DataFrame:
     path = new_path(spark, "contacts")
-    stream = _stream_contacts(spark, sf).withColumnRenamed("at", "last_shown")
+    stream = _stream_contacts(spark, sf).withColumnRenamed("contacted_at", "last_shown")
     contacts.start_contact_state(stream, "acm_id", "last_shown", path, f"{path}-state").awaitTermination()
     return read_contacts(spark, path, "acm_id", "last_shown", stream.schema["acm_id"].dataType)
 
@@ -644,11 +646,11 @@ def _gate_sql(source: str, keys: str, stamp: str, ident: str, days: str, columns
     on = " AND ".join(f"a.{k.strip()} = n.{k.strip()}" for k in keys.split(","))
     link = " AND ".join(f"l.{k.strip()} = p.{k.strip()}" for k in keys.split(","))
     return f"""
-    , contact AS (SELECT {keys}, {stamp} AS at, min({ident}) AS ident, {days} AS gap FROM {source} GROUP BY ALL)
-    , link AS (SELECT a.*, n.at AS next_at, n.ident AS next_ident FROM contact a ASOF LEFT JOIN contact n ON {on} AND a.at + to_days(a.gap) < n.at)
+    , contact AS (SELECT {keys}, {stamp} AS stamp, min({ident}) AS ident, {days} AS gap FROM {source} GROUP BY ALL)
+    , link AS (SELECT a.*, n.stamp AS next_stamp, n.ident AS next_ident FROM contact a ASOF LEFT JOIN contact n ON {on} AND a.stamp + to_days(a.gap) < n.stamp)
     , passed AS (
-      SELECT * FROM link l WHERE NOT EXISTS (SELECT 1 FROM contact p WHERE {link} AND p.at < l.at)
-      UNION ALL SELECT l.* FROM passed p JOIN link l ON {link} AND l.at = p.next_at)
+      SELECT * FROM link l WHERE NOT EXISTS (SELECT 1 FROM contact p WHERE {link} AND p.stamp < l.stamp)
+      UNION ALL SELECT l.* FROM passed p JOIN link l ON {link} AND l.stamp = p.next_stamp)
     SELECT {columns} FROM passed"""
 
 
@@ -665,17 +667,17 @@ o.CTES["e_click_contact"] = "SELECT user_id AS acm_id, ts, event_id FROM events
 @query()
 def frequency_gate(spark: SparkSession, sf: str) -> DataFrame:
     stream = _stream_contacts(spark, sf).withColumn("gap_days", F.lit(7))
-    gated = contacts.frequency_gate(stream, ["acm_id"], "at", "event_id", "gap_days", "1 hour")
-    return _run(spark, gated, "gate").select("acm_id", "at", "event_id")
+    gated = contacts.frequency_gate(stream, ["acm_id"], "contacted_at", "event_id", "gap_days", "1 hour")
+    return _run(spark, gated, "gate").select("acm_id", "contacted_at", "event_id")
 
 
 @query()
 def frequency_gate_batch(spark: SparkSession, sf: str) -> DataFrame:
-    return contacts.frequency_gate_batch(b.click_contacts(spark, sf), ["acm_id"], "at", "event_id", 7)
+    return contacts.frequency_gate_batch(b.click_contacts(spark, sf), ["acm_id"], "contacted_at", "event_id", 7)
 
 
 SQL["frequency_gate"] = SQL["frequency_gate_batch"] = _with_gate(
-    _gate_sql("e_click_contact", "acm_id", "ts", "event_id", "7", "acm_id, at, ident AS event_id"), _GATE_SOURCE
+    _gate_sql("e_click_contact", "acm_id", "ts", "event_id", "7", "acm_id, stamp AS contacted_at, ident AS event_id"), _GATE_SOURCE
 )
 
 
@@ -699,7 +701,7 @@ def approval_stream(spark: SparkSession, sf: str) -> DataFrame:
 SQL["approval_stream"] = _with_gate(
     _gate_sql(
         "(SELECT * FROM k_approved WHERE NOT test_mode)", "workflow, acm_id", "arrived_at", "click_id", "14",
-        "strftime(at, '%Y-%m-%d') AS run_date, workflow, 'approval' AS kind, acm_id",
+        "strftime(stamp, '%Y-%m-%d') AS run_date, workflow, 'approval' AS kind, acm_id",
     ),
     "SELECT * FROM k_approved",
 )

@@ -41,12 +41,12 @@ def _pieces_of(name: Column, shapes: Column) -> Column:
         starts = F.when(F.length(name) >= size, F.sequence(F.lit(1), F.length(name) - size + 1)).otherwise(
             F.array().cast("array<int>")
         )
-        return F.transform(
-            starts,
-            lambda start: F.aggregate(
-                shape["holes"], F.substring(name, start, size), lambda text, hole: F.overlay(text, F.lit("_"), hole, F.lit(1))
-            ),
-        )
+        def stretch(start: Column) -> Column:
+            text = F.substring(name, start, size)
+            masked = F.aggregate(shape["holes"], text, lambda t, hole: F.overlay(t, F.lit("_"), hole, F.lit(1)))
+            return F.when(F.size(shape["holes"]) == 0, text).otherwise(masked)
+
+        return F.transform(starts, stretch)
 
     return F.array_distinct(F.flatten(F.transform(shapes, stretches)))
 

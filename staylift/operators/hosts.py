@@ -35,19 +35,19 @@ def eligible_hosts(t: Tables, rules: Rules, *, exclude_test: bool, compat: bool
         phones = t.user_infos.groupBy("user_id").agg(
             F.min("phone_number").alias("host_phone"), F.lit(1).cast("long").alias("host_copies")
         )
+    # Users and phones have one row per user (or phone), so only the join below can meet a hot key, an
+    # owner of very many accommodations, and as a join of its own it is open to skew splitting.
+    contacts = users.select(
+        F.col("id").alias("user_id"), F.col("name").alias("host_name"), F.col("email").alias("host_email")
+    ).join(phones, "user_id", "left")
+    types = t.accommodation_types.select(F.col("id").alias("type_id"), F.col("name").alias("type_name"))
     hosts = (
         acm.select(
             F.col("id").alias("acm_id"), F.col("name_expression").alias("acm_name"), "sales_id", "user_id", "type_id"
         )
         # The address filter rejects NULL, so accommodations without a user could never pass: inner join.
-        .join(
-            users.select(
-                F.col("id").alias("user_id"), F.col("name").alias("host_name"), F.col("email").alias("host_email")
-            ),
-            "user_id",
-        )
-        .join(phones, "user_id", "left")
-        .join(t.accommodation_types.select(F.col("id").alias("type_id"), F.col("name").alias("type_name")), "type_id", "left")
+        .join(contacts, "user_id")
+        .join(types, "type_id", "left")
     )
     return exclude_type_suffix(hosts, "type_name", rules.type_suffix).select(
         "acm_id", "acm_name", "sales_id", "host_name", "host_email", "host_phone",

@@ -17,9 +17,9 @@ def gap_of(workflow: Column) -> Column:
     return F.try_element_at(F.create_map(*pairs), workflow)
 
 
-def approved(clicks: DataFrame) -> DataFrame:
+def approved(clicks: DataFrame, delay: str = "10 minutes") -> DataFrame:
     """Fresh clicks, each delivery once, as (workflow, test_mode, acm_id) rows."""
-    return explode_approvals(route_clicks(drop_redelivered(fresh_clicks(clicks))))
+    return explode_approvals(route_clicks(drop_redelivered(fresh_clicks(clicks), delay)))
 
 
 def approval_stream(clicks: DataFrame, delay: str = "10 minutes") -> DataFrame:
@@ -27,8 +27,8 @@ def approval_stream(clicks: DataFrame, delay: str = "10 minutes") -> DataFrame:
 
     Test sends are not contacts, so they neither wait nor count; they are left to ``approved``.
     """
-    real = approved(clicks).filter(~F.col("test_mode")).withColumn("gap_days", gap_of(F.col("workflow")))
-    passed = frequency_gate(real, ["workflow", "acm_id"], "arrived_at", "click_id", "gap_days", delay)
+    real = approved(clicks, delay).filter(~F.col("test_mode")).withColumn("gap_days", gap_of(F.col("workflow")))
+    passed = frequency_gate(real, ["workflow", "acm_id"], "arrived_at", "click_id", "gap_days")
     rows = passed.withColumns({"run_date": F.date_format("arrived_at", "yyyy-MM-dd"), "kind": F.lit("approval")})
     return rows.select(
         *[(F.col(f.name) if f.name in rows.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in OUTBOX]

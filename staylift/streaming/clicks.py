@@ -5,9 +5,10 @@ Every function works on a batch frame as well as on a stream.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from staylift.functions.clock import event_time, from_epoch_seconds
 from staylift.operators.filters import parse_ids
 from staylift.schemas import CLICK_PAYLOAD, CLICK_REQUEST
 
@@ -29,20 +30,15 @@ def read_clicks(spark: SparkSession, path: str, max_files: int = 1000) -> DataFr
     return spark.readStream.schema(CLICK_REQUEST).option("maxFilesPerTrigger", max_files).json(path)
 
 
-def epoch_second(wall: Column) -> Column:
-    """Seconds since 1970 of a wall-clock value, independent of the session time zone."""
-    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
-    return F.timestamp_diff("MICROSECOND", epoch, wall) / 1_000_000
-
-
 def fresh_clicks(clicks: DataFrame, max_age: int = MAX_AGE_SECONDS) -> DataFrame:
     """Reject requests stamped more than ``max_age`` seconds away from their arrival.
 
     ``request_ts`` is the sender's epoch second, counted on the same clock as ``arrived_at``; a stamp
     that is missing or not a number is rejected. Arrival is data, so a replay decides the same.
     """
-    age = F.abs(epoch_second(F.col("arrived_at")) - F.col("request_ts").try_cast("double"))
-    return clicks.filter(age <= max_age)
+    sent_at = from_epoch_seconds(F.col("request_ts").try_cast("decimal(18,6)"))
+    leeway = F.make_dt_interval(secs=F.lit(max_age).cast("decimal(18,6)"))
+    return clicks.filter(F.col("arrived_at").between(sent_at - leeway, sent_at + leeway))
 
 
 def decode_clicks(clicks: DataFrame) -> DataFrame:
@@ -51,6 +47,11 @@ def decode_clicks(clicks: DataFrame) -> DataFrame:
     return clicks.withColumn("payload", F.from_json(F.try_url_decode(field), CLICK_PAYLOAD))
 
 
+def _carried(clicks: DataFrame) -> list[str]:
+    """What a click keeps on its way; ``event_time`` only where a stream set it."""
+    return [c for c in ("click_id", "arrived_at", "event_time") if c in clicks.columns]
+
+
 def route_clicks(clicks: DataFrame) -> DataFrame:
     """One row per actionable click: workflow, test_mode, acm_ids. Only a payload's first action counts."""
     routes = F.create_map(
@@ -65,32 +66,33 @@ def route_clicks(clicks: DataFrame) -> DataFrame:
             )
         ]
     )
-    first = F.try_element_at(F.col("payload.actions"), F.lit(1))
+    # One generator takes the decision on the payload, so that it is parsed once per click and not again
+    # for every filter that would otherwise be pushed below it.
+    first = F.when(F.col("payload.type") == "block_actions", F.slice("payload.actions", 1, 1))
     routed = (
         decode_clicks(clicks)
-        .filter(F.col("payload.type") == "block_actions")
-        .withColumns({"action_id": first["action_id"], "acm_ids": F.coalesce(first["value"], F.lit(""))})
-        .withColumn("route", F.try_element_at(routes, F.col("action_id")))
+        .select(*_carried(clicks), F.inline(first).alias("action_id", "acm_ids"))
+        .withColumns({"acm_ids": F.coalesce("acm_ids", F.lit("")), "route": F.try_element_at(routes, F.col("action_id"))})
         .filter(F.col("route").isNotNull() & (~F.col("route.needs_ids") | (F.col("acm_ids") != "")))
     )
-    return routed.select("click_id", "arrived_at", "action_id", "acm_ids", "route.workflow", "route.test_mode")
+    return routed.select(*_carried(clicks), "action_id", "acm_ids", "route.workflow", "route.test_mode")
 
 
 def explode_approvals(routed: DataFrame) -> DataFrame:
     """One row per approved id. ``bulk_size`` counts the comma-separated parts, usable or not."""
     return routed.select(
-        "click_id", "arrived_at", "workflow", "test_mode",
+        *_carried(routed), "workflow", "test_mode",
         F.size(F.split("acm_ids", ",")).alias("bulk_size"),
         F.explode(parse_ids(F.col("acm_ids"))).alias("acm_id"),
     )
 
 
 def drop_redelivered(clicks: DataFrame, within: str = "10 minutes") -> DataFrame:
-    """Let a request that is delivered again within the delay through once."""
+    """Let a request that is delivered again within the delay through once. Adds ``event_time``."""
     delivery = F.sha2(F.concat_ws("\n", "request_ts", "form_body"), 256)
     return (
-        clicks.withColumn("delivery", delivery)
-        .withWatermark("arrived_at", within)
+        clicks.withColumns({"delivery": delivery, "event_time": event_time(F.col("arrived_at"))})
+        .withWatermark("event_time", within)
         .dropDuplicatesWithinWatermark(["delivery"])
         .drop("delivery")
     )

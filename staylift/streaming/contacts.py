@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from staylift.functions.clock import event_time
 from staylift.sources.contact_log import append_contacts
 from staylift.sources.workspace import settle
 
@@ -44,12 +45,14 @@ def _passing(times: np.ndarray, last: int | None, gap: int) -> list[int]:
     return passed
 
 
-def frequency_gate(contacts: DataFrame, keys: list[str], stamp: str, ident: str, gap_days: str, delay: str) -> DataFrame:
+def frequency_gate(
+    contacts: DataFrame, keys: list[str], stamp: str, ident: str, gap_days: str, delay: str = "10 minutes"
+) -> DataFrame:
     """Per key, pass a contact only if the previous *passed* one is more than ``gap_days`` old.
 
     ``gap_days`` names a column that is constant per key. State is one time stamp per key and leaves
     when the gap is over; by then the watermark has passed it, so nothing older can arrive.
-    A key's rows of one micro-batch meet in one task, as two narrow arrays; the source's
+    ``delay`` applies unless the stream already has a watermarked ``event_time``. A key's rows of one micro-batch meet in one task, as two narrow arrays; the source's
     ``maxFilesPerTrigger`` bounds them.
     """
     fields = {f.name: f.dataType for f in contacts.schema}
@@ -74,9 +77,11 @@ def frequency_gate(contacts: DataFrame, keys: list[str], stamp: str, ident: str,
             rows = {c: [value] * len(passed) for c, value in zip(columns, key)}
             yield pd.DataFrame({**rows, stamp: times[passed].astype("datetime64[us]"), ident: idents[passed]})
 
+    timed = contacts
+    if "event_time" not in contacts.columns:
+        timed = contacts.withColumn("event_time", event_time(F.col(stamp))).withWatermark("event_time", delay)
     return (
-        contacts.select(*columns, stamp, ident)
-        .withWatermark(stamp, delay)
+        timed.select(*columns, stamp, ident, "event_time")
         .groupBy(*columns)
         .applyInPandasWithState(gate, out, "last_passed LONG", "append", GroupStateTimeout.EventTimeTimeout)
     )
