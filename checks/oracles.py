@@ -215,12 +215,12 @@ CTES = {
     "u_limited": """
     SELECT * FROM u_all WHERE (list_no = 1 AND acm_id IN (SELECT acm_id FROM u_no_ad_200))
       OR (list_no = 2 AND (acm_id, advert_name) IN (SELECT (acm_id, advert_name) FROM u_upgrade_20))""",
-    "u_listed": f"SELECT *, row_number() OVER (PARTITION BY list_no ORDER BY {SCORED_ORDER}) AS pos FROM u_limited",
+    "u_listed": f"SELECT *, CAST(row_number() OVER (PARTITION BY list_no ORDER BY {SCORED_ORDER}) AS INT) AS pos FROM u_limited",
     "w_listed": f"""
     SELECT * EXCLUDE (subject, copy_body), CASE WHEN has_copy THEN subject END AS subject, CASE WHEN has_copy THEN copy_body END AS body FROM (
       SELECT t.*, c.subject, c.body AS copy_body, c.acm_id IS NOT NULL AND overall <= 30 AS has_copy FROM (
-        SELECT *, row_number() OVER (ORDER BY list_no, pos) AS overall FROM (
-          SELECT *, row_number() OVER (PARTITION BY list_no ORDER BY {SCORED_ORDER}) AS pos FROM u_limited
+        SELECT *, CAST(row_number() OVER (ORDER BY list_no, pos) AS INT) AS overall FROM (
+          SELECT *, CAST(row_number() OVER (PARTITION BY list_no ORDER BY {SCORED_ORDER}) AS INT) AS pos FROM u_limited
           WHERE acm_id NOT IN (SELECT acm_id FROM e_shown WHERE last_shown - {SHIFT} > {NOW} - INTERVAL 7 DAY))) t
       LEFT JOIN u_copy c ON c.acm_id = t.acm_id)""",
     "w_mail": f"""
@@ -288,7 +288,7 @@ CTES = {
     FROM m_region g LEFT JOIN m_ad_res s ON s.name LIKE '%' || g.region || '%' GROUP BY g.region""",
     "m_listed": "SELECT * FROM m_hosts ORDER BY res_this_month DESC, acm_id, advert_name LIMIT 200",
     "m_scored": """
-    SELECT *, row_number() OVER (ORDER BY res_this_month DESC, acm_id, advert_name) AS pos FROM m_scored_all
+    SELECT *, CAST(row_number() OVER (ORDER BY res_this_month DESC, acm_id, advert_name) AS INT) AS pos FROM m_scored_all
     WHERE (acm_id, advert_name) IN (SELECT (acm_id, advert_name) FROM m_listed)""",
     "m_scored_all": """
     SELECT s.*, 1 AS list_no FROM (

@@ -21,7 +21,7 @@ from staylift.operators.copy import copy_rejects, last_copy, parse_copy
 from staylift.operators.filters import nonempty_regions, only_ids, with_recipient
 from staylift.plans import monthly, weekly
 from staylift.sources.contact_log import merge_contacts, read_contacts
-from staylift.sources.workspace import new_path, settle
+from staylift.sources.workspace import new_path
 from staylift.streaming import approvals, clicks, contacts
 from staylift.streaming.runs import start_table
 
@@ -164,7 +164,7 @@ def report_union(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query(
-    "SELECT overall, list_no, pos, acm_id, grade, res_90d FROM (SELECT *, row_number() OVER (ORDER BY list_no, pos) AS overall FROM u_listed) "
+    "SELECT overall, list_no, pos, acm_id, grade, res_90d FROM (SELECT *, CAST(row_number() OVER (ORDER BY list_no, pos) AS INT) AS overall FROM u_listed) "
     "WHERE overall <= 30"
 )
 def candidates_30(spark: SparkSession, sf: str) -> DataFrame:
@@ -673,7 +673,9 @@ def frequency_gate(spark: SparkSession, sf: str) -> DataFrame:
 
 @query()
 def frequency_gate_batch(spark: SparkSession, sf: str) -> DataFrame:
-    return contacts.frequency_gate_batch(b.click_contacts(spark, sf), ["acm_id"], "contacted_at", "event_id", 7)
+    rows = b.click_contacts(spark, sf).withColumn("gap_days", F.lit(7))
+    passed = contacts.frequency_gate_batch(rows, ["acm_id"], "contacted_at", "event_id", "gap_days", 7)
+    return passed.select("acm_id", "contacted_at", "event_id")
 
 
 SQL["frequency_gate"] = SQL["frequency_gate_batch"] = _with_gate(
@@ -694,8 +696,9 @@ def click_dedup(spark: SparkSession, sf: str) -> DataFrame:
 
 @query()
 def approval_stream(spark: SparkSession, sf: str) -> DataFrame:
-    passed = approvals.approval_stream(b.as_clicks(b.event_stream(spark, sf)))
-    return _run(spark, passed, "approvals").select("run_date", "workflow", "kind", "acm_id")
+    path = new_path(spark, "approvals")
+    approvals.start_approvals(b.as_clicks(b.event_stream(spark, sf)), path, f"{path}-state").awaitTermination()
+    return approvals.approvals_outbox(spark, path).select("run_date", "workflow", "kind", "acm_id")
 
 
 SQL["approval_stream"] = _with_gate(

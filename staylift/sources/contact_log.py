@@ -19,9 +19,22 @@ def wall_clock(iso: Column) -> Column:
     return epoch + F.make_dt_interval(secs=seconds)
 
 
-def empty_log(spark: SparkSession, key: str, stamp: str, key_type: T.DataType) -> DataFrame:
-    schema = T.StructType([T.StructField(key, key_type), T.StructField(stamp, T.TimestampNTZType())])
-    return spark.createDataFrame([], schema)
+def _log_schema(key: str, stamp: str, key_type: T.DataType) -> T.StructType:
+    return T.StructType([T.StructField(key, key_type), T.StructField(stamp, T.TimestampNTZType())])
+
+
+def _missing(error: AnalysisException) -> bool:
+    return "PATH_NOT_FOUND" in (error.getCondition() or "")
+
+
+def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """A Parquet table that may not have been written yet."""
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as e:
+        if _missing(e):
+            return spark.createDataFrame([], schema)
+        raise
 
 
 def read_contact_log(
@@ -36,8 +49,8 @@ def read_contact_log(
     try:
         log = spark.read.schema(schema).json(path, multiLine=True)
     except AnalysisException as e:
-        if "PATH_NOT_FOUND" in (e.getCondition() or ""):
-            return empty_log(spark, key, stamp, key_type)
+        if _missing(e):
+            return spark.createDataFrame([], _log_schema(key, stamp, key_type))
         raise
     entries = log.select(F.explode(F.col(root)).alias("k", "v"))
     return entries.select(F.col("k").cast(key_type).alias(key), wall_clock(F.col("v")).alias(stamp))
@@ -48,6 +61,11 @@ def merge_contacts(log: DataFrame, new: DataFrame, key: str, stamp: str) -> Data
     return log.select(key, stamp).unionByName(new.select(key, stamp)).groupBy(key).agg(F.max(stamp).alias(stamp))
 
 
+def batch_name(number: int) -> str:
+    """Batch numbers as text that sorts like the numbers."""
+    return f"{number:012d}"
+
+
 def append_contacts(contacts: DataFrame, path: str, batch_id: str) -> None:
     """Add one batch of contacts as its own folder; writing the same batch again replaces it."""
     contacts.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
@@ -57,11 +75,12 @@ def read_contacts(
     spark: SparkSession, path: str, key: str, stamp: str, key_type: T.DataType = T.StringType()
 ) -> DataFrame:
     """The appended batches reduced to the latest stamp per key; no batch yet means an empty log."""
-    schema = T.StructType([T.StructField(key, key_type), T.StructField(stamp, T.TimestampNTZType())])
-    try:
-        rows = spark.read.schema(schema).parquet(path)
-    except AnalysisException as e:
-        if "PATH_NOT_FOUND" in (e.getCondition() or ""):
-            return empty_log(spark, key, stamp, key_type)
-        raise
+    rows = read_or_empty(spark, path, _log_schema(key, stamp, key_type))
     return rows.groupBy(key).agg(F.max(stamp).alias(stamp))
+
+
+def compact_contacts(
+    spark: SparkSession, path: str, target: str, key: str, stamp: str, key_type: T.DataType = T.StringType()
+) -> None:
+    """Write the log with one row per key to a new place, as the first batch there."""
+    append_contacts(read_contacts(spark, path, key, stamp, key_type), target, "compacted")

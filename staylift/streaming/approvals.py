@@ -2,14 +2,26 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from staylift.sources.contact_log import read_or_empty
 from staylift.sources.outbox import OUTBOX
 from staylift.streaming.clicks import drop_redelivered, explode_approvals, fresh_clicks, route_clicks
-from staylift.streaming.contacts import frequency_gate
+from staylift.streaming.contacts import start_gate
 
 GAP_DAYS = {"weekly_upsell": 14, "monthly_report": 25}
+KEYS = ["workflow", "acm_id"]
+PASSED = T.StructType(
+    [
+        T.StructField("workflow", T.StringType()),
+        T.StructField("acm_id", T.LongType()),
+        T.StructField("gap_days", T.IntegerType()),
+        T.StructField("arrived_at", T.TimestampNTZType()),
+        T.StructField("click_id", T.LongType()),
+    ]
+)
 
 
 def gap_of(workflow: Column) -> Column:
@@ -22,13 +34,20 @@ def approved(clicks: DataFrame, delay: str = "10 minutes") -> DataFrame:
     return explode_approvals(route_clicks(drop_redelivered(fresh_clicks(clicks), delay)))
 
 
-def approval_stream(clicks: DataFrame, delay: str = "10 minutes") -> DataFrame:
-    """Outbox rows of kind ``approval``: per workflow and accommodation spaced by its cool-down.
+def start_approvals(clicks: DataFrame, path: str, checkpoint: str, delay: str = "10 minutes", **trigger):
+    """Approved contacts, spaced per workflow and accommodation by the workflow's cool-down.
 
     Test sends are not contacts, so they neither wait nor count; they are left to ``approved``.
     """
     real = approved(clicks, delay).filter(~F.col("test_mode")).withColumn("gap_days", gap_of(F.col("workflow")))
-    passed = frequency_gate(real, ["workflow", "acm_id"], "arrived_at", "click_id", "gap_days")
+    return start_gate(
+        real, KEYS, "arrived_at", "click_id", "gap_days", min(GAP_DAYS.values()), path, checkpoint, **trigger
+    )
+
+
+def approvals_outbox(spark: SparkSession, path: str) -> DataFrame:
+    """What the gate let through, as outbox rows of kind ``approval``."""
+    passed = read_or_empty(spark, path, PASSED)
     rows = passed.withColumns({"run_date": F.date_format("arrived_at", "yyyy-MM-dd"), "kind": F.lit("approval")})
     return rows.select(
         *[(F.col(f.name) if f.name in rows.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in OUTBOX]

@@ -87,12 +87,16 @@ def explode_approvals(routed: DataFrame) -> DataFrame:
     )
 
 
-def drop_redelivered(clicks: DataFrame, within: str = "10 minutes") -> DataFrame:
-    """Let a request that is delivered again within the delay through once. Adds ``event_time``."""
+def drop_redelivered(clicks: DataFrame, within: str = "10 minutes", spread: int = 8) -> DataFrame:
+    """Let a request that is delivered again within the delay through once. Adds ``event_time``.
+
+    Copies are first dropped within ``spread`` random groups and then overall, so a request repeated a
+    great many times reaches no single task with more than ``spread`` rows of a batch.
+    """
     delivery = F.sha2(F.concat_ws("\n", "request_ts", "form_body"), 256)
-    return (
-        clicks.withColumns({"delivery": delivery, "event_time": event_time(F.col("arrived_at"))})
-        .withWatermark("event_time", within)
-        .dropDuplicatesWithinWatermark(["delivery"])
-        .drop("delivery")
-    )
+    timed = clicks.withColumns({"delivery": delivery, "event_time": event_time(F.col("arrived_at"))})
+    timed = timed.withWatermark("event_time", within)
+    if spread > 1:
+        grouped = timed.withColumn("copy_group", F.floor(F.rand(17) * spread))
+        timed = grouped.dropDuplicatesWithinWatermark(["delivery", "copy_group"]).drop("copy_group")
+    return timed.dropDuplicatesWithinWatermark(["delivery"]).drop("delivery")

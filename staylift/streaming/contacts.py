@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from staylift.functions.clock import event_time
-from staylift.sources.contact_log import append_contacts
+from staylift.sources.contact_log import append_contacts, batch_name, read_or_empty
 from staylift.sources.workspace import settle
 
 DAY_US = 86_400_000_000
@@ -28,7 +28,7 @@ def start_contact_state(contacts: DataFrame, key: str, stamp: str, path: str, ch
     latest = contacts.groupBy(key).agg(F.max(stamp).alias(stamp))
     return (
         latest.writeStream.outputMode("update")
-        .foreachBatch(lambda changed, batch: append_contacts(changed, path, f"{batch:012d}"))
+        .foreachBatch(lambda changed, batch: append_contacts(changed, path, batch_name(batch)))
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or {"availableNow": True}))
         .start()
@@ -87,36 +87,69 @@ def frequency_gate(
     )
 
 
-def frequency_gate_batch(contacts: DataFrame, keys: list[str], stamp: str, ident: str, gap_days: int) -> DataFrame:
+def frequency_gate_batch(
+    contacts: DataFrame, keys: list[str], stamp: str, ident: str, gap_days: str, slice_days: int, last: DataFrame | None = None
+) -> DataFrame:
     """The same rule over a finished table, for all keys alike and without collecting a key anywhere.
 
-    Time is cut into slices as long as the gap; a key passes at most once per slice, namely with its
-    first contact after the running threshold. So each slice is one aggregation (combined map-side)
-    against the last passed contact per key, and the whole table is read once, slice by slice.
+    Time is cut into slices no longer than the smallest gap; a key passes at most once per slice, namely
+    with its first contact after the running threshold. So each slice is one aggregation (combined
+    map-side, so a hot key is no burden) against the last passed contact per key, and the table is read
+    once, slice by slice. ``last`` (keys, gap, ``last``) continues an earlier run.
     """
     spark = contacts.sparkSession
-    span = contacts.agg(F.min(stamp).alias("lo"), F.max(stamp).alias("hi")).first()
-    rows = contacts.select(*keys, stamp, ident)
+    columns = [*keys, gap_days]
+    rows = contacts.select(*columns, stamp, ident)
+    span = rows.agg(F.min(stamp).alias("lo"), F.max(stamp).alias("hi")).first()
     if span.lo is None:
         return rows
-    gap = F.make_dt_interval(days=F.lit(gap_days))
-    start = pd.Timestamp(span.lo)
+    gap = F.make_dt_interval(days=F.col(gap_days))
+    if last is None:
+        schema = T.StructType([*rows.select(*columns).schema, T.StructField("last", T.TimestampNTZType())])
+        last = spark.createDataFrame([], schema)
+    start, step = pd.Timestamp(span.lo), pd.Timedelta(days=slice_days)
+    last = last.filter(F.col("last") + gap >= _wall(start))
     slices: list[DataFrame] = []
-    last = spark.createDataFrame([], T.StructType([*rows.select(*keys).schema, T.StructField("last", T.TimestampNTZType())]))
     while start <= span.hi:
-        end = start + pd.Timedelta(days=gap_days)
-        inside = rows.filter((F.col(stamp) >= _wall(start)) & (F.col(stamp) < _wall(end)))
-        due = inside.join(last, keys, "left").filter(F.col("last").isNull() | (F.col(stamp) > F.col("last") + gap))
-        passed = settle(
-            due.groupBy(*keys).agg(F.min(F.struct(stamp, ident)).alias("p")).select(*keys, f"p.{stamp}", f"p.{ident}")
-        )
+        inside = rows.filter((F.col(stamp) >= _wall(start)) & (F.col(stamp) < _wall(start + step)))
+        due = inside.join(last, columns, "left").filter(F.col("last").isNull() | (F.col(stamp) > F.col("last") + gap))
+        first = due.groupBy(*columns).agg(F.min(F.struct(stamp, ident)).alias("p"))
+        passed = settle(first.select(*columns, f"p.{stamp}", f"p.{ident}"))
         slices.append(passed)
-        last = settle(
-            last.unionByName(passed.select(*keys, F.col(stamp).alias("last"))).groupBy(*keys).agg(F.max("last").alias("last"))
-        )
-        start = end
+        start += step
+        if start <= span.hi:
+            newest = last.unionByName(passed.select(*columns, F.col(stamp).alias("last")))
+            last = newest.groupBy(*columns).agg(F.max("last").alias("last"))
     return reduce(DataFrame.unionByName, slices)
 
 
+def start_gate(
+    contacts: DataFrame, keys: list[str], stamp: str, ident: str, gap_days: str, slice_days: int, path: str, checkpoint: str,
+    **trigger,
+):
+    """Run a stream of contacts through ``frequency_gate_batch``, micro-batch by micro-batch.
+
+    What passed is kept as a table, one folder per batch, and is the state of the next batch. A batch
+    that is run again sees only the folders before its own and replaces its own, so its result is the
+    same. Late contacts are judged like any other; no key meets in one task however hot it is.
+    """
+    columns = [*keys, gap_days]
+    schema = contacts.select(*columns, stamp, ident).schema
+
+    def judge(rows: DataFrame, batch: int) -> None:
+        spark = rows.sparkSession
+        earlier = read_or_empty(spark, path, T.StructType([*schema, T.StructField("batch", T.StringType())]))
+        last = earlier.filter(F.col("batch") < batch_name(batch)).groupBy(*columns).agg(F.max(stamp).alias("last"))
+        arrived = settle(rows.select(*columns, stamp, ident))
+        append_contacts(frequency_gate_batch(arrived, keys, stamp, ident, gap_days, slice_days, last), path, batch_name(batch))
+
+    return (
+        contacts.writeStream.foreachBatch(judge)
+        .option("checkpointLocation", checkpoint)
+        .trigger(**(trigger or {"availableNow": True}))
+        .start()
+    )
+
+
 def _wall(moment: pd.Timestamp) -> Column:
     return F.lit(moment.isoformat(sep=" ")).cast("timestamp_ntz")
