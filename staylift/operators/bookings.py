@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from staylift.config import Rules
 from staylift.functions.prices import booking_price
-from staylift.operators.filters import in_month, since
+from staylift.operators.filters import in_month, month_start, since
 
 
 def _per_accommodation(bookings: DataFrame, rooms: DataFrame, measures: dict[str, Column]) -> DataFrame:
@@ -93,7 +93,8 @@ def monthly_activity(
     """
     this, last = in_month("success_at", as_of, 1), in_month("success_at", as_of, 2)
     price = booking_price(positive_only=True)
-    kept = reservations.filter((this | last) & F.col("status").isin(*rules.confirmed_statuses))
+    both = (F.col("success_at") >= month_start(as_of, 2)) & (F.col("success_at") < month_start(as_of, 0))
+    kept = reservations.filter(both & F.col("status").isin(*rules.confirmed_statuses))
     per_room = kept.groupBy("room_id").agg(
         _count(this).alias("res_this_month"),
         _value(this, price).alias("gmv_this_month"),

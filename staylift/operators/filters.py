@@ -44,20 +44,19 @@ def since(column: str, as_of: datetime, days: int) -> Column:
 
 
 def month_start(as_of: datetime, months_ago: int) -> Column:
-    return F.add_months(F.trunc(at(as_of), "month"), -months_ago)
+    """Midnight of the first day of the month that lies n months back."""
+    return F.add_months(F.trunc(at(as_of), "month"), -months_ago).cast("timestamp_ntz")
 
 
 def month_range(as_of: datetime, months_ago: int) -> tuple[Column, Column]:
     """First and last day of the month that lies n months back."""
-    first = month_start(as_of, months_ago)
+    first = month_start(as_of, months_ago).cast("date")
     return first, F.last_day(first)
 
 
 def in_month(column: str, as_of: datetime, months_ago: int) -> Column:
     """Half-open on the timestamp itself, so file and row-group min/max can prune."""
-    start = month_start(as_of, months_ago).cast("timestamp_ntz")
-    end = month_start(as_of, months_ago - 1).cast("timestamp_ntz")
-    return (F.col(column) >= start) & (F.col(column) < end)
+    return (F.col(column) >= month_start(as_of, months_ago)) & (F.col(column) < month_start(as_of, months_ago - 1))
 
 
 def only_ids(df: DataFrame, ids: DataFrame, key: str = "acm_id") -> DataFrame:
