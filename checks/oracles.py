@@ -471,7 +471,11 @@ REPORT_SUMMARY = (
 )
 REPORT_HEADER = (
     "'🟢 성장 ' || count(*) FILTER (perf = 'growth') || '개 | 🟡 유지 ' || count(*) FILTER (perf IN ('stable', 'new')) || '개 | 🔴 저조/0건 ' || "
-    "count(*) FILTER (perf IN ('poor', 'zero')) || '개 | 총 *' || count(*) || '개*'"
+    "count(*) FILTER (perf IN ('poor', 'zero')) || '개 | 총 *' || count(*) || '개*' || "
+    "CASE WHEN count(*) > 20 THEN chr(10) || '📌 카드 밖 ' || (count(*) - 20) || '개 숙소는 미리보기에서 확인' ELSE '' END"
+)
+UPSELL_HEADER = (
+    "'🆕 광고 미가입 ' || count(*) FILTER (list_no = 1) || '개 | ⬆️ 수수료 업그레이드 ' || count(*) FILTER (list_no = 2) || '개 | 총 *' || count(*) || '개*'"
 )
 
 # Short templates for the rendered queries: every placeholder once, and the optional block.

@@ -568,6 +568,10 @@ def _outbox(df: DataFrame) -> DataFrame:
     _report_sql("weekly_upsell", "card", "w_listed WHERE pos <= CASE list_no WHEN 1 THEN 15 ELSE 10 END", o.UPSELL_CARD)
     + " UNION ALL " + _report_sql("weekly_upsell", "review", "w_listed WHERE has_copy", o.review("이메일"))
     + " UNION ALL " + _single_sql("weekly_upsell", "summary", "(SELECT * FROM w_listed ORDER BY list_no, pos LIMIT 20)", o.UPSELL_SUMMARY)
+    + " UNION ALL " + _single_sql("weekly_upsell", "header", "w_listed", o.UPSELL_HEADER)
+    + " UNION ALL " + _single_sql(
+        "weekly_upsell", "bulk", "w_listed WHERE grade IN ('A', 'B') HAVING count(*) > 0", "string_agg(acm_id::VARCHAR, ',' ORDER BY list_no, pos)"
+    )
 )
 def weekly_report(spark: SparkSession, sf: str) -> DataFrame:
     log = _shifted(b.shown_log(spark, sf), "last_shown")
@@ -598,6 +602,7 @@ def weekly_mailing(spark: SparkSession, sf: str) -> DataFrame:
     + " UNION ALL " + _report_sql("monthly_report", "direct_call", f"{M_CARDS} WHERE consecutive_zero", o.DIRECT_CALL)
     + " UNION ALL " + _single_sql("monthly_report", "header", "m_scored", o.REPORT_HEADER)
     + " UNION ALL " + _single_sql("monthly_report", "summary", "m_scored", o.REPORT_SUMMARY)
+    + " UNION ALL " + _single_sql("monthly_report", "bulk", f"{M_CARDS} WHERE has_copy HAVING count(*) > 0", "string_agg(acm_id::VARCHAR, ',' ORDER BY pos)")
 )
 def monthly_report(spark: SparkSession, sf: str) -> DataFrame:
     return _outbox(monthly.monthly_report(_limited_hosts(spark, sf), _monthly_copy(spark, sf), AS_OF))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from staylift.functions.names import region_of
 from staylift.operators.filters import live_accommodations
+from staylift.sources.workspace import settle
 
 # Largest number of rows that is sent to every executor on the strength of a known bound.
 BROADCAST_ROWS = 100_000
@@ -101,12 +102,16 @@ def region_baseline(
     accommodations without bookings count as zero; a region without any gets zeros.
     """
     with_value = "gmv" in activity.columns
+    wanted = regions.select("region").distinct()
+    if max_regions is None:
+        # Stored first, the list has a known size: Spark sends it around if it is small and shuffles if not.
+        wanted = settle(wanted)
     measured = advertised_accommodations(accommodations, advertised).join(activity, "acm_id", "left").fillna(0)
     res = F.col("res")
     aggregates = [F.avg(res).alias("avg_res"), F.count(F.lit(1)).alias("ad_acm_cnt")]
     if with_value:
         aggregates.insert(1, F.avg(F.when(res > 0, F.col("gmv") / res)).alias("avg_price_per_res"))
     per_region = (
-        match_regions(measured, regions, match=match, max_regions=max_regions).groupBy("region").agg(*aggregates)
+        match_regions(measured, wanted, match=match, max_regions=max_regions).groupBy("region").agg(*aggregates)
     )
-    return regions.select("region").distinct().join(per_region, "region", "left").fillna(0)
+    return wanted.join(per_region, "region", "left").fillna(0)

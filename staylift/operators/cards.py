@@ -83,13 +83,26 @@ def report_cards(hosts: DataFrame) -> DataFrame:
     return hosts.filter(F.col("pos") <= MONTHLY_CARDS).select("pos", "acm_id", "has_copy", report_card_text().alias("card"))
 
 
+def upsell_header(targets: DataFrame) -> DataFrame:
+    """One row: how many targets each list has."""
+    counts = targets.agg(F.count_if(F.col("list_no") == 1).alias("no_ad"), F.count_if(F.col("list_no") == 2).alias("upgrade"))
+    return counts.select(
+        F.format_string(
+            "🆕 광고 미가입 %d개 | ⬆️ 수수료 업그레이드 %d개 | 총 *%d개*", "no_ad", "upgrade", F.col("no_ad") + F.col("upgrade")
+        ).alias("header")
+    )
+
+
 def report_header(hosts: DataFrame) -> DataFrame:
     """One row: the line with the class counts, and how many hosts have no card."""
-    return perf_buckets(hosts).select(
-        F.format_string(
-            "🟢 성장 %d개 | 🟡 유지 %d개 | 🔴 저조/0건 %d개 | 총 *%d개*", "growth", "stable", "poor", "total"
+    buckets = perf_buckets(hosts)
+    more = F.greatest(F.col("total") - MONTHLY_CARDS, F.lit(0))
+    return buckets.select(
+        F.concat(
+            F.format_string("🟢 성장 %d개 | 🟡 유지 %d개 | 🔴 저조/0건 %d개 | 총 *%d개*", "growth", "stable", "poor", "total"),
+            F.when(more > 0, F.format_string("\n📌 카드 밖 %d개 숙소는 미리보기에서 확인", more)).otherwise(""),
         ).alias("header"),
-        F.greatest(F.col("total") - MONTHLY_CARDS, F.lit(0)).alias("not_carded"),
+        more.alias("not_carded"),
     )
 
 

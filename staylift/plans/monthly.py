@@ -91,7 +91,7 @@ def monthly_prompts(hosts: DataFrame, as_of: datetime, rules: Rules) -> DataFram
 
 
 def monthly_report(hosts: DataFrame, copies: DataFrame, as_of: datetime) -> DataFrame:
-    """Outbox rows: header, summary instruction, direct-call lines, cards, mail previews."""
+    """Outbox rows: header, summary instruction, bulk ids, direct-call lines, cards, mail previews."""
     listed = with_copy(hosts, copies, required=False)
     messages = listed.withColumn(
         "part",
@@ -107,7 +107,9 @@ def monthly_report(hosts: DataFrame, copies: DataFrame, as_of: datetime) -> Data
     summary = prompts.report_summary_prompt(hosts, report_month(as_of)).select(
         F.lit("summary").alias("kind"), F.col("prompt").alias("body")
     )
-    whole = messages.unionByName(header.unionByName(summary), allowMissingColumns=True)
+    approvable = lists.bulk_ids(listed.filter("has_copy"), ["pos"])
+    bulk = approvable.filter("id_count > 0").select(F.lit("bulk").alias("kind"), F.col("acm_ids").alias("body"))
+    whole = messages.unionByName(header.unionByName(summary).unionByName(bulk), allowMissingColumns=True)
     return as_outbox(whole, as_of, WORKFLOW)
 
 

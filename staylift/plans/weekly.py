@@ -131,7 +131,7 @@ def weekly_prompts(targets: DataFrame, rules: Rules, limit: int | None = lists.C
 
 
 def weekly_report(targets: DataFrame, copies: DataFrame, as_of: datetime, rules: Rules) -> DataFrame:
-    """Outbox rows of the review report: cards, mail previews, and the summary instruction.
+    """Outbox rows of the review report: header, summary instruction, bulk ids, cards, mail previews.
 
     ``targets`` come from ``weekly_targets`` with the shown log; only candidates have copy.
     """
@@ -148,8 +148,13 @@ def weekly_report(targets: DataFrame, copies: DataFrame, as_of: datetime, rules:
             )
         ),
     ).select("list_no", "pos", "acm_id", "subject", F.col("host_email").alias("recipient"), "part.kind", "part.body")
-    summary = prompts.upsell_summary_prompt(targets).select(F.lit("summary").alias("kind"), F.col("prompt").alias("body"))
-    return as_outbox(messages.unionByName(summary, allowMissingColumns=True), as_of, WORKFLOW)
+    approvable = lists.bulk_ids(targets.filter(F.col("grade").isin("A", "B")), ["list_no", "pos"])
+    singles = (
+        cards.upsell_header(targets).select(F.lit("header").alias("kind"), F.col("header").alias("body"))
+        .unionByName(prompts.upsell_summary_prompt(targets).select(F.lit("summary").alias("kind"), F.col("prompt").alias("body")))
+        .unionByName(approvable.filter("id_count > 0").select(F.lit("bulk").alias("kind"), F.col("acm_ids").alias("body")))
+    )
+    return as_outbox(messages.unionByName(singles, allowMissingColumns=True), as_of, WORKFLOW)
 
 
 def shown_contacts(targets: DataFrame, as_of: datetime) -> DataFrame:

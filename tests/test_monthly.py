@@ -136,7 +136,8 @@ def test_report_and_mailing(spark, world, rules):
     out = monthly.monthly_report(hosts, copies, AS_OF).collect()
     kinds = {k: sum(r.kind == k for r in out) for k in ("card", "review", "header", "summary", "direct_call")}
     assert kinds["card"] == 20 and kinds["review"] == copies.count() and kinds["direct_call"] == 1
-    assert next(r.body for r in out if r.kind == "header").endswith("총 *25개*")
+    assert next(r.body for r in out if r.kind == "header").endswith("총 *25개*\n📌 카드 밖 5개 숙소는 미리보기에서 확인")
+    assert len(next(r.body for r in out if r.kind == "bulk").split(",")) == copies.count()
     log = spark.createDataFrame([("h24@example.com", days_ago(25)), ("h23@example.com", days_ago(25.001))], "email STRING, last_sent TIMESTAMP_NTZ")
     everyone = hosts.selectExpr("acm_id", "'s' AS subject", "'b' AS body")
     mails = monthly.monthly_mailing(hosts, everyone, log, "{{host_name}}{{#if_show_pkg}} {{pkg_name}}{{/if_show_pkg}}", hosts.select("acm_id"), AS_OF)

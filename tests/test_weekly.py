@@ -6,6 +6,7 @@ from conftest import AS_OF, by_id, days_ago, ids
 from staylift import Rules
 from staylift.operators import adverts, scoring
 from staylift.operators.bookings import weekly_activity
+from staylift.operators.copy import parse_copy
 from staylift.plans import weekly
 
 
@@ -195,8 +196,20 @@ def test_report_order_candidates_and_cards(spark, world):
     grades = [r.grade for r in targets.filter("list_no = 1").orderBy("pos").collect()]
     assert grades == sorted(grades)
     assert len([r for r in out if r.kind == "summary"]) == 1
+    assert next(r.body for r in out if r.kind == "header") == "🆕 광고 미가입 40개 | ⬆️ 수수료 업그레이드 12개 | 총 *52개*"
+    bulk = [int(i) for i in next(r.body for r in out if r.kind == "bulk").split(",")]
+    wanted = targets.filter("grade IN ('A', 'B')").orderBy("list_no", "pos").collect()
+    assert bulk == [r.acm_id for r in wanted]
     prompts = weekly.weekly_prompts(targets, rules)
     assert prompts.count() == 30
+
+    def generator(frames):
+        for f in frames:
+            f["response"] = ['{"subject": "push %d", "body": "b"}' % i for i in f.acm_id]
+            yield f[["acm_id", "response"]]
+
+    made = parse_copy(prompts.mapInPandas(generator, "acm_id LONG, response STRING"))
+    assert made.count() == 30 and all(r.subject == f"푸시 {r.acm_id}" for r in made.collect())
     shown = weekly.shown_contacts(targets, AS_OF)
     assert shown.count() == 30 and {r.last_shown for r in shown.collect()} == {AS_OF}
 
