@@ -369,12 +369,13 @@ def _ladder_sql(test: str) -> str:
     f"CAST(count({_ladder_sql('<> 0')}) AS BIGINT) AS priced FROM lineitem GROUP BY ALL HAVING sum({_ladder_sql('> 0')}) IS NOT NULL"
 )
 def price_ladder(spark: SparkSession, sf: str) -> DataFrame:
-    suggestion, total_set = (F.expr(_EXT[k]).cast("decimal(14,2)") for k in ("sp", "ts"))
-    total = F.col("l_extendedprice").cast("decimal(14,2)")
-    priced = b.read(spark, sf, "lineitem").select(
+    prices = b.read(spark, sf, "lineitem").selectExpr(
+        "l_linenumber", "l_returnflag", "CAST(l_extendedprice AS DECIMAL(14,2)) AS total_price",
+        f"CAST({_EXT['sp']} AS DECIMAL(14,2)) AS suggestion_price", f"CAST({_EXT['ts']} AS DECIMAL(14,2)) AS total_price_set",
+    )
+    priced = prices.select(
         "l_linenumber", "l_returnflag",
-        realised_price(suggestion, total, total_set, positive_only=False).alias("a"),
-        realised_price(suggestion, total, total_set, positive_only=True).alias("p"),
+        realised_price(positive_only=False).alias("a"), realised_price(positive_only=True).alias("p"),
     )
     sums = priced.groupBy("l_linenumber", "l_returnflag").agg(
         F.sum("a").alias("any_set"), F.sum("p").alias("positive"), F.count("a").alias("priced")

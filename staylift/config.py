@@ -63,6 +63,10 @@ class Rules:
     packages: Packages = field(default_factory=Packages)
 
 
+def now_sql(as_of: datetime) -> str:
+    return f"TIMESTAMP_NTZ'{as_of.isoformat(sep=' ')}'"
+
+
 def at(as_of: datetime) -> Column:
     """The explicit "now": a wall-clock literal, independent of the session time zone."""
-    return F.lit(as_of.isoformat(sep=" ")).cast("timestamp_ntz")
+    return F.expr(now_sql(as_of))

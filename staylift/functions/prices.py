@@ -7,20 +7,16 @@ from pyspark.sql import functions as F
 
 
 def realised_price(
-    suggestion: Column, total: Column, total_set: Column, *, positive_only: bool
+    *, positive_only: bool, suggestion: str = "suggestion_price", total: str = "total_price", total_set: str = "total_price_set"
 ) -> Column:
     """Suggested price if set, else the list price when no set price exists, else the set price.
 
     The weekly job takes any non-zero suggestion, the monthly one only positive suggestions.
     Whole currency units as LONG, half away from zero. A NULL set price yields NULL, which sums ignore.
     """
-    use_suggestion = suggestion > 0 if positive_only else suggestion != 0
-    price = F.when(use_suggestion, suggestion).when(total_set == 0, total).otherwise(total_set)
-    return F.round(price, 0).cast("long")
-
-
-def booking_price(*, positive_only: bool) -> Column:
-    """``realised_price`` over the reservation columns."""
-    return realised_price(
-        F.col("suggestion_price"), F.col("total_price"), F.col("total_price_set"), positive_only=positive_only
+    usable = ">" if positive_only else "<>"
+    return F.expr(
+        f"""CAST(round(CASE WHEN {suggestion} {usable} 0 THEN {suggestion}
+                            WHEN {total_set} = 0 THEN {total}
+                            ELSE {total_set} END, 0) AS LONG)"""
     )

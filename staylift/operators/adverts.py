@@ -7,26 +7,21 @@ from datetime import datetime
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from staylift.config import at
-from staylift.schemas import RATE
+from staylift.config import now_sql
 
 
 def active_adverts(adverts: DataFrame, as_of: datetime) -> DataFrame:
-    """Started (and not later than ``as_of``), and open-ended or expiring later."""
-    now = at(as_of)
-    return adverts.filter(
-        F.col("success_at").isNotNull()
-        & (F.col("success_at") <= now)
-        & (F.col("expiration_at").isNull() | (F.col("expiration_at") > now))
-    )
+    """Paid for and started by ``as_of`` (no start date means unpaid), and open-ended or expiring later."""
+    now = now_sql(as_of)
+    return adverts.filter(f"success_at <= {now} AND (expiration_at IS NULL OR expiration_at > {now})")
 
 
 def commission_at_most(adverts: DataFrame, rate: str) -> DataFrame:
-    return adverts.filter(F.col("advert_commission") <= F.lit(rate).cast(RATE))
+    return adverts.filter(f"advert_commission <= CAST('{rate}' AS DECIMAL(4,2))")
 
 
 def commission_at_least(adverts: DataFrame, rate: str) -> DataFrame:
-    return adverts.filter(F.col("advert_commission") >= F.lit(rate).cast(RATE))
+    return adverts.filter(f"advert_commission >= CAST('{rate}' AS DECIMAL(4,2))")
 
 
 def advertised_ids(adverts: DataFrame) -> DataFrame:

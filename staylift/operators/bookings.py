@@ -13,13 +13,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from staylift.config import Rules
-from staylift.functions.prices import booking_price
-from staylift.operators.filters import in_month, month_start, since
+from staylift.functions.prices import realised_price
+from staylift.operators.filters import between_months, in_month, since, status_in
 
 
 def _per_accommodation(bookings: DataFrame, rooms: DataFrame, measures: dict[str, Column]) -> DataFrame:
     per_room = bookings.groupBy("room_id").agg(*[m.alias(name) for name, m in measures.items()])
-    owners = rooms.select(F.col("id").alias("room_id"), F.col("accommodation_id").alias("acm_id"))
+    owners = rooms.selectExpr("id AS room_id", "accommodation_id AS acm_id")
     return (
         per_room.join(owners, "room_id")
         .groupBy("acm_id")
@@ -38,11 +38,11 @@ def _value(condition: Column, price: Column) -> Column:
 def booked_in_window(reservations: DataFrame, rooms: DataFrame, as_of: datetime, rules: Rules) -> DataFrame:
     """Bookings of any counted status by creation time: ``res``, and ``gmv`` over the paid ones."""
     kept = reservations.filter(
-        since("created_at", as_of, rules.no_ad_days) & F.col("status").isin(*rules.booked_statuses)
+        since("created_at", as_of, rules.no_ad_days) & status_in(rules.booked_statuses)
     )
-    paid = F.col("status").isin(*rules.paid_statuses)
+    paid = status_in(rules.paid_statuses)
     return _per_accommodation(
-        kept, rooms, {"res": F.count(F.lit(1)), "gmv": _value(paid, booking_price(positive_only=False))}
+        kept, rooms, {"res": F.count(F.lit(1)), "gmv": _value(paid, realised_price(positive_only=False))}
     )
 
 
@@ -51,21 +51,21 @@ def confirmed_in_window(
 ) -> DataFrame:
     """Confirmed bookings by confirmation time: ``res`` and, if asked for, ``gmv``."""
     kept = reservations.filter(
-        since("success_at", as_of, days) & F.col("status").isin(*rules.confirmed_statuses)
+        since("success_at", as_of, days) & status_in(rules.confirmed_statuses)
     )
     measures = {"res": F.count(F.lit(1))}
     if with_value:
-        measures["gmv"] = F.coalesce(F.sum(booking_price(positive_only=False)), F.lit(0))
+        measures["gmv"] = F.coalesce(F.sum(realised_price(positive_only=False)), F.lit(0))
     return _per_accommodation(kept, rooms, measures)
 
 
 def weekly_activity(reservations: DataFrame, rooms: DataFrame, as_of: datetime, rules: Rules) -> DataFrame:
     """All three windows of the weekly job from one scan of the bookings."""
-    booked = F.col("status").isin(*rules.booked_statuses) & since("created_at", as_of, rules.no_ad_days)
-    confirmed = F.col("status").isin(*rules.confirmed_statuses)
+    booked = status_in(rules.booked_statuses) & since("created_at", as_of, rules.no_ad_days)
+    confirmed = status_in(rules.confirmed_statuses)
     upgrade = confirmed & since("success_at", as_of, rules.upgrade_days)
     baseline = confirmed & since("success_at", as_of, rules.baseline_days)
-    price = booking_price(positive_only=False)
+    price = realised_price(positive_only=False)
     # The windows' common span alone, first: it is what the scan can skip row groups by.
     span = max(rules.no_ad_days, rules.upgrade_days, rules.baseline_days)
     recent = since("created_at", as_of, span) | since("success_at", as_of, span)
@@ -74,7 +74,7 @@ def weekly_activity(reservations: DataFrame, rooms: DataFrame, as_of: datetime,
         rooms,
         {
             "booked": _count(booked),
-            "booked_gmv": _value(booked & F.col("status").isin(*rules.paid_statuses), price),
+            "booked_gmv": _value(booked & status_in(rules.paid_statuses), price),
             "confirmed": _count(upgrade),
             "confirmed_gmv": _value(upgrade, price),
             "baseline": _count(baseline),
@@ -92,27 +92,25 @@ def monthly_activity(
     the room's sum times the other month's count (at least one), so no pair is ever formed.
     """
     this, last = in_month("success_at", as_of, 1), in_month("success_at", as_of, 2)
-    price = booking_price(positive_only=True)
-    both = (F.col("success_at") >= month_start(as_of, 2)) & (F.col("success_at") < month_start(as_of, 0))
-    kept = reservations.filter(both & F.col("status").isin(*rules.confirmed_statuses))
+    price = realised_price(positive_only=True)
+    kept = reservations.filter(between_months("success_at", as_of, 2, 1) & status_in(rules.confirmed_statuses))
     per_room = kept.groupBy("room_id").agg(
         _count(this).alias("res_this_month"),
         _value(this, price).alias("gmv_this_month"),
         _count(last).alias("res_last_month"),
         _value(last, price).alias("gmv_last_month"),
     )
-    gmv_this, gmv_last = F.col("gmv_this_month"), F.col("gmv_last_month")
+    gmv_this, gmv_last = "gmv_this_month", "gmv_last_month"
     if fanout_compat:
-        gmv_this = gmv_this * F.greatest(F.col("res_last_month"), F.lit(1))
-        gmv_last = gmv_last * F.greatest(F.col("res_this_month"), F.lit(1))
-    owners = rooms.select(F.col("id").alias("room_id"), F.col("accommodation_id").alias("acm_id"))
+        gmv_this, gmv_last = f"{gmv_this} * greatest(res_last_month, 1)", f"{gmv_last} * greatest(res_this_month, 1)"
+    owners = rooms.selectExpr("id AS room_id", "accommodation_id AS acm_id")
     return (
         per_room.join(owners, "room_id")
         .groupBy("acm_id")
         .agg(
             F.sum("res_this_month").alias("res_this_month"),
-            F.sum(gmv_this).alias("gmv_this_month"),
+            F.sum(F.expr(gmv_this)).alias("gmv_this_month"),
             F.sum("res_last_month").alias("res_last_month"),
-            F.sum(gmv_last).alias("gmv_last_month"),
+            F.sum(F.expr(gmv_last)).alias("gmv_last_month"),
         )
     )

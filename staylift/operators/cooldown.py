@@ -17,7 +17,7 @@ UNKNOWN_DATE = "알 수 없음"
 
 
 def _before(as_of: datetime, days: int) -> Column:
-    return at(as_of) - F.make_dt_interval(days=F.lit(days))
+    return at(as_of) - F.expr(f"INTERVAL '{days}' DAY")
 
 
 def not_recently_shown(df: DataFrame, log: DataFrame, as_of: datetime, days: int = 7) -> DataFrame:
@@ -52,7 +52,7 @@ def blocked(df: DataFrame, log: DataFrame, as_of: datetime, days: int) -> DataFr
 
 
 def next_available(last_sent: Column, days: int) -> Column:
-    day = F.date_format(last_sent + F.make_dt_interval(days=F.lit(days)), "yyyy-MM-dd")
+    day = F.date_format(last_sent + F.expr(f"INTERVAL '{days}' DAY"), "yyyy-MM-dd")
     return F.coalesce(day, F.lit(UNKNOWN_DATE))
 
 

@@ -7,12 +7,12 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from staylift.config import at
+from staylift.config import now_sql
 from staylift.functions.names import has_all_words, mentions
 
 
 def live_accommodations(accommodations: DataFrame) -> DataFrame:
-    return accommodations.filter(F.col("deleted_at").isNull() & ~F.col("is_test"))
+    return accommodations.filter("deleted_at IS NULL AND NOT is_test")
 
 
 def exclude_house_domain(df: DataFrame, email: str, domain: str) -> DataFrame:
@@ -33,19 +33,23 @@ def exclude_type_suffix(df: DataFrame, type_name: str, suffix: str) -> DataFrame
     return df.filter(F.col(type_name).isNull() | ~F.col(type_name).endswith(suffix))
 
 
-def status_in(df: DataFrame, statuses: tuple[int, ...]) -> DataFrame:
-    return df.filter(F.col("status").isin(*statuses))
+def status_in(statuses: tuple[int, ...]) -> Column:
+    return F.expr(f"status IN ({', '.join(map(str, statuses))})")
 
 
 def since(column: str, as_of: datetime, days: int) -> Column:
     """Within ``days`` before the as-of moment, and not after it, so that past dates replay right."""
-    now = at(as_of)
-    return F.col(column).between(now - F.make_dt_interval(days=F.lit(days)), now)
+    now = now_sql(as_of)
+    return F.expr(f"{column} BETWEEN {now} - INTERVAL '{days}' DAY AND {now}")
 
 
 def month_start(as_of: datetime, months_ago: int) -> Column:
     """Midnight of the first day of the month that lies n months back."""
-    return F.add_months(F.trunc(at(as_of), "month"), -months_ago).cast("timestamp_ntz")
+    return F.expr(_month_start_sql(as_of, months_ago))
+
+
+def _month_start_sql(as_of: datetime, months_ago: int) -> str:
+    return f"CAST(add_months(trunc({now_sql(as_of)}, 'month'), {-months_ago}) AS TIMESTAMP_NTZ)"
 
 
 def month_range(as_of: datetime, months_ago: int) -> tuple[Column, Column]:
@@ -56,7 +60,13 @@ def month_range(as_of: datetime, months_ago: int) -> tuple[Column, Column]:
 
 def in_month(column: str, as_of: datetime, months_ago: int) -> Column:
     """Half-open on the timestamp itself, so file and row-group min/max can prune."""
-    return (F.col(column) >= month_start(as_of, months_ago)) & (F.col(column) < month_start(as_of, months_ago - 1))
+    return between_months(column, as_of, months_ago, months_ago)
+
+
+def between_months(column: str, as_of: datetime, first_ago: int, last_ago: int) -> Column:
+    """From the start of the month ``first_ago`` months back to the end of the one ``last_ago`` back."""
+    start, end = _month_start_sql(as_of, first_ago), _month_start_sql(as_of, last_ago - 1)
+    return F.expr(f"{column} >= {start} AND {column} < {end}")
 
 
 def only_ids(df: DataFrame, ids: DataFrame, key: str = "acm_id") -> DataFrame:

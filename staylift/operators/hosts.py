@@ -29,22 +29,16 @@ def eligible_hosts(t: Tables, rules: Rules, *, exclude_test: bool, compat: bool
         users = exclude_test_email(users, "email", rules.test_marker)
     if compat:
         phones = t.user_infos.groupBy("user_id", F.col("phone_number").alias("host_phone")).agg(
-            F.count(F.lit(1)).alias("host_copies")
+            F.expr("count(1) AS host_copies")
         )
     else:
-        phones = t.user_infos.groupBy("user_id").agg(
-            F.min("phone_number").alias("host_phone"), F.lit(1).cast("long").alias("host_copies")
-        )
+        phones = t.user_infos.groupBy("user_id").agg(F.expr("min(phone_number) AS host_phone"), F.expr("1L AS host_copies"))
     # Users and phones have one row per user (or phone), so only the join below can meet a hot key, an
     # owner of very many accommodations, and as a join of its own it is open to skew splitting.
-    contacts = users.select(
-        F.col("id").alias("user_id"), F.col("name").alias("host_name"), F.col("email").alias("host_email")
-    ).join(phones, "user_id", "left")
-    types = t.accommodation_types.select(F.col("id").alias("type_id"), F.col("name").alias("type_name"))
+    contacts = users.selectExpr("id AS user_id", "name AS host_name", "email AS host_email").join(phones, "user_id", "left")
+    types = t.accommodation_types.selectExpr("id AS type_id", "name AS type_name")
     hosts = (
-        acm.select(
-            F.col("id").alias("acm_id"), F.col("name_expression").alias("acm_name"), "sales_id", "user_id", "type_id"
-        )
+        acm.selectExpr("id AS acm_id", "name_expression AS acm_name", "sales_id", "user_id", "type_id")
         # The address filter rejects NULL, so accommodations without a user could never pass: inner join.
         .join(contacts, "user_id")
         .join(types, "type_id", "left")
@@ -52,5 +46,5 @@ def eligible_hosts(t: Tables, rules: Rules, *, exclude_test: bool, compat: bool
     return exclude_type_suffix(hosts, "type_name", rules.type_suffix).select(
         "acm_id", "acm_name", "sales_id", "host_name", "host_email", "host_phone",
         region_of(F.col("acm_name")).alias("region"),
-        F.coalesce("host_copies", F.lit(1)).alias("host_copies"),
+        F.expr("coalesce(host_copies, 1) AS host_copies"),
     )
