@@ -16,7 +16,7 @@ from staylift.functions import formats as fmt
 from staylift.functions.names import region_of
 from staylift.functions.prices import realised_price
 from staylift.functions.text import fix_words
-from staylift.operators import adverts, cards, cooldown, lists, prompts, render, scoring
+from staylift.operators import adverts, bookings, cards, cooldown, lists, prompts, render, scoring
 from staylift.operators.copy import copy_rejects, last_copy, parse_copy
 from staylift.operators.filters import nonempty_regions, only_ids, with_recipient
 from staylift.plans import monthly, weekly
@@ -49,6 +49,35 @@ def _no_nulls(df: DataFrame) -> DataFrame:
     return df.fillna("").fillna(0)
 
 
+# --- bookings per accommodation ---------------------------------------------------------------------
+
+
+def _window_sql(name: str, statuses: str, days: int) -> str:
+    return f"CAST(count(*) FILTER (re.status IN ({statuses}) AND re.success_at >= {o.NOW} - INTERVAL {days} DAY) AS BIGINT) AS {name}"
+
+
+@query(
+    f"""SELECT r.o_custkey AS acm_id, {_window_sql('booked', '1, 3, 6, 7, 8, 12', 90)}, {_window_sql('confirmed', '7, 8', 180)}, {_window_sql('baseline', '7, 8', 90)},
+    CAST(coalesce(sum({o.price('<> 0')}) FILTER (re.status IN (7, 8, 12) AND re.success_at >= {o.NOW} - INTERVAL 90 DAY), 0) AS BIGINT) AS booked_gmv,
+    CAST(coalesce(sum({o.price('<> 0')}) FILTER (re.status IN (7, 8) AND re.success_at >= {o.NOW} - INTERVAL 180 DAY), 0) AS BIGINT) AS confirmed_gmv
+    FROM u_res re JOIN orders r ON r.o_orderkey = re.room_id
+    WHERE re.success_at <= {o.NOW} AND ((re.status IN (7, 8) AND re.success_at >= {o.NOW} - INTERVAL 180 DAY) OR re.success_at >= {o.NOW} - INTERVAL 90 DAY)
+    GROUP BY r.o_custkey"""
+)
+def weekly_activity(spark: SparkSession, sf: str) -> DataFrame:
+    t = b.upsell_tables(spark, sf)
+    return bookings.weekly_activity(t.reservations, t.rooms, AS_OF, RULES)
+
+
+@query(
+    "SELECT acm_id, res_this AS res_this_month, gmv_this AS gmv_this_month, res_last AS res_last_month, gmv_last AS gmv_last_month "
+    "FROM m_month WHERE res_this + res_last > 0"
+)
+def monthly_activity(spark: SparkSession, sf: str) -> DataFrame:
+    t = b.monthly_tables(spark, sf)
+    return bookings.monthly_activity(t.reservations, t.rooms, AS_OF, RULES)
+
+
 # --- weekly: targets -------------------------------------------------------------------------------
 
 
@@ -454,6 +483,16 @@ def parse_copy_rejects(spark: SparkSession, sf: str) -> DataFrame:
     return copy_rejects(b.conversation_responses(spark, sf)).select("acm_id", "turn", F.length("response").cast("long").alias("size"))
 
 
+@query(
+    f"SELECT acm_id, {o.fixed(chr(39) + 'coupon ' + chr(39) + ' || role || ' + chr(39) + ' Package' + chr(39))} AS subject, {o.fixed('text')} AS body "
+    "FROM (SELECT p.acm_id, v.role, v.text, row_number() OVER (PARTITION BY p.acm_id ORDER BY p.turn DESC) AS nth FROM c_parsed p "
+    "JOIN conversations v ON v.conv_id = p.acm_id AND v.turn = p.turn WHERE p.usable) WHERE nth = 1",
+    "last_copy",
+)
+def last_copy_of_each(spark: SparkSession, sf: str) -> DataFrame:
+    return last_copy(parse_copy(b.conversation_responses(spark, sf)), "turn")
+
+
 _PLANTED = "'coupon 쿠pon이 이ven트 PUSH Marketing packages ' || role || ' ' || text"
 
 

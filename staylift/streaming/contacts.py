@@ -114,12 +114,14 @@ def frequency_gate_batch(
         inside = rows.filter((F.col(stamp) >= _wall(start)) & (F.col(stamp) < _wall(start + step)))
         due = inside.join(last, columns, "left").filter(F.col("last").isNull() | (F.col(stamp) > F.col("last") + gap))
         first = due.groupBy(*columns).agg(F.min(F.struct(stamp, ident)).alias("p"))
-        passed = settle(first.select(*columns, f"p.{stamp}", f"p.{ident}"))
-        slices.append(passed)
+        passed = first.select(*columns, f"p.{stamp}", f"p.{ident}")
         start += step
         if start <= span.hi:
+            # The next slice builds on this one; the last one is left to the caller's own action.
+            passed = settle(passed)
             newest = last.unionByName(passed.select(*columns, F.col(stamp).alias("last")))
             last = newest.groupBy(*columns).agg(F.max("last").alias("last"))
+        slices.append(passed)
     return reduce(DataFrame.unionByName, slices)
 
 
