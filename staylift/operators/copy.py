@@ -49,11 +49,14 @@ def last_copy(copies: DataFrame, order: str) -> DataFrame:
 
 
 def with_copy(targets: DataFrame, copies: DataFrame, *, required: bool) -> DataFrame:
-    """Join ``subject`` and ``body`` (one copy row per acm_id) to a limited list of targets.
+    """Join ``subject`` and ``body`` to a limited list of targets.
 
-    The copy table is first reduced to the listed ids, which are few; only that remainder is sent around.
+    The copy table is first reduced to the listed ids and to one copy each (see ``last_copy`` for which
+    one to prefer), so what is sent around has no more rows than the list.
     """
     listed = F.broadcast(targets.select("acm_id").distinct())
-    wanted = copies.select("acm_id", "subject", "body").join(listed, "acm_id", "left_semi")
-    joined = targets.join(F.broadcast(wanted.withColumn("has_copy", F.lit(True))), "acm_id", "inner" if required else "left")
-    return joined.withColumn("has_copy", F.coalesce("has_copy", F.lit(False)))
+    wanted = copies.join(listed, "acm_id", "left_semi").groupBy("acm_id").agg(F.max(F.struct("subject", "body")).alias("copy"))
+    joined = targets.join(F.broadcast(wanted), "acm_id", "inner" if required else "left")
+    return joined.withColumns(
+        {"subject": F.col("copy.subject"), "body": F.col("copy.body"), "has_copy": F.col("copy").isNotNull()}
+    ).drop("copy")

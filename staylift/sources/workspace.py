@@ -32,7 +32,7 @@ def new_path(spark: SparkSession, label: str) -> str:
 def settle(df: DataFrame) -> DataFrame:
     """Compute once, store as a table in the shared folder, go on from the stored rows.
 
-    For results that several branches of a job read: the facts are scanned once, a lost executor costs
+    The folders are scratch and may be removed when the job is over. For results that several branches of a job read: the facts are scanned once, a lost executor costs
     a re-read instead of a re-computation, and the planner knows the true size of what follows.
     """
     path = new_path(df.sparkSession, "settled")

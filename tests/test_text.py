@@ -87,6 +87,15 @@ def test_last_copy_wins(spark):
     assert {r.acm_id: r.subject for r in copy.last_copy(df, "turn").collect()} == {1: "new", 2: "x"}
 
 
+def test_repeated_copies_do_not_multiply_targets(spark):
+    targets = spark.createDataFrame([(1,), (2,), (2,)], "acm_id LONG")
+    copies = spark.createDataFrame([(1, "a", "x"), (1, "b", "y"), (3, "c", "z")], "acm_id LONG, subject STRING, body STRING")
+    joined = copy.with_copy(targets, copies, required=False).collect()
+    assert sorted((r.acm_id, r.subject, r.has_copy) for r in joined if r.acm_id == 1) == [(1, "b", True)]
+    assert [(r.subject, r.has_copy) for r in joined if r.acm_id == 2] == [(None, False)] * 2
+    assert [r.acm_id for r in copy.with_copy(targets, copies, required=True).collect()] == [1]
+
+
 UPSELL = dict(
     acm_id=5, host_name=None, acm_name="[a/b] {{acm_id}}", res_90d=3, gmv_90d=1234567, advert_name=None, avg_res=1.25, ad_acm_cnt=2,
     extra_rev_90d=999, rec_package="P", rec_rate=0.15, body="hi {{host_name}}\nthere",
