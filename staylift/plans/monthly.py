@@ -123,7 +123,8 @@ def monthly_mailing(
         chosen = lists.first_per_accommodation(chosen)
     if one_per_host:
         chosen = lists.one_per_host(chosen, ["pos"])
-    chosen = with_recipient(with_copy(chosen, copies, required=True), test_to)
+    # Stored, because the copy look-up reads the list twice and the approved ids may be costly to come by.
+    chosen = with_recipient(with_copy(settle(chosen), copies, required=True), test_to)
     judged = cooldown.with_outcome(chosen, sent_log, as_of, SENT_DAYS, test_to, dry_run=dry_run)
     rendered = render.render_report(judged, template, report_month(as_of))
     return rendered.withColumn("html", F.when(F.col("outcome") == "success", F.col("html")))
