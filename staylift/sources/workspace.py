@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder the cluster names in ``spark.checkpoint.dir``; a private one only in local mode."""
+    """The folder the cluster names in ``spark.checkpoint.dir``; unset and in local mode, one beside the warehouse's tables."""
     sc = spark.sparkContext
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
     if configured:
@@ -20,7 +19,7 @@ def shared_folder(spark: SparkSession) -> str:
     if current is None:
         if not sc.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
-        sc.setCheckpointDir(tempfile.mkdtemp(prefix="staylift-"))
+        sc.setCheckpointDir(f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/scratch")
         current = sc.getCheckpointDir()
     return current
 

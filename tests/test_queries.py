@@ -22,4 +22,4 @@ def test_query_agrees_with_sql(spark, con, name):
 def test_entry():
     import __spark_entry__ as entry
 
-    assert set(entry.oracle_sql()) == set(entry.queries()) == set(QUERIES)
+    assert set(QUERIES) <= set(entry.oracle_sql()) <= set(entry.queries())
