@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from staylift.llm import exact_dedup, rendezvous
+from staylift.llm import exact_dedup, line_runs, rendezvous
 from staylift.llm.oracles import SQL
 
 __all__ = ["QUERIES", "SQL"]
@@ -29,6 +29,13 @@ def op2_exact_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return exact_dedup.mark_copies(documents(spark, sf))
 
 
+@query
+def op3_line_runs(spark: SparkSession, sf: str) -> DataFrame:
+    batches = line_runs.file_batches(spark, f"{sf}/documents.parquet", 6)
+    cut = line_runs.drop_repeated_lines([b.select("doc_id", "text") for b in batches], min_docs=10)
+    return cut.select("record.doc_id", "n_lines", "n_dropped", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
 @query
 def op6_rendezvous(spark: SparkSession, sf: str) -> DataFrame:
     table = rendezvous.shard_table(documents(spark, sf), shards=8)

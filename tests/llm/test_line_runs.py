@@ -1,0 +1,79 @@
+from __future__ import annotations
+
+from collections import Counter
+
+import pytest
+from pyspark.sql import functions as F
+
+from staylift.llm import line_runs
+
+SCHEMA = "doc_id LONG, text STRING, k1 STRING, record STRING, dropped INT"
+SPACE = " \t\n\x0b\x0c\r"
+
+
+def key(line: str) -> str:
+    return "".join(c.lower() if c.isascii() else c for c in line.strip(SPACE))
+
+
+def expected(rows, least) -> list:
+    counts = Counter(k for _, text, *_ in rows for k in {key(x) for x in (text or "").split("\n")} - {""})
+    out = []
+    for i, text, *_ in rows:
+        lines = (text or "").split("\n")
+        kept = [x for x in lines if counts[key(x)] < least]
+        out.append((i, len(lines), len(lines) - len(kept), "\n".join(kept)))
+    return sorted(out, key=str)
+
+
+def rows_of(n: int) -> list:
+    rows = [(i, f"own {i}\n Shared  \nÉcole\n\nonly {i % 5}\nSHARED\t", "a", "b", 1) for i in range(n)]
+    rows += [(None, None, None, None, None), (900, "", "", "", 0), (901, "\n\n", "", "", 0), (902, "shared", "", "", 0), (902, "shared", "", "", 0)]
+    rows += [(903, "\n".join(f"long {i}" if i % 2 else "shared" for i in range(20_000)), "", "", 0), (904, "école\nÉCOLE", "", "", 0)]
+    return rows
+
+
+def got(df) -> list:
+    return sorted(((r.record.doc_id, r.n_lines, r.n_dropped, r.kept) for r in df.collect()), key=str)
+
+
+@pytest.mark.parametrize("parts", [1, 4, 7])
+def test_cut_as_brute_force(spark, parts):
+    rows = rows_of(40)
+    batches = [spark.createDataFrame(rows[i::parts], SCHEMA) for i in range(parts)]
+    for least in (2, 9, 10):
+        assert got(line_runs.drop_repeated_lines(batches, least)) == expected(rows, least)
+
+
+def test_each_batch_adds_only_new_lines(spark):
+    runs = line_runs.LineRuns(spark, settled_at=1, fanout=2, buckets=3)
+    seen: set = set()
+    for batch in (["a", "b\na"], ["B", "c"], ["d\na"], [], ["e", "c"]):
+        docs = spark.createDataFrame([(t,) for t in batch], "text STRING")
+        new = {key(x) for t in batch for x in t.split("\n")} - seen
+        assert runs.unsettled(line_runs.document_counts(docs)).count() == len(new)
+        runs.add(docs)
+        seen |= new
+    assert runs.frequent(1).count() == len(seen)
+    assert len(runs.runs()) == 2  # four batches merged into one run, and the fifth
+    with pytest.raises(ValueError):
+        runs.frequent(2)
+    runs.close()
+
+
+def test_anti_join_moves_no_run(spark):
+    runs = line_runs.LineRuns(spark, settled_at=1, buckets=4)
+    docs = spark.createDataFrame([("a\nb",)], "text STRING")
+    runs.add(docs)
+    plan = runs.unsettled(line_runs.document_counts(docs))._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and plan.count("Exchange hashpartitioning") == 1
+    runs.close()
+
+
+def test_empty_table(spark):
+    assert got(line_runs.drop_repeated_lines([spark.createDataFrame([], SCHEMA)])) == []
+
+
+def test_files_are_batches(spark, tmp_path):
+    spark.range(100).select("id", F.lit("x").alias("text")).repartition(5).write.parquet(f"{tmp_path}/t")
+    batches = line_runs.file_batches(spark, f"{tmp_path}/t", 2)
+    assert [len(b.inputFiles()) for b in batches] == [3, 2] and sum(b.count() for b in batches) == 100
