@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from staylift.llm import exact_dedup, line_runs, rendezvous
+from staylift.llm import exact_dedup, gray_simhash, line_runs, rendezvous
 from staylift.llm.oracles import SQL
 
 __all__ = ["QUERIES", "SQL"]
@@ -36,6 +36,12 @@ def op3_line_runs(spark: SparkSession, sf: str) -> DataFrame:
     return cut.select("record.doc_id", "n_lines", "n_dropped", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
 
 
+@query
+def op4_gray_simhash(spark: SparkSession, sf: str) -> DataFrame:
+    marked = gray_simhash.near_copies(documents(spark, sf), length=3, radius=2)
+    return marked.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 @query
 def op6_rendezvous(spark: SparkSession, sf: str) -> DataFrame:
     table = rendezvous.shard_table(documents(spark, sf), shards=8)
