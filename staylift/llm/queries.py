@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from staylift.llm import exact_dedup, gray_simhash, line_runs, rendezvous
+from staylift.llm import cost_packing, exact_dedup, gray_simhash, line_runs, rendezvous
 from staylift.llm.oracles import SQL
 
 __all__ = ["QUERIES", "SQL"]
@@ -46,3 +46,16 @@ def op4_gray_simhash(spark: SparkSession, sf: str) -> DataFrame:
 def op6_rendezvous(spark: SparkSession, sf: str) -> DataFrame:
     table = rendezvous.shard_table(documents(spark, sf), shards=8)
     return table.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
+
+
+def packed_sequences(docs: DataFrame) -> DataFrame:
+    import public_tokenizers
+
+    ranks, pattern = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
+    pieces = cost_packing.packed(docs, lambda: cost_packing.encoder(str(ranks), pattern), capacity=1024)
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+@query
+def op8_cost_packing(spark: SparkSession, sf: str) -> DataFrame:
+    return packed_sequences(documents(spark, sf))

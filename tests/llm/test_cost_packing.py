@@ -1,0 +1,111 @@
+from __future__ import annotations
+
+import random
+import zlib
+
+import numpy as np
+import public_tokenizers
+import pytest
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+from staylift.llm import cost_packing as c
+from staylift.llm.queries import documents, packed_sequences
+
+SCHEMA = "doc_id LONG, text STRING, start STRING, ids STRING, group STRING, offset INT"
+CAPACITY = 1024
+
+
+@pytest.fixture(scope="module")
+def tokenizer():
+    t = Tokenizer.from_file(str(public_tokenizers.path("byte_bpe_50k.json")))
+    t.encode_special_tokens = True
+    return t
+
+
+def odd_texts() -> list[str]:
+    r = random.Random(3)
+    some = " \t\n\r\x0b\x0c\x85\xa0 ​　aAzé ßİ'sLL're12٣४Ⅷ½!?<|>_-.…́中文字한😀👍🏽\U00020000﻿\x00"
+    texts = ["".join(r.choice(some) for _ in range(r.randrange(60))) for _ in range(1500)]
+    return [*texts, "<|endoftext|> a", "", "x" * 5000, " " * 3000, "\n" * 400 + "a", "é" * 3000, "ab " * 4000, "I'LL we'll 'S 's"]
+
+
+def test_encoder_gives_the_tokenizers_ids(tokenizer):
+    encode = c.encoder(str(public_tokenizers.path("byte_bpe_50k.tiktoken")), public_tokenizers.PATTERN)
+    for text in odd_texts():
+        assert encode(text).tolist() == tokenizer.encode(text, add_special_tokens=False).ids, repr(text)
+
+
+def test_real_texts_give_the_tokenizers_ids(spark, tokenizer):
+    encode = c.encoder(str(public_tokenizers.path("byte_bpe_50k.tiktoken")), public_tokenizers.PATTERN)
+    for (text,) in documents(spark, "/root/testdata/sf0.001").select("text").collect():
+        assert encode(text).tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+
+
+def checked(rows: list, expected: dict) -> int:
+    """Every id lies in one piece and every sequence is gapless; the number of sequences. expected: (doc_id, ids) counts."""
+    docs: dict = {}
+    for r in rows:
+        docs.setdefault((r.doc_id, r.doc_tokens), []).append(r)
+    spans: dict = {}
+    for (key, total), pieces in docs.items():
+        copies = sum(r.length for r in pieces) // total
+        for ids in expected[key]:
+            if len(ids) == total:
+                whole = np.array(ids, "<u4").tobytes()
+                for r in pieces:
+                    assert r.ids_crc32 == zlib.crc32(whole[4 * r.start : 4 * (r.start + r.length)])
+        covered = np.zeros(total, int)
+        for r in pieces:
+            covered[r.start : r.start + r.length] += 1
+        assert (covered == copies).all() and copies == sum(len(i) == total for i in expected[key])
+    for r in rows:
+        assert 1 <= r.length <= CAPACITY
+        spans.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    for own in spans.values():
+        at = 0
+        for offset, length in sorted(own):
+            assert offset == at
+            at += length
+        assert at <= CAPACITY
+    return len(spans)
+
+
+def test_packs_every_id_once_with_little_padding(spark, tokenizer):
+    r = random.Random(1)
+    words = "alpha beta gamma délta 1234 <tag> !!! naïve".split()
+    rows = [(i, " ".join(r.choice(words) for _ in range(int(r.lognormvariate(5, 1.2)))), "", "", "", 0) for i in range(150)]
+    rows += [(None, None, None, None, None, None), (1000, "", "", "", "", 0), (1001, "<|endoftext|>", "", "", "", 0)]
+    rows += [(1002, "alpha " * 30_000, "", "", "", 0), (1003, "same", "", "", "", 0), (1003, "same", "", "", "", 0), ((1 << 62) + 1, "b", "", "", "", 0)]
+    got = packed_sequences(spark.createDataFrame(rows, SCHEMA).repartition(5)).collect()
+    expected: dict = {}
+    for key, text, *_ in rows:
+        expected.setdefault(key, []).append([*tokenizer.encode(text or "", add_special_tokens=False).ids, 0])
+    sequences = checked(got, expected)
+    total = sum(len(i) for own in expected.values() for i in own)
+    assert sequences == -(-total // CAPACITY)
+    assert {x.doc_id for x in got} == set(expected)
+
+
+def test_cost_is_balanced():
+    r = np.random.default_rng(2)
+    lengths = r.integers(1, 700, 3000)
+    piece, sequence, part = c.pack(lengths, CAPACITY, 1.0, 1 / 1024)
+    assert np.bincount(piece, part).tolist() == lengths.tolist()
+    spent = np.bincount(sequence, c.cost(part, 1.0, 1 / 1024))
+    in_order = np.minimum(np.cumsum(lengths) // CAPACITY, sequence.max())
+    plain = np.bincount(in_order, c.cost(lengths, 1.0, 1 / 1024))
+    assert spent.std() < plain.std()
+    assert np.bincount(sequence, part).max() <= CAPACITY and len(spent) == -(-lengths.sum() // CAPACITY)
+
+
+def test_groups_are_dealt_evenly(spark):
+    docs = spark.range(3000).select(F.col("id").alias("doc_id"), F.lit("the same text " * 40).alias("text"))
+    ranks = str(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    rows = c.packed(docs, lambda: c.encoder(ranks, public_tokenizers.PATTERN), group_bytes=200_000)
+    sizes = [x["count"] for x in rows.groupBy(F.floor(F.col("sequence_id") / c.NUMBERS)).count().collect()]
+    assert len(sizes) == 9 and max(sizes) < 1.2 * min(sizes)
+
+
+def test_empty_table(spark):
+    assert packed_sequences(spark.createDataFrame([], SCHEMA)).collect() == []
