@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from staylift.llm import cost_packing, exact_dedup, gray_simhash, line_runs, rendezvous
+from staylift.llm import block_mixing, cost_packing, exact_dedup, gray_simhash, line_runs, rendezvous
 from staylift.llm.oracles import SQL
 
 __all__ = ["QUERIES", "SQL"]
@@ -59,3 +59,8 @@ def packed_sequences(docs: DataFrame) -> DataFrame:
 @query
 def op8_cost_packing(spark: SparkSession, sf: str) -> DataFrame:
     return packed_sequences(documents(spark, sf))
+
+
+@query
+def op10_block_mixing(spark: SparkSession, sf: str) -> DataFrame:
+    return block_mixing.taken_words(documents(spark, sf), weights=(3, 1, 2), percent=150, cap=2, block_words=64)

@@ -35,6 +35,11 @@ def words_of(text: Column) -> Column:
     return F.filter(F.split(trimmed(F.coalesce(text, F.lit(""))), SPACE), lambda w: w != "")
 
 
+def word_count(text: Column) -> Column:
+    bare = trimmed(F.coalesce(text, F.lit("")))
+    return F.when(bare == "", 0).otherwise(F.size(F.split(bare, SPACE))).cast("long")
+
+
 def running_total(rows: DataFrame, groups: list[str], order: list[str], weight: Column, into: str) -> DataFrame:
     """Add ``into``: the sum of ``weight`` (long) over all rows of the same group that come earlier in ``order``.
 
