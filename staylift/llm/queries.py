@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from staylift.llm import block_mixing, cost_packing, exact_dedup, gray_simhash, line_runs, rendezvous
+from staylift.llm import block_mixing, cost_packing, exact_dedup, gray_simhash, line_runs, mcd_quality, rendezvous
 from staylift.llm.oracles import SQL
 
 __all__ = ["QUERIES", "SQL"]
@@ -24,6 +24,11 @@ def documents(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/documents.parquet")
 
 
+@query
+def op1_mcd_quality(spark: SparkSession, sf: str) -> DataFrame:
+    return mcd_quality.judged(documents(spark, sf))
+
+
 @query
 def op2_exact_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return exact_dedup.mark_copies(documents(spark, sf))
