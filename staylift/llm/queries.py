@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from staylift.llm import block_mixing, cost_packing, exact_dedup, gray_simhash, line_runs, mcd_quality, rendezvous
+from staylift.llm import block_mixing, cost_packing, exact_dedup, gray_simhash, line_runs, mcd_quality, rendezvous, toxicity_gru
 from staylift.llm.oracles import SQL
 
 __all__ = ["QUERIES", "SQL"]
@@ -53,6 +53,15 @@ def op6_rendezvous(spark: SparkSession, sf: str) -> DataFrame:
     return table.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
 
 
+@query
+def op7_toxicity_gru(spark: SparkSession, sf: str) -> DataFrame:
+    docs, labels = documents(spark, sf), spark.read.parquet(f"{sf}/labels.parquet")
+    found = toxicity_gru.scored(docs, toxicity_gru.fitted(docs, labels))
+    return found.select(
+        "doc_id", toxicity_gru.held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted")
+    )
+
+
 def packed_sequences(docs: DataFrame) -> DataFrame:
     import public_tokenizers
 
