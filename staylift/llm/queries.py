@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from staylift.llm import block_mixing, cost_packing, exact_dedup, gray_simhash, line_runs, mcd_quality, rendezvous, toxicity_gru
+from staylift.llm import block_mixing, cost_packing, exact_dedup, gray_simhash, line_runs, mcd_quality, pseudonyms, rendezvous, toxicity_gru
 from staylift.llm.oracles import SQL
 
 __all__ = ["QUERIES", "SQL"]
@@ -24,6 +24,11 @@ def documents(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/documents.parquet")
 
 
+def pseudonymised_table(docs: DataFrame) -> DataFrame:
+    # A registered query has no secret store at hand; a job passes a key of its own.
+    return pseudonyms.pseudonymised(docs.select("doc_id", "text"), key="registered query")
+
+
 @query
 def op1_mcd_quality(spark: SparkSession, sf: str) -> DataFrame:
     return mcd_quality.judged(documents(spark, sf))
@@ -47,6 +52,12 @@ def op4_gray_simhash(spark: SparkSession, sf: str) -> DataFrame:
     return marked.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+@query
+def op5_feistel_pii(spark: SparkSession, sf: str) -> DataFrame:
+    made = pseudonymised_table(documents(spark, sf))
+    return made.select("record.doc_id", "text", *[f"n_{kind}" for kind in pseudonyms.KINDS])
+
+
 @query
 def op6_rendezvous(spark: SparkSession, sf: str) -> DataFrame:
     table = rendezvous.shard_table(documents(spark, sf), shards=8)
