@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from staylift.llm import block_mixing, cost_packing, exact_dedup, gray_simhash, line_runs, mcd_quality, pseudonyms, rendezvous, toxicity_gru
+from staylift.llm import block_mixing, cost_packing, exact_dedup, gray_simhash, license_rules, line_runs, mcd_quality, pseudonyms, rendezvous, toxicity_gru
 from staylift.llm.oracles import SQL
 
 __all__ = ["QUERIES", "SQL"]
@@ -86,6 +86,15 @@ def op8_cost_packing(spark: SparkSession, sf: str) -> DataFrame:
     return packed_sequences(documents(spark, sf))
 
 
+@query
+def op9_license_rules(spark: SparkSession, sf: str) -> DataFrame:
+    found = license_rules.recognised(documents(spark, sf))
+    return found.select(
+        "doc_id", F.array_join("licences.name", " ").alias("licences"), F.array_join("sentences.name", " ").alias("sentences"),
+        F.size("licences").cast("long").alias("n_licences"),
+    )
+
+
 @query
 def op10_block_mixing(spark: SparkSession, sf: str) -> DataFrame:
     return block_mixing.taken_words(documents(spark, sf), weights=(3, 1, 2), percent=150, cap=2, block_words=64)
