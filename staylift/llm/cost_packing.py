@@ -36,6 +36,14 @@ def encoder(ranks_path: str, pattern: str) -> Callable[[str], np.ndarray]:
     return encode
 
 
+def byte_bpe(name: str = "byte_bpe_50k.tiktoken") -> Callable[[], Callable[[str], np.ndarray]]:
+    """What makes the encoder of an installed public vocabulary, where it is called."""
+    import public_tokenizers
+
+    ranks, pattern = str(public_tokenizers.path(name)), public_tokenizers.PATTERN
+    return lambda: encoder(ranks, pattern)
+
+
 def cost(lengths: np.ndarray, linear: float, quadratic: float) -> np.ndarray:
     """Estimated cost of pieces: the layers' work per token and attention within the piece."""
     return linear * lengths + quadratic * lengths.astype(float) ** 2

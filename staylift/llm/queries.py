@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from staylift.llm import block_mixing, cost_packing, exact_dedup, gray_simhash, license_rules, line_runs, mcd_quality, pseudonyms, rendezvous, toxicity_gru
 from staylift.llm.oracles import SQL
 
@@ -74,10 +75,7 @@ def op7_toxicity_gru(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def packed_sequences(docs: DataFrame) -> DataFrame:
-    import public_tokenizers
-
-    ranks, pattern = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
-    pieces = cost_packing.packed(docs, lambda: cost_packing.encoder(str(ranks), pattern), capacity=1024)
+    pieces = cost_packing.packed(docs, cost_packing.byte_bpe(), capacity=1024)
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
@@ -98,3 +96,12 @@ def op9_license_rules(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def op10_block_mixing(spark: SparkSession, sf: str) -> DataFrame:
     return block_mixing.taken_words(documents(spark, sf), weights=(3, 1, 2), percent=150, cap=2, block_words=64)
+
+
+@query
+def pipeline(spark: SparkSession, sf: str) -> DataFrame:
+    return corpus_pipeline.run(spark, sf)
+
+
+if corpus_pipeline.ORACLE_SQL is not None:
+    SQL["pipeline"] = corpus_pipeline.ORACLE_SQL

@@ -418,3 +418,20 @@ def scored(docs: DataFrame, model: Model, at_once: int = 2 << 20) -> DataFrame:
 
     rows = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
     return rows.mapInArrow(marked, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, text_hash LONG, score DOUBLE")
+
+
+def without_toxic(docs: DataFrame, model: Model, threshold: float = 0.7, at_once: int = 256) -> DataFrame:
+    """The documents whose score stays below ``threshold``, with all columns of ``docs`` whatever their names.
+
+    Rows are judged where they are, without a shuffle. Null and empty texts stay unless the model thinks blank texts toxic.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    place = docs.columns.index("text")
+
+    def kept(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k in range(0, batch.num_rows, at_once):
+                part = batch.slice(k, at_once)
+                yield part.filter(pa.array(scores(shared.value, part.column(place).to_pylist()) < threshold))
+
+    return docs.mapInArrow(kept, docs.schema)
