@@ -23,7 +23,6 @@ from staylift.plans import monthly, weekly
 from staylift.sources.contact_log import merge_contacts, read_contacts
 from staylift.sources.workspace import new_path
 from staylift.streaming import approvals, clicks, contacts
-from staylift.streaming.runs import start_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -667,12 +666,6 @@ def monthly_mailing(spark: SparkSession, sf: str) -> DataFrame:
 # --- streams ---------------------------------------------------------------------------------------
 
 
-def _run(spark: SparkSession, stream: DataFrame, label: str) -> DataFrame:
-    path = new_path(spark, label)
-    start_table(stream, path, f"{path}-state").awaitTermination()
-    return spark.read.schema(stream.schema).parquet(path)
-
-
 def _stream_contacts(spark: SparkSession, sf: str) -> DataFrame:
     events = b.event_stream(spark, sf).filter(F.col("event_type") == "click")
     return events.select(F.col("user_id").alias("acm_id"), F.col("ts").alias("contacted_at"), "event_id")
@@ -709,34 +702,55 @@ _GATE_SOURCE = "SELECT * FROM e_click_contact"
 o.CTES["e_click_contact"] = "SELECT user_id AS acm_id, ts, event_id FROM events WHERE event_type = 'click'"
 
 
+def _gated(spark: SparkSession, stream: DataFrame, gap: str) -> DataFrame:
+    path, rows = new_path(spark, "gate"), stream.withColumn("gap_days", F.expr(gap))
+    contacts.start_gate(rows, ["acm_id"], "contacted_at", "event_id", "gap_days", path, f"{path}-state").awaitTermination()
+    return spark.read.parquet(path).select("acm_id", "contacted_at", "event_id")
+
+
 @query()
 def frequency_gate(spark: SparkSession, sf: str) -> DataFrame:
-    stream = _stream_contacts(spark, sf).withColumn("gap_days", F.lit(7))
-    gated = contacts.frequency_gate(stream, ["acm_id"], "contacted_at", "event_id", "gap_days", "1 hour")
-    return _run(spark, gated, "gate").select("acm_id", "contacted_at", "event_id")
+    return _gated(spark, _stream_contacts(spark, sf), "7")
+
+
+def _judged(spark: SparkSession, sf: str, gap: str) -> DataFrame:
+    rows = b.click_contacts(spark, sf).withColumn("gap_days", F.expr(gap))
+    passed = contacts.frequency_gate_batch(rows, ["acm_id"], "contacted_at", "event_id", "gap_days")
+    return passed.select("acm_id", "contacted_at", "event_id")
 
 
 @query()
 def frequency_gate_batch(spark: SparkSession, sf: str) -> DataFrame:
-    rows = b.click_contacts(spark, sf).withColumn("gap_days", F.lit(7))
-    passed = contacts.frequency_gate_batch(rows, ["acm_id"], "contacted_at", "event_id", "gap_days", 7)
-    return passed.select("acm_id", "contacted_at", "event_id")
+    return _judged(spark, sf, "7")
 
 
-SQL["frequency_gate"] = SQL["frequency_gate_batch"] = _with_gate(
-    _gate_sql("e_click_contact", "acm_id", "ts", "event_id", "7", "acm_id, stamp AS contacted_at, ident AS event_id"), _GATE_SOURCE
-)
+#: Keys with gaps of their own: most wait far longer than the shortest gap, which cuts the slices.
+MIXED_GAPS = "CASE user_id % 4 WHEN 0 THEN 2 WHEN 1 THEN 5 ELSE 25 END"
+
+
+@query()
+def frequency_gate_mixed(spark: SparkSession, sf: str) -> DataFrame:
+    return _judged(spark, sf, f"CAST({MIXED_GAPS.replace('user_id', 'acm_id')} AS INT)")
+
+
+def _gated_clicks(gap: str) -> str:
+    return _with_gate(_gate_sql("e_click_contact", "acm_id", "ts", "event_id", gap, "acm_id, stamp AS contacted_at, ident AS event_id"), _GATE_SOURCE)
+
+
+SQL["frequency_gate"] = SQL["frequency_gate_batch"] = _gated_clicks("7")
+SQL["frequency_gate_mixed"] = _gated_clicks(MIXED_GAPS.replace("user_id", "acm_id"))
 
 
-@query("SELECT click_id, epoch(requested)::BIGINT::VARCHAR AS request_ts FROM k_click")
+@query("SELECT click_id, epoch(requested)::BIGINT::VARCHAR AS request_ts, arrived_at FROM k_click")
 def click_dedup(spark: SparkSession, sf: str) -> DataFrame:
     """Every request arrives a second time, a minute later."""
     first = b.as_clicks(b.event_stream(spark, sf))
     again = b.as_clicks(b.event_stream(spark, sf)).withColumn(
         "arrived_at", F.col("arrived_at") + F.make_dt_interval(mins=F.lit(1))
     )
-    once = clicks.drop_redelivered(first.unionByName(again), "31 days")
-    return _run(spark, once, "clicks").select("click_id", "request_ts")
+    path = new_path(spark, "clicks")
+    clicks.start_deliveries(first.unionByName(again), path, f"{path}-state", within_minutes=10).awaitTermination()
+    return spark.read.parquet(path).select("click_id", "request_ts", "arrived_at")
 
 
 @query()

@@ -17,8 +17,3 @@ def wall_micros(wall: Column) -> Column:
 
 def from_epoch_seconds(seconds: Column) -> Column:
     return F.lit(EPOCH).cast("timestamp_ntz") + F.make_dt_interval(secs=seconds.cast("decimal(18,6)"))
-
-
-def event_time(wall: Column) -> Column:
-    """The TIMESTAMP that a watermark needs."""
-    return F.timestamp_micros(wall_micros(wall))

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from staylift.sources.workspace import remove
+
 # Log stamps carry a fixed +09:00 offset; the database clock is the same zone, so both become wall clock.
 LOG_ZONE_EPOCH = "1970-01-01 09:00:00"
 
@@ -80,7 +84,17 @@ def read_contacts(
 
 
 def compact_contacts(
-    spark: SparkSession, path: str, target: str, key: str, stamp: str, key_type: T.DataType = T.StringType()
+    spark: SparkSession, path: str, key: str, stamp: str, key_type: T.DataType = T.StringType()
 ) -> None:
-    """Write the log with one row per key to a new place, as the first batch there."""
-    append_contacts(read_contacts(spark, path, key, stamp, key_type), target, "compacted")
+    """Put all batches so far into one with a row per key, in place.
+
+    The merged batch is there before the old ones go, and a batch that a running stream writes again meanwhile only adds
+    what the merge has: the table says the same at every moment.
+    """
+    schema = T.StructType([*_log_schema(key, stamp, key_type), T.StructField("batch", T.StringType())])
+    old = [r[0] for r in read_or_empty(spark, path, schema).select("batch").distinct().collect()]
+    if len(old) < 2:
+        return
+    append_contacts(read_contacts(spark, path, key, stamp, key_type), path, f"merged-{uuid.uuid4().hex}")
+    for batch in old:
+        remove(spark, f"{path}/batch={batch}")

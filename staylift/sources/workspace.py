@@ -3,9 +3,14 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
+_scratch: ContextVar[str | None] = ContextVar("scratch", default=None)
+
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder the cluster names in ``spark.checkpoint.dir``; unset and in local mode, one beside the warehouse's tables."""
@@ -25,14 +30,36 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def new_path(spark: SparkSession, label: str) -> str:
-    return f"{shared_folder(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    """A place for a table of this job: in its scratch folder inside ``scratch``, else in the shared folder."""
+    return f"{(_scratch.get() or shared_folder(spark)).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder of intermediate tables, whatever file system it is on."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[str]:
+    """What a job settles inside goes to one folder, which is removed on leaving.
+
+    Results must have been written elsewhere by then: ``with scratch(spark): write_outbox(...)``.
+    """
+    folder = new_path(spark, "job")
+    token = _scratch.set(folder)
+    try:
+        yield folder
+    finally:
+        _scratch.reset(token)
+        remove(spark, folder)
 
 
 def settle(df: DataFrame) -> DataFrame:
-    """Compute once, store as a table in the shared folder, go on from the stored rows.
+    """Compute once, store as a table, go on from the stored rows.
 
-    The folders are scratch and may be removed when the job is over. For results that several branches of a job read: the facts are scanned once, a lost executor costs
-    a re-read instead of a re-computation, and the planner knows the true size of what follows.
+    For results that several branches of a job read: the facts are scanned once, a lost executor costs a re-read instead
+    of a re-computation, and the planner knows the true size of what follows. See ``scratch`` for when they go.
     """
     path = new_path(df.sparkSession, "settled")
     df.write.parquet(path)

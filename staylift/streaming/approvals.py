@@ -8,8 +8,8 @@ from pyspark.sql import types as T
 
 from staylift.sources.contact_log import read_or_empty
 from staylift.sources.outbox import OUTBOX
-from staylift.streaming.clicks import drop_redelivered, explode_approvals, fresh_clicks, route_clicks
-from staylift.streaming.contacts import start_gate
+from staylift.streaming.clicks import explode_approvals, fresh_clicks, keep_deliveries, route_clicks
+from staylift.streaming.contacts import PARTS, gate_batch, run_batches
 
 GAP_DAYS = {"weekly_upsell": 14, "monthly_report": 25}
 KEYS = ["workflow", "acm_id"]
@@ -29,25 +29,34 @@ def gap_of(workflow: Column) -> Column:
     return F.try_element_at(F.create_map(*pairs), workflow)
 
 
-def approved(clicks: DataFrame, delay: str = "10 minutes") -> DataFrame:
-    """Fresh clicks, each delivery once, as (workflow, test_mode, acm_id) rows."""
-    return explode_approvals(route_clicks(drop_redelivered(fresh_clicks(clicks), delay)))
+def approved(clicks: DataFrame) -> DataFrame:
+    """Fresh clicks as (workflow, test_mode, acm_id) rows."""
+    return explode_approvals(route_clicks(fresh_clicks(clicks)))
 
 
-def start_approvals(clicks: DataFrame, path: str, checkpoint: str, delay: str = "10 minutes", **trigger):
+def start_approvals(clicks: DataFrame, path: str, checkpoint: str, within_minutes: int = 10, **trigger):
     """Approved contacts, spaced per workflow and accommodation by the workflow's cool-down.
 
-    Test sends are not contacts, so they neither wait nor count; they are left to ``approved``.
+    A delivery counts once (``<path>-deliveries`` remembers them). Test sends are not contacts, so they neither wait nor
+    count; they are left to ``approved``.
     """
-    real = approved(clicks, delay).filter(~F.col("test_mode")).withColumn("gap_days", gap_of(F.col("workflow")))
-    return start_gate(
-        real, KEYS, "arrived_at", "click_id", "gap_days", min(GAP_DAYS.values()), path, checkpoint, **trigger
+    name = run_batches(checkpoint)
+
+    def judge(rows: DataFrame, batch: int) -> None:
+        label = name(rows.sparkSession, batch)
+        once = keep_deliveries(rows, f"{path}-deliveries", label, within_minutes)
+        real = approved(once).filter(~F.col("test_mode")).withColumn("gap_days", gap_of(F.col("workflow")))
+        gate_batch(real, KEYS, "arrived_at", "click_id", "gap_days", path, label)
+
+    return (
+        clicks.writeStream.foreachBatch(judge).option("checkpointLocation", checkpoint)
+        .trigger(**(trigger or {"availableNow": True})).start()
     )
 
 
 def approvals_outbox(spark: SparkSession, path: str) -> DataFrame:
     """What the gate let through, as outbox rows of kind ``approval``."""
-    passed = read_or_empty(spark, path, PASSED)
+    passed = read_or_empty(spark, path, T.StructType([*PASSED, *PARTS]))
     rows = passed.withColumns({"run_date": F.date_format("arrived_at", "yyyy-MM-dd"), "kind": F.lit("approval")})
     return rows.select(
         *[(F.col(f.name) if f.name in rows.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in OUTBOX]

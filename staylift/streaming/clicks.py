@@ -8,9 +8,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from staylift.functions.clock import event_time, from_epoch_seconds
+from staylift.functions.clock import from_epoch_seconds
 from staylift.operators.filters import parse_ids
 from staylift.schemas import CLICK_PAYLOAD, CLICK_REQUEST
+from staylift.streaming.contacts import append_by_day, before_batch, read_since, run_batches
 
 MAX_AGE_SECONDS = 300
 
@@ -48,8 +49,8 @@ def decode_clicks(clicks: DataFrame) -> DataFrame:
 
 
 def _carried(clicks: DataFrame) -> list[str]:
-    """What a click keeps on its way; ``event_time`` only where a stream set it."""
-    return [c for c in ("click_id", "arrived_at", "event_time") if c in clicks.columns]
+    """What a click keeps on its way."""
+    return [c for c in ("click_id", "arrived_at") if c in clicks.columns]
 
 
 def route_clicks(clicks: DataFrame) -> DataFrame:
@@ -79,24 +80,51 @@ def route_clicks(clicks: DataFrame) -> DataFrame:
 
 
 def explode_approvals(routed: DataFrame) -> DataFrame:
-    """One row per approved id. ``bulk_size`` counts the comma-separated parts, usable or not."""
-    return routed.select(
-        *_carried(routed), "workflow", "test_mode",
-        F.size(F.split("acm_ids", ",")).alias("bulk_size"),
-        F.explode(parse_ids(F.col("acm_ids"))).alias("acm_id"),
+    """One row per approved id. ``bulk_size`` counts the comma-separated parts, usable or not.
+
+    A test click that names no ids keeps one row without an id: it asks for the first of the list (see ``asked_for``).
+    """
+    parts = F.when(F.col("acm_ids") == "", 0).otherwise(F.size(F.split("acm_ids", ",")))
+    rows = routed.select(
+        *_carried(routed), "workflow", "test_mode", "acm_ids", parts.alias("bulk_size"),
+        F.explode_outer(parse_ids(F.col("acm_ids"))).alias("acm_id"),
     )
+    return rows.filter(F.col("acm_id").isNotNull() | (F.col("test_mode") & (F.col("acm_ids") == ""))).drop("acm_ids")
 
 
-def drop_redelivered(clicks: DataFrame, within: str = "10 minutes", spread: int = 8) -> DataFrame:
-    """Let a request that is delivered again within the delay through once. Adds ``event_time``.
+def first_deliveries(clicks: DataFrame) -> DataFrame:
+    """Each delivery (same stamp, same form) once: the copy that arrived first, then the smallest click_id.
 
-    Copies are first dropped within ``spread`` random groups and then overall, so a request repeated a
-    great many times reaches no single task with more than ``spread`` rows of a batch.
+    The aggregation combines map-side, so a request repeated a great many times is no hot task.
     """
-    delivery = F.sha2(F.concat_ws("\n", "request_ts", "form_body"), 256)
-    timed = clicks.withColumns({"delivery": delivery, "event_time": event_time(F.col("arrived_at"))})
-    timed = timed.withWatermark("event_time", within)
-    if spread > 1:
-        grouped = timed.withColumn("copy_group", F.floor(F.rand(17) * spread))
-        timed = grouped.dropDuplicatesWithinWatermark(["delivery", "copy_group"]).drop("copy_group")
-    return timed.dropDuplicatesWithinWatermark(["delivery"]).drop("delivery")
+    delivery = F.sha2(F.concat_ws("\n", "request_ts", "form_body"), 256).alias("delivery")
+    first = F.min(F.struct("arrived_at", "click_id", "request_ts", "form_body")).alias("first")
+    return clicks.groupBy(delivery).agg(first).select("first.*", "delivery")
+
+
+def keep_deliveries(clicks: DataFrame, path: str, name: str, within_minutes: int = 10) -> DataFrame:
+    """Of a micro-batch, the deliveries that no earlier batch kept within the delay; they are added to the table at ``path``.
+
+    The table is the only memory, and no more than the delay's days of it are read. Running a batch again gives the same.
+    """
+    spark = clicks.sparkSession
+    first = first_deliveries(clicks)
+    lo = first.agg(F.min("arrived_at")).first()[0]
+    if lo is None:
+        return first
+    delay = F.make_dt_interval(mins=F.lit(within_minutes))
+    seen = read_since(spark, path, first.schema, F.lit(lo).cast("timestamp_ntz") - delay).filter(before_batch("batch", name))
+    seen = seen.select(F.col("delivery").alias("seen"), F.col("arrived_at").alias("seen_at"))
+    again = (first["delivery"] == seen["seen"]) & F.col("arrived_at").between(F.col("seen_at") - delay, F.col("seen_at") + delay)
+    append_by_day(first.join(seen, again, "left_anti"), "arrived_at", path, name)
+    since = F.lit(lo).cast("timestamp_ntz")
+    return read_since(spark, path, first.schema, since).filter(F.col("batch") == name).select(*first.columns)
+
+
+def start_deliveries(clicks: DataFrame, path: str, checkpoint: str, within_minutes: int = 10, **trigger):
+    """Keep each delivery of a stream of clicks once, in a table by day."""
+    name = run_batches(checkpoint)
+    return (
+        clicks.writeStream.foreachBatch(lambda rows, batch: keep_deliveries(rows, path, name(rows.sparkSession, batch), within_minutes))
+        .option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start()
+    )

@@ -1,157 +1,168 @@
-"""Contact state over streams: the latest contact per key, and the gate that spaces contacts out."""
+"""Contacts over time: the latest one per key, and the gate that spaces them out.
+
+State lives in tables and not in state stores: every micro-batch writes folders named by run and batch, so a repeated
+batch replaces itself, a run that starts over leaves the folders of the one before in force, and no key is held in
+memory.
+"""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable
 from functools import reduce
+from operator import and_
 
-import numpy as np
-import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from staylift.functions.clock import event_time
+from staylift.functions.clock import wall_micros
 from staylift.sources.contact_log import append_contacts, batch_name, read_or_empty
-from staylift.sources.workspace import settle
+from staylift.sources.workspace import new_path, remove, scratch
 
 DAY_US = 86_400_000_000
+PARTS = [T.StructField("day", T.StringType()), T.StructField("batch", T.StringType())]
+
+
+def run_batches(checkpoint: str) -> Callable[[SparkSession, int], str]:
+    """Names for a stream's batches: the run (one per checkpoint, lost with it) and the number, which sort by number."""
+    known: dict[str, str] = {}
+
+    def name(spark: SparkSession, batch: int) -> str:
+        if "run" not in known:
+            known["run"] = spark.read.json(f"{checkpoint}/metadata").first()["id"]
+        return f"{known['run']}-{batch_name(batch)}"
+
+    return name
+
+
+def before_batch(column: str, name: str) -> Column:
+    """Rows that were there when batch ``name`` first ran: those of other runs, and of its own earlier batches."""
+    run = name.rpartition("-")[0]
+    return ~F.startswith(F.col(column), F.lit(f"{run}-")) | (F.col(column) < name)
+
+
+def append_by_day(rows: DataFrame, stamp: str, path: str, name: str) -> None:
+    """Add a batch's rows in folders by day and batch; the same batch again replaces its folders."""
+    placed = rows.withColumns({"day": F.date_format(stamp, "yyyy-MM-dd"), "batch": F.lit(name)})
+    writer = placed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy("day", "batch").parquet(path)
+
+
+def read_since(spark: SparkSession, path: str, schema: T.StructType, since: Column) -> DataFrame:
+    """What ``append_by_day`` wrote, from the day of ``since`` on: older folders are not opened."""
+    stored = read_or_empty(spark, path, T.StructType([*schema, *PARTS]))
+    return stored.filter(F.col("day") >= F.date_format(since, "yyyy-MM-dd"))
 
 
 def start_contact_state(contacts: DataFrame, key: str, stamp: str, path: str, checkpoint: str, **trigger):
     """Keep the latest ``stamp`` per ``key`` in a contact table that ``read_contacts`` reads.
 
-    Every micro-batch writes the keys it changed under its own batch id, so a repeated batch replaces
-    itself.
+    Each micro-batch is reduced to one row per key it has; the table merges batches when it is read, so nothing is kept
+    between them.
     """
-    latest = contacts.groupBy(key).agg(F.max(stamp).alias(stamp))
-    return (
-        latest.writeStream.outputMode("update")
-        .foreachBatch(lambda changed, batch: append_contacts(changed, path, batch_name(batch)))
-        .option("checkpointLocation", checkpoint)
-        .trigger(**(trigger or {"availableNow": True}))
-        .start()
-    )
+    name = run_batches(checkpoint)
 
+    def keep(rows: DataFrame, batch: int) -> None:
+        append_contacts(rows.groupBy(key).agg(F.max(stamp).alias(stamp)), path, name(rows.sparkSession, batch))
 
-def _passing(times: np.ndarray, last: int | None, gap: int) -> list[int]:
-    """Indexes into sorted ``times`` that pass: each lies more than ``gap`` after the one before."""
-    passed = []
-    i = 0 if last is None else int(np.searchsorted(times, last + gap, side="right"))
-    while i < len(times):
-        passed.append(i)
-        i = int(np.searchsorted(times, times[i] + gap, side="right"))
-    return passed
+    return (
+        contacts.writeStream.foreachBatch(keep).option("checkpointLocation", checkpoint)
+        .trigger(**(trigger or {"availableNow": True})).start()
+    )
 
 
-def frequency_gate(
-    contacts: DataFrame, keys: list[str], stamp: str, ident: str, gap_days: str, delay: str = "10 minutes"
-) -> DataFrame:
-    """Per key, pass a contact only if the previous *passed* one is more than ``gap_days`` old.
+def judge_slice(inside: DataFrame, last: DataFrame, columns: list[str], stamp: str, ident: str, until: Column) -> DataFrame:
+    """One slice of time: each key's first due contact (``fresh``), and the older ones that still count after ``until``.
 
-    ``gap_days`` names a column that is constant per key. State is one time stamp per key and leaves
-    when the gap is over; by then the watermark has passed it, so nothing older can arrive.
-    ``delay`` applies unless the stream already has a watermarked ``event_time``. A key's rows of one micro-batch meet in one task, as two narrow arrays; the source's
-    ``maxFilesPerTrigger`` bounds them.
+    ``last`` has the key columns (the gap in days is the last of them), ``stamp`` and ``ident`` of each key's last passed
+    contact. Both aggregations combine map-side, so a hot key is no burden.
     """
-    fields = {f.name: f.dataType for f in contacts.schema}
-    columns = [*keys, gap_days]
-    out = T.StructType([T.StructField(c, fields[c]) for c in [*columns, stamp, ident]])
-
-    def gate(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
-            state.remove()
-            return
-        gap = int(key[-1]) * DAY_US
-        chunks = [(f[stamp].to_numpy("datetime64[us]").astype("int64"), f[ident].to_numpy()) for f in frames]
-        times, idents = (np.concatenate(part) for part in zip(*chunks))
-        order = np.lexsort((idents, times))
-        times, idents = times[order], idents[order]
-        passed = _passing(times, state.get[0] if state.exists else None, gap)
-        if passed:
-            state.update((int(times[passed[-1]]),))
-        if state.exists:
-            state.setTimeoutTimestamp((state.get[0] + gap) // 1000 + 1)
-        if passed:
-            rows = {c: [value] * len(passed) for c, value in zip(columns, key)}
-            yield pd.DataFrame({**rows, stamp: times[passed].astype("datetime64[us]"), ident: idents[passed]})
-
-    timed = contacts
-    if "event_time" not in contacts.columns:
-        timed = contacts.withColumn("event_time", event_time(F.col(stamp))).withWatermark("event_time", delay)
-    return (
-        timed.select(*columns, stamp, ident, "event_time")
-        .groupBy(*columns)
-        .applyInPandasWithState(gate, out, "last_passed LONG", "append", GroupStateTimeout.EventTimeTimeout)
-    )
+    gap = F.make_dt_interval(days=F.col(columns[-1]))
+    known = last.select(*[F.col(c).alias(f"_{c}") for c in columns], F.col(stamp).alias("_last"))
+    same = reduce(and_, [inside[c].eqNullSafe(known[f"_{c}"]) for c in columns])
+    due = inside.join(known, same, "left").filter(F.col("_last").isNull() | (F.col(stamp) > F.col("_last") + gap))
+    first = due.groupBy(*columns).agg(F.min(F.struct(stamp, ident)).alias("p"))
+    fresh = first.select(*columns, f"p.{stamp}", f"p.{ident}", F.lit(True).alias("fresh"))
+    carried = last.filter(F.col(stamp) + gap >= until).select(*columns, stamp, ident, F.lit(False).alias("fresh"))
+    newest = F.max(F.struct(stamp, ident, "fresh")).alias("n")
+    return fresh.unionByName(carried).groupBy(*columns).agg(newest).select(*columns, f"n.{stamp}", f"n.{ident}", "n.fresh")
 
 
 def frequency_gate_batch(
-    contacts: DataFrame, keys: list[str], stamp: str, ident: str, gap_days: str, slice_days: int, last: DataFrame | None = None
+    contacts: DataFrame, keys: list[str], stamp: str, ident: str, gap_days: str, last: DataFrame | None = None
 ) -> DataFrame:
-    """The same rule over a finished table, for all keys alike and without collecting a key anywhere.
+    """Per key, pass a contact only if the previous *passed* one is more than ``gap_days`` old. All keys alike.
+
+    ``gap_days`` names a column; contacts of one key with different gaps are judged apart. Time is cut into slices as long
+    as the smallest gap in the data, in which a key passes at most once. The rows are laid out by slice once; then each
+    slice reads its own rows and the keys whose last passed contact still counts, and stores what the next one needs. So
+    the work is linear in the rows, a slice's plan is the same however many came before, and no key meets in one task.
+    A gap that is null or not positive holds nothing back but further contacts of the same moment.
 
-    Time is cut into slices no longer than the smallest gap; a key passes at most once per slice, namely
-    with its first contact after the running threshold. So each slice is one aggregation (combined
-    map-side, so a hot key is no burden) against the last passed contact per key, and the table is read
-    once, slice by slice. ``last`` (keys, gap, ``last``) continues an earlier run.
+    ``last`` (keys, gap, ``last``) continues an earlier run; a contact not later than its key's ``last`` does not pass.
+    The stored slices are scratch of the job.
     """
     spark = contacts.sparkSession
     columns = [*keys, gap_days]
     rows = contacts.select(*columns, stamp, ident)
-    span = rows.agg(F.min(stamp).alias("lo"), F.max(stamp).alias("hi")).first()
-    if span.lo is None:
-        return rows
-    gap = F.make_dt_interval(days=F.col(gap_days))
+    types = rows.schema
     if last is None:
-        schema = T.StructType([*rows.select(*columns).schema, T.StructField("last", T.TimestampNTZType())])
-        last = spark.createDataFrame([], schema)
-    start, step = pd.Timestamp(span.lo), pd.Timedelta(days=slice_days)
-    last = last.filter(F.col("last") + gap >= _wall(start))
-    slices: list[DataFrame] = []
-    while start <= span.hi:
-        inside = rows.filter((F.col(stamp) >= _wall(start)) & (F.col(stamp) < _wall(start + step)))
-        due = inside.join(last, columns, "left").filter(F.col("last").isNull() | (F.col(stamp) > F.col("last") + gap))
-        first = due.groupBy(*columns).agg(F.min(F.struct(stamp, ident)).alias("p"))
-        passed = first.select(*columns, f"p.{stamp}", f"p.{ident}")
-        start += step
-        if start <= span.hi:
-            # The next slice builds on this one; the last one is left to the caller's own action.
-            passed = settle(passed)
-            newest = last.unionByName(passed.select(*columns, F.col(stamp).alias("last")))
-            last = newest.groupBy(*columns).agg(F.max("last").alias("last"))
-        slices.append(passed)
-    return reduce(DataFrame.unionByName, slices)
-
-
-def start_gate(
-    contacts: DataFrame, keys: list[str], stamp: str, ident: str, gap_days: str, slice_days: int, path: str, checkpoint: str,
-    **trigger,
-):
-    """Run a stream of contacts through ``frequency_gate_batch``, micro-batch by micro-batch.
-
-    What passed is kept as a table, one folder per batch, and is the state of the next batch. A batch
-    that is run again sees only the folders before its own and replaces its own, so its result is the
-    same. Late contacts are judged like any other; no key meets in one task however hot it is.
+        last = spark.createDataFrame([], T.StructType([*rows.select(*columns).schema, T.StructField("last", T.TimestampNTZType())]))
+    waits = F.coalesce(F.col(gap_days) > 0, F.lit(False))
+    step = rows.filter(waits).agg(F.min(gap_days)).first()[0]
+    free = rows.filter(~waits).groupBy(*columns, stamp).agg(F.min(ident).alias(ident))
+    known = last.filter(~waits)
+    same = reduce(and_, [F.col(f"c.{c}").eqNullSafe(F.col(f"k.{c}")) for c in columns])
+    free = free.alias("c").join(known.alias("k"), same, "left").filter(F.col("k.last").isNull() | (F.col(f"c.{stamp}") > F.col("k.last")))
+    free = free.select(*[f"c.{c}" for c in [*columns, stamp, ident]])
+    if step is None:
+        return free
+
+    laid, kept = new_path(spark, "slices"), new_path(spark, "passed")
+    number = F.floor(wall_micros(F.col(stamp)) / (step * DAY_US)).cast("long").alias("slice")
+    rows.filter(waits).select("*", number).hint("rebalance", "slice").write.partitionBy("slice").parquet(laid)
+    stored = spark.read.schema(T.StructType([*types, T.StructField("slice", T.LongType())])).parquet(laid)
+    numbers = sorted(r[0] for r in stored.select("slice").distinct().collect())
+    state = last.filter(waits).select(*columns, F.col("last").alias(stamp), F.lit(None).cast(types[ident].dataType).alias(ident))
+    state_schema = T.StructType([*types, T.StructField("fresh", T.BooleanType())])
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    for k, slice_no in enumerate(numbers):
+        until = epoch + F.make_dt_interval(days=F.lit(numbers[k + 1] * step if k + 1 < len(numbers) else (slice_no + 1) * step))
+        inside = spark.read.schema(types).parquet(f"{laid}/slice={slice_no}")
+        judge_slice(inside, state, columns, stamp, ident, until).write.parquet(f"{kept}/{slice_no}")
+        state = spark.read.schema(state_schema).parquet(f"{kept}/{slice_no}").drop("fresh")
+    remove(spark, laid)
+    passed = spark.read.schema(state_schema).parquet(*[f"{kept}/{n}" for n in numbers]).filter("fresh").drop("fresh")
+    return passed.unionByName(free)
+
+
+def gate_batch(arrived: DataFrame, keys: list[str], stamp: str, ident: str, gap_days: str, path: str, name: str) -> None:
+    """Judge one micro-batch against what passed before it, and add what passes to the table at ``path``.
+
+    Only contacts that passed within the longest gap before the batch's earliest one can hold anything back, so only their
+    days are read. A contact later than all that passed is judged like any other; one that comes late does not pass
+    once a later contact of its key has.
     """
-    columns = [*keys, gap_days]
-    schema = contacts.select(*columns, stamp, ident).schema
+    spark, columns = arrived.sparkSession, [*keys, gap_days]
+    schema = arrived.select(*columns, stamp, ident).schema
+    span = arrived.agg(F.min(stamp).alias("lo"), F.max(gap_days).alias("gap")).first()
+    if span.lo is None:
+        return
+    since = F.lit(span.lo).cast("timestamp_ntz") - F.make_dt_interval(days=F.lit(max(0, span.gap or 0)))
+    earlier = read_since(spark, path, schema, since).filter(before_batch("batch", name))
+    last = earlier.groupBy(*columns).agg(F.max(stamp).alias("last"))
+    with scratch(spark):
+        append_by_day(frequency_gate_batch(arrived, keys, stamp, ident, gap_days, last), stamp, path, name)
+
+
+def start_gate(contacts: DataFrame, keys: list[str], stamp: str, ident: str, gap_days: str, path: str, checkpoint: str, **trigger):
+    """Run a stream of contacts through ``frequency_gate_batch``, micro-batch by micro-batch, into a table by day."""
+    name = run_batches(checkpoint)
 
     def judge(rows: DataFrame, batch: int) -> None:
-        spark = rows.sparkSession
-        earlier = read_or_empty(spark, path, T.StructType([*schema, T.StructField("batch", T.StringType())]))
-        last = earlier.filter(F.col("batch") < batch_name(batch)).groupBy(*columns).agg(F.max(stamp).alias("last"))
-        arrived = settle(rows.select(*columns, stamp, ident))
-        append_contacts(frequency_gate_batch(arrived, keys, stamp, ident, gap_days, slice_days, last), path, batch_name(batch))
+        gate_batch(rows, keys, stamp, ident, gap_days, path, name(rows.sparkSession, batch))
 
     return (
-        contacts.writeStream.foreachBatch(judge)
-        .option("checkpointLocation", checkpoint)
-        .trigger(**(trigger or {"availableNow": True}))
-        .start()
+        contacts.writeStream.foreachBatch(judge).option("checkpointLocation", checkpoint)
+        .trigger(**(trigger or {"availableNow": True})).start()
     )
-
-
-def _wall(moment: pd.Timestamp) -> Column:
-    return F.lit(moment.isoformat(sep=" ")).cast("timestamp_ntz")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from staylift import load_tables
-from staylift.functions.clock import event_time, wall_micros
+from staylift.functions.clock import wall_micros
 from staylift.plans import weekly
 from staylift.sources import contact_log, outbox, tables, workspace
 
@@ -54,7 +54,7 @@ def test_json_log_import_and_missing_file(spark, tmp_path):
 
 
 def test_contact_table_appends_replaces_and_compacts(spark, tmp_path):
-    path, target = str(tmp_path / "log"), str(tmp_path / "compact")
+    path = str(tmp_path / "log")
     assert contact_log.read_contacts(spark, path, "email", "last_sent").count() == 0
 
     def add(batch, *rows):
@@ -65,8 +65,11 @@ def test_contact_table_appends_replaces_and_compacts(spark, tmp_path):
     add(1, ("a", days_ago(2)))
     expected = {"a": days_ago(2), "b": days_ago(8)}
     assert {r.email: r.last_sent for r in contact_log.read_contacts(spark, path, "email", "last_sent").collect()} == expected
-    contact_log.compact_contacts(spark, path, target, "email", "last_sent")
-    assert {r.email: r.last_sent for r in contact_log.read_contacts(spark, target, "email", "last_sent").collect()} == expected
+    contact_log.compact_contacts(spark, path, "email", "last_sent")
+    assert len(list((tmp_path / "log").glob("batch=*"))) == 1
+    assert {r.email: r.last_sent for r in contact_log.read_contacts(spark, path, "email", "last_sent").collect()} == expected
+    add(2, ("c", days_ago(3)))
+    assert contact_log.read_contacts(spark, path, "email", "last_sent").count() == 3
 
 
 def test_outbox_rewrites_only_its_day(spark, tmp_path):
@@ -89,11 +92,21 @@ def test_clock_ignores_the_session_zone(spark):
     wall = datetime(2025, 3, 9, 2, 30, 15, 250000)
     df = spark.createDataFrame([(wall,)], "w TIMESTAMP_NTZ")
     expected = int((wall - datetime(1970, 1, 1)).total_seconds() * 1_000_000)
-    row = df.select(wall_micros(F.col("w")).alias("m"), F.unix_micros(event_time(F.col("w"))).alias("e")).first()
-    assert (row.m, row.e) == (expected, expected)
+    assert df.select(wall_micros(F.col("w")).alias("m")).first().m == expected
 
 
 def test_settle_keeps_rows_and_types(spark):
     df = spark.range(5).selectExpr("id", "CAST(0.15 AS DECIMAL(4,2)) AS rate", "TIMESTAMP_NTZ'2025-01-01' AS at")
     stored = workspace.settle(df)
     assert stored.schema.simpleString() == df.schema.simpleString() and stored.count() == 5
+
+
+def test_scratch_goes_with_the_job(spark, tmp_path):
+    with workspace.scratch(spark) as folder:
+        stored = workspace.settle(spark.range(5))
+        assert stored.inputFiles()[0].removeprefix("file://").startswith(folder.removeprefix("file:")) and stored.count() == 5
+        stored.write.parquet(str(tmp_path / "out"))
+    assert spark.read.parquet(str(tmp_path / "out")).count() == 5
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        spark.read.parquet(folder)
+    assert workspace.new_path(spark, "x").startswith(workspace.shared_folder(spark))

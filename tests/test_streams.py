@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 
 from staylift.sources import contact_log
 from staylift.streaming import approvals, clicks, contacts
-from staylift.streaming.runs import start_table
 
 T0 = datetime(2025, 6, 1, 9, 0)
 CONTACT = "acm_id LONG, contacted_at TIMESTAMP_NTZ, event_id LONG, gap_days INT"
@@ -79,13 +78,44 @@ def contacts_of(seed, n=400, keys=6, hot=0.4):
     ] + [(90, T0, 9001, 14), (90, T0 + timedelta(days=14), 9002, 14), (90, T0 + timedelta(days=14, microseconds=1), 9003, 14)]
 
 
-@pytest.mark.parametrize("seed", [1, 2])
-def test_gate_batch_equals_one_pass(spark, seed):
-    rows = contacts_of(seed) + [(acm, at, event + 20_000, 25) for acm, at, event, _ in contacts_of(seed + 10, 60)]
-    df = spark.createDataFrame(rows, CONTACT)
-    passed = contacts.frequency_gate_batch(df, ["acm_id"], "contacted_at", "event_id", "gap_days", 14)
-    assert sorted((r.acm_id, r.contacted_at, r.event_id) for r in passed.collect()) == gate(rows)
-    assert contacts.frequency_gate_batch(df.limit(0), ["acm_id"], "contacted_at", "event_id", "gap_days", 14).count() == 0
+def judged(df, **options):
+    return contacts.frequency_gate_batch(df, ["acm_id"], "contacted_at", "event_id", "gap_days", **options)
+
+
+def told(rows):
+    return sorted((r.acm_id, r.contacted_at, r.event_id) for r in rows)
+
+
+@pytest.mark.parametrize("gaps", [(14, 14), (14, 25), (1, 3), (2, 60), (0, 5)])
+def test_gate_batch_equals_one_pass(spark, gaps):
+    rows = [(*r[:3], gaps[0]) for r in contacts_of(sum(gaps))] + [(acm, at, event + 20_000, gaps[1]) for acm, at, event, _ in contacts_of(7, 60)]
+    passed = judged(spark.createDataFrame(rows, CONTACT))
+    assert told(passed.collect()) == gate(rows)
+    assert judged(spark.createDataFrame([], CONTACT)).count() == 0
+
+
+def test_gate_batch_with_nulls_and_an_earlier_run(spark):
+    rows = [(None, T0, 1, 7), (None, T0 + timedelta(days=3), 2, 7), (None, T0 + timedelta(days=8), 3, 7), (5, T0, 4, None), (5, T0, 5, None), (5, T0 + timedelta(days=1), 6, None)]
+    rows += [(6, T0, 7, 7), (6, T0 + timedelta(days=5), 8, 7), (7, T0, 9, 7)]
+    last = spark.createDataFrame([(6, 7, T0 - timedelta(days=3)), (7, 7, T0 + timedelta(days=30))], "acm_id LONG, gap_days INT, last TIMESTAMP_NTZ")
+    passed = judged(spark.createDataFrame(rows, CONTACT), last=last).collect()
+    assert sorted(r.event_id for r in passed) == [1, 3, 4, 6, 8]
+
+
+def test_a_slice_reads_as_much_however_many_came_before(spark, monkeypatch):
+    plans = []
+    real = contacts.judge_slice
+
+    def spied(*args):
+        made = real(*args)
+        plans.append(made._jdf.queryExecution().optimizedPlan().toString())
+        return made
+
+    monkeypatch.setattr(contacts, "judge_slice", spied)
+    rows = [(n % 3, T0 + timedelta(days=n), n, 1) for n in range(30)]
+    assert judged(spark.createDataFrame(rows, CONTACT)).count() == 30
+    assert len(plans) == 30
+    assert len({(p.count("Relation"), p.count("Aggregate")) for p in plans[1:]}) == 1
 
 
 def stream_of(spark, path):
@@ -102,33 +132,37 @@ def in_time_order(rows, parts):
     return [rows[i:i + size] for i in range(0, len(rows), size)]
 
 
-def test_gate_with_state_equals_one_pass_across_restarts(spark, tmp_path):
-    rows = contacts_of(3, 200)
-    src, out, state = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "state")
-    for part in in_time_order(rows, 3):
-        land(spark, src, part)
-        gated = contacts.frequency_gate(stream_of(spark, src), ["acm_id"], "contacted_at", "event_id", "gap_days", "1 day")
-        start_table(gated, out, state).awaitTermination()
-    passed = spark.read.parquet(out)
-    assert sorted((r.acm_id, r.contacted_at, r.event_id) for r in passed.collect()) == gate(rows)
-    start_table(contacts.frequency_gate(stream_of(spark, src), ["acm_id"], "contacted_at", "event_id", "gap_days", "1 day"), out, state).awaitTermination()
-    assert spark.read.parquet(out).count() == len(gate(rows))
+def passed_at(spark, path):
+    return told(spark.read.parquet(path).collect())
 
 
 def test_gate_table_resumes_and_replays(spark, tmp_path):
     rows = contacts_of(4, 200)
     src, out, state = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "state")
 
-    def run(checkpoint):
-        contacts.start_gate(stream_of(spark, src), ["acm_id"], "contacted_at", "event_id", "gap_days", 14, out, checkpoint).awaitTermination()
-        return sorted((r.acm_id, r.contacted_at, r.event_id) for r in spark.read.parquet(out).collect())
+    def run(checkpoint, files=1):
+        stream = spark.readStream.schema(CONTACT).option("maxFilesPerTrigger", files).parquet(str(src))
+        contacts.start_gate(stream, ["acm_id"], "contacted_at", "event_id", "gap_days", out, checkpoint).awaitTermination()
+        return passed_at(spark, out)
 
     for part in in_time_order(rows, 3):
         land(spark, src, part)
         passed = run(state)
     assert passed == gate(rows)
-    # A lost checkpoint replays all batches over the existing folders, to the same end.
-    assert run(str(tmp_path / "fresh")) == gate(rows)
+    # A lost checkpoint replays everything over the existing folders, whatever the boundaries of its batches.
+    assert run(str(tmp_path / "fresh"), 2) == gate(rows)
+    assert run(str(tmp_path / "again"), 3) == gate(rows)
+    more = (1, max(r[1] for r in rows) + timedelta(days=30), 7777, 14)
+    land(spark, src, [more])
+    assert run(str(tmp_path / "again"), 3) == gate([*rows, more])
+
+
+def test_late_contacts_do_not_pass_once_a_later_one_has(spark, tmp_path):
+    src, out, state = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "state")
+    for part in ([(1, T0, 1, 14), (2, T0, 2, 14)], [(1, T0 - timedelta(days=60), 3, 14), (3, T0 - timedelta(days=60), 4, 14)], [(1, T0 + timedelta(days=15), 5, 14)]):
+        land(spark, src, part)
+        contacts.start_gate(stream_of(spark, src), ["acm_id"], "contacted_at", "event_id", "gap_days", out, state).awaitTermination()
+    assert [e for *_, e in passed_at(spark, out)] == [1, 5, 2, 4]
 
 
 def test_contact_state_keeps_the_latest(spark, tmp_path):
@@ -140,14 +174,22 @@ def test_contact_state_keeps_the_latest(spark, tmp_path):
     assert {r.acm_id: r.contacted_at for r in log.collect()} == {1: T0 + timedelta(days=1), 2: T0}
 
 
-@pytest.mark.parametrize("spread", [1, 8])
-def test_redelivered_clicks_pass_once(spark, tmp_path, spread):
+def test_redelivered_clicks_are_kept_once(spark, tmp_path):
     src, out, state = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "state")
     for part in range(2):
-        write(src, f"{part}.json", [click(1, age=part * 60 + n) for n in range(20)] + [click(2, value="9")])
-        once = clicks.drop_redelivered(clicks.read_clicks(spark, str(src)), "1 hour", spread)
-        start_table(once, out, state).awaitTermination()
-    assert sorted(r.click_id for r in spark.read.parquet(out).collect()) == [1, 2]
+        write(src, f"{part}.json", [click(100 - n, age=part * 60 + n) for n in range(20)] + [click(2, value="9")])
+        clicks.start_deliveries(clicks.read_clicks(spark, str(src)), out, state, within_minutes=60).awaitTermination()
+    kept = spark.read.parquet(out).collect()
+    # The copy that arrived first, not whichever a task met first.
+    assert sorted((r.click_id, r.arrived_at) for r in kept) == [(2, T0), (100, T0)]
+    clicks.start_deliveries(clicks.read_clicks(spark, str(src)), out, str(tmp_path / "fresh"), within_minutes=60).awaitTermination()
+    assert spark.read.parquet(out).count() == 2
+
+
+def test_a_test_click_without_ids_keeps_a_row(spark):
+    rows = [click(0, "test_upsell_email", ""), click(1, "test_monthly_report", "5"), click(2, "test_upsell_email", "x"), click(3, "send_upsell_email", "y")]
+    made = clicks.explode_approvals(clicks.route_clicks(batch(spark, rows))).collect()
+    assert sorted((r.click_id, r.acm_id, r.bulk_size) for r in made) == [(0, None, 0), (1, 5, 1)]
 
 
 def test_approval_stream_end_to_end(spark, tmp_path):
