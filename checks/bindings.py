@@ -50,8 +50,12 @@ def _users(df: DataFrame, key: str, name: str) -> DataFrame:
 
 
 def _user_infos(df: DataFrame, key: str) -> DataFrame:
+    """No record for some, two for every fourth user, and blanks around every seventh number."""
     prefix = f"CASE {key} % 3 WHEN 0 THEN '010' WHEN 1 THEN '02' ELSE '2' END"
-    return df.selectExpr(f"{key} AS user_id", f"concat({prefix}, lpad(CAST({key} AS STRING), 8, '0')) AS phone_number")
+    digits = f"lpad(CAST({key} AS STRING), 8, '0')"
+    first = f"CASE WHEN {key} % 7 = 0 THEN concat('\\t', {prefix}, {digits}, '\\n') ELSE concat({prefix}, {digits}) END"
+    numbers = f"CASE WHEN {key} % 4 = 0 THEN array({first}, concat('019', {digits})) ELSE array({first}) END"
+    return df.filter(f"{key} % 13 <> 5").selectExpr(f"{key} AS user_id", f"explode({numbers}) AS phone_number")
 
 
 def _accommodations(nation: DataFrame, df: DataFrame, key: str, name: str, nation_key: str, segment: str, type_id: str) -> DataFrame:
@@ -59,14 +63,16 @@ def _accommodations(nation: DataFrame, df: DataFrame, key: str, name: str, natio
         f"{key} AS id",
         f"concat('[', n_name, '/', {segment}, '] ', {name}) AS name_expression",
         f"CAST({nation_key} AS LONG) AS sales_id",
-        f"{key} AS user_id",
+        # Every fifth accommodation belongs to the owner of the one before it.
+        f"{key} - CASE WHEN {key} % 5 = 4 THEN 1 ELSE 0 END AS user_id",
         f"{type_id} AS type_id",
         f"CASE WHEN {key} % 29 = 0 THEN TIMESTAMP_NTZ'1997-01-01' END AS deleted_at",
         f"{key} % 31 = 0 AS is_test",
     )
 
 
-def _reservations(lineitem: DataFrame, room: str) -> DataFrame:
+def _reservations(lineitem: DataFrame, room: str, created: str, success: str) -> DataFrame:
+    """Bookings are confirmed some days after they are made, so that the two times cannot stand for each other."""
     price = "CAST(l_extendedprice AS DECIMAL(14,2))"
     discounted = f"CAST({price} * (1 - CAST(l_discount AS DECIMAL(4,2))) AS DECIMAL(14,2))"
     return lineitem.selectExpr(
@@ -74,8 +80,8 @@ def _reservations(lineitem: DataFrame, room: str) -> DataFrame:
         f"{room} AS room_id",
         """CASE concat(l_returnflag, l_linestatus) WHEN 'AF' THEN 1 WHEN 'AO' THEN 3 WHEN 'NF' THEN 6
              WHEN 'NO' THEN 7 WHEN 'RF' THEN 8 ELSE 12 END AS status""",
-        "l_shipdate AS created_at",
-        "l_shipdate AS success_at",
+        f"{created} AS created_at",
+        f"{success} AS success_at",
         f"CASE WHEN l_linenumber % 3 = 0 THEN {price} ELSE CAST(0 AS DECIMAL(14,2)) END AS suggestion_price",
         f"{price} AS total_price",
         f"CASE WHEN l_linenumber % 2 = 0 THEN CAST(0 AS DECIMAL(14,2)) ELSE {discounted} END AS total_price_set",
@@ -103,7 +109,7 @@ def upsell_tables(spark: SparkSession, sf: str) -> Tables:
         user_infos=_user_infos(customer, "c_custkey"),
         accommodation_types=customer.selectExpr("crc32(c_mktsegment) AS id", "c_mktsegment AS name").distinct(),
         rooms=orders.selectExpr("o_orderkey AS id", "o_custkey AS accommodation_id"),
-        reservations=_reservations(lineitem, "l_orderkey"),
+        reservations=_reservations(lineitem, "l_orderkey", "l_shipdate", "l_shipdate + make_dt_interval(3 * l_linenumber)"),
         accommodation_adverts=adverts,
     )
 
@@ -128,7 +134,7 @@ def monthly_tables(spark: SparkSession, sf: str) -> Tables:
         user_infos=_user_infos(supplier, "s_suppkey"),
         accommodation_types=read(spark, sf, "region").selectExpr("CAST(r_regionkey AS LONG) AS id", "r_name AS name"),
         rooms=supplier.selectExpr("explode(transform(sequence(1, 7), n -> s_suppkey * 10 + n)) AS id", "s_suppkey AS accommodation_id"),
-        reservations=_reservations(lineitem, "l_suppkey * 10 + l_linenumber"),
+        reservations=_reservations(lineitem, "l_suppkey * 10 + l_linenumber", "l_shipdate - make_dt_interval(3 * l_linenumber)", "l_shipdate"),
         accommodation_adverts=adverts,
     )
 
@@ -170,11 +176,13 @@ def conversation_responses(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def partner_responses(partners: DataFrame, key: str, name: str) -> DataFrame:
-    """A generated copy for every partner; every third response is broken."""
-    subject = F.concat(F.lit("쿠pon "), F.col(name))
+    """Three generated copies for every partner, made one after the other (``made``), the last not the greatest text; of every
+    third partner none can be read."""
+    made = partners.withColumn("made", F.explode(F.sequence(F.lit(0), F.lit(2))))
+    subject = F.concat(F.lit("쿠pon "), (9 - F.col("made")).cast("string"), F.lit(" "), F.col(name))
     body = F.concat(F.lit(" marketing push\n"), F.col(name), F.lit("\n"))
-    copies = partners.withColumn("copy", F.to_json(F.struct(subject.alias("subject"), body.alias("body"))))
-    return copies.select(F.col(key).alias("acm_id"), _wrapped(F.col("copy"), F.col(key), F.lit(False)).alias("response"))
+    copies = made.withColumn("copy", F.to_json(F.struct(subject.alias("subject"), body.alias("body"))))
+    return copies.select(F.col(key).alias("acm_id"), "made", _wrapped(F.col("copy"), F.col(key), F.col("made") == 1).alias("response"))
 
 
 ACTIONS = {

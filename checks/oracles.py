@@ -7,12 +7,17 @@ from __future__ import annotations
 
 import re
 
-from staylift.functions.text import WORD_FIXES
-from staylift.operators import prompts
-from checks.bindings import AS_OF, CONTACTS_AS_OF, RULES
-
-PACKAGES = RULES.packages
-TEAM = RULES.sender_team
+# Values are spelled out here and not taken from the code under test, so that a wrong constant there shows.
+STARTER, PARTNER, TOP = "스타터 패키지", "파트너 패키지", "프리미엄 패키지"
+ADDS = {STARTER: "a place in the advertised list", PARTNER: "coupons of its own", TOP: "a place on the first page"}
+TEAM = "사업운영팀"
+SHIFT_DAYS = 9517
+WORD_FIXES = [
+    ("쿠pon", "쿠폰"), ("쿠Pon", "쿠폰"), ("쿠PON", "쿠폰"), ("이vent", "이벤트"), ("이Vent", "이벤트"), ("이ven트", "이벤트"),
+    ("쿠pon이", "쿠폰이"), ("쿠pon을", "쿠폰을"), ("쿠pon은", "쿠폰은"), ("coupon", "쿠폰"), ("Coupon", "쿠폰"), ("COUPON", "쿠폰"),
+    ("push", "푸시"), ("PUSH", "푸시"), ("marketing", "마케팅"), ("Marketing", "마케팅"), ("package", "패키지"), ("Package", "패키지"),
+]
+BLANK = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 
 
 def quoted(text: str) -> str:
@@ -48,10 +53,11 @@ def mean_text(total: str, n: str) -> str:
 
 
 def phone(expr: str) -> str:
+    p = f"trim({expr}, {BLANK})"
     return (
         f"CASE WHEN {expr} IS NULL OR {expr} = '' THEN '번호없음' "
-        f"WHEN length({expr}) = 10 THEN left({expr}, 3) || '-' || substr({expr}, 4, 3) || '-' || substr({expr}, 7) "
-        f"WHEN length({expr}) = 11 THEN left({expr}, 3) || '-' || substr({expr}, 4, 4) || '-' || substr({expr}, 8) ELSE {expr} END"
+        f"WHEN length({p}) = 10 THEN left({p}, 3) || '-' || substr({p}, 4, 3) || '-' || substr({p}, 7) "
+        f"WHEN length({p}) = 11 THEN left({p}, 3) || '-' || substr({p}, 4, 4) || '-' || substr({p}, 8) ELSE {p} END"
     )
 
 
@@ -71,16 +77,23 @@ def users(table: str, key: str, name: str) -> str:
            WHEN {key} % 19 = 0 THEN 'Test.' || lower({name}) || '@example.com'
            WHEN {key} % 23 = 0 THEN lower({name}) || '@house.example'
            ELSE lower({name}) || '@example.com' END AS email,
-      CASE {key} % 3 WHEN 0 THEN '010' WHEN 1 THEN '02' ELSE '2' END || lpad({key}::VARCHAR, 8, '0') AS phone
+      CASE WHEN {key} % 13 <> 5 THEN list_min({phones_of(key)}) END AS phone
     FROM {table}"""
 
 
-def reservations(room: str) -> str:
+def phones_of(key: str) -> str:
+    """The phone records of a user: two for every fourth, blanks around every seventh, none for some."""
+    first = f"CASE {key} % 3 WHEN 0 THEN '010' WHEN 1 THEN '02' ELSE '2' END || lpad({key}::VARCHAR, 8, '0')"
+    blank = f"CASE WHEN {key} % 7 = 0 THEN chr(9) || {first} || chr(10) ELSE {first} END"
+    return f"CASE WHEN {key} % 4 = 0 THEN [{blank}, '019' || lpad({key}::VARCHAR, 8, '0')] ELSE [{blank}] END"
+
+
+def reservations(room: str, created: str, success: str) -> str:
     return f"""
     SELECT row(l_orderkey, l_linenumber, l_partkey, l_suppkey, l_shipdate, l_extendedprice) AS id, {room} AS room_id,
       CASE l_returnflag || l_linestatus WHEN 'AF' THEN 1 WHEN 'AO' THEN 3 WHEN 'NF' THEN 6
            WHEN 'NO' THEN 7 WHEN 'RF' THEN 8 ELSE 12 END AS status,
-      l_shipdate AS created_at, l_shipdate AS success_at,
+      {created} AS created_at, {success} AS success_at,
       CASE WHEN l_linenumber % 3 = 0 THEN CAST(l_extendedprice AS DECIMAL(14,2)) ELSE 0 END AS suggestion_price,
       CAST(l_extendedprice AS DECIMAL(14,2)) AS total_price,
       CASE WHEN l_linenumber % 2 = 0 THEN CAST(0 AS DECIMAL(14,2)) ELSE
@@ -94,7 +107,7 @@ def eligible(acm: str, user: str, test_marker: bool) -> str:
     return f"""
     SELECT a.id AS acm_id, a.name AS acm_name, a.sales_id, u.name AS host_name, u.email AS host_email,
       u.phone AS host_phone, string_split(string_split(a.name, '/')[1], '[')[-1] AS region
-    FROM {acm} a LEFT JOIN {user} u ON u.id = a.id
+    FROM {acm} a LEFT JOIN {user} u ON u.id = a.owner
     WHERE NOT a.deleted AND NOT a.is_test AND lower(u.email) NOT LIKE '%house.example%' {test}
       AND NOT (a.name LIKE '%NATION\\_1%' ESCAPE '\\' AND a.name LIKE '%BUILDING%')
       AND (a.type_name IS NULL OR a.type_name NOT LIKE '%TURE')"""
@@ -115,14 +128,14 @@ def no_ad(days: int) -> str:
 
 NOW = "TIMESTAMP '1998-01-15'"
 CONTACTS_NOW = "TIMESTAMP '2024-02-05'"
-SHIFT = f"INTERVAL {(CONTACTS_AS_OF - AS_OF).days} DAY"
+SHIFT = f"INTERVAL {SHIFT_DAYS} DAY"
 GRADE = "CASE WHEN res_90d >= 10 THEN 'A' WHEN res_90d >= 3 THEN 'B' WHEN res_90d >= 2 THEN 'C' ELSE 'D' END"
 SCORED_ORDER = "grade, res_90d DESC, acm_id, advert_name NULLS FIRST"
 
 
 def scored_no_ad(source: str) -> str:
     return f"""
-    SELECT *, {GRADE} AS grade, 'no_ad' AS target_type, {quoted(PACKAGES.starter)} AS rec_package, 0.15::DOUBLE AS rec_rate,
+    SELECT *, {GRADE} AS grade, 'no_ad' AS target_type, {quoted(STARTER)} AS rec_package, 0.15::DOUBLE AS rec_rate,
       CAST(trunc(gmv_90d * (0.15::DOUBLE - 0.0::DOUBLE)) AS BIGINT) AS extra_rev_90d
     FROM {source}"""
 
@@ -161,16 +174,18 @@ def parsed(source: str) -> str:
 def copies(source: str) -> str:
     return f"""
     SELECT acm_id, {fixed("coalesce(json_extract_string(j, '$.subject'), '')")} AS subject,
-      {fixed("coalesce(json_extract_string(j, '$.body'), '')")} AS body FROM {source} WHERE usable"""
+      {fixed("coalesce(json_extract_string(j, '$.body'), '')")} AS body FROM {source} WHERE usable
+    QUALIFY row_number() OVER (PARTITION BY acm_id ORDER BY made DESC) = 1"""
 
 
 CTES = {
     "u_acm": """
     SELECT c_custkey AS id, '[' || n_name || '/' || c_mktsegment || '] ' || c_name AS name, CAST(c_nationkey AS BIGINT) AS sales_id,
+      c_custkey - CASE WHEN c_custkey % 5 = 4 THEN 1 ELSE 0 END AS owner,
       c_mktsegment AS type_name, c_custkey % 29 = 0 AS deleted, c_custkey % 31 = 0 AS is_test
     FROM customer JOIN nation ON n_nationkey = c_nationkey""",
     "u_user": users("customer", "c_custkey", "c_name"),
-    "u_res": reservations("l_orderkey"),
+    "u_res": reservations("l_orderkey", "l_shipdate", "l_shipdate + to_days(3 * l_linenumber)"),
     "u_advert": """
     SELECT o_custkey AS acm_id, o_orderpriority AS advert_name,
       CASE o_orderpriority WHEN '1-URGENT' THEN 0.30 WHEN '2-HIGH' THEN 0.20 WHEN '3-MEDIUM' THEN 0.15 ELSE 0.10 END::DECIMAL(4,2) AS rate,
@@ -201,7 +216,7 @@ CTES = {
     SELECT * EXCLUDE (to_package, to_rate), to_package AS rec_package, to_rate AS rec_rate,
       CAST(trunc(gmv_90d * (to_rate - advert_commission::DOUBLE)) AS BIGINT) AS extra_rev_90d
     FROM (SELECT *, {GRADE} AS grade, 'upgrade' AS target_type,
-      CASE advert_commission WHEN 0.10 THEN {quoted(PACKAGES.starter)} WHEN 0.15 THEN {quoted(PACKAGES.partner)} WHEN 0.20 THEN {quoted(PACKAGES.top)} END AS to_package,
+      CASE advert_commission WHEN 0.10 THEN {quoted(STARTER)} WHEN 0.15 THEN {quoted(PARTNER)} WHEN 0.20 THEN {quoted(TOP)} END AS to_package,
       CASE advert_commission WHEN 0.10 THEN 0.15::DOUBLE WHEN 0.15 THEN 0.20::DOUBLE WHEN 0.20 THEN 0.30::DOUBLE END AS to_rate
       FROM u_upgrade) WHERE to_package IS NOT NULL""",
     "u_all": """
@@ -229,6 +244,19 @@ CTES = {
     FROM (SELECT *, row_number() OVER (PARTITION BY acm_id ORDER BY list_no, pos) AS nth FROM u_listed) t JOIN u_copy c ON c.acm_id = t.acm_id
     LEFT JOIN (SELECT email, last_sent - {SHIFT} AS last_sent FROM e_sent) s ON s.email = t.host_email AND s.last_sent >= {NOW} - INTERVAL 14 DAY
     WHERE nth = 1 AND t.acm_id IN (SELECT acm_id FROM k_approved WHERE workflow = 'weekly_upsell' AND NOT test_mode)""",
+    "w_mail_all": f"""
+    SELECT t.*, c.subject, c.body, s.last_sent,
+      CASE WHEN s.last_sent IS NOT NULL OR coalesce(t.host_email, '') = '' THEN 'skip' ELSE 'success' END AS outcome
+    FROM (SELECT *, row_number() OVER (PARTITION BY acm_id ORDER BY list_no, pos) AS nth FROM u_ranked) t JOIN u_copy c ON c.acm_id = t.acm_id
+    LEFT JOIN (SELECT email, last_sent - {SHIFT} AS last_sent FROM e_sent) s ON s.email = t.host_email AND s.last_sent >= {NOW} - INTERVAL 14 DAY
+    WHERE nth = 1 AND t.acm_id IN (SELECT acm_id FROM k_approved WHERE workflow = 'weekly_upsell' AND NOT test_mode)""",
+    "u_ranked": f"SELECT *, CAST(row_number() OVER (PARTITION BY list_no ORDER BY {SCORED_ORDER}) AS INT) AS pos FROM u_all",
+    "m_mail_all": f"""
+    SELECT t.*, c.subject, c.body, s.last_sent,
+      CASE WHEN s.last_sent IS NOT NULL OR coalesce(t.host_email, '') = '' THEN 'skip' ELSE 'success' END AS outcome
+    FROM (SELECT *, row_number() OVER (PARTITION BY acm_id ORDER BY res_this_month DESC, advert_name) AS nth FROM m_scored_all) t JOIN m_copy c ON c.acm_id = t.acm_id
+    LEFT JOIN (SELECT email, last_sent - {SHIFT} AS last_sent FROM e_sent_m) s ON s.email = t.host_email AND s.last_sent >= {NOW} - INTERVAL 25 DAY
+    WHERE nth = 1 AND t.acm_id IN (SELECT acm_id FROM k_approved WHERE workflow = 'monthly_report')""",
     "m_mail": f"""
     SELECT t.*, c.subject, c.body, s.last_sent,
       CASE WHEN s.last_sent IS NOT NULL OR coalesce(t.host_email, '') = '' THEN 'skip' ELSE 'success' END AS outcome
@@ -248,15 +276,15 @@ CTES = {
     FROM u_region g LEFT JOIN u_ad_res s ON s.name LIKE '%' || g.region || '%' GROUP BY g.region""",
     "m_acm": """
     SELECT s_suppkey AS id, '[' || n_name || '/SUPPLIER] ' || s_name AS name, CAST(s_nationkey AS BIGINT) AS sales_id,
-      NULL::VARCHAR AS type_name, s_suppkey % 29 = 0 AS deleted, s_suppkey % 31 = 0 AS is_test
+      s_suppkey - CASE WHEN s_suppkey % 5 = 4 THEN 1 ELSE 0 END AS owner, NULL::VARCHAR AS type_name, s_suppkey % 29 = 0 AS deleted, s_suppkey % 31 = 0 AS is_test
     FROM supplier JOIN nation ON n_nationkey = s_nationkey""",
     "m_user": users("supplier", "s_suppkey", "s_name"),
-    "m_res": reservations("l_suppkey * 10 + l_linenumber"),
+    "m_res": reservations("l_suppkey * 10 + l_linenumber", "l_shipdate - to_days(3 * l_linenumber)", "l_shipdate"),
     "m_room": "SELECT DISTINCT l_suppkey * 10 + l_linenumber AS id, l_suppkey AS acm_id FROM lineitem",
     "m_host": eligible("m_acm", "m_user", True),
     "m_active": f"""
     SELECT * FROM (SELECT l_suppkey AS acm_id,
-      CASE l_returnflag WHEN 'A' THEN {quoted(PACKAGES.starter)} WHEN 'N' THEN {quoted(PACKAGES.partner)} ELSE {quoted(PACKAGES.top)} END AS advert_name,
+      CASE l_returnflag WHEN 'A' THEN {quoted(STARTER)} WHEN 'N' THEN {quoted(PARTNER)} ELSE {quoted(TOP)} END AS advert_name,
       CASE l_returnflag WHEN 'A' THEN 0.15 WHEN 'N' THEN 0.20 ELSE 0.30 END::DECIMAL(4,2) AS rate,
       l_shipdate AS success_at, l_shipdate + INTERVAL 730 DAY AS expiration_at
       FROM lineitem WHERE l_quantity >= 48 AND l_linenumber = 1)
@@ -310,10 +338,10 @@ CTES = {
         "conversations", "conv_id", "json_object('subject', 'coupon ' || role || ' Package', 'body', text)", "turn % 2 = 1", ", turn"
     ),
     "c_parsed": parsed("c_raw"),
-    "u_raw": responses("customer", "c_custkey", "json_object('subject', '쿠pon ' || c_name, 'body', ' marketing push' || chr(10) || c_name || chr(10))", "false"),
+    "u_raw": responses("customer, range(3) v(made)", "c_custkey", "json_object('subject', '쿠pon ' || (9 - made) || ' ' || c_name, 'body', ' marketing push' || chr(10) || c_name || chr(10))", "made = 1", ", made"),
     "u_parsed": parsed("u_raw"),
     "u_copy": copies("u_parsed"),
-    "m_raw": responses("supplier", "s_suppkey", "json_object('subject', '쿠pon ' || s_name, 'body', ' marketing push' || chr(10) || s_name || chr(10))", "false"),
+    "m_raw": responses("supplier, range(3) v(made)", "s_suppkey", "json_object('subject', '쿠pon ' || (9 - made) || ' ' || s_name, 'body', ' marketing push' || chr(10) || s_name || chr(10))", "made = 1", ", made"),
     "m_parsed": parsed("m_raw"),
     "m_copy": copies("m_parsed"),
     "k_click": """
@@ -382,100 +410,121 @@ def _literal(text: str) -> str:
     return quoted(text) if "\n" not in text else " || chr(10) || ".join(quoted(line) for line in text.split("\n"))
 
 
-CONTACT = f"'📧 ' || host_email || ' | 📱 ' || {phone('host_phone')}"
+def _facts(*rows: tuple) -> str:
+    """``label: value`` lines of (label, value) or (label, value, condition); NULL has no line."""
+    lines = []
+    for label, value, *condition in rows:
+        line = f"{quoted(label + ': ')} || ({value})"
+        lines.append(f"CASE WHEN {condition[0]} THEN {line} END" if condition else line)
+    return _lines(*lines)
+
+
+def _won(amount: str) -> str:
+    return f"{thousands(amount)} || ' won'"
+
+
+def _booked(bookings: str, value: str) -> str:
+    return f"{bookings} || ' for ' || {_won(value)}"
+
+
+def _at(name: str, rate: str) -> str:
+    return f"{name} || ' at ' || coalesce({percent(rate)}, 0) || '%'"
+
+
+def _comma(name: str, rate: str) -> str:
+    return f"coalesce({name}, '') || ', ' || coalesce({percent(rate)}, 0) || '%'"
+
+
+REACH = f"concat_ws(' / ', host_email, {phone('host_phone')})"
 SYMBOL = "CASE grade WHEN 'A' THEN '🔴' WHEN 'B' THEN '🟠' WHEN 'C' THEN '🟡' WHEN 'D' THEN '⚪' ELSE '' END"
 PERF_SYMBOL = "CASE perf WHEN 'growth' THEN '🟢' WHEN 'stable' THEN '🟡' WHEN 'new' THEN '🔵' ELSE '🔴' END"
 MONTH = "'1997년 12월'"
-UPSELL_BODY = r"regexp_replace(body, '^\s+|\s+$', '', 'g')"
+UPSELL_BODY = f"trim(body, {BLANK})"
+CHANGE = one_decimal("change_pct")
 
 UPSELL_CARD = _lines(
-    f"{SYMBOL} || ' *[' || grade || '급]* ' || acm_name",
-    f"CASE list_no WHEN 1 THEN '90일 예약 *' || res_90d || '건* (지역 광고 평균 ' || {mean_text('total', 'n')} || '건) | GMV ' || {thousands('gmv_90d')} || '원' "
-    f"ELSE '현재: ' || advert_name || ' (' || {percent('advert_commission')} || '%) | 90일 예약 *' || res_90d || '건* | GMV ' || {thousands('gmv_90d')} || '원' END",
-    f"CASE list_no WHEN 1 THEN '' ELSE '→ ' END || '추천: *' || rec_package || '* (' || {percent('rec_rate')} || '%) | 추가 예상수익 *' || {thousands('extra_rev_90d')} || '원*'",
-    CONTACT,
-    "CASE WHEN has_copy THEN '✉️ *제목:* ' || subject END",
-    f"CASE WHEN has_copy AND {UPSELL_BODY} <> '' THEN '📝 *이메일 본문:*' || {NL} || {UPSELL_BODY} END",
+    f"concat_ws(' ', {SYMBOL}, grade, acm_name)",
+    _facts(
+        ("tier", _comma("advert_name", "advert_commission"), "list_no = 2"), ("booked", "res_90d"), ("neighbours", mean_text("total", "n"), "list_no = 1"),
+        ("value", thousands("gmv_90d")), ("offer", _comma("rec_package", "rec_rate")), ("may add", thousands("extra_rev_90d")), ("reach", REACH),
+        ("subject", "subject", "has_copy"),
+    ),
+    f"CASE WHEN has_copy AND {UPSELL_BODY} <> '' THEN {UPSELL_BODY} END",
 )
-
-CHANGE = one_decimal("change_pct")
 REPORT_CARD = _lines(
-    f"{PERF_SYMBOL} || ' *' || acm_name || '*'",
-    f"advert_name || ' (' || {percent('advert_commission')} || '%) | 전월 *' || res_this_month || '건* (' || CASE WHEN change_pct > 0 THEN '+' ELSE '' END || {CHANGE} || '%) | GMV ' || {thousands('gmv_this_month')} || '원'",
-    CONTACT,
-    f"CASE WHEN price_high THEN '⚠️ 예약당 ' || {thousands('host_price_per_res')} || '원 (지역 평균 ' || {thousands('region_avg_price')} || '원) — 가격 점검' END",
-    "CASE WHEN has_copy THEN '✉️ *제목:* ' || subject END",
+    f"concat_ws(' ', {PERF_SYMBOL}, acm_name)",
+    _facts(
+        ("tier", _comma("advert_name", "advert_commission")), ("booked", "res_this_month"),
+        ("change", f"CASE WHEN change_pct > 0 THEN '+' ELSE '' END || {CHANGE} || '%'"), ("value", thousands("gmv_this_month")),
+        ("price", f"{thousands('host_price_per_res')} || ' over ' || {thousands('region_avg_price')}", "price_high"), ("reach", REACH),
+        ("subject", "subject", "has_copy"),
+    ),
 )
 
 
-def review(title: str) -> str:
-    return (
-        f"'*[' || acm_name || '] {title} 미리보기*' || {NL} || {NL} || '*수신:* ' || host_email || {NL} || '*제목:* ' || subject "
-        f"|| {NL} || {NL} || '```' || body || '```'"
-    )
+def review(label: str) -> str:
+    return _paragraphs(_facts((label, "acm_name"), ("to", "host_email"), ("subject", "subject")), "body")
 
 
-DIRECT_CALL = f"'🚨 *' || acm_name || '*' || {NL} || '   ' || {CONTACT} || ' | ' || advert_name || ' (' || {percent('advert_commission')} || '%)'"
+DIRECT_CALL = f"concat_ws(' / ', acm_name, {REACH}, {_comma('advert_name', 'advert_commission')})"
+NOTICE = "concat_ws(' / ', acm_name, host_email, 'from ' || coalesce(strftime(last_sent + INTERVAL 14 DAY, '%Y-%m-%d'), '알 수 없음'))"
 
+_ANSWER = 'Answer with one JSON object whose keys are "subject" and "body", plain text only.'
+BENEFITS = {STARTER: ADDS[STARTER], PARTNER: f"{ADDS[STARTER]}; {ADDS[PARTNER]}", TOP: f"{ADDS[STARTER]}; {ADDS[PARTNER]}; {ADDS[TOP]}"}
 UPSELL_PROMPT = _paragraphs(
-    quoted(f"{TEAM} 이름으로 아래 호스트에게 보낼 광고 제안 메일을 쓰세요."),
-    _lines(
-        "'[호스트 정보]'", "'- 숙소명: ' || acm_name", "'- 호스트명: ' || host_name",
-        f"'- 현재 패키지: ' || coalesce(advert_name, '없음') || ' (' || coalesce({percent('advert_commission')}, 0) || '%)'",
-        f"'- 최근 90일 예약: ' || res_90d || '건 / GMV ' || {thousands('gmv_90d')} || '원'",
-        "'- 같은 지역 내 광고 경쟁 숙소 수: ' || n || '개'",
-        f"'- 추천 패키지: ' || rec_package || ' (' || {percent('rec_rate')} || '%)'",
-        f"'- 예상 추가 수익(90일): 약 ' || {thousands('extra_rev_90d')} || '원'",
+    quoted(f"Offer the host below a better place, in the name of {TEAM}."),
+    _facts(
+        ("stay", "acm_name"), ("host", "host_name"), ("tier now", _at("coalesce(advert_name, 'none')", "advert_commission")),
+        ("booked in 90 days", _booked("res_90d", "gmv_90d")), ("neighbours that advertise", "n"), ("tier to offer", _at("rec_package", "rec_rate")),
+        ("what it brings", case_map("rec_package", BENEFITS, "")), ("more to expect in 90 days", _won("extra_rev_90d")),
     ),
-    f"'[' || rec_package || ' 혜택]' || {NL} || {case_map('rec_package', PACKAGES.benefits(), '')}",
-    _literal("[지침]\n" + prompts.UPSELL_RULES),
+    quoted(f"{_ANSWER} Stay under 500 characters. Quote the bookings. Mention the neighbours that advertise, not how they do."),
 )
 
-OFFER_CASE = "CASE WHEN perf = 'growth' AND advert_commission IN (0.15, 0.20) THEN "
-OFFERED = {rate: (name, extra) for rate, name, extra in PACKAGES.upgrade_offers()}
-OFFER_NAME = f"CASE advert_commission WHEN 0.15 THEN {quoted(OFFERED['0.15'][0])} WHEN 0.20 THEN {quoted(OFFERED['0.20'][0])} END"
-OFFER_EXTRA = f"CASE advert_commission WHEN 0.15 THEN {quoted(OFFERED['0.15'][1])} WHEN 0.20 THEN {quoted(OFFERED['0.20'][1])} END"
-PRICE_ADVICE = _lines(
-    "'[가격 참고]'", f"'귀 숙소 예약당 평균 금액: 약 ' || {thousands('host_price_per_res')} || '원'",
-    f"'같은 지역 광고 숙소 평균: 약 ' || {thousands('region_avg_price')} || '원'", "'지역 평균보다 높은 편입니다.'",
-)
+OFFERED = "perf = 'growth' AND advert_commission IN (0.15, 0.20)"
+OFFER_NAME = f"CASE advert_commission WHEN 0.15 THEN {quoted(PARTNER)} WHEN 0.20 THEN {quoted(TOP)} END"
+OFFER_EXTRA = f"CASE advert_commission WHEN 0.15 THEN {quoted(ADDS[PARTNER])} WHEN 0.20 THEN {quoted(ADDS[TOP])} END"
+PRICE_ADVICE = _facts(("own price per booking", _won("host_price_per_res")), ("price of neighbours that advertise", _won("region_avg_price")))
 WANTS_ADVICE = "price_high AND perf IN ('poor', 'zero') AND region_avg_price > 0"
-
+TONES = {
+    "growth": "Congratulate, and say in passing that a higher tier can carry the growth on.",
+    "stable": "Encourage, with one idea for the coming season.",
+    "poor": "Show understanding, look for outside reasons first, then suggest better prices, pictures or texts.",
+    "zero": "Be warm and plain; suggest prices, the first picture, the text and quicker answers. No word on adverts, tiers or rates.",
+    "new": "Welcome to the first month; figures are still coming in; one idea for a good first impression.",
+}
 REPORT_PROMPT = _paragraphs(
-    f"{quoted(f'{TEAM} 이름으로 아래 호스트에게 보낼 ')} || {MONTH} || ' 월간 성과 메일을 쓰세요.'",
-    _lines(
-        "'[호스트 정보]'", "'- 숙소명: ' || acm_name", "'- 호스트명: ' || host_name",
-        f"CASE WHEN perf <> 'zero' THEN '- 현재 패키지: ' || advert_name || ' (' || {percent('advert_commission')} || '%)' END",
-        f"'- ' || {MONTH} || ' 예약: ' || res_this_month || '건 / GMV ' || {thousands('gmv_this_month')} || '원'",
-        f"'- 전월 대비: ' || CASE WHEN change_pct >= 0 THEN '+' ELSE '' END || {CHANGE} || '%'",
-        f"CASE WHEN perf <> 'zero' THEN '- 같은 지역 광고 숙소 평균: ' || {mean_text('total', 'n')} || '건' END",
-        "'- 성과 분류: ' || perf",
+    f"{quoted(f'Tell the host below, in the name of {TEAM}, how the month went: ')} || {MONTH}",
+    _facts(
+        ("stay", "acm_name"), ("host", "host_name"), ("class", "perf"), ("tier", _at("advert_name", "advert_commission"), "perf <> 'zero'"),
+        ("booked in the month", _booked("res_this_month", "gmv_this_month")),
+        ("against the month before", f"CASE WHEN change_pct >= 0 THEN '+' ELSE '' END || {CHANGE} || '%'"),
+        ("neighbours' mean", mean_text("total", "n"), "perf <> 'zero'"), ("next tier", OFFER_NAME, OFFERED), ("which adds", OFFER_EXTRA, OFFERED),
     ),
     f"CASE WHEN {WANTS_ADVICE} THEN {PRICE_ADVICE} END",
-    f"{OFFER_CASE} '[업그레이드 옵션]' || {NL} || '추천 패키지: ' || {OFFER_NAME} || {NL} || '추가 혜택: ' || {OFFER_EXTRA} END",
-    f"'[작성 방향]' || {NL} || {case_map('perf', prompts.PERF_GUIDES, '')}",
-    _literal("[지침]\n" + prompts.REPORT_RULES),
+    case_map("perf", TONES, ""),
+    quoted(f"{_ANSWER} Stay under 600 characters. Quote the bookings. Suggest, do not demand."),
 )
 
-UPSELL_SUMMARY = (
-    f"{_literal('아래 업셀 타겟으로 영업팀에 보낼 메시지를 쓰세요.' + chr(10) + chr(10) + '[업셀 타겟 목록]' + chr(10))} || "
-    f"string_agg('- [' || grade || '급] ' || acm_name || ' | 90일 예약 ' || res_90d || '건 (지역 광고 숙소 평균 ' || {mean_text('total', 'n')} || '건) | 추천: ' "
-    f"|| rec_package || '(' || {percent('rec_rate')} || '%) | GMV ' || {thousands('gmv_90d')} || '원 | 호스트: ' || host_name || ' / ' || host_email || ' / ' || host_phone, "
-    f"{NL} ORDER BY list_no, pos) || {_literal(chr(10) + chr(10) + '[지침]' + chr(10) + prompts.UPSELL_SUMMARY_RULES)}"
+_LISTED_LINE = (
+    f"concat_ws('; ', grade || ' ' || acm_name, 'booked ' || {_booked('res_90d', 'gmv_90d')} || ', neighbours ' || {mean_text('total', 'n')}, "
+    f"'offer ' || {_at('rec_package', 'rec_rate')}, concat_ws(', ', host_name, host_email, {phone('host_phone')}))"
 )
-REPORT_SUMMARY = (
-    f"{MONTH} || {_literal(' 월간 광고 성과를 팀에 알리는 메시지를 쓰세요.' + chr(10) + chr(10) + '[성과 분포]' + chr(10) + '- 🟢 성장: ')} || "
-    f"count(*) FILTER (perf = 'growth') || {_literal('개' + chr(10) + '- 🟡 유지: ')} || count(*) FILTER (perf IN ('stable', 'new')) || "
-    f"{_literal('개' + chr(10) + '- 🔴 저조/0건: ')} || count(*) FILTER (perf IN ('poor', 'zero')) || {_literal('개' + chr(10) + '총 ')} || count(*) || "
-    f"{_literal('개 숙소' + chr(10) + chr(10) + '[지침]' + chr(10) + prompts.REPORT_SUMMARY_RULES)}"
+UPSELL_SUMMARY = _paragraphs(
+    quoted("Write to the sales team about these hosts."), f"string_agg({_LISTED_LINE}, {NL} ORDER BY list_no, pos)",
+    quoted("Open with the totals, mark grade A as this week's calls, give each line a reason to call, stay under 700 characters."),
 )
-REPORT_HEADER = (
-    "'🟢 성장 ' || count(*) FILTER (perf = 'growth') || '개 | 🟡 유지 ' || count(*) FILTER (perf IN ('stable', 'new')) || '개 | 🔴 저조/0건 ' || "
-    "count(*) FILTER (perf IN ('poor', 'zero')) || '개 | 총 *' || count(*) || '개*' || "
-    "CASE WHEN count(*) > 20 THEN chr(10) || '📌 카드 밖 ' || (count(*) - 20) || '개 숙소는 미리보기에서 확인' ELSE '' END"
+_GROWING, _STEADY, _WEAK = (f"count(*) FILTER (perf IN ({classes}))" for classes in ("'growth'", "'stable', 'new'", "'poor', 'zero'"))
+REPORT_SUMMARY = _paragraphs(
+    quoted("Write to the team how the advertised stays did."),
+    _facts(("month", MONTH), ("growing", _GROWING), ("steady", _STEADY), ("weak or without bookings", _WEAK), ("all", "count(*)")),
+    quoted("Two or three sentences. Where bookings are few or missing, look at prices and quality."),
 )
-UPSELL_HEADER = (
-    "'🆕 광고 미가입 ' || count(*) FILTER (list_no = 1) || '개 | ⬆️ 수수료 업그레이드 ' || count(*) FILTER (list_no = 2) || '개 | 총 *' || count(*) || '개*'"
+REPORT_HEADER = _facts(("growing", _GROWING), ("steady", _STEADY), ("weak or none", _WEAK), ("all", "count(*)"))
+UPSELL_HEADER = _facts(("no advert", "count(*) FILTER (list_no = 1)"), ("higher tier", "count(*) FILTER (list_no = 2)"), ("all", "count(*)"))
+HEADING = (
+    "CASE list_no WHEN 1 THEN 'Without an advert' ELSE 'Ready for a higher tier' END || ': ' || count(*) || ', ' || "
+    "least(count(*), CASE list_no WHEN 1 THEN 15 ELSE 10 END) || ' on cards'"
 )
 
 # Short templates for the rendered queries: every placeholder once, and the optional block.
@@ -496,6 +545,6 @@ PERF_LABEL = case_map("perf", {"growth": "성장 🟢", "stable": "유지 🟡",
 REPORT_HTML = (
     f"concat_ws('|', {MONTH}, host_name, acm_name, acm_id::VARCHAR, res_this_month::VARCHAR, {thousands('gmv_this_month')}, res_last_month::VARCHAR, "
     f"CASE WHEN change_pct > 0 THEN '▲ ' || {CHANGE} || '%' WHEN change_pct < 0 THEN '▼ ' || {one_decimal('abs(change_pct)')} || '%' ELSE '—' END, "
-    f"CASE WHEN change_pct > 0 THEN '#2e7d32' WHEN change_pct < 0 THEN '#c62828' ELSE '#888' END, {mean_text('total', 'n')}, {PERF_LABEL}, body, "
+    f"CASE WHEN change_pct > 0 THEN '#1b6f4a' WHEN change_pct < 0 THEN '#a8231c' ELSE '#5f5f5f' END, {mean_text('total', 'n')}, {PERF_LABEL}, body, "
     f"CASE WHEN perf <> 'zero' THEN '<p>' || {NL} || advert_name || ' True</p>' ELSE '' END)"
 )

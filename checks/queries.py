@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import replace
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from checks import bindings as b
 from checks import oracles as o
@@ -17,10 +19,14 @@ from staylift.functions.names import region_of
 from staylift.functions.prices import realised_price
 from staylift.functions.text import fix_words
 from staylift.operators import adverts, bookings, cards, cooldown, lists, prompts, render, scoring
-from staylift.operators.copy import copy_rejects, last_copy, parse_copy
+from staylift.operators.copy import copy_rejects, last_copy, parse_copy, with_copy
 from staylift.operators.filters import nonempty_regions, only_ids, with_recipient
 from staylift.plans import monthly, weekly
-from staylift.sources.contact_log import merge_contacts, read_contacts
+from staylift.schemas import NATIVE
+from staylift.sources.contact_log import merge_contacts, read_contact_log, read_contacts
+from staylift.sources.outbox import as_outbox, read_outbox, write_outbox
+from staylift.sources.tables import load_tables
+from staylift.sources.templates import load_template
 from staylift.sources.workspace import new_path
 from staylift.streaming import approvals, clicks, contacts
 
@@ -51,16 +57,21 @@ def _no_nulls(df: DataFrame) -> DataFrame:
 # --- bookings per accommodation ---------------------------------------------------------------------
 
 
-def _window_sql(name: str, statuses: str, days: int) -> str:
-    return f"CAST(count(*) FILTER (re.status IN ({statuses}) AND re.success_at >= {o.NOW} - INTERVAL {days} DAY) AS BIGINT) AS {name}"
+def _within(stamp: str, days: int) -> str:
+    return f"re.{stamp} BETWEEN {o.NOW} - INTERVAL {days} DAY AND {o.NOW}"
+
+
+def _window_sql(name: str, statuses: str, stamp: str, days: int) -> str:
+    return f"CAST(count(*) FILTER (re.status IN ({statuses}) AND {_within(stamp, days)}) AS BIGINT) AS {name}"
 
 
 @query(
-    f"""SELECT r.o_custkey AS acm_id, {_window_sql('booked', '1, 3, 6, 7, 8, 12', 90)}, {_window_sql('confirmed', '7, 8', 180)}, {_window_sql('baseline', '7, 8', 90)},
-    CAST(coalesce(sum({o.price('<> 0')}) FILTER (re.status IN (7, 8, 12) AND re.success_at >= {o.NOW} - INTERVAL 90 DAY), 0) AS BIGINT) AS booked_gmv,
-    CAST(coalesce(sum({o.price('<> 0')}) FILTER (re.status IN (7, 8) AND re.success_at >= {o.NOW} - INTERVAL 180 DAY), 0) AS BIGINT) AS confirmed_gmv
+    f"""SELECT r.o_custkey AS acm_id, {_window_sql('booked', '1, 3, 6, 7, 8, 12', 'created_at', 90)},
+    {_window_sql('confirmed', '7, 8', 'success_at', 180)}, {_window_sql('baseline', '7, 8', 'success_at', 90)},
+    CAST(coalesce(sum({o.price('<> 0')}) FILTER (re.status IN (7, 8, 12) AND {_within('created_at', 90)}), 0) AS BIGINT) AS booked_gmv,
+    CAST(coalesce(sum({o.price('<> 0')}) FILTER (re.status IN (7, 8) AND {_within('success_at', 180)}), 0) AS BIGINT) AS confirmed_gmv
     FROM u_res re JOIN orders r ON r.o_orderkey = re.room_id
-    WHERE re.success_at <= {o.NOW} AND ((re.status IN (7, 8) AND re.success_at >= {o.NOW} - INTERVAL 180 DAY) OR re.success_at >= {o.NOW} - INTERVAL 90 DAY)
+    WHERE (re.status IN (7, 8) AND {_within('success_at', 180)}) OR {_within('created_at', 90)}
     GROUP BY r.o_custkey"""
 )
 def weekly_activity(spark: SparkSession, sf: str) -> DataFrame:
@@ -177,6 +188,23 @@ def _all_targets(spark: SparkSession, sf: str) -> DataFrame:
     return scoring.with_baseline(_all_scored(spark, sf), weekly.region_ad_baseline(t, AS_OF, _all_regions(t), RULES))
 
 
+o.CTES["u_no_ad_compat"] = f"""
+    SELECT n.acm_id, n.acm_name, p.phone AS host_phone, n.res_90d, n.gmv_90d
+    FROM u_no_ad n JOIN u_acm a ON a.id = n.acm_id
+    LEFT JOIN (SELECT c_custkey AS id, unnest({o.phones_of('c_custkey')}) AS phone FROM customer WHERE c_custkey % 13 <> 5) p ON p.id = a.owner"""
+
+
+@query("SELECT acm_id, acm_name, host_phone, res_90d, gmv_90d FROM u_no_ad_compat", "no_ad_targets_compat")
+def no_ad_targets_with_repeated_phones(spark: SparkSession, sf: str) -> DataFrame:
+    found = weekly.no_ad_targets(b.upsell_tables(spark, sf), AS_OF, RULES, None, compat=True)
+    return found.select("acm_id", "acm_name", "host_phone", "res_90d", "gmv_90d")
+
+
+@query("SELECT list_no, acm_id, res_90d FROM u_listed WHERE target_type = 'upgrade'")
+def report_split(spark: SparkSession, sf: str) -> DataFrame:
+    return lists.split_list(_limited(spark, sf), "upgrade").select("list_no", "acm_id", "res_90d")
+
+
 def _limited(spark: SparkSession, sf: str) -> DataFrame:
     return weekly.weekly_targets(b.upsell_tables(spark, sf), AS_OF, RULES)
 
@@ -200,11 +228,14 @@ def candidates_30(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query(
-    "SELECT string_agg(acm_id::VARCHAR, ',' ORDER BY list_no, pos) AS acm_ids, CAST(count(*) AS BIGINT) AS id_count "
-    "FROM u_listed WHERE grade IN ('A', 'B')"
+    "SELECT CAST(part AS INT) AS part, string_agg(acm_id::VARCHAR, ',' ORDER BY nth) AS acm_ids, CAST(count(*) AS BIGINT) AS id_count "
+    "FROM (SELECT *, (nth - 1) // 100 + 1 AS part FROM (SELECT acm_id, row_number() OVER (ORDER BY list_no, res_90d DESC, acm_id, advert_name NULLS FIRST) AS nth "
+    "FROM u_all WHERE grade IN ('A', 'B'))) GROUP BY part"
 )
 def bulk_ids(spark: SparkSession, sf: str) -> DataFrame:
-    return lists.bulk_ids(_limited(spark, sf).filter(F.col("grade").isin("A", "B")), ["list_no", "pos"])
+    """All of the uncapped lists, numbered by ranges, a hundred ids a row."""
+    approvable = _all_scored(spark, sf).filter(F.col("grade").isin("A", "B")).withColumn("less", -F.col("res_90d"))
+    return lists.bulk_ids(approvable.withColumn("advert", F.coalesce("advert_name", F.lit(""))), ["list_no", "less", "acm_id", "advert"], limited=False, size=100)
 
 
 @query("SELECT acm_id, acm_name, res_90d FROM u_no_ad WHERE acm_id IN (SELECT acm_id FROM k_approved)", "only_ids")
@@ -317,7 +348,7 @@ def _partners(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     return acm.join(addressed, "user_id", "left").drop("user_id"), t.users
 
 
-PARTNERS = "(SELECT a.id AS acm_id, a.name AS acm_name, u.email AS host_email FROM u_acm a LEFT JOIN u_user u ON u.id = a.id) p"
+PARTNERS = "(SELECT a.id AS acm_id, a.name AS acm_name, u.email AS host_email FROM u_acm a LEFT JOIN u_user u ON u.id = a.owner) p"
 E_NOW = o.CONTACTS_NOW
 
 
@@ -364,16 +395,40 @@ def cooldown_blocked_14(spark: SparkSession, sf: str) -> DataFrame:
     return stopped.select("acm_id", "next_available")
 
 
-@query(
-    f"SELECT CASE WHEN p.host_email IS NULL OR s.last_sent >= {E_NOW} - INTERVAL 14 DAY THEN 'skip' ELSE 'success' END AS outcome, "
-    f"CAST(count(*) AS BIGINT) AS mails FROM {PARTNERS} LEFT JOIN e_sent s ON s.email = p.host_email GROUP BY 1"
-)
-def batch_outcome(spark: SparkSession, sf: str) -> DataFrame:
+def _judged_partners(spark: SparkSession, sf: str) -> DataFrame:
     partners, users = _partners(spark, sf)
     addressed = with_recipient(partners.withColumn("subject", F.col("acm_name")))
-    return cooldown.batch_outcome(
-        cooldown.with_outcome(addressed, b.sent_log(spark, sf, users), CONTACTS_AS_OF, 14)
+    return cooldown.with_outcome(addressed, b.sent_log(spark, sf, users), CONTACTS_AS_OF, 14)
+
+
+#: Delivery reports on every third mail; of each second of these the first try failed, and of each fourth the second too.
+_OUTCOME = (
+    f"SELECT p.*, CASE WHEN p.host_email IS NULL OR s.last_sent >= {E_NOW} - INTERVAL 14 DAY THEN 'skip' WHEN p.acm_id % 12 = 0 THEN 'fail' "
+    f"ELSE 'success' END AS outcome FROM {PARTNERS} LEFT JOIN e_sent s ON s.email = p.host_email"
+)
+
+
+def _delivered(spark: SparkSession, sf: str) -> DataFrame:
+    judged = _judged_partners(spark, sf)
+    tries = judged.filter("recipient IS NOT NULL AND acm_id % 3 = 0").select(
+        "acm_id", "recipient", F.explode(F.array(F.col("acm_id") % 2 != 0, F.col("acm_id") % 4 != 0)).alias("delivered")
     )
+    return cooldown.with_deliveries(judged, tries)
+
+
+@query(f"SELECT outcome, CAST(count(*) AS BIGINT) AS mails FROM ({_OUTCOME}) GROUP BY 1")
+def batch_outcome(spark: SparkSession, sf: str) -> DataFrame:
+    return cooldown.batch_outcome(_delivered(spark, sf))
+
+
+@query(f"SELECT DISTINCT host_email AS email, {E_NOW} AS last_sent FROM ({_OUTCOME}) WHERE outcome = 'success'")
+def mark_sent(spark: SparkSession, sf: str) -> DataFrame:
+    return cooldown.mark_sent(_delivered(spark, sf), CONTACTS_AS_OF)
+
+
+@query("SELECT DISTINCT acm_id, TIMESTAMP '1998-01-15' AS last_shown FROM u_all")
+def mark_shown(spark: SparkSession, sf: str) -> DataFrame:
+    return cooldown.mark_shown(_all_scored(spark, sf), AS_OF)
 
 
 # --- scalars ---------------------------------------------------------------------------------------
@@ -411,10 +466,11 @@ def price_ladder(spark: SparkSession, sf: str) -> DataFrame:
     return sums.filter(F.col("positive").isNotNull())
 
 
-@query(f"SELECT id AS user_id, {o.phone('phone')} AS phone FROM u_user")
+@query(f"SELECT id AS user_id, {o.phone('phone')} AS phone FROM u_user WHERE phone IS NOT NULL")
 def phone_format(spark: SparkSession, sf: str) -> DataFrame:
     infos = b.upsell_tables(spark, sf).user_infos
-    return infos.select("user_id", fmt.phone(F.col("phone_number")).alias("phone"))
+    smallest = infos.groupBy("user_id").agg(F.min("phone_number").alias("number"))
+    return smallest.select("user_id", fmt.phone(F.col("number")).alias("phone"))
 
 
 _BALANCE = "CAST(c_acctbal AS DECIMAL(14,2))"
@@ -502,16 +558,17 @@ def fix_words_in_turns(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _upsell_copy(spark: SparkSession, sf: str) -> DataFrame:
-    return parse_copy(b.partner_responses(b.read(spark, sf, "customer"), "c_custkey", "c_name"))
+    """Raw responses, several an id; ``made`` orders them."""
+    return b.partner_responses(b.read(spark, sf, "customer"), "c_custkey", "c_name")
 
 
 def _monthly_copy(spark: SparkSession, sf: str) -> DataFrame:
-    return parse_copy(b.partner_responses(b.read(spark, sf, "supplier"), "s_suppkey", "s_name"))
+    return b.partner_responses(b.read(spark, sf, "supplier"), "s_suppkey", "s_name")
 
 
 @query(f"SELECT t.acm_id, {o.UPSELL_HTML} AS html FROM u_all t JOIN u_copy c ON c.acm_id = t.acm_id".replace("acm_id::VARCHAR", "t.acm_id::VARCHAR"))
 def render_upsell(spark: SparkSession, sf: str) -> DataFrame:
-    mails = _all_targets(spark, sf).join(_upsell_copy(spark, sf), "acm_id")
+    mails = with_copy(_all_targets(spark, sf), _upsell_copy(spark, sf), required=True, order="made")
     return render.render_upsell(mails, o.UPSELL_TEMPLATE).select("acm_id", "html")
 
 
@@ -519,7 +576,7 @@ def render_upsell(spark: SparkSession, sf: str) -> DataFrame:
     f"SELECT t.acm_id, {o.REPORT_HTML} AS html FROM m_scored_all t JOIN m_copy c ON c.acm_id = t.acm_id".replace("acm_id::VARCHAR", "t.acm_id::VARCHAR")
 )
 def render_report(spark: SparkSession, sf: str) -> DataFrame:
-    mails = _all_hosts(spark, sf).join(_monthly_copy(spark, sf), "acm_id")
+    mails = with_copy(_all_hosts(spark, sf), _monthly_copy(spark, sf), required=True, order="made")
     return render.render_report(mails, o.REPORT_TEMPLATE, monthly.report_month(AS_OF)).select("acm_id", "html")
 
 
@@ -529,27 +586,30 @@ M_CARDS = "(SELECT t.*, c.subject, c.body, c.acm_id IS NOT NULL AS has_copy FROM
 
 @query(f"SELECT list_no, pos, acm_id, has_copy, {o.UPSELL_CARD} AS card FROM {U_CARDS} WHERE pos <= CASE list_no WHEN 1 THEN 15 ELSE 10 END")
 def cards_upsell(spark: SparkSession, sf: str) -> DataFrame:
-    return cards.upsell_cards(weekly.with_copy(_limited(spark, sf), _upsell_copy(spark, sf), required=False))
+    return cards.upsell_cards(with_copy(_limited(spark, sf), _upsell_copy(spark, sf), required=False, order="made"))
 
 
 @query(f"SELECT pos, acm_id, has_copy, {o.REPORT_CARD} AS card FROM {M_CARDS} WHERE pos <= 20")
 def cards_report(spark: SparkSession, sf: str) -> DataFrame:
-    return cards.report_cards(monthly.with_copy(_limited_hosts(spark, sf), _monthly_copy(spark, sf), required=False))
+    return cards.report_cards(with_copy(_limited_hosts(spark, sf), _monthly_copy(spark, sf), required=False, order="made"))
+
 
+U_ALL_COPY = "(SELECT t.*, c.subject, c.body FROM u_all t JOIN u_copy c ON c.acm_id = t.acm_id)"
 
-@query(f"SELECT acm_id, {o.review('이메일')} AS review FROM {U_CARDS} WHERE has_copy")
+
+@query(f"SELECT acm_id, {o.review('offer')} AS review FROM {U_ALL_COPY}")
 def review_texts(spark: SparkSession, sf: str) -> DataFrame:
-    return cards.review_texts(weekly.with_copy(_limited(spark, sf), _upsell_copy(spark, sf), required=False))
+    return cards.review_texts(with_copy(_all_targets(spark, sf), _upsell_copy(spark, sf), required=False, order="made"))
 
 
 @query(
-    "SELECT '⏳ *이메일 쿨다운으로 미발송 ' || count(*) || '건*' || chr(10) || string_agg('• ' || acm_name || ' (' || coalesce(host_email, '') || "
-    "') — 다음 발송 가능일: *' || coalesce(strftime(last_sent + INTERVAL 14 DAY, '%Y-%m-%d'), '알 수 없음') || '*', chr(10) ORDER BY list_no, pos) AS notice "
-    "FROM w_mail WHERE outcome = 'skip' HAVING count(*) > 0"
+    f"SELECT acm_id, {o.NOTICE} AS notice FROM w_mail_all WHERE outcome = 'skip' "
+    "UNION ALL SELECT 0, 'Not mailed yet: ' || count(*) FROM w_mail_all WHERE outcome = 'skip' HAVING count(*) > 0"
 )
 def blocked_notice(spark: SparkSession, sf: str) -> DataFrame:
-    mailed = _weekly_mail(spark, sf)
-    return cards.blocked_notice(mailed.filter(F.col("outcome") == "skip"))
+    skipped = _weekly_mail_all(spark, sf).filter(F.col("outcome") == "skip")
+    heading = cards.blocked_heading(skipped).select(F.lit(0).cast("long").alias("acm_id"), F.col("heading").alias("notice"))
+    return cards.blocked_notices(skipped).select("acm_id", "notice").unionByName(heading)
 
 
 # --- clicks ----------------------------------------------------------------------------------------
@@ -603,64 +663,161 @@ def _outbox(df: DataFrame) -> DataFrame:
     return _no_nulls(df.drop("outcome"))
 
 
+def _bulk_sql(workflow: str, source: str, order: str) -> str:
+    return f"SELECT '1998-01-15', '{workflow}', 'bulk', 0, 1, 0, '', '', string_agg(acm_id::VARCHAR, ',' ORDER BY {order}) FROM {source} HAVING count(*) > 0"
+
+
 @query(
     _report_sql("weekly_upsell", "card", "w_listed WHERE pos <= CASE list_no WHEN 1 THEN 15 ELSE 10 END", o.UPSELL_CARD)
-    + " UNION ALL " + _report_sql("weekly_upsell", "review", "w_listed WHERE has_copy", o.review("이메일"))
+    + " UNION ALL " + _report_sql("weekly_upsell", "review", "w_listed WHERE has_copy", o.review("offer"))
     + " UNION ALL " + _single_sql("weekly_upsell", "summary", "(SELECT * FROM w_listed ORDER BY list_no, pos LIMIT 20)", o.UPSELL_SUMMARY)
+    + " UNION ALL " + _single_sql("weekly_upsell", "title", "(SELECT 1)", "'Hosts to write to, 1998-01-15'")
     + " UNION ALL " + _single_sql("weekly_upsell", "header", "w_listed", o.UPSELL_HEADER)
-    + " UNION ALL " + _single_sql(
-        "weekly_upsell", "bulk", "w_listed WHERE grade IN ('A', 'B') HAVING count(*) > 0", "string_agg(acm_id::VARCHAR, ',' ORDER BY list_no, pos)"
-    )
+    + f" UNION ALL SELECT '1998-01-15', 'weekly_upsell', 'section', list_no, 0, 0, '', '', {o.HEADING} FROM w_listed GROUP BY list_no"
+    + " UNION ALL " + _bulk_sql("weekly_upsell", "w_listed WHERE grade IN ('A', 'B')", "list_no, pos")
 )
 def weekly_report(spark: SparkSession, sf: str) -> DataFrame:
     log = _shifted(b.shown_log(spark, sf), "last_shown")
     targets = weekly.weekly_targets(b.upsell_tables(spark, sf), AS_OF, RULES, shown_log=log)
-    return _outbox(weekly.weekly_report(targets, _upsell_copy(spark, sf), AS_OF, RULES))
+    return _outbox(weekly.weekly_report(targets, _upsell_copy(spark, sf), AS_OF, RULES, order="made"))
+
+
+def _upsell_ids(spark: SparkSession, sf: str) -> DataFrame:
+    return _approved(spark, sf).filter((F.col("workflow") == "weekly_upsell") & ~F.col("test_mode"))
 
 
 def _weekly_mail(spark: SparkSession, sf: str) -> DataFrame:
     t = b.upsell_tables(spark, sf)
-    ids = _approved(spark, sf).filter((F.col("workflow") == "weekly_upsell") & ~F.col("test_mode"))
     log = _shifted(b.sent_log(spark, sf, t.users), "last_sent")
     targets = weekly.weekly_targets(t, AS_OF, RULES)
-    return weekly.weekly_mailing(targets, _upsell_copy(spark, sf), log, o.UPSELL_TEMPLATE, AS_OF, ids=ids)
+    return weekly.weekly_mailing(targets, _upsell_copy(spark, sf), log, o.UPSELL_TEMPLATE, AS_OF, ids=_upsell_ids(spark, sf), order="made")
 
 
-@query(
-    "SELECT acm_id, coalesce(host_email, '') AS recipient, subject, outcome, CASE WHEN outcome = 'skip' THEN coalesce(strftime(last_sent + INTERVAL 14 DAY, '%Y-%m-%d'), '알 수 없음') ELSE '' END AS next_available, "
-    f"CASE WHEN outcome = 'success' THEN {o.UPSELL_HTML} ELSE '' END AS html FROM w_mail"
-)
-def weekly_mailing(spark: SparkSession, sf: str) -> DataFrame:
-    mailed = _weekly_mail(spark, sf)
+def _weekly_mail_all(spark: SparkSession, sf: str) -> DataFrame:
+    """Every approved accommodation that is a target, whatever its place in a report."""
+    t, ids = b.upsell_tables(spark, sf), _upsell_ids(spark, sf)
+    log = _shifted(b.sent_log(spark, sf, t.users), "last_sent")
+    targets = weekly.weekly_targets(t, AS_OF, RULES, no_ad_limit=None, upgrade_limit=None, ids=ids)
+    return weekly.weekly_mailing(targets, _upsell_copy(spark, sf), log, o.UPSELL_TEMPLATE, AS_OF, ids=ids, order="made", limited=False)
+
+
+def _mailed_sql(source: str, days: int, html: str, recipient: str = "coalesce(host_email, '')", subject: str = "subject") -> str:
+    return (
+        f"SELECT acm_id, {recipient} AS recipient, {subject} AS subject, outcome, CASE WHEN outcome = 'skip' THEN "
+        f"coalesce(strftime(last_sent + INTERVAL {days} DAY, '%Y-%m-%d'), '알 수 없음') ELSE '' END AS next_available, "
+        f"CASE WHEN outcome = 'success' THEN {html} ELSE '' END AS html FROM {source}"
+    )
+
+
+def _mailed(mailed: DataFrame) -> DataFrame:
     return _no_nulls(mailed.select("acm_id", "recipient", "subject", "outcome", "next_available", "html"))
 
 
+@query(_mailed_sql("w_mail", 14, o.UPSELL_HTML))
+def weekly_mailing(spark: SparkSession, sf: str) -> DataFrame:
+    return _mailed(_weekly_mail(spark, sf))
+
+
+@query(_mailed_sql("w_mail_all", 14, o.UPSELL_HTML))
+def weekly_mailing_all(spark: SparkSession, sf: str) -> DataFrame:
+    return _mailed(_weekly_mail_all(spark, sf))
+
+
 @query(
     _report_sql("monthly_report", "card", f"{M_CARDS} WHERE pos <= 20", o.REPORT_CARD)
-    + " UNION ALL " + _report_sql("monthly_report", "review", f"{M_CARDS} WHERE has_copy", o.review("월간 리포트"))
+    + " UNION ALL " + _report_sql("monthly_report", "review", f"{M_CARDS} WHERE has_copy", o.review("report"))
     + " UNION ALL " + _report_sql("monthly_report", "direct_call", f"{M_CARDS} WHERE consecutive_zero", o.DIRECT_CALL)
+    + " UNION ALL " + _single_sql("monthly_report", "title", "(SELECT 1)", "'Advertised stays, 1998-01-15'")
     + " UNION ALL " + _single_sql("monthly_report", "header", "m_scored", o.REPORT_HEADER)
     + " UNION ALL " + _single_sql("monthly_report", "summary", "m_scored", o.REPORT_SUMMARY)
-    + " UNION ALL " + _single_sql("monthly_report", "bulk", f"{M_CARDS} WHERE has_copy HAVING count(*) > 0", "string_agg(acm_id::VARCHAR, ',' ORDER BY pos)")
+    + " UNION ALL " + _single_sql("monthly_report", "direct_call_heading", "m_scored WHERE consecutive_zero HAVING count(*) > 0", "'To call: ' || count(*)")
+    + " UNION ALL " + _single_sql("monthly_report", "footer", "m_scored HAVING count(*) > 20", "(count(*) - 20) || ' more in the previews'")
+    + " UNION ALL " + _bulk_sql("monthly_report", f"{M_CARDS} WHERE has_copy", "pos")
 )
 def monthly_report(spark: SparkSession, sf: str) -> DataFrame:
-    return _outbox(monthly.monthly_report(_limited_hosts(spark, sf), _monthly_copy(spark, sf), AS_OF))
+    return _outbox(monthly.monthly_report(_limited_hosts(spark, sf), _monthly_copy(spark, sf), AS_OF, order="made"))
 
 
-@query(
-    "SELECT acm_id, 'review@example.com' AS recipient, '[테스트] ' || subject AS subject, outcome, "
-    "CASE WHEN outcome = 'skip' THEN coalesce(strftime(last_sent + INTERVAL 25 DAY, '%Y-%m-%d'), '알 수 없음') ELSE '' END AS next_available, "
-    f"CASE WHEN outcome = 'success' THEN {o.REPORT_HTML} ELSE '' END AS html FROM m_mail"
-)
-def monthly_mailing(spark: SparkSession, sf: str) -> DataFrame:
-    """The events approve test sends only, so this run mails the reviewer."""
+def _monthly_mail(spark: SparkSession, sf: str, test_to: str, limit: int | None) -> DataFrame:
     t = b.monthly_tables(spark, sf)
     ids = _approved(spark, sf).filter(F.col("workflow") == "monthly_report")
     log = _shifted(b.sent_log(spark, sf, t.users), "last_sent")
-    mailed = monthly.monthly_mailing(
-        monthly.monthly_hosts(t, AS_OF, RULES), _monthly_copy(spark, sf), log, o.REPORT_TEMPLATE, ids, AS_OF, test_to="review@example.com"
-    )
-    return _no_nulls(mailed.select("acm_id", "recipient", "subject", "outcome", "next_available", "html"))
+    hosts = monthly.monthly_hosts(t, AS_OF, RULES, limit=limit, ids=None if limit else ids)
+    return _mailed(monthly.monthly_mailing(hosts, _monthly_copy(spark, sf), log, o.REPORT_TEMPLATE, ids, AS_OF, test_to=test_to, order="made"))
+
+
+@query(_mailed_sql("m_mail", 25, o.REPORT_HTML, "'review@example.com'", "'[테스트] ' || subject"))
+def monthly_mailing(spark: SparkSession, sf: str) -> DataFrame:
+    """The approved hosts of the report, mailed to the reviewer."""
+    return _monthly_mail(spark, sf, "review@example.com", 200)
+
+
+@query(_mailed_sql("m_mail_all", 25, o.REPORT_HTML))
+def monthly_mailing_all(spark: SparkSession, sf: str) -> DataFrame:
+    """Every approved host, whatever its place in the report, mailed for real."""
+    return _monthly_mail(spark, sf, "", None)
+
+
+# --- sources and sinks -----------------------------------------------------------------------------
+
+
+@query(
+    "SELECT name, CAST(n AS BIGINT) AS records FROM (SELECT 'accommodations' AS name, count(*) AS n FROM u_acm UNION ALL SELECT 'users', count(*) FROM u_user "
+    "UNION ALL SELECT 'rooms', count(*) FROM orders UNION ALL SELECT 'reservations', count(*) FROM u_res UNION ALL SELECT 'accommodation_adverts', count(*) FROM orders "
+    f"UNION ALL SELECT 'user_infos', sum(len({o.phones_of('c_custkey')})) FROM customer WHERE c_custkey % 13 <> 5 "
+    "UNION ALL SELECT 'accommodation_types', count(DISTINCT type_name) FROM u_acm)"
+)
+def tables_loaded(spark: SparkSession, sf: str) -> DataFrame:
+    """The tables written as files and loaded again."""
+    path, native = new_path(spark, "tables"), b.upsell_tables(spark, sf)
+    for name, schema in NATIVE.items():
+        getattr(native, name).select([F.col(f.name).cast(f.dataType) for f in schema]).write.parquet(f"{path}/{name}")
+    loaded = vars(load_tables(spark, path))
+    counts = [df.agg(F.count(F.lit(1)).alias("records")).select(F.lit(name).alias("name"), "records") for name, df in loaded.items()]
+    return reduce(DataFrame.unionByName, counts)
+
+
+@query("SELECT acm_id, last_shown FROM e_shown")
+def contact_log_import(spark: SparkSession, sf: str) -> DataFrame:
+    """The shown log in its JSON form, with stamps at UTC, read back."""
+    path = new_path(spark, "log")
+    stamp = F.date_format(F.col("last_shown") - F.expr("INTERVAL 9 HOURS"), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'+00:00'")
+    entries = b.shown_log(spark, sf).select(F.struct(F.col("acm_id").cast("string"), stamp).alias("e"))
+    log = entries.agg(F.map_from_entries(F.collect_list("e")).alias("acms"))
+    log.select(F.to_json(F.struct("acms")).alias("value")).write.text(path)
+    return read_contact_log(spark, path, "acms", "acm_id", "last_shown", T.LongType())
+
+
+@query(f"SELECT t.acm_id, {o.UPSELL_HTML} AS html FROM u_all t JOIN u_copy c ON c.acm_id = t.acm_id".replace("acm_id::VARCHAR", "t.acm_id::VARCHAR"))
+def render_from_file(spark: SparkSession, sf: str) -> DataFrame:
+    path = new_path(spark, "template")
+    spark.range(1).select(F.lit(o.UPSELL_TEMPLATE)).write.option("lineSep", "\x00").text(path)
+    template = load_template(spark, path).select(F.regexp_replace("value", "\x00", "").alias("value"))
+    mails = with_copy(_all_targets(spark, sf), _upsell_copy(spark, sf), required=True, order="made")
+    return render.render_upsell(mails, template).select("acm_id", "html")
+
+
+@query(_report_sql("weekly_upsell", "review", U_ALL_COPY, o.review("offer")))
+def outbox_round_trip(spark: SparkSession, sf: str) -> DataFrame:
+    """Previews of all targets, positions left out, through the outbox and back."""
+    path = new_path(spark, "outbox")
+    copied = with_copy(_all_targets(spark, sf), _upsell_copy(spark, sf), required=True, order="made")
+    messages = copied.select("list_no", "acm_id", "subject", F.col("host_email").alias("recipient"), F.lit("review").alias("kind"), cards.review_text("offer").alias("body"))
+    write_outbox(as_outbox(messages, AS_OF, "weekly_upsell"), path)
+    return _outbox(read_outbox(spark, path))
+
+
+SQL["outbox_round_trip"] = SQL["outbox_round_trip"].replace("list_no, pos, acm_id", "list_no, 0 AS pos, acm_id")
+
+
+@query("SELECT click_id, CAST(epoch(requested) AS BIGINT)::VARCHAR AS request_ts, arrived_at FROM k_click")
+def clicks_from_files(spark: SparkSession, sf: str) -> DataFrame:
+    """Requests landed as JSON lines, read as a stream into a table."""
+    path = new_path(spark, "landed")
+    landed = _clicks(spark, sf).withColumn("arrived_at", F.date_format("arrived_at", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"))
+    landed.write.json(path)
+    clicks.start_deliveries(clicks.read_clicks(spark, path), f"{path}-kept", f"{path}-state").awaitTermination()
+    return spark.read.parquet(f"{path}-kept").select("click_id", "request_ts", "arrived_at")
 
 
 # --- streams ---------------------------------------------------------------------------------------

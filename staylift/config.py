@@ -11,11 +11,14 @@ from pyspark.sql import functions as F
 
 @dataclass(frozen=True)
 class Packages:
-    """Names of the advert tiers; the rates 0.15 / 0.20 / 0.30 are fixed."""
+    """Names of the advert tiers and what each adds, in the caller's words; the rates 0.15 / 0.20 / 0.30 are fixed."""
 
     starter: str = "스타터 패키지"
     partner: str = "파트너 패키지"
     top: str = "프리미엄 패키지"
+    starter_adds: str = "a place in the advertised list"
+    partner_adds: str = "coupons of its own"
+    top_adds: str = "a place on the first page"
 
     def ladder(self) -> list[tuple[str | None, str, float]]:
         """(current rate or None, next package, next rate). Rates not listed get no offer."""
@@ -27,25 +30,18 @@ class Packages:
         ]
 
     def benefits(self) -> dict[str, str]:
-        base = "숙소 균등 노출, 월간 이벤트 쿠폰 적용, SNS 마케팅"
-        partner = f"{base}, 별도 할인 쿠폰 제공, 이벤트 테마 노출, 앱 PUSH 발송"
-        return {
-            self.starter: base,
-            self.partner: partner,
-            self.top: f"{partner}, 인플루언서 마케팅 활용, 메인 페이지 숙소 노출",
-        }
+        """What each tier brings: its own entry and those of the tiers below."""
+        adds = [self.starter_adds, self.partner_adds, self.top_adds]
+        return {name: "; ".join(adds[: n + 1]) for n, name in enumerate([self.starter, self.partner, self.top])}
 
     def upgrade_offers(self) -> list[tuple[str, str, str]]:
         """(current rate, offered package, what it adds) for growing hosts."""
-        return [
-            ("0.15", self.partner, "별도 할인 쿠폰 제공, 이벤트 테마 노출, 앱 PUSH 발송"),
-            ("0.20", self.top, "인플루언서 마케팅 활용, 메인 페이지 숙소 노출"),
-        ]
+        return [("0.15", self.partner, self.partner_adds), ("0.20", self.top, self.top_adds)]
 
 
 @dataclass(frozen=True)
 class Rules:
-    """Who may be contacted, and which bookings count."""
+    """Who may be contacted, and which bookings count. Statuses, spans, rates and filter words are fixed values."""
 
     house_domain: str = "house.example"
     test_marker: str = "test"

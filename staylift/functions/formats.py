@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from staylift.functions.text import strip
+
 # Symbols and labels of grades and performance classes.
 GRADE_SYMBOLS = {"A": "🔴", "B": "🟠", "C": "🟡", "D": "⚪"}
 PERF_SYMBOLS = {"growth": "🟢", "stable": "🟡", "poor": "🔴", "zero": "🔴", "new": "🔵"}
@@ -41,8 +43,8 @@ def change_arrow(change: Column) -> Column:
     )
 
 
-def change_color(change: Column) -> Column:
-    return F.when(change > 0, "#2e7d32").when(change < 0, "#c62828").otherwise("#888")
+def change_color(change: Column, up: str = "#1b6f4a", down: str = "#a8231c", level: str = "#5f5f5f") -> Column:
+    return F.when(change > 0, up).when(change < 0, down).otherwise(level)
 
 
 def rate_percent(rate: Column) -> Column:
@@ -52,7 +54,7 @@ def rate_percent(rate: Column) -> Column:
 
 def phone(number: Column) -> Column:
     """3-3-4 for ten digits, 3-4-4 for eleven, otherwise as given; empty becomes a label."""
-    p = F.trim(number)
+    p = strip(number)
     size = F.length(p)
     return (
         F.when(number.isNull() | (number == ""), F.lit(NO_PHONE))

@@ -25,9 +25,24 @@ def fix_words(text: Column, fixes: list[tuple[str, str]] = WORD_FIXES) -> Column
     return reduce(lambda t, fix: F.replace(t, F.lit(fix[0]), F.lit(fix[1])), fixes, text)
 
 
+#: White space of any kind, line ends and wide blanks included.
+BLANKS = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+)
+
+
 def strip(text: Column) -> Column:
-    """Remove leading and trailing whitespace of any kind, line ends included."""
-    return F.regexp_replace(text, r"^\s+|\s+$", "")
+    """Remove leading and trailing white space."""
+    return F.btrim(text, F.lit(BLANKS))
+
+
+def facts(*rows: tuple) -> Column:
+    """``label: value`` lines from (label, value) or (label, value, condition); unknown and unwanted facts have no line."""
+    lines = []
+    for label, value, *condition in rows:
+        line = F.concat(F.lit(f"{label}: "), value.cast("string"))
+        lines.append(F.when(condition[0], line) if condition else line)
+    return F.concat_ws("\n", *lines)
 
 
 def fill(template: Column, values: dict[str, Column]) -> Column:

@@ -7,16 +7,6 @@ from pyspark.sql import functions as F
 
 from staylift.functions.names import region_of
 from staylift.operators.filters import live_accommodations
-from staylift.sources.workspace import settle
-
-# Largest number of rows that is sent to every executor on the strength of a known bound.
-BROADCAST_ROWS = 100_000
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int | None) -> DataFrame:
-    """Broadcast a frame whose row count is bounded by construction; otherwise leave the choice to Spark."""
-    return F.broadcast(df) if max_rows is not None and max_rows <= BROADCAST_ROWS else df
-
 
 def _patterns(regions: DataFrame) -> DataFrame:
     """The part of each region to look up: its longest stretch free of ``%``.
@@ -52,28 +42,25 @@ def _pieces_of(name: Column, shapes: Column) -> Column:
     return F.array_distinct(F.flatten(F.transform(shapes, stretches)))
 
 
-def match_regions(
-    named: DataFrame, regions: DataFrame, *, match: str = "like", max_regions: int | None = None
-) -> DataFrame:
+def match_regions(named: DataFrame, regions: DataFrame, *, match: str = "like") -> DataFrame:
     """Pair each row (column ``acm_name``) with the regions it belongs to.
 
     ``like``: the name contains the region text, in which ``_`` and ``%`` are wildcards. Written as an
     equality join: a name is cut into its stretches of the lengths (and ``_`` places) that occur among
-    the regions, and those are looked up. The work is linear in the names, not names times regions,
-    and a common region is a hash-table hit instead of a skewed shuffle key while regions are few.
+    the regions, and those are looked up. The work is linear in the names, not names times regions, and
+    Spark sends the regions around while they are small.
     The shapes are as many as there are distinct region lengths, and come in as a scalar subquery.
     ``exact``: the name's own region equals the text.
     """
     if match == "exact":
-        keys = bounded_broadcast(regions.select("region").distinct(), max_regions)
-        return named.withColumn("region", region_of(F.col("acm_name"))).join(keys, "region")
+        return named.withColumn("region", region_of(F.col("acm_name"))).join(regions.select("region").distinct(), "region")
     if match != "like":
         raise ValueError(f"match must be 'like' or 'exact', not {match!r}")
     patterns = _patterns(regions)
     shapes = patterns.agg(F.collect_set(F.struct(F.length("piece").alias("size"), "holes"))).scalar()
     shaped = named.withColumn("shapes", shapes)
     pieces = shaped.withColumn("piece", F.explode(_pieces_of(F.col("acm_name"), F.col("shapes")))).drop("shapes")
-    keys = bounded_broadcast(patterns.select("piece", "region", "partial"), max_regions)
+    keys = patterns.select("piece", "region", "partial")
     like = F.expr(r"acm_name LIKE concat('%', replace(region, '\\', '\\\\'), '%')")
     return pieces.join(keys, "piece").filter(~F.col("partial") | like).drop("piece", "partial")
 
@@ -94,7 +81,6 @@ def region_baseline(
     regions: DataFrame,
     *,
     match: str = "like",
-    max_regions: int | None = None,
 ) -> DataFrame:
     """region, avg_res, ad_acm_cnt; ``activity`` has ``res`` and, optionally, ``gmv`` per accommodation.
 
@@ -103,15 +89,10 @@ def region_baseline(
     """
     with_value = "gmv" in activity.columns
     wanted = regions.select("region").distinct()
-    if max_regions is None:
-        # Stored first, the list has a known size: Spark sends it around if it is small and shuffles if not.
-        wanted = settle(wanted)
     measured = advertised_accommodations(accommodations, advertised).join(activity, "acm_id", "left").fillna(0)
     res = F.col("res")
     aggregates = [F.avg(res).alias("avg_res"), F.count(F.lit(1)).alias("ad_acm_cnt")]
     if with_value:
         aggregates.insert(1, F.avg(F.when(res > 0, F.col("gmv") / res)).alias("avg_price_per_res"))
-    per_region = (
-        match_regions(measured, wanted, match=match, max_regions=max_regions).groupBy("region").agg(*aggregates)
-    )
+    per_region = match_regions(measured, wanted, match=match).groupBy("region").agg(*aggregates)
     return wanted.join(per_region, "region", "left").fillna(0)

@@ -57,9 +57,11 @@ def next_available(last_sent: Column, days: int) -> Column:
 
 
 def with_outcome(
-    df: DataFrame, log: DataFrame, as_of: datetime, days: int, test_to: str = "", *, dry_run: bool = False
+    df: DataFrame, log: DataFrame, as_of: datetime, days: int, *, dry_run: bool = False
 ) -> DataFrame:
-    """``outcome`` skip (cooling down or no address), success or fail, in one join instead of two lists.
+    """``outcome`` skip (cooling down or no address) or success, in one join instead of two lists.
+
+    What the outcome of a mail turns out to be is for ``with_deliveries`` to say.
 
     ``next_available`` is set for skipped rows; a dry run knows no cool-down beyond the as-of moment
     and reports no dates.
@@ -68,16 +70,27 @@ def with_outcome(
     joined = df.join(_recently_sent(log, as_of, span), "host_email", "left")
     has_address = F.coalesce(F.col("host_email") != "", F.lit(False))
     skip = F.col("last_sent").isNotNull() | ~has_address
-    reachable = F.lit(bool(test_to)) | has_address
     date = F.lit(None).cast("string") if dry_run else F.when(skip, next_available(F.col("last_sent"), span))
     return joined.withColumns(
         {
-            "outcome": F.when(skip, "skip").when(reachable, "success").otherwise("fail"),
+            "outcome": F.when(skip, "skip").otherwise("success"),
             "next_available": date,
         }
     ).drop("last_sent")
 
 
+def with_deliveries(mailed: DataFrame, results: DataFrame) -> DataFrame:
+    """Turn mails that delivery reports as not ``delivered`` into outcome fail.
+
+    ``results`` has acm_id, recipient, delivered; of several reports on a mail one success is enough. A mail without a
+    report keeps its outcome, and what was skipped stays skipped.
+    """
+    sent = results.groupBy("acm_id", "recipient").agg(F.max("delivered").alias("delivered"))
+    joined = mailed.join(sent, ["acm_id", "recipient"], "left")
+    failed = (F.col("outcome") == "success") & ~F.coalesce("delivered", F.lit(True))
+    return joined.withColumn("outcome", F.when(failed, "fail").otherwise(F.col("outcome"))).drop("delivered")
+
+
 def batch_outcome(df: DataFrame) -> DataFrame:
     return df.groupBy("outcome").agg(F.count(F.lit(1)).alias("mails"))
 

@@ -16,13 +16,17 @@ def _json_text(response: Column) -> Column:
     text = strip(response)
     inside = F.split_part(text, F.lit(FENCE), F.lit(2))
     untagged = F.when(F.startswith(inside, F.lit("json")), F.substr(inside, F.lit(5))).otherwise(inside)
-    return F.when(F.contains(text, F.lit(FENCE)), untagged).otherwise(text)
+    return strip(F.when(F.contains(text, F.lit(FENCE)), untagged).otherwise(text))
+
+
+def _once(df: DataFrame, value: Column, name: str) -> DataFrame:
+    """Add a column behind a generator, which keeps the optimizer from computing it again wherever it is used."""
+    return df.select("*", F.explode(F.array(value)).alias(name))
 
 
 def _parsed(responses: DataFrame) -> DataFrame:
-    parsed = responses.withColumn("json_text", strip(_json_text(F.col("response")))).withColumn(
-        "fields", F.from_json("json_text", "map<string,string>", {"allowSingleQuotes": "false"})
-    )
+    texts = _once(responses, _json_text(F.col("response")), "json_text")
+    parsed = _once(texts, F.from_json("json_text", "map<string,string>", {"allowSingleQuotes": "false"}), "fields")
     # A key that is present but null cannot be word-fixed, so it rejects the response; an absent one is "".
     present_null = F.exists(
         F.map_entries("fields"), lambda e: e["key"].isin(*KEYS) & e["value"].isNull()
@@ -43,20 +47,22 @@ def copy_rejects(responses: DataFrame) -> DataFrame:
 
 
 def last_copy(copies: DataFrame, order: str) -> DataFrame:
-    """One copy per accommodation: the one made last. Combines map-side."""
-    latest = F.max_by(F.struct("subject", "body"), order)
+    """One copy per accommodation: the one made last. Combines map-side; equal ``order`` falls to the greater text."""
+    latest = F.max(F.struct(F.col(order).alias("made"), "subject", "body"))
     return copies.groupBy("acm_id").agg(latest.alias("c")).select("acm_id", "c.subject", "c.body")
 
 
-def with_copy(targets: DataFrame, copies: DataFrame, *, required: bool) -> DataFrame:
-    """Join ``subject`` and ``body`` to a limited list of targets.
+def with_copy(targets: DataFrame, copies: DataFrame, *, required: bool, order: str | None = None) -> DataFrame:
+    """Join ``subject`` and ``body`` to a list of targets.
 
-    The copy table is first reduced to the listed ids and to one copy each (see ``last_copy`` for which
-    one to prefer), so what is sent around has no more rows than the list.
+    ``copies`` are raw responses (column ``response``) or parsed ones. They are first reduced to the listed ids, before
+    any parsing, and then to each id's last copy by the column ``order``; without one, an id is expected to have one copy.
+    ``targets`` is read twice and should be stored or small. What is sent around is Spark's choice by size.
     """
-    listed = F.broadcast(targets.select("acm_id").distinct())
-    wanted = copies.join(listed, "acm_id", "left_semi").groupBy("acm_id").agg(F.max(F.struct("subject", "body")).alias("copy"))
-    joined = targets.join(F.broadcast(wanted), "acm_id", "inner" if required else "left")
-    return joined.withColumns(
-        {"subject": F.col("copy.subject"), "body": F.col("copy.body"), "has_copy": F.col("copy").isNotNull()}
-    ).drop("copy")
+    wanted = copies.join(targets.select("acm_id").distinct(), "acm_id", "left_semi")
+    if "response" in copies.columns:
+        wanted = parse_copy(wanted)
+    if order is None:
+        wanted, order = wanted.withColumn("made", F.lit(0)), "made"
+    joined = targets.drop(*KEYS).join(last_copy(wanted, order).withColumn("has_copy", F.lit(True)), "acm_id", "inner" if required else "left")
+    return joined.withColumn("has_copy", F.coalesce("has_copy", F.lit(False)))

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from staylift.config import now_sql
 from staylift.functions.names import has_all_words, mentions
+from staylift.functions.text import strip
 
 
 def live_accommodations(accommodations: DataFrame) -> DataFrame:
@@ -76,7 +77,7 @@ def only_ids(df: DataFrame, ids: DataFrame, key: str = "acm_id") -> DataFrame:
 
 def parse_ids(csv: Column) -> Column:
     """``"12, 7,,x"`` -> [12, 7]: trimmed, blanks and non-integers dropped, each id once."""
-    parts = F.transform(F.split(csv, ","), lambda part: F.trim(part))
+    parts = F.transform(F.split(csv, ","), lambda part: strip(part))
     return F.array_distinct(
         F.filter(F.transform(parts, lambda part: part.try_cast("bigint")), lambda number: number.isNotNull())
     )

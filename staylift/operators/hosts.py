@@ -1,4 +1,8 @@
-"""Accommodations that may be contacted, with their host."""
+"""Accommodations that may be contacted, and their hosts.
+
+What is keyed by accommodation comes first, so that a job's selective joins (adverts, bookings) have thinned the list
+before users and phones are looked up.
+"""
 
 from __future__ import annotations
 
@@ -17,34 +21,44 @@ from staylift.operators.filters import (
 from staylift.sources.tables import Tables
 
 
-def eligible_hosts(t: Tables, rules: Rules, *, exclude_test: bool, compat: bool = False) -> DataFrame:
-    """acm_id, acm_name, sales_id, host_name, host_email, host_phone, region, host_copies.
+def eligible_accommodations(t: Tables, rules: Rules) -> DataFrame:
+    """acm_id, acm_name, sales_id, user_id, region of live accommodations whose name and type are not excluded.
 
-    A host with several phone records keeps the smallest number. With ``compat`` each number makes a
-    row of its own and ``host_copies`` says how often it occurs, which is how often its bookings count.
+    Only the excluded types are looked up. Accommodations without a type get a key of their own each, so that they meet
+    in no one task should the look-up be a shuffle.
     """
     acm = exclude_name_all_of(live_accommodations(t.accommodations), "name_expression", rules.name_words)
+    types = t.accommodation_types.selectExpr("CAST(id AS STRING) AS type_key", "name AS type_name")
+    excluded = types.join(exclude_type_suffix(types, "type_name", rules.type_suffix), ["type_key"], "left_anti")
+    keyed = acm.select(
+        F.col("id").alias("acm_id"), F.col("name_expression").alias("acm_name"), "sales_id", "user_id",
+        region_of(F.col("name_expression")).alias("region"),
+        F.coalesce(F.col("type_id").cast("string"), F.concat(F.lit("none "), F.col("id").cast("string"))).alias("type_key"),
+    )
+    return keyed.join(excluded.select("type_key"), "type_key", "left_anti").drop("type_key")
+
+
+def with_users(acm: DataFrame, t: Tables, rules: Rules, *, exclude_test: bool) -> DataFrame:
+    """Add host_name and host_email; accommodations whose host has no address, or an excluded one, drop out."""
     users = exclude_house_domain(t.users, "email", rules.house_domain)
     if exclude_test:
         users = exclude_test_email(users, "email", rules.test_marker)
+    # One row per user, so only an owner of very many accommodations is a hot key, and Spark may split that side.
+    return acm.join(users.selectExpr("id AS user_id", "name AS host_name", "email AS host_email"), "user_id")
+
+
+def with_phones(hosts: DataFrame, t: Tables, *, compat: bool = False, listed: bool = False) -> DataFrame:
+    """Add host_phone and host_copies.
+
+    A host with several phone records keeps the smallest number. With ``compat`` each number makes a row of its own and
+    ``host_copies`` says how often it occurs, which is how often its bookings count. ``listed`` says that ``hosts`` is a
+    stored list, which is then read a second time to look up no other phones.
+    """
+    infos = t.user_infos.selectExpr("user_id", "phone_number AS host_phone")
+    if listed:
+        infos = infos.join(hosts.select("user_id").distinct(), "user_id", "left_semi")
     if compat:
-        phones = t.user_infos.groupBy("user_id", F.col("phone_number").alias("host_phone")).agg(
-            F.expr("count(1) AS host_copies")
-        )
+        phones = infos.groupBy("user_id", "host_phone").agg(F.expr("count(1) AS host_copies"))
     else:
-        phones = t.user_infos.groupBy("user_id").agg(F.expr("min(phone_number) AS host_phone"), F.expr("1L AS host_copies"))
-    # Users and phones have one row per user (or phone), so only the join below can meet a hot key, an
-    # owner of very many accommodations, and as a join of its own it is open to skew splitting.
-    contacts = users.selectExpr("id AS user_id", "name AS host_name", "email AS host_email").join(phones, "user_id", "left")
-    types = t.accommodation_types.selectExpr("id AS type_id", "name AS type_name")
-    hosts = (
-        acm.selectExpr("id AS acm_id", "name_expression AS acm_name", "sales_id", "user_id", "type_id")
-        # The address filter rejects NULL, so accommodations without a user could never pass: inner join.
-        .join(contacts, "user_id")
-        .join(types, "type_id", "left")
-    )
-    return exclude_type_suffix(hosts, "type_name", rules.type_suffix).select(
-        "acm_id", "acm_name", "sales_id", "host_name", "host_email", "host_phone",
-        region_of(F.col("acm_name")).alias("region"),
-        F.expr("coalesce(host_copies, 1) AS host_copies"),
-    )
+        phones = infos.groupBy("user_id").agg(F.expr("min(host_phone) AS host_phone"), F.expr("1L AS host_copies"))
+    return hosts.join(phones, "user_id", "left").withColumn("host_copies", F.expr("coalesce(host_copies, 1)"))

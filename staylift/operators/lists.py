@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from staylift.operators.numbering import running_total
+
 # How many targets get copy, a card, or a line in the summary.
 CANDIDATES = 30
 NO_AD_CARDS = 15
@@ -19,23 +21,30 @@ def top_by(df: DataFrame, measure: str, limit: int | None) -> DataFrame:
     return df if limit is None else df.orderBy(F.col(measure).desc(), *ties).limit(limit)
 
 
-def report_list(no_ad: DataFrame, upgrade: DataFrame) -> DataFrame:
+def report_list(no_ad: DataFrame, upgrade: DataFrame, *, limited: bool = True) -> DataFrame:
     """Both scored lists, one after the other: ``list_no`` 1 or 2, ``pos`` within the list."""
     both = no_ad.withColumn("list_no", F.lit(1)).unionByName(
         upgrade.withColumn("list_no", F.lit(2)), allowMissingColumns=True
     )
-    return with_positions(both)
+    return with_positions(both, limited=limited)
+
+
+def numbered(df: DataFrame, groups: list[str], order: list, name: str, *, limited: bool) -> DataFrame:
+    """Positions from 1. A limited list (a few hundred rows) is numbered in one task, any other by ranges."""
+    if limited:
+        return df.withColumn(name, F.row_number().over(Window.partitionBy(*groups).orderBy(*order)))
+    return running_total(df, groups, order, F.lit(1), name).withColumn(name, (F.col(name) + 1).cast("int"))
 
 
-def with_positions(df: DataFrame) -> DataFrame:
-    """``pos`` by grade, then bookings, within each list. The lists are limited (a few hundred rows)."""
-    order = Window.partitionBy("list_no").orderBy("grade", F.col("res_90d").desc(), "acm_id", "advert_name", "host_phone")
-    return df.withColumn("pos", F.row_number().over(order))
+def with_positions(df: DataFrame, *, limited: bool = True) -> DataFrame:
+    """``pos`` by grade, then bookings, within each list."""
+    ties = [c for c in ("advert_name", "host_phone") if c in df.columns]
+    return numbered(df, ["list_no"], ["grade", F.col("res_90d").desc(), "acm_id", *ties], "pos", limited=limited)
 
 
-def with_overall(targets: DataFrame) -> DataFrame:
-    """``overall`` counts through both (limited) lists."""
-    return targets.withColumn("overall", F.row_number().over(Window.orderBy("list_no", "pos")))
+def with_overall(targets: DataFrame, *, limited: bool = True) -> DataFrame:
+    """``overall`` counts through both lists."""
+    return numbered(targets, [], ["list_no", "pos"], "overall", limited=limited)
 
 
 def candidates(
@@ -43,7 +52,7 @@ def candidates(
 ) -> DataFrame:
     """The targets that get copy: the first in list order, or all of them without a limit."""
     kept = targets if grades is None else targets.filter(F.col("grade").isin(*grades))
-    return with_overall(kept if limit is None else kept.orderBy("list_no", "pos").limit(limit))
+    return with_overall(kept if limit is None else kept.orderBy("list_no", "pos").limit(limit), limited=limit is not None)
 
 
 def first_per_accommodation(targets: DataFrame) -> DataFrame:
@@ -71,11 +80,12 @@ def perf_buckets(hosts: DataFrame) -> DataFrame:
     )
 
 
-def bulk_ids(listed: DataFrame, order: list[str]) -> DataFrame:
-    """One row: the ids as CSV in list order, and how many. ``listed`` is a limited list."""
-    entry = F.struct(*order, "acm_id")
-    ids = F.transform(F.array_sort(F.collect_list(entry)), lambda e: e["acm_id"].cast("string"))
-    return listed.agg(F.array_join(ids, ",").alias("acm_ids"), F.count(F.lit(1)).alias("id_count"))
+def bulk_ids(listed: DataFrame, order: list[str], *, limited: bool = True, size: int = 500) -> DataFrame:
+    """The ids as CSV in list order, at most ``size`` in a row: part (from 1), acm_ids, id_count."""
+    placed = numbered(listed.select(*order, "acm_id"), [], [*order, "acm_id"], "nth", limited=limited)
+    parts = placed.groupBy(F.ceil(F.col("nth") / size).cast("int").alias("part"))
+    ids = F.transform(F.array_sort(F.collect_list(F.struct("nth", "acm_id"))), lambda e: e["acm_id"].cast("string"))
+    return parts.agg(F.array_join(ids, ",").alias("acm_ids"), F.count(F.lit(1)).alias("id_count"))
 
 
 def one_per_host(targets: DataFrame, order: list) -> DataFrame:

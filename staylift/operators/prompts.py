@@ -1,7 +1,7 @@
-"""Instructions for the copy generator: one text per target or host, and one per report.
+"""What the copy generator is asked for: an instruction, the facts, and how to answer. One text per target, host or report.
 
 The generator itself is the user's: apply any ``mapInPandas`` function to the ``prompt`` column and
-feed its ``response`` column to ``parse_copy``.
+feed its ``response`` column to ``parse_copy``. All wording can be replaced by the caller.
 """
 
 from __future__ import annotations
@@ -11,135 +11,103 @@ from pyspark.sql import functions as F
 
 from staylift.config import Packages, Rules
 from staylift.functions import formats as fmt
+from staylift.functions.text import facts
 from staylift.operators.lists import SUMMARY_LINES, perf_buckets
 from staylift.operators.scoring import shows_package, upgrade_offer, wants_price_advice
 
-UPSELL_RULES = (
-    "- 결과는 {\"subject\": ..., \"body\": ...} 형태의 JSON 하나로만 답할 것\n"
-    "- 높임말을 쓰고, 위 실적 수치를 그대로 인용할 것\n"
-    "- 같은 지역에서 이미 광고 중인 숙소 수를 근거로 서두를 이유를 알릴 것 (평균 예약 수는 쓰지 말 것)\n"
-    "- 혜택은 나열하지 말고 두세 문장으로 풀어 쓸 것\n"
-    "- 버튼 문구와 HTML 없이 500자 이내로 쓸 것"
-)
-REPORT_RULES = (
-    "- 결과는 {\"subject\": ..., \"body\": ...} 형태의 JSON 하나로만 답할 것\n"
-    "- 높임말을 쓰고, 위 실적 수치를 그대로 인용할 것\n"
-    "- 조언은 권유하는 말투로 쓸 것\n"
-    "- 버튼 문구와 HTML 없이 600자 이내로 쓸 것"
-)
-UPSELL_SUMMARY_RULES = (
-    "- 첫머리에 전체 타겟 수와 예상 추가 수익을 한두 문장으로 요약할 것\n"
-    "- A급은 이번 주에 바로 연락하도록 표시하고, 숙소마다 짧은 영업 포인트를 한 줄씩 붙일 것\n"
-    "- 끝에 이번 주 할 일 세 가지를 적고 700자를 넘기지 말 것"
-)
-REPORT_SUMMARY_RULES = (
-    "- 두세 문장, 200자 이내로 전체 흐름과 눈에 띄는 점을 요약할 것\n"
-    "- 저조하거나 예약이 없는 숙소는 가격과 품질 점검의 관점에서 다룰 것"
-)
-PERF_GUIDES = {
-    "growth": "축하로 시작하고, 상위 패키지가 성장세 유지에 도움이 될 수 있음을 가볍게 언급.",
-    "stable": "꾸준한 운영을 격려하고, 성수기 준비 요령을 하나 제안.",
-    "poor": "공감하며 시작하고, 비수기나 경쟁 같은 외부 요인을 먼저 든 뒤 가격과 사진, 설명의 개선을 제안.",
-    "zero": "따뜻하게 사실만 전하고, 가격, 대표 사진, 설명, 응답률의 개선점을 조언. 광고나 패키지, 수수료 이야기는 하지 말 것.",
-    "new": "광고 첫 달을 축하하고, 자료가 쌓이는 중임을 알리며 첫인상을 위한 요령을 제안.",
+ANSWER = 'Answer with one JSON object whose keys are "subject" and "body", plain text only.'
+OFFER_GUIDANCE = f"{ANSWER} Stay under 500 characters. Quote the bookings. Mention the neighbours that advertise, not how they do."
+REPORT_GUIDANCE = f"{ANSWER} Stay under 600 characters. Quote the bookings. Suggest, do not demand."
+TARGETS_GUIDANCE = "Open with the totals, mark grade A as this week's calls, give each line a reason to call, stay under 700 characters."
+MONTH_GUIDANCE = "Two or three sentences. Where bookings are few or missing, look at prices and quality."
+TONES = {
+    "growth": "Congratulate, and say in passing that a higher tier can carry the growth on.",
+    "stable": "Encourage, with one idea for the coming season.",
+    "poor": "Show understanding, look for outside reasons first, then suggest better prices, pictures or texts.",
+    "zero": "Be warm and plain; suggest prices, the first picture, the text and quicker answers. No word on adverts, tiers or rates.",
+    "new": "Welcome to the first month; figures are still coming in; one idea for a good first impression.",
 }
 
 
-def _no_null(text: Column, default: str = "") -> Column:
-    return F.coalesce(text.cast("string"), F.lit(default))
+def _won(amount: Column) -> Column:
+    return F.concat(fmt.thousands(amount), F.lit(" won"))
 
 
-def upsell_prompts(targets: DataFrame, rules: Rules, guidance: str = UPSELL_RULES) -> DataFrame:
+def _tier(name: Column, rate: Column) -> Column:
+    return F.format_string("%s at %d%%", name, fmt.rate_percent(rate))
+
+
+def _booked(bookings: Column, value: Column) -> Column:
+    return F.concat(bookings.cast("string"), F.lit(" for "), _won(value))
+
+
+def upsell_prompts(targets: DataFrame, rules: Rules, guidance: str = OFFER_GUIDANCE) -> DataFrame:
     """acm_id, prompt; ``targets`` are scored and carry the region's ``ad_acm_cnt``."""
     package = F.col("rec_package")
-    facts = F.format_string(
-        "[호스트 정보]\n"
-        "- 숙소명: %s\n- 호스트명: %s\n- 현재 패키지: %s (%d%%)\n- 최근 90일 예약: %d건 / GMV %s원\n"
-        "- 같은 지역 내 광고 경쟁 숙소 수: %d개\n- 추천 패키지: %s (%d%%)\n- 예상 추가 수익(90일): 약 %s원",
-        _no_null(F.col("acm_name")), _no_null(F.col("host_name")), _no_null(F.col("advert_name"), "없음"),
-        fmt.rate_percent(F.col("advert_commission")), F.col("res_90d"), fmt.thousands(F.col("gmv_90d")),
-        F.col("ad_acm_cnt"), package, fmt.rate_percent(F.col("rec_rate")), fmt.thousands(F.col("extra_rev_90d")),
-    )
-    prompt = F.concat_ws(
-        "\n\n",
-        F.lit(f"{rules.sender_team} 이름으로 아래 호스트에게 보낼 광고 제안 메일을 쓰세요."),
-        facts,
-        F.concat(F.lit("["), package, F.lit(" 혜택]\n"), fmt.lookup(package, rules.packages.benefits(), "")),
-        F.lit("[지침]\n" + guidance),
+    known = facts(
+        ("stay", F.col("acm_name")),
+        ("host", F.col("host_name")),
+        ("tier now", _tier(F.coalesce("advert_name", F.lit("none")), F.col("advert_commission"))),
+        ("booked in 90 days", _booked(F.col("res_90d"), F.col("gmv_90d"))),
+        ("neighbours that advertise", F.col("ad_acm_cnt")),
+        ("tier to offer", _tier(package, F.col("rec_rate"))),
+        ("what it brings", fmt.lookup(package, rules.packages.benefits(), "")),
+        ("more to expect in 90 days", _won(F.col("extra_rev_90d"))),
     )
+    prompt = F.concat_ws("\n\n", F.lit(f"Offer the host below a better place, in the name of {rules.sender_team}."), known, F.lit(guidance))
     return targets.select("acm_id", prompt.alias("prompt"))
 
 
 def price_advice(host_price: Column, region_price: Column) -> Column:
-    return F.format_string(
-        "[가격 참고]\n귀 숙소 예약당 평균 금액: 약 %s원\n같은 지역 광고 숙소 평균: 약 %s원\n지역 평균보다 높은 편입니다.",
-        fmt.thousands(host_price), fmt.thousands(region_price),
-    )
+    return facts(("own price per booking", _won(host_price)), ("price of neighbours that advertise", _won(region_price)))
 
 
-def report_prompts(hosts: DataFrame, month: Column, rules: Rules, guidance: str = REPORT_RULES) -> DataFrame:
-    """acm_id, prompt; optional parts are NULL and so vanish in ``concat_ws``."""
+def report_prompts(hosts: DataFrame, month: Column, rules: Rules, guidance: str = REPORT_GUIDANCE) -> DataFrame:
+    """acm_id, advert_name, prompt; parts that do not apply have no line."""
     perf = F.col("perf")
     offer = upgrade_offer(perf, F.col("advert_commission"), rules.packages)
-    facts = F.concat_ws(
-        "\n",
-        F.lit("[호스트 정보]"),
-        F.concat(F.lit("- 숙소명: "), _no_null(F.col("acm_name"))),
-        F.concat(F.lit("- 호스트명: "), _no_null(F.col("host_name"))),
-        F.when(
-            shows_package(perf),
-            F.format_string("- 현재 패키지: %s (%d%%)", _no_null(F.col("advert_name")), fmt.rate_percent(F.col("advert_commission"))),
-        ),
-        F.format_string("- %s 예약: %d건 / GMV %s원", month, F.col("res_this_month"), fmt.thousands(F.col("gmv_this_month"))),
-        F.concat(F.lit("- 전월 대비: "), fmt.signed_percent(F.col("change_pct"), plus_at_zero=True)),
-        F.when(
-            shows_package(perf),
-            F.concat(F.lit("- 같은 지역 광고 숙소 평균: "), fmt.one_decimal(F.col("region_avg_res")), F.lit("건")),
-        ),
-        F.concat(F.lit("- 성과 분류: "), perf),
+    advised = wants_price_advice(perf, F.col("price_high"), F.col("region_avg_price"))
+    known = facts(
+        ("stay", F.col("acm_name")),
+        ("host", F.col("host_name")),
+        ("class", perf),
+        ("tier", _tier(F.col("advert_name"), F.col("advert_commission")), shows_package(perf)),
+        ("booked in the month", _booked(F.col("res_this_month"), F.col("gmv_this_month"))),
+        ("against the month before", fmt.signed_percent(F.col("change_pct"), plus_at_zero=True)),
+        ("neighbours' mean", fmt.one_decimal(F.col("region_avg_res")), shows_package(perf)),
+        ("next tier", offer["name"]),
+        ("which adds", offer["benefits"]),
     )
     prompt = F.concat_ws(
         "\n\n",
-        F.concat(F.lit(f"{rules.sender_team} 이름으로 아래 호스트에게 보낼 "), month, F.lit(" 월간 성과 메일을 쓰세요.")),
-        facts,
-        F.when(
-            wants_price_advice(perf, F.col("price_high"), F.col("region_avg_price")),
-            price_advice(F.col("host_price_per_res"), F.col("region_avg_price")),
-        ),
-        F.when(
-            offer.isNotNull(),
-            F.concat(F.lit("[업그레이드 옵션]\n추천 패키지: "), offer["name"], F.lit("\n추가 혜택: "), offer["benefits"]),
-        ),
-        F.concat(F.lit("[작성 방향]\n"), fmt.lookup(perf, PERF_GUIDES, PERF_GUIDES["stable"])),
-        F.lit("[지침]\n" + guidance),
+        F.concat(F.lit(f"Tell the host below, in the name of {rules.sender_team}, how the month went: "), month),
+        known,
+        F.when(advised, price_advice(F.col("host_price_per_res"), F.col("region_avg_price"))),
+        fmt.lookup(perf, TONES, TONES["stable"]),
+        F.lit(guidance),
     )
     return hosts.select("acm_id", "advert_name", prompt.alias("prompt"))
 
 
-def upsell_summary_prompt(listed: DataFrame, guidance: str = UPSELL_SUMMARY_RULES) -> DataFrame:
+def upsell_summary_prompt(listed: DataFrame, guidance: str = TARGETS_GUIDANCE) -> DataFrame:
     """One prompt with a line for each of the first targets of the list."""
     first = listed.orderBy("list_no", "pos").limit(SUMMARY_LINES)
-    line = F.format_string(
-        "- [%s급] %s | 90일 예약 %d건 (지역 광고 숙소 평균 %s건) | 추천: %s(%d%%) | GMV %s원 | 호스트: %s / %s / %s",
-        F.col("grade"), _no_null(F.col("acm_name")), F.col("res_90d"), fmt.one_decimal(F.col("avg_res")),
-        F.col("rec_package"), fmt.rate_percent(F.col("rec_rate")), fmt.thousands(F.col("gmv_90d")),
-        _no_null(F.col("host_name")), _no_null(F.col("host_email")), _no_null(F.col("host_phone")),
+    line = F.concat_ws(
+        "; ",
+        F.concat_ws(" ", "grade", "acm_name"),
+        F.concat(F.lit("booked "), _booked(F.col("res_90d"), F.col("gmv_90d")), F.lit(", neighbours "), fmt.one_decimal(F.col("avg_res"))),
+        F.concat(F.lit("offer "), _tier(F.col("rec_package"), F.col("rec_rate"))),
+        F.concat_ws(", ", "host_name", "host_email", fmt.phone(F.col("host_phone"))),
     )
     entries = F.array_sort(F.collect_list(F.struct("list_no", "pos", line.alias("line"))))
     lines = F.array_join(F.transform(entries, lambda e: e["line"]), "\n")
-    prompt = F.concat(
-        F.lit("아래 업셀 타겟으로 영업팀에 보낼 메시지를 쓰세요.\n\n[업셀 타겟 목록]\n"), lines, F.lit("\n\n[지침]\n" + guidance)
-    )
-    return first.agg(prompt.alias("prompt"))
+    return first.agg(F.concat_ws("\n\n", F.lit("Write to the sales team about these hosts."), lines, F.lit(guidance)).alias("prompt"))
 
 
-def report_summary_prompt(hosts: DataFrame, month: Column, guidance: str = REPORT_SUMMARY_RULES) -> DataFrame:
+def report_summary_prompt(hosts: DataFrame, month: Column, guidance: str = MONTH_GUIDANCE) -> DataFrame:
     """One prompt with the spread of the performance classes."""
-    text = F.format_string(
-        "%s 월간 광고 성과를 팀에 알리는 메시지를 쓰세요.\n\n[성과 분포]\n"
-        "- 🟢 성장: %d개\n- 🟡 유지: %d개\n- 🔴 저조/0건: %d개\n총 %d개 숙소\n\n[지침]\n%s",
-        month, F.col("growth"), F.col("stable"), F.col("poor"), F.col("total"), F.lit(guidance),
-    )
+    known = facts(("month", month), ("growing", F.col("growth")), ("steady", F.col("stable")), ("weak or without bookings", F.col("poor")), ("all", F.col("total")))
+    text = F.concat_ws("\n\n", F.lit("Write to the team how the advertised stays did."), known, F.lit(guidance))
     return perf_buckets(hosts).select(text.alias("prompt"))
 
 

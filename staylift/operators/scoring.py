@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from staylift.config import Packages
-from staylift.operators.baselines import bounded_broadcast
 from staylift.schemas import RATE
 
 # Least bookings per grade; fewer still count as D.
@@ -79,18 +78,18 @@ def price_high(host_price: Column, region_price: Column) -> Column:
     return (region_price > 0) & (host_price > 0) & (host_price > region_price * PRICE_HIGH_FACTOR)
 
 
-def with_baseline(df: DataFrame, baseline: DataFrame, max_regions: int | None = None) -> DataFrame:
+def with_baseline(df: DataFrame, baseline: DataFrame) -> DataFrame:
     """Look up the region's figures; an unknown or empty region has zeros."""
     figures = [c for c in baseline.columns if c != "region"]
-    joined = df.join(bounded_broadcast(baseline, max_regions), "region", "left")
+    joined = df.join(baseline, "region", "left")
     return joined.withColumns({c: F.coalesce(c, F.lit(0)) for c in figures})
 
 
-def score_hosts(hosts: DataFrame, baseline: DataFrame, max_regions: int | None = None) -> DataFrame:
+def score_hosts(hosts: DataFrame, baseline: DataFrame) -> DataFrame:
     this, last = F.col("res_this_month"), F.col("res_last_month")
     host_price = F.coalesce(F.try_divide(F.col("gmv_this_month").cast("double"), this.cast("double")), F.lit(0.0))
     region_price = F.col("avg_price_per_res")
-    scored = with_baseline(hosts, baseline, max_regions).withColumns(
+    scored = with_baseline(hosts, baseline).withColumns(
         {
             "perf": classify(this, last),
             "change_pct": F.round(change_pct(this, last), 1),

@@ -121,8 +121,8 @@ def test_scored_hosts_prices_advice_and_offers(spark, world, rules):
     offers = by_id(prompts.upgrade_offers(hosts, rules.packages))
     assert set(offers) == {growing} and offers[growing].offer_package == rules.packages.top
     texts = {r.acm_id: r.prompt for r in monthly.monthly_prompts(hosts, AS_OF, rules).collect()}
-    assert "가격 참고" in texts[dear] and "업그레이드 옵션" in texts[growing]
-    assert "현재 패키지" not in texts[zero] and "지역 광고 숙소 평균" not in texts[zero] and "2025년 5월" in texts[zero]
+    assert "own price per booking: 1,000 won" in texts[dear] and f"next tier: {rules.packages.top}" in texts[growing]
+    assert "\ntier: " not in texts[zero] and "neighbours' mean" not in texts[zero] and "2025년 5월" in texts[zero]
     assert hosts.filter(F.col("pos") == 1).first().acm_id == growing
 
 
@@ -136,7 +136,9 @@ def test_report_and_mailing(spark, world, rules):
     out = monthly.monthly_report(hosts, copies, AS_OF).collect()
     kinds = {k: sum(r.kind == k for r in out) for k in ("card", "review", "header", "summary", "direct_call")}
     assert kinds["card"] == 20 and kinds["review"] == copies.count() and kinds["direct_call"] == 1
-    assert next(r.body for r in out if r.kind == "header").endswith("총 *25개*\n📌 카드 밖 5개 숙소는 미리보기에서 확인")
+    texts = {r.kind: r.body for r in out}
+    assert texts["header"].endswith("all: 25") and texts["footer"] == "5 more in the previews"
+    assert texts["direct_call_heading"] == "To call: 1" and texts["title"].endswith(f"{AS_OF:%Y-%m-%d}")
     assert len(next(r.body for r in out if r.kind == "bulk").split(",")) == copies.count()
     log = spark.createDataFrame([("h24@example.com", days_ago(25)), ("h23@example.com", days_ago(25.001))], "email STRING, last_sent TIMESTAMP_NTZ")
     everyone = hosts.selectExpr("acm_id", "'s' AS subject", "'b' AS body")

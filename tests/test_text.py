@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from staylift.functions import formats as fmt
-from staylift.functions.text import WORD_FIXES, fix_words, strip
+from staylift.functions.text import WORD_FIXES, facts, fix_words, strip
 from staylift.operators import copy, render
 from staylift.operators.filters import parse_ids
 from staylift.sources.templates import bundled, load_template
@@ -17,7 +17,7 @@ def one(spark, column, **values):
 
 @pytest.mark.parametrize("raw, shown", [
     ("0212345678", "021-234-5678"), ("01012345678", "010-1234-5678"), (" 0212345678 ", "021-234-5678"), ("12345", "12345"),
-    ("", "번호없음"), (None, "번호없음"), ("+821012345678", "+821012345678"),
+    ("", "번호없음"), (None, "번호없음"), ("+821012345678", "+821012345678"), ("\t01012345678\r\n", "010-1234-5678"), ("\u30000212345678\xa0", "021-234-5678"),
 ])
 def test_phone(spark, raw, shown):
     assert one(spark, fmt.phone(F.col("p")), p=(raw, "STRING")) == shown
@@ -30,7 +30,7 @@ def test_numbers(spark):
     for rate, pct in (("0.15", 15), ("0.30", 30), (None, 0)):
         assert one(spark, fmt.rate_percent(F.col("r").cast("decimal(4,2)")), r=(rate, "STRING")) == pct
     for change, arrow, color, card, prompt in (
-        (12.5, "▲ 12.5%", "#2e7d32", "+12.5%", "+12.5%"), (-3.0, "▼ 3.0%", "#c62828", "-3.0%", "-3.0%"), (0.0, "—", "#888", "0.0%", "+0.0%")
+        (12.5, "▲ 12.5%", "#1b6f4a", "+12.5%", "+12.5%"), (-3.0, "▼ 3.0%", "#a8231c", "-3.0%", "-3.0%"), (0.0, "—", "#5f5f5f", "0.0%", "+0.0%")
     ):
         c = F.col("c")
         made = one(
@@ -96,6 +96,29 @@ def test_repeated_copies_do_not_multiply_targets(spark):
     assert [r.acm_id for r in copy.with_copy(targets, copies, required=True).collect()] == [1]
 
 
+def test_the_last_readable_copy_is_joined(spark):
+    targets = spark.createDataFrame([(1,), (2,), (3,)], "acm_id LONG")
+    rows = [(1, 1, '{"subject": "z first", "body": ""}'), (1, 2, '{"subject": "a last", "body": ""}'), (1, 3, "broken"), (2, 1, "broken"), (9, 1, '{"subject": "other"}')]
+    responses = spark.createDataFrame(rows, "acm_id LONG, made INT, response STRING")
+    joined = copy.with_copy(targets, responses, required=False, order="made")
+    assert sorted((r.acm_id, r.subject, r.has_copy) for r in joined.collect()) == [(1, "a last", True), (2, None, False), (3, None, False)]
+
+
+def test_responses_are_cut_to_the_list_before_they_are_parsed_once(spark):
+    targets = spark.range(3).withColumnRenamed("id", "acm_id")
+    responses = spark.range(9).selectExpr("id AS acm_id", "id AS made", "'{}' || id AS response")
+    plan = copy.with_copy(targets, responses, required=True, order="made")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json") == 1
+    assert plan.index("from_json") < plan.index("LeftSemi")  # the semi join is further down
+    for made in (copy.parse_copy(responses), copy.copy_rejects(responses)):
+        assert made._jdf.queryExecution().optimizedPlan().toString().count("from_json") == 1
+
+
+def test_facts_leave_out_what_is_unknown_or_unwanted(spark):
+    text = facts(("a", F.col("x")), ("b", F.col("y")), ("c", F.col("x"), F.col("x") > 1), ("d", F.col("x"), F.col("x") > 0))
+    assert one(spark, text, x=(1, "INT"), y=(None, "STRING")) == "a: 1\nd: 1"
+
+
 UPSELL = dict(
     acm_id=5, host_name=None, acm_name="[a/b] {{acm_id}}", res_90d=3, gmv_90d=1234567, advert_name=None, avg_res=1.25, ad_acm_cnt=2,
     extra_rev_90d=999, rec_package="P", rec_rate=0.15, body="hi {{host_name}}\nthere",
@@ -129,5 +152,5 @@ def test_bundled_templates_leave_no_mark(spark):
 
 
 def test_ids_and_strip(spark):
-    assert one(spark, parse_ids(F.col("c")), c=(" 12,7,,x, 12 ,-3,1.5", "STRING")) == [12, 7, -3]
+    assert one(spark, parse_ids(F.col("c")), c=(" 12,7,,x, 12 ,-3,1.5,\t8\n", "STRING")) == [12, 7, -3, 8]
     assert one(spark, strip(F.col("c")), c=("\n\t a\nb \r\n", "STRING")) == "a\nb"

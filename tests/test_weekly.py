@@ -192,11 +192,13 @@ def test_report_order_candidates_and_cards(spark, world):
     assert [sum(r.list_no == n for r in cards) for n in (1, 2)] == [15, 10]
     # The first thirty are all taken from the first list, so no second-list card has copy.
     assert len([r for r in out if r.kind == "review"]) == 30
-    assert all(("제목" in r.body) == (r.list_no == 1) for r in cards)
+    assert all(("subject: " in r.body) == (r.list_no == 1) for r in cards)
     grades = [r.grade for r in targets.filter("list_no = 1").orderBy("pos").collect()]
     assert grades == sorted(grades)
     assert len([r for r in out if r.kind == "summary"]) == 1
-    assert next(r.body for r in out if r.kind == "header") == "🆕 광고 미가입 40개 | ⬆️ 수수료 업그레이드 12개 | 총 *52개*"
+    assert next(r.body for r in out if r.kind == "header") == "no advert: 40\nhigher tier: 12\nall: 52"
+    assert next(r.body for r in out if r.kind == "title").endswith(f"{AS_OF:%Y-%m-%d}")
+    assert {r.list_no: r.body for r in out if r.kind == "section"} == {1: "Without an advert: 40, 15 on cards", 2: "Ready for a higher tier: 12, 10 on cards"}
     bulk = [int(i) for i in next(r.body for r in out if r.kind == "bulk").split(",")]
     wanted = targets.filter("grade IN ('A', 'B')").orderBy("list_no", "pos").collect()
     assert bulk == [r.acm_id for r in wanted]
@@ -242,6 +244,54 @@ def test_mailing_outcomes_options_and_log(spark, world, rules):
     assert mark_sent(tests, AS_OF, "me@example.com").count() == 0
     assert mark_sent(tests, AS_OF, "me@example.com", mark_tests=True).count() == 1
     box = weekly.mailing_outbox(mails, AS_OF).collect()
-    assert sorted(r.kind for r in box) == ["mail"] * 4 + ["notice"]
+    assert sorted(r.kind for r in box) == ["mail"] * 4 + ["notice", "notice_heading"]
+    assert next(r.body for r in box if r.kind == "notice_heading") == "Not mailed yet: 1"
     a_grade = weekly.weekly_mailing(targets, copies, log, "", AS_OF, grades=("A",))
     assert a_grade.count() == 0
+
+
+def test_every_approved_target_is_mailed_whatever_its_place(spark, world, rules):
+    many = [world.acm(email=f"h{i}@example.com") for i in range(8)]
+    for n, a in enumerate(many):
+        world.book(a, 20 - n)
+    t = world.tables(spark)
+    log = spark.createDataFrame([], "email STRING, last_sent TIMESTAMP_NTZ")
+    copies = spark.createDataFrame([(a, 1, f'{{"subject": "{a}", "body": "b"}}') for a in many], "acm_id LONG, made INT, response STRING")
+    ids = spark.createDataFrame([(many[0],), (many[7],), (999_999,)], "acm_id LONG")
+
+    def mailed(targets, wanted=ids, **options):
+        return ids_of(weekly.weekly_mailing(targets, copies, log, "", AS_OF, ids=wanted, order="made", **options))
+
+    def ids_of(df):
+        return sorted(r.acm_id for r in df.collect())
+
+    assert mailed(weekly.weekly_targets(t, AS_OF, rules, no_ad_limit=3)) == [many[0]]
+    whole = weekly.weekly_targets(t, AS_OF, rules, no_ad_limit=None, upgrade_limit=None, ids=ids)
+    assert mailed(whole, limited=False) == [many[0], many[7]]
+    assert [r.pos for r in whole.orderBy("pos").collect()] == [1, 2]
+    # An approval without an id asks for the first of the list, besides the named ones.
+    assert mailed(weekly.weekly_targets(t, AS_OF, rules), spark.createDataFrame([(None,), (many[7],)], "acm_id LONG")) == sorted(many)
+
+
+def test_uncapped_lists_have_the_same_positions(spark, world, rules):
+    for i in range(30):
+        world.book(world.acm(), 1 + i % 7)
+    t = world.tables(spark)
+    limited, whole = (weekly.weekly_targets(t, AS_OF, rules, no_ad_limit=n, upgrade_limit=n) for n in (100, None))
+    assert sorted(limited.collect()) == sorted(whole.select(*limited.columns).collect())
+    from staylift.operators import lists
+
+    parts = lists.bulk_ids(whole, ["list_no", "pos"], limited=False, size=7).orderBy("part").collect()
+    assert [r.id_count for r in parts] == [7, 7, 7, 7, 2]
+    assert [int(i) for r in parts for i in r.acm_ids.split(",")] == [r.acm_id for r in whole.orderBy("pos").collect()]
+
+
+def test_delivery_reports_make_failures(spark, world, rules):
+    from staylift.operators.cooldown import batch_outcome, mark_sent, with_deliveries
+
+    rows = [(1, "a", "success"), (2, "b", "success"), (3, "c", "success"), (4, "d", "skip"), (5, None, "skip")]
+    mailed = spark.createDataFrame(rows, "acm_id LONG, recipient STRING, outcome STRING")
+    reports = spark.createDataFrame([(1, "a", False), (1, "a", True), (2, "b", False), (4, "d", False)], "acm_id LONG, recipient STRING, delivered BOOLEAN")
+    done = with_deliveries(mailed, reports)
+    assert {r.outcome: r.mails for r in batch_outcome(done).collect()} == {"success": 2, "fail": 1, "skip": 2}
+    assert sorted(r.email for r in mark_sent(done, AS_OF).collect()) == ["a", "c"]
