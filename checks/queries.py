@@ -20,7 +20,7 @@ from staylift.functions.prices import realised_price
 from staylift.functions.text import fix_words
 from staylift.operators import adverts, bookings, cards, cooldown, lists, prompts, render, scoring
 from staylift.operators.copy import copy_rejects, last_copy, parse_copy, with_copy
-from staylift.operators.filters import nonempty_regions, only_ids, with_recipient
+from staylift.operators.filters import in_month, month_range, nonempty_regions, only_ids, with_recipient
 from staylift.plans import monthly, weekly
 from staylift.schemas import NATIVE
 from staylift.sources.contact_log import merge_contacts, read_contact_log, read_contacts
@@ -499,6 +499,16 @@ def month_label(spark: SparkSession, sf: str) -> DataFrame:
     return b.read(spark, sf, "orders").groupBy(label.alias("label")).agg(F.count(F.lit(1)).alias("orders"))
 
 
+@query(
+    "SELECT '1997-12-01' AS first_day, '1997-12-31' AS last_day, CAST(count(*) AS BIGINT) AS orders FROM orders "
+    "WHERE CAST(o_orderdate AS DATE) BETWEEN DATE '1997-12-01' AND DATE '1997-12-31'"
+)
+def orders_of_last_month(spark: SparkSession, sf: str) -> DataFrame:
+    first, last = month_range(AS_OF, 1)
+    found = b.read(spark, sf, "orders").filter(in_month("o_orderdate", AS_OF, 1)).agg(F.count(F.lit(1)).alias("orders"))
+    return found.select(first.cast("string").alias("first_day"), last.cast("string").alias("last_day"), "orders")
+
+
 # --- texts -----------------------------------------------------------------------------------------
 
 

@@ -30,8 +30,15 @@ def exclude_name_all_of(df: DataFrame, name: str, words: tuple[str, ...]) -> Dat
     return df.filter(~has_all_words(F.col(name), words))
 
 
-def exclude_type_suffix(df: DataFrame, type_name: str, suffix: str) -> DataFrame:
-    return df.filter(F.col(type_name).isNull() | ~F.col(type_name).endswith(suffix))
+def exclude_type_suffix(df: DataFrame, types: DataFrame, suffix: str) -> DataFrame:
+    """Drop rows whose ``type_id`` names a type (id, name) that ends in ``suffix``; a row without a type stays.
+
+    Only the excluded types are looked up. Rows without a type get a key of their own each, so that they meet in no one
+    task should the look-up be a shuffle.
+    """
+    excluded = types.filter(F.col("name").endswith(suffix)).select(F.col("id").cast("string").alias("type_key"))
+    key = F.coalesce(F.col("type_id").cast("string"), F.concat(F.lit("none "), F.col("id").cast("string")))
+    return df.withColumn("type_key", key).join(excluded, "type_key", "left_anti").drop("type_key")
 
 
 def status_in(statuses: tuple[int, ...]) -> Column:

@@ -22,20 +22,12 @@ from staylift.sources.tables import Tables
 
 
 def eligible_accommodations(t: Tables, rules: Rules) -> DataFrame:
-    """acm_id, acm_name, sales_id, user_id, region of live accommodations whose name and type are not excluded.
-
-    Only the excluded types are looked up. Accommodations without a type get a key of their own each, so that they meet
-    in no one task should the look-up be a shuffle.
-    """
-    acm = exclude_name_all_of(live_accommodations(t.accommodations), "name_expression", rules.name_words)
-    types = t.accommodation_types.selectExpr("CAST(id AS STRING) AS type_key", "name AS type_name")
-    excluded = types.join(exclude_type_suffix(types, "type_name", rules.type_suffix), ["type_key"], "left_anti")
-    keyed = acm.select(
-        F.col("id").alias("acm_id"), F.col("name_expression").alias("acm_name"), "sales_id", "user_id",
-        region_of(F.col("name_expression")).alias("region"),
-        F.coalesce(F.col("type_id").cast("string"), F.concat(F.lit("none "), F.col("id").cast("string"))).alias("type_key"),
+    """acm_id, acm_name, sales_id, user_id, region of live accommodations whose name and type are not excluded."""
+    named = exclude_name_all_of(live_accommodations(t.accommodations), "name_expression", rules.name_words)
+    name = F.col("name_expression")
+    return exclude_type_suffix(named, t.accommodation_types, rules.type_suffix).select(
+        F.col("id").alias("acm_id"), name.alias("acm_name"), "sales_id", "user_id", region_of(name).alias("region")
     )
-    return keyed.join(excluded.select("type_key"), "type_key", "left_anti").drop("type_key")
 
 
 def with_users(acm: DataFrame, t: Tables, rules: Rules, *, exclude_test: bool) -> DataFrame:

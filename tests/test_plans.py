@@ -50,6 +50,16 @@ def test_no_ad_plan(jobs):
     assert scan and "l_tax" not in scan.group(1) and "l_quantity" not in scan.group(1)
 
 
+def test_users_and_phones_come_after_what_thins_the_list(jobs, no_broadcast):
+    """Bookings and adverts, keyed by accommodation, are joined below the users, and phones only meet the limited list."""
+    text = plan(jobs["no_ad"]()).split("\n\n")[0]
+    # Of these, one join and four exchanges are the binding's own (accommodations made of two tables, types of their rows).
+    assert (text.count("SortMergeJoin"), text.count("Exchange")) == (7, 14)
+    top = text.index("TakeOrderedAndProject")
+    limit = text.index("TakeOrderedAndProject", top + 1)
+    assert "SortMergeJoin LeftOuter" in text[top:limit] and "SortMergeJoin LeftAnti" in text[limit:]
+
+
 def test_month_filter_is_pushed_down(jobs):
     text = plan(jobs["hosts"]())
     assert "GreaterThanOrEqual(l_shipdate,1997-11-01T00:00), LessThan(l_shipdate,1998-01-01T00:00)" in text
