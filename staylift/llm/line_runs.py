@@ -150,10 +150,12 @@ def drop_repeated_lines(batches: list[DataFrame], min_docs: int = 10, fanout: in
     """
     spark = batches[0].sparkSession
     runs = LineRuns(spark, settled_at=min_docs, fanout=fanout)
-    for batch in batches:
-        runs.add(batch.select("text"))
-    frequent = checkpointed(runs.frequent(min_docs))
-    runs.close()
+    try:
+        for batch in batches:
+            runs.add(batch.select("text"))
+        frequent = checkpointed(runs.frequent(min_docs))
+    finally:
+        runs.close()
     docs = batches[0]
     for batch in batches[1:]:
         docs = docs.unionByName(batch)

@@ -1,25 +1,21 @@
-"""What several operators need: word and letter-case rules, settled tables, running totals over a whole table."""
+"""What several operators need: word and letter-case rules; numbering and checkpoints are the library's own."""
 
 from __future__ import annotations
 
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from staylift.sources.workspace import shared_folder
+from staylift.operators.numbering import checkpointed, running_total
+
+__all__ = ["SPACE", "SPACES", "ascii_lower", "checkpointed", "running_total", "trimmed", "word_count", "words_of"]
 
 #: The six white-space characters that part words; every other character belongs to a word.
 SPACE = r"[\x20\x09-\x0D]+"
 SPACES = " \t\n\x0b\x0c\r"
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """Rows computed once and kept in the shared folder, so that later branches agree and a lost executor costs a read."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint()
-
-
 @F.arrow_udf(StringType())
 def ascii_lower(text):
     """Lower-case A-Z and nothing else; null stays null."""
@@ -38,28 +34,3 @@ def words_of(text: Column) -> Column:
 def word_count(text: Column) -> Column:
     bare = trimmed(F.coalesce(text, F.lit("")))
     return F.when(bare == "", 0).otherwise(F.size(F.split(bare, SPACE))).cast("long")
-
-
-def running_total(rows: DataFrame, groups: list[str], order: list[str], weight: Column, into: str) -> DataFrame:
-    """Add ``into``: the sum of ``weight`` (long) over all rows of the same group that come earlier in ``order``.
-
-    ``groups`` must hold no nulls; nulls in ``order`` come first; rows that tie are placed in any one order. The table
-    is range-partitioned by group and order, so that a group of any size is cut into many partitions; each partition
-    sums its own rows, and only the partitions' totals are summed across partitions. With a weight of one this is a
-    gapless number. ``rows`` should be cheap to read twice (range bounds are sampled).
-    """
-    cut = checkpointed(
-        rows.withColumn("_weight", weight.cast("long")).withColumn("_tie", F.monotonically_increasing_id())
-        .repartitionByRange(*groups, *order, "_tie").withColumn("_part", F.spark_partition_id())
-    )
-    before = (Window.unboundedPreceding, -1)
-    parts = cut.groupBy("_part", *groups).agg(F.sum("_weight").alias("_total"))
-    earlier = Window.partitionBy(*groups).orderBy("_part").rowsBetween(*before)
-    parts = parts.select("_part", *groups, F.coalesce(F.sum("_total").over(earlier), F.lit(0)).alias("_before"))
-    inside = Window.partitionBy("_part", *groups).orderBy(*order, "_tie").rowsBetween(*before)
-    summed = cut.withColumn("_inside", F.coalesce(F.sum("_weight").over(inside), F.lit(0)))
-    return (
-        summed.join(parts, ["_part", *groups])
-        .withColumn(into, F.col("_before") + F.col("_inside"))
-        .drop("_part", "_tie", "_weight", "_before", "_inside")
-    )

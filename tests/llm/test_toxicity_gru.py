@@ -125,5 +125,7 @@ def test_nulls_repeats_and_clashing_names(spark):
     model = t.fitted(docs, labels, sample=50)
     got = t.scored(docs.repartition(4), model).collect()
     assert len(got) == 123 and all(0 <= r.score <= 1 for r in got)
+    unlabelled = t.fitted(docs, labels.limit(0))
+    assert all(r.score < 0.1 for r in t.scored(docs, unlabelled).collect())
     empty = docs.limit(0)
     assert t.scored(empty, t.fitted(empty, labels.limit(0))).collect() == []
