@@ -17,8 +17,24 @@ def normalised(text: Column) -> Column:
     return ascii_lower(F.coalesce(text, F.lit("")))
 
 
-def copy_groups(docs: DataFrame, salts: int = 32, digest=text_digest) -> DataFrame:
-    """A row per distinct normalised text: digest, keep_id (largest doc_id), group_size, norm.
+def _with_digest(docs: DataFrame, digest, *more: Column) -> DataFrame:
+    """Documents with the digest of their normalised text, which is never null."""
+    norm = normalised(F.col("text"))
+    return docs.select("doc_id", "text", *more, F.coalesce(digest(norm), F.lit("")).alias("digest"))
+
+
+def twin_digests(rows: DataFrame) -> DataFrame:
+    """Digests of more than one row. The others need no comparison: their texts differ from all. No text is moved."""
+    counts = rows.groupBy("digest").agg(F.count("*").alias("n"))
+    return checkpointed(counts.filter("n > 1").select("digest"))
+
+
+def _salt(salts: int) -> Column:
+    return (F.spark_partition_id() % salts).alias("salt")
+
+
+def copy_groups(rows: DataFrame, salts: int = 32) -> DataFrame:
+    """A row per distinct normalised text of ``rows`` (doc_id, text, digest): digest, keep_id (largest doc_id), group_size, norm.
 
     Three combining stages, each grouping on the content itself and not on its digest alone: rows of one task (the
     map-side half of the first aggregation), rows of one of ``salts`` shares of a digest, and the salts' winners of a
@@ -26,28 +42,13 @@ def copy_groups(docs: DataFrame, salts: int = 32, digest=text_digest) -> DataFra
 
     ``norm`` is null unless two texts share the digest; then the content has to tell their rows apart.
     """
-    rows = (
-        docs.select("doc_id", normalised(F.col("text")).alias("norm"))
-        .withColumn("digest", digest(F.col("norm")))
-        .withColumn("salt", F.spark_partition_id() % salts)
-    )
-    salted = rows.groupBy("digest", "salt", "norm").agg(F.max("doc_id").alias("keep_id"), F.count("*").alias("n"))
-    dealt = salted.repartition("digest")
-    whole = dealt.groupBy("digest", "norm").agg(F.max("keep_id").alias("keep_id"), F.sum("n").alias("group_size"))
+    salted = rows.select("doc_id", "digest", _salt(salts), normalised(F.col("text")).alias("norm")).groupBy("digest", "salt", "norm")
+    winners = salted.agg(F.max("doc_id").alias("keep_id"), F.count("*").alias("n")).repartition("digest")
+    whole = winners.groupBy("digest", "norm").agg(F.max("keep_id").alias("keep_id"), F.sum("n").alias("group_size"))
     shared = F.count("*").over(Window.partitionBy("digest")) > 1
     return checkpointed(whole.select("digest", "keep_id", "group_size", F.when(shared, F.col("norm")).alias("norm")))
 
 
-def _identified(docs: DataFrame, groups: DataFrame, digest) -> tuple[DataFrame, DataFrame, list[str]]:
-    """Documents and groups with the columns that name a text: the digest, and the content as soon as any two clash."""
-    rows = docs.withColumn("norm", normalised(F.col("text"))).withColumn("digest", digest(F.col("norm")))
-    if groups.filter("norm IS NOT NULL").isEmpty():
-        return rows.drop("norm"), groups.drop("norm"), ["digest"]
-    same = groups.groupBy("digest").agg(F.count("*").alias("contents"))
-    rows = rows.join(same, "digest").withColumn("norm", F.when(F.col("contents") > 1, F.col("norm")).otherwise(""))
-    return rows.drop("contents"), groups.withColumn("norm", F.coalesce("norm", F.lit(""))), ["digest", "norm"]
-
-
 def mark_copies(docs: DataFrame, salts: int = 32, digest=text_digest) -> DataFrame:
     """Every document with its group: doc_id, keep_id, group_size, kept, text_sha256.
 
@@ -55,11 +56,19 @@ def mark_copies(docs: DataFrame, salts: int = 32, digest=text_digest) -> DataFra
     doc_id stays; a null doc_id is smaller than any. Rows that repeat both doc_id and text are one document and carry
     the same flags. Other columns are not read. An empty table gives no rows.
     """
-    ids = docs.select("doc_id", "text")
-    groups = copy_groups(ids, salts, digest)
-    rows, groups, names = _identified(ids, groups, digest)
-    return rows.drop("text").join(groups, names).select(
-        "doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"),
+    rows = _with_digest(docs.select("doc_id", "text"), digest)
+    groups = copy_groups(rows.join(twin_digests(rows), "digest", "left_semi"), salts)
+    names = ["digest"]
+    if not groups.filter("norm IS NOT NULL").isEmpty():
+        # Some digest has two contents: from here on the content is part of what names a text with such a digest.
+        clashing = groups.filter("norm IS NOT NULL").select("digest", F.lit(True).alias("clash")).distinct()
+        rows = rows.join(clashing, "digest", "left").withColumn("norm", F.when(F.col("clash"), normalised(F.col("text"))).otherwise("")).drop("clash")
+        groups, names = groups.withColumn("norm", F.coalesce("norm", F.lit(""))), ["digest", "norm"]
+    found = rows.drop("text").join(groups if len(names) > 1 else groups.drop("norm"), names, "left")
+    alone = F.col("group_size").isNull()
+    found = found.withColumn("keep_id", F.when(alone, F.col("doc_id")).otherwise(F.col("keep_id")))
+    return found.select(
+        "doc_id", "keep_id", F.coalesce("group_size", F.lit(1)).alias("group_size"), F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"),
         F.col("digest").alias("text_sha256"),
     )
 
@@ -67,15 +76,15 @@ def mark_copies(docs: DataFrame, salts: int = 32, digest=text_digest) -> DataFra
 def drop_copies(docs: DataFrame, salts: int = 32, digest=text_digest) -> DataFrame:
     """One document of every group of equal texts, with all columns of ``docs`` whatever their names.
 
-    The rule is that of ``mark_copies``; of rows that repeat both doc_id and text one stays.
+    The rule is that of ``mark_copies``, with the same stages, which here carry the winners' whole rows; of rows that
+    repeat both doc_id and text one stays. Documents whose digest no other has go through untouched.
     """
-    packed = docs.select("doc_id", "text", F.struct("*").alias("whole"))
-    groups = copy_groups(docs.select("doc_id", "text"), salts, digest)
-    rows, groups, names = _identified(packed, groups, digest)
-    groups = groups.select(*names, F.col("keep_id").alias("doc_id"))
-    once = rows.drop("text").dropDuplicates([*names, "doc_id"])
-    same = [once[c].eqNullSafe(groups[c]) for c in [*names, "doc_id"]]
-    condition = same[0]
-    for c in same[1:]:
-        condition = condition & c
-    return once.join(groups, condition, "left_semi").select("whole.*")
+    packed = _with_digest(docs, digest, F.struct("*").alias("whole"))
+    twins = twin_digests(packed)
+    rows = packed.select("digest", "whole")
+    alone = rows.join(twins.hint("shuffle_hash"), "digest", "left_anti").select("whole.*")
+    copied = rows.join(twins.hint("shuffle_hash"), "digest", "left_semi")
+    last = F.max_by("whole", F.struct("whole.doc_id")).alias("whole")
+    salted = copied.withColumn("norm", normalised(F.col("whole.text"))).groupBy("digest", _salt(salts), "norm").agg(last)
+    winners = salted.groupBy("digest", "norm").agg(last)
+    return alone.unionByName(winners.select("whole.*"))
