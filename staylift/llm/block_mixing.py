@@ -79,7 +79,9 @@ def draws(quotas: DataFrame, shard_blocks: int, seed: int) -> DataFrame:
     counts = checkpointed(found.groupBy("shard", "rank").agg(F.count("*").alias("drawn")))
     placed = checkpointed(running_total(counts, ["rank"], ["shard"], F.col("drawn"), "start").join(pool.select("rank", "blocks", "quota"), "rank"))
     fits = F.greatest(F.lit(0), F.least(F.col("drawn"), F.col("quota") - F.col("start")))
-    kept = placed.select("shard", "rank", "blocks", "start", fits.alias("n")).filter("n > 0")
+    # A row stands for thousands of slots here, so that its size says nothing of the work: deal the rows out first.
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    kept = placed.select("shard", "rank", "blocks", "start", fits.alias("n")).filter("n > 0").repartition(parts, "shard", "rank")
     kept = kept.select("shard", "rank", "blocks", F.explode(F.sequence(F.col("start"), F.col("start") + F.col("n") - 1)).alias("turn"))
 
     spare = placed.select("shard", "rank", (F.col("drawn") - fits).alias("n")).filter("n > 0")
