@@ -59,7 +59,7 @@ def gray_rank(fp: Column) -> Column:
 # --- inside one pair of leaves ------------------------------------------------------------------------
 
 FANOUT = 8
-FRONTIER = 1 << 14
+FRONTIER = 1 << 12
 
 
 def _tree(fps: np.ndarray, height: int) -> list[tuple[np.ndarray, np.ndarray]]:

@@ -295,14 +295,17 @@ def _logits(model: Model, word: np.ndarray, gram: np.ndarray, first: np.ndarray,
     return out
 
 
-def scores(model: Model, texts: list[str | None]) -> np.ndarray:
-    """Probability of the worst window of each text."""
-    words = Words([(t or "").encode() for t in texts])
-    word, gram = model.inputs(words)
-    first, count, text = _windows(words.owner, len(texts))
-    worst = np.full(len(texts), -np.inf, np.float32)
-    np.maximum.at(worst, text, _logits(model, word, gram, first, count))
-    return _sigmoid(worst.astype(np.float64))
+def scores(model: Model, texts: list[str | None], at_once: int = 1 << 17) -> np.ndarray:
+    """Probability of the worst window of each text. Memory follows ``at_once`` characters, or the longest text."""
+    found = []
+    for _, part in _chunks([t or "" for t in texts], at_once):
+        words = Words(part)
+        word, gram = model.inputs(words)
+        first, count, text = _windows(words.owner, len(part))
+        worst = np.full(len(part), -np.inf, np.float32)
+        np.maximum.at(worst, text, _logits(model, word, gram, first, count))
+        found.append(_sigmoid(worst.astype(np.float64)))
+    return np.concatenate(found) if found else np.zeros(0)
 
 
 def train(texts: list[str], label: list[int], epochs: int = 10, steps: int = 100, batch: int = 64, rate: float = 0.02, seed: int = 7) -> Model:
@@ -397,7 +400,13 @@ def fitted(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, chars: int
     return train([r[1] for r in rows], [r[2] for r in rows])
 
 
-def scored(docs: DataFrame, model: Model, at_once: int = 2 << 20) -> DataFrame:
+def _slices(batches: Iterable[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for k in range(0, batch.num_rows, rows):
+            yield batch.slice(k, rows)
+
+
+def scored(docs: DataFrame, model: Model) -> DataFrame:
     """doc_id, text_hash and score of every document, over all overlapping windows of its whole text.
 
     Null and empty texts have one window without words. Equal texts have equal scores. Other columns are not read.
@@ -405,24 +414,15 @@ def scored(docs: DataFrame, model: Model, at_once: int = 2 << 20) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def marked(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts, found, held, size = batch["text"].to_pylist(), [], [], 0
-            for text in texts:
-                held.append(text)
-                size += len(text or "")
-                if size >= at_once:
-                    found.append(scores(shared.value, held))
-                    held, size = [], 0
-            if held:
-                found.append(scores(shared.value, held))
-            values = np.concatenate(found) if found else np.zeros(0)
-            yield pa.RecordBatch.from_arrays([batch["doc_id"], batch["text_hash"], pa.array(values, pa.float64())], ["doc_id", "text_hash", "score"])
+        for part in _slices(batches):
+            values = pa.array(scores(shared.value, part["text"].to_pylist()), pa.float64())
+            yield pa.RecordBatch.from_arrays([part["doc_id"], part["text_hash"], values], ["doc_id", "text_hash", "score"])
 
     rows = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
     return rows.mapInArrow(marked, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, text_hash LONG, score DOUBLE")
 
 
-def without_toxic(docs: DataFrame, model: Model, threshold: float = 0.7, at_once: int = 256) -> DataFrame:
+def without_toxic(docs: DataFrame, model: Model, threshold: float = 0.7) -> DataFrame:
     """The documents whose score stays below ``threshold``, with all columns of ``docs`` whatever their names.
 
     Rows are judged where they are, without a shuffle. Null and empty texts stay unless the model thinks blank texts toxic.
@@ -431,9 +431,7 @@ def without_toxic(docs: DataFrame, model: Model, threshold: float = 0.7, at_once
     place = docs.columns.index("text")
 
     def kept(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for k in range(0, batch.num_rows, at_once):
-                part = batch.slice(k, at_once)
-                yield part.filter(pa.array(scores(shared.value, part.column(place).to_pylist()) < threshold))
+        for part in _slices(batches):
+            yield part.filter(pa.array(scores(shared.value, part.column(place).to_pylist()) < threshold))
 
     return docs.mapInArrow(kept, docs.schema)
