@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: Bytes of text that one packing task takes in, about; and shares of the sequence numbers that a task may use.
-GROUP_BYTES = 8 << 20
+GROUP_BYTES = 2 << 20
 NUMBERS = 1 << 32
 END = 0
 
