@@ -12,6 +12,7 @@ from staylift.llm.shared import checkpointed, running_total, word_count
 #: Cells by which a drawn number finds its source; a lookup reads the sources of one cell.
 CELLS = 4096
 ROUNDS = 20
+SLOTS_PER_TASK = 1 << 22
 
 
 def targets(sized: DataFrame, weights: Sequence[int], percent: int, cap: int) -> DataFrame:
@@ -72,7 +73,8 @@ def draws(quotas: DataFrame, shard_blocks: int, seed: int) -> DataFrame:
     width = max(1, -(-slots // CELLS))
     last = F.floor((F.col("low") + F.col("quota") - 1) / width)
     cells = pool.select("rank", "low", (F.col("low") + F.col("quota")).alias("high"), F.explode(F.sequence(F.floor(F.col("low") / width), last)).alias("cell"))
-    drawn = spark.range(slots).select(
+    tasks = max(spark.sparkContext.defaultParallelism, -(-slots // SLOTS_PER_TASK))
+    drawn = spark.range(0, slots, 1, tasks).select(
         F.floor(F.col("id") / shard_blocks).cast("long").alias("shard"), F.pmod(_hash(seed, "id"), F.lit(max(1, slots))).alias("number")
     ).withColumn("cell", F.floor(F.col("number") / width))
     found = drawn.join(cells, "cell").filter("low <= number AND number < high")
