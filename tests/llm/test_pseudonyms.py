@@ -127,7 +127,7 @@ def texts() -> list:
         "call +1 (017) 555-7713 or (234) 555-0199 or 234-555-0199 or +44 234.555.0199", "97.51.17.173 256.1.1.1 1.2.3 01.2.3.4 0.0.0.0 255.255.255.255 v1.2.3.4.5",
         "on 2024-02-29 and 2023-02-29, 1999/12/31; 31.12.1999 12/31/1999 31/12/1999 0001-01-01 1800-01-01 2199-12-31 2024-13-01",
         "ssn 123-45-6789 000-12-3456 666-12-3456 900-12-3456 123-00-4567 665-99-9999 667-01-0001", 'token = "04dbebab91ab85687d33eeaaf9ac699e1188f962"',
-        "password: 'Abc-def_12345678' api_key=\"short\"", "4111 1111 1111 1111 4111-1111-1111-1111 378282246310005 3782 822463 10005 4111111111111112",
+        "password: 'Abc-def_12345678' TOKEN = 'ABCDEF0123456789' api_key=\"short\"", "4111 1111 1111 1111 4111-1111-1111-1111 378282246310005 3782 822463 10005 4111111111111112",
         "É4111111111111111É 12345678901234567890", "4111111111111111 4111111111111111\n4111111111111111", "x" * 200_000 + " 10.0.0.1", "9" * 5000, "a.b" * 3000 + "@" + "c." * 3000,
     ]
     for _ in range(60):
