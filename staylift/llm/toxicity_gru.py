@@ -7,7 +7,7 @@ score is that of its worst window.
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -116,7 +116,7 @@ def _documents_with(hashes: np.ndarray, owners: np.ndarray) -> tuple[np.ndarray,
     return np.unique(h[once], return_counts=True)
 
 
-def _chunks(texts: list[str], at_once: int = 1 << 20) -> Iterator[tuple[int, list[bytes]]]:
+def _chunks(texts: list[str], at_once: int = 1 << 18) -> Iterator[tuple[int, list[bytes]]]:
     """Texts in stretches of about ``at_once`` characters, each with the place of its first."""
     held, size, first = [], 0, 0
     for k, text in enumerate(texts):
@@ -321,12 +321,19 @@ def train(texts: list[str], label: list[int], epochs: int = 10, steps: int = 100
     kinds[1] += [""] * max(1, len(texts) // 50)
     toxic, clean = map(len, kinds)
     texts, y = [*kinds[0], *kinds[1]], np.repeat(np.array([1, 0], np.float32), [toxic, clean])
-    def all_grams(words: Words) -> tuple[np.ndarray, np.ndarray]:
-        found = [words.grams(n) for n in GRAMS]
-        return np.concatenate([h for h, _ in found]), words.owner[np.concatenate([o for _, o in found])]
+    def grams_of(length: int) -> Callable[[Words], tuple[np.ndarray, np.ndarray]]:
+        def hashed(words: Words) -> tuple[np.ndarray, np.ndarray]:
+            hashes, owners = words.grams(length)
+            return hashes, words.owner[owners]
+
+        return hashed
 
     word_hash, word_force = _telling(*kinds, lambda words: (words.hashes, words.owner))
-    gram_hash, gram_force = _telling(*kinds, all_grams)
+    # One length at a time, so that no more than the n-grams of one length are held.
+    found = [_telling(*kinds, grams_of(length)) for length in GRAMS]
+    gram_hash, gram_force = (np.concatenate([x[k] for x in found]) for k in (0, 1))
+    best = np.lexsort((gram_hash, -gram_force))[:ENTRIES]
+    gram_hash, gram_force = gram_hash[best], gram_force[best]
 
     def table(force: np.ndarray) -> np.ndarray:
         vectors = rng.normal(0, 0.05, (len(force) + 1, WIDTH)).astype(np.float32)
