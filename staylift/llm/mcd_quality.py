@@ -17,7 +17,8 @@ MIN_WORDS = 50
 #: Units of a transformed statistic per 1.0; vectors are whole numbers, so that sums over any partitioning agree.
 SCALE = 128
 #: Statistics of the vector and the least spread each is credited with, since most clean texts have none of the last three.
-SPREAD = {"v_length": 0.05, "v_symbols": 0.05, "v_lines": 0.25, "v_repeats": 0.25}
+#: Small enough that each statistic can reject alone, even repeated words, whose root share is at most sqrt(0.5) here.
+SPREAD = {"v_length": 0.05, "v_symbols": 0.05, "v_lines": 0.14, "v_repeats": 0.14}
 VECTOR = list(SPREAD)
 P = len(VECTOR)
 PAIRS = [(i, j) for i in range(P) for j in range(i + 1)]
@@ -225,7 +226,7 @@ def robust_estimates(rows: DataFrame, share: float) -> DataFrame:
     return _estimates(moments, share).withColumn("turn", F.row_number().over(ordered)).filter("turn = 1").drop("turn", "start")
 
 
-def judged(docs: DataFrame, share: float = 0.75, tail: float = 1e-6, least: int = 30) -> DataFrame:
+def judged(docs: DataFrame, share: float = 0.75, tail: float = 1e-3, least: int = 30) -> DataFrame:
     """Every document with its counts and verdict: doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
     base_failed, kept, distance.
 

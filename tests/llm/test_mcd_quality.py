@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import inspect
 import math
 import random
 from collections import Counter
@@ -120,3 +121,28 @@ def test_rejects_junk_and_keeps_clean_documents(spark):
     got = m.judged(documents(spark, sf)).filter("NOT base_failed").join(labels, "doc_id")
     shares = {r.quality: r.kept for r in got.groupBy("quality").agg(F.avg(F.col("kept").cast("int")).alias("kept")).collect()}
     assert shares[1] > 0.99 and shares[0] < 0.1, shares
+
+
+def test_repeated_lines_and_phrases_are_rejected_among_clean_words(spark):
+    r = random.Random(8)
+
+    def distinct(n: int) -> list[str]:
+        return ["".join(r.choice("abcdefghij") for _ in range(8)) for _ in range(n)]
+
+    clean = [" ".join(distinct(120)) for _ in range(60)]
+    line, phrase = " ".join(distinct(7)), distinct(9)
+    lines = "\n".join([line] * 14 + [" ".join(distinct(100))])
+    # A line that repeats and is too short to repeat a window of three words, and a phrase that repeats on no line.
+    short = "\n".join(" ".join(distinct(2)) if i % 2 else "aaaaaaaa bbbbbbbb" for i in range(80))
+    phrases = " ".join(w for _ in range(10) for w in [*phrase, *distinct(10)])
+    rows = [(i, t, "en", "s", *[None] * 5) for i, t in enumerate([*clean, lines, short, phrases])]
+    got = {x.doc_id: x for x in m.judged(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert not any(x.base_failed for x in got.values())
+    assert (got[60].n_dup_lines, got[60].n_repeat_words) == (13, 98) and got[61].n_repeat_words == 0 == got[62].n_dup_lines
+    assert {i for i, x in got.items() if not x.kept} == {60, 61, 62}
+
+
+def test_every_statistic_can_reject_alone():
+    most = {"v_length": 1.0, "v_symbols": 1.0, "v_lines": 1.0, "v_repeats": math.sqrt(0.5)}
+    tail = inspect.signature(m.judged).parameters["tail"].default
+    assert min((most[v] / spread) ** 2 for v, spread in m.SPREAD.items()) > m.chi2_quantile(1 - tail, m.P)
