@@ -130,7 +130,8 @@ RULES = [
 ]
 
 #: Parts of words one of which every known sentence holds; texts and sentences without any are not looked at further.
-TRIGGERS = ("licen", "copyright", "permission", "redistribution", "software", "warrant", "public domain", "liab", "mozilla", "mpl", "reserved", "released")
+#: Each lies within a word, so that line ends and signs between words do not hide it.
+TRIGGERS = ("licen", "copyright", "permission", "redistribution", "software", "warrant", "domain", "liab", "mozilla", "mpl", "reserved", "released")
 
 _GAPS = {"<version>": r"(\d{1,2}(?: \d{1,2})?)", "<kind>": r"((?:by|nc|nd|sa|zero|attribution|noncommercial|sharealike|noderivatives|noderivs)(?: (?:by|nc|nd|sa|attribution|noncommercial|sharealike|noderivatives|noderivs))*)", "<who>": r"(?:\S+ ){0,30}?\S+"}
 _SHORT = {"attribution": "BY", "noncommercial": "NC", "sharealike": "SA", "noderivatives": "ND", "noderivs": "ND"}

@@ -70,6 +70,30 @@ def test_every_known_sentence_is_recognised_and_triggers():
     assert {n.rstrip("?") for _, rule in l.RULES for n in rule} <= set(l.SENTENCES)
 
 
+def test_every_known_sentence_is_recognised_wrapped_and_with_signs(spark):
+    wraps = ["\n", "\r\n", "\n# ", " \n * ", "\n// "]
+    signs = ["  ", "\t", "\u00a0", "-", " - ", "_", " | ", "!! "]
+    texts, expected = [], []
+    for name, known in l.SENTENCES.items():
+        for sentence in known:
+            words = sentence.replace("<version>", "2").replace("<who>", "some one").replace("<kind>", "by").split()
+            forms = [sign.join(words) for sign in signs]
+            # A copyright notice says whose it is to the end of its line, so only the others may run over lines.
+            if name != "copyright":
+                forms += [" ".join(words[:i]) + wrap + " ".join(words[i:]) for i in range(1, len(words)) for wrap in wraps]
+                forms += [wrap.join(words) for wrap in wraps]
+            texts += [f"{form.capitalize()}." for form in forms]
+            expected += [name] * len(forms)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id LONG, text STRING")
+    got = {r.doc_id: [s.name for s in r.sentences] for r in l.recognised(docs).collect()}
+    assert [(t, got[i]) for i, t in enumerate(texts) if got[i] != [expected[i]]] == []
+
+
+def test_triggers_lie_within_words():
+    assert all(l.normalised(t) == t and " " not in t for t in l.TRIGGERS)
+    assert names("# This work is in the public\n# domain.") == names("This work is in the public-domain.") == ["Public-Domain"]
+
+
 def test_spans_and_long_texts():
     text = "word\n" * 50_000 + APACHE + "word. " * 50_000 + "Released under the MIT License."
     (a, s, e), (b, s2, e2) = l.licences(l.sentences(text))
