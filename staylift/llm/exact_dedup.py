@@ -1,4 +1,4 @@
-"""Exact duplicates by skew-safe combining: locally, then per salted digest group, then across the salts."""
+"""Exact duplicates by skew-safe combining: per salted digest group, then across the salts."""
 
 from __future__ import annotations
 
@@ -17,10 +17,14 @@ def normalised(text: Column) -> Column:
     return ascii_lower(F.coalesce(text, F.lit("")))
 
 
-def _with_digest(docs: DataFrame, digest, *more: Column) -> DataFrame:
-    """Documents with the digest of their normalised text, which is never null."""
+def _with_digest(docs: DataFrame, digest, salts: int, *more: Column) -> DataFrame:
+    """Documents with the digest of their normalised text, which is never null, and a salt.
+
+    The salt is that of the task that reads the document, drawn before any shuffle, after which all rows of a digest
+    would have the same.
+    """
     norm = normalised(F.col("text"))
-    return docs.select("doc_id", "text", *more, F.coalesce(digest(norm), F.lit("")).alias("digest"))
+    return docs.select("doc_id", "text", *more, F.coalesce(digest(norm), F.lit("")).alias("digest"), (F.spark_partition_id() % salts).alias("salt"))
 
 
 def twin_digests(rows: DataFrame) -> DataFrame:
@@ -29,21 +33,22 @@ def twin_digests(rows: DataFrame) -> DataFrame:
     return checkpointed(counts.filter("n > 1").select("digest"))
 
 
-def _salt(salts: int) -> Column:
-    return (F.spark_partition_id() % salts).alias("salt")
+def salted(twins: DataFrame, salts: int) -> DataFrame:
+    """Each twin digest with every salt, so that rows meet it by digest and salt: those of a digest that a third of all
+    rows have are dealt over as many tasks as there are salts."""
+    return twins.select("digest", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt"))
 
 
-def copy_groups(rows: DataFrame, salts: int = 32) -> DataFrame:
-    """A row per distinct normalised text of ``rows`` (doc_id, text, digest): digest, keep_id (largest doc_id), group_size, norm.
+def copy_groups(rows: DataFrame) -> DataFrame:
+    """A row per distinct normalised text of ``rows`` (doc_id, text, digest, salt): digest, keep_id (largest doc_id), group_size, norm.
 
-    Three combining stages, each grouping on the content itself and not on its digest alone: rows of one task (the
-    map-side half of the first aggregation), rows of one of ``salts`` shares of a digest, and the salts' winners of a
-    digest. A text that a third of all rows repeat reaches a reducer once per task, and those are dealt over the salts.
+    Two combining stages, each grouping on the content itself and not on its digest alone: rows of one salt of a digest,
+    and the salts' winners of a digest. Where ``rows`` come dealt by digest and salt, the first needs no shuffle.
 
     ``norm`` is null unless two texts share the digest; then the content has to tell their rows apart.
     """
-    salted = rows.select("doc_id", "digest", _salt(salts), normalised(F.col("text")).alias("norm")).groupBy("digest", "salt", "norm")
-    winners = salted.agg(F.max("doc_id").alias("keep_id"), F.count("*").alias("n")).repartition("digest")
+    shares = rows.select("doc_id", "digest", "salt", normalised(F.col("text")).alias("norm")).groupBy("digest", "salt", "norm")
+    winners = shares.agg(F.max("doc_id").alias("keep_id"), F.count("*").alias("n")).repartition("digest")
     whole = winners.groupBy("digest", "norm").agg(F.max("keep_id").alias("keep_id"), F.sum("n").alias("group_size"))
     shared = F.count("*").over(Window.partitionBy("digest")) > 1
     return checkpointed(whole.select("digest", "keep_id", "group_size", F.when(shared, F.col("norm")).alias("norm")))
@@ -56,8 +61,8 @@ def mark_copies(docs: DataFrame, salts: int = 32, digest=text_digest) -> DataFra
     doc_id stays; a null doc_id is smaller than any. Rows that repeat both doc_id and text are one document and carry
     the same flags. Other columns are not read. An empty table gives no rows.
     """
-    rows = _with_digest(docs.select("doc_id", "text"), digest)
-    groups = copy_groups(rows.join(twin_digests(rows), "digest", "left_semi"), salts)
+    rows = _with_digest(docs.select("doc_id", "text"), digest, salts)
+    groups = copy_groups(rows.join(salted(twin_digests(rows), salts), ["digest", "salt"], "left_semi"))
     names = ["digest"]
     if not groups.filter("norm IS NOT NULL").isEmpty():
         # Some digest has two contents: from here on the content is part of what names a text with such a digest.
@@ -79,12 +84,12 @@ def drop_copies(docs: DataFrame, salts: int = 32, digest=text_digest) -> DataFra
     The rule is that of ``mark_copies``, with the same stages, which here carry the winners' whole rows; of rows that
     repeat both doc_id and text one stays. Documents whose digest no other has go through untouched.
     """
-    packed = _with_digest(docs, digest, F.struct("*").alias("whole"))
-    twins = twin_digests(packed)
-    rows = packed.select("digest", "whole")
-    alone = rows.join(twins.hint("shuffle_hash"), "digest", "left_anti").select("whole.*")
-    copied = rows.join(twins.hint("shuffle_hash"), "digest", "left_semi")
+    packed = _with_digest(docs, digest, salts, F.struct("*").alias("whole"))
+    twins = salted(twin_digests(packed), salts).hint("shuffle_hash")
+    rows = packed.select("digest", "salt", "whole")
+    alone = rows.join(twins, ["digest", "salt"], "left_anti").select("whole.*")
+    copied = rows.join(twins, ["digest", "salt"], "left_semi")
     last = F.max_by("whole", F.struct("whole.doc_id")).alias("whole")
-    salted = copied.withColumn("norm", normalised(F.col("whole.text"))).groupBy("digest", _salt(salts), "norm").agg(last)
-    winners = salted.groupBy("digest", "norm").agg(last)
+    shares = copied.withColumn("norm", normalised(F.col("whole.text"))).groupBy("digest", "salt", "norm").agg(last)
+    winners = shares.groupBy("digest", "norm").agg(last)
     return alone.unionByName(winners.select("whole.*"))

@@ -62,3 +62,30 @@ def test_one_row_stays_with_all_its_columns(spark):
 def test_empty_table(spark):
     docs = spark.createDataFrame([], SCHEMA)
     assert marked(docs) == [] and exact_dedup.drop_copies(docs).collect() == []
+
+
+def test_a_hot_digest_keeps_its_salts_through_the_joins(spark, monkeypatch):
+    rows = [(i, "hot" if i % 2 else f"text {i % 40}", *[None] * 4) for i in range(400)]
+    docs = spark.createDataFrame(rows, SCHEMA).repartition(8, "doc_id")
+    seen, aggregated = [], exact_dedup.copy_groups
+
+    def watched(rows, *more):
+        seen.append(rows)
+        return aggregated(rows, *more)
+
+    monkeypatch.setattr(exact_dedup, "copy_groups", watched)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert marked(docs) == expected(rows)
+        hot = seen[0].filter("text = 'hot'")
+        salts = hot.select("salt").distinct().count()
+        kept = exact_dedup.drop_copies(docs)
+        assert sorted(r.text for r in kept.collect()) == sorted({r[1] for r in rows})
+        plan = kept._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert salts > 1
+    assert "LeftSemi" in plan and "LeftAnti" in plan
+    semi = [line for line in plan.splitlines() if "LeftSemi" in line or "LeftAnti" in line]
+    assert all("salt#" in line for line in semi), semi
