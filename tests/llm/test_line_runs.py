@@ -77,3 +77,15 @@ def test_files_are_batches(spark, tmp_path):
     spark.range(100).select("id", F.lit("x").alias("text")).repartition(5).write.parquet(f"{tmp_path}/t")
     batches = line_runs.file_batches(spark, f"{tmp_path}/t", 2)
     assert [len(b.inputFiles()) for b in batches] == [3, 2] and sum(b.count() for b in batches) == 100
+
+
+def test_a_single_file_goes_through_runs_and_compaction(spark, tmp_path, monkeypatch):
+    rows = rows_of(60)
+    spark.createDataFrame(rows, SCHEMA).repartition(1).write.parquet(f"{tmp_path}/t")
+    batches = line_runs.file_batches(spark, f"{tmp_path}/t", 6)
+    sizes = [b.count() for b in batches]
+    assert len(sizes) == 6 and min(sizes) > 0 and sum(sizes) == len(rows)
+    merged, whole = [], line_runs.LineRuns._merged
+    monkeypatch.setattr(line_runs.LineRuns, "_merged", lambda self, names: merged.append(len(names)) or whole(self, names))
+    assert got(line_runs.drop_repeated_lines(batches, 10)) == expected(rows, 10)
+    assert merged == [3, 3, 2]  # two levels filled, and the runs that are left
