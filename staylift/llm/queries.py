@@ -8,7 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from staylift.llm import block_mixing, cost_packing, exact_dedup, gray_simhash, license_rules, line_runs, mcd_quality, pseudonyms, rendezvous, toxicity_gru
+from staylift.llm import (
+    block_mixing, cost_packing, exact_dedup, gray_simhash, license_rules, line_runs, mcd_quality, merkle_manifest, pseudonyms,
+    quantised_tiles, rendezvous, shallot, toxicity_gru,
+)
 from staylift.llm.oracles import SQL
 
 __all__ = ["QUERIES", "SQL"]
@@ -98,6 +101,31 @@ def op10_block_mixing(spark: SparkSession, sf: str) -> DataFrame:
     return block_mixing.taken_words(documents(spark, sf), weights=(3, 1, 2), percent=150, cap=2, block_words=64)
 
 
+@query
+def op11_merkle_manifest(spark: SparkSession, sf: str) -> DataFrame:
+    docs = documents(spark, sf)
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0
+    made = merkle_manifest.manifest(docs, tampered, {"n_chars": F.col("n_chars") + 1})
+    return made.select(
+        "doc_id", "leaf", "subroot", "root", F.sha2(F.array_join("siblings", "").cast("binary"), 256).alias("proof_sha256"),
+        "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"),
+    )
+
+
+def embeddings(spark: SparkSession, sf: str) -> DataFrame:
+    return spark.read.parquet(f"{sf}/embeddings.parquet")
+
+
+@query
+def op12_quantised_tiles(spark: SparkSession, sf: str) -> DataFrame:
+    return quantised_tiles.linked(embeddings(spark, sf), threshold=0.95)
+
+
+@query
+def op13_shallot(spark: SparkSession, sf: str) -> DataFrame:
+    return shallot.clustered(embeddings(spark, sf), k=40, rounds=5, dims=64, scale=256, seed=2)
+
+
 @query
 def pipeline(spark: SparkSession, sf: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf)

@@ -1,0 +1,127 @@
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from staylift.llm import quantised_tiles as qt
+from staylift.llm.queries import op12_quantised_tiles
+
+COLUMNS = "vec_id LONG, embedding ARRAY<FLOAT>, label INT"
+
+
+def plain(rows, threshold=0.95):
+    """All pairs; rows are (vec_id, vector)."""
+    def usable(v):
+        return v is not None and None not in v and len(v) and np.isfinite(np.array(v, np.float64)).all() and np.any(v)
+
+    n = len(rows)
+    linked = np.zeros((n, n), bool)
+    for i in range(n):
+        for j in range(i):
+            a, b = rows[i][1], rows[j][1]
+            if usable(a) and usable(b) and len(a) == len(b):
+                x, y = np.array(a, np.float64), np.array(b, np.float64)
+                x, y = x / np.abs(x).max(), y / np.abs(y).max()
+                linked[i, j] = linked[j, i] = x @ y / np.sqrt(x @ x) / np.sqrt(y @ y) >= threshold
+    label = list(range(n))
+    for i in range(n):
+        for j in np.flatnonzero(linked[i]):
+            a, b = label[i], label[j]
+            label = [min(a, b) if x in (a, b) else x for x in label]
+    told = []
+    for i in range(n):
+        ids = [rows[k][0] for k in range(n) if label[k] == label[i] and rows[k][0] is not None]
+        least = min(ids) if ids else None
+        told.append((rows[i][0], int(linked[i].sum()), least, rows[i][0] == least))
+    return sorted(told, key=str)
+
+
+def table(spark, rows, kind="FLOAT"):
+    return spark.createDataFrame([(i, None if v is None else [None if c is None else float(c) for c in v], 0) for i, v in rows], COLUMNS.replace("FLOAT", kind))
+
+
+def found(df):
+    return sorted((tuple(r) for r in df.collect()), key=str)
+
+
+def stored(rows):
+    """As 32-bit floats hold them."""
+    return [(i, np.array(v, np.float32).astype(float).tolist()) for i, v in rows]
+
+
+def groups(seed, n, dims, spread, centres):
+    rng = np.random.default_rng(seed)
+    middle = rng.normal(size=(centres, dims))
+    return stored([(1000 + 7 * i % 997, middle[rng.integers(centres)] + spread * rng.normal(size=dims)) for i in range(n)])
+
+
+@pytest.mark.parametrize(("n", "dims", "spread", "centres"), [(160, 8, 0.15, 12), (120, 64, 0.3, 10)])
+def test_links_equal_all_pairs(spark, n, dims, spread, centres):
+    rows = groups(n, n, dims, spread, centres)
+    assert found(qt.linked(table(spark, rows).repartition(3), tile=16, fanout=2)) == plain(rows)
+
+
+def test_tight_groups_are_counted_whole(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    middle = rng.normal(size=(2, 12))
+    rows = stored([(i, middle[int(i % 3 == 0)] + 0.01 * rng.normal(size=12)) for i in range(150)])
+    multiplied, real = [], qt._descended
+
+    def spied(*args):
+        pairs, whole = real(*args)
+        multiplied.append(pairs.count())
+        return pairs, whole
+
+    monkeypatch.setattr(qt, "_descended", spied)
+    assert found(qt.linked(table(spark, rows), tile=8, fanout=2)) == plain(rows)
+    # 19 tiles make 190 pairs.
+    assert multiplied[0] < 30
+
+
+def test_edge_rows(spark):
+    nan, inf = float("nan"), float("inf")
+    rows = [
+        (1, [1, 0]), (2, [2, 0]), (1, [1, 0]), (None, [3, 0.1]), (9, [0, 0]), (10, [0, 0]), (11, None), (12, []), (13, [1, None]), (14, [1, nan]),
+        (15, [inf, 1]), (16, [1, 0, 0]), (17, [5, 0, 0]), (18, [-1, 0]), (None, [0, -1]), (None, None), (19, [0.0, 1.0]), (20, [-0.0, 1.0]),
+    ]
+    docs = table(spark, rows)
+    assert found(qt.linked(docs)) == plain(rows)
+    clashing = docs.withColumns({c: F.lit(1) for c in ("dim", "v", "n", "uid", "node", "total", "root", "component_id")})
+    assert found(qt.linked(clashing)) == plain(rows)
+    assert found(qt.linked(docs.limit(0))) == []
+    assert found(qt.linked(docs.filter("vec_id = 11"))) == [(11, 0, 11, True)]
+
+
+def test_doubles_of_any_size(spark):
+    rows = [(1, [1e300, 1e299]), (2, [1e-300, 1e-301]), (3, [1e300, -1e300]), (4, [1.0, -1.0])]
+    assert found(qt.linked(table(spark, rows, "DOUBLE"))) == [(1, 1, 1, True), (2, 1, 1, False), (3, 1, 3, True), (4, 1, 3, False)]
+
+
+@pytest.mark.parametrize(("dims", "threshold"), [(2, 0.95), (64, 0.95), (1500, 0.9), (16, 0.01), (8, 1.0)])
+def test_bounds_lose_and_add_nothing(dims, threshold):
+    rng = np.random.default_rng(dims)
+    x = rng.normal(size=(70, dims))
+    # Partners right at the threshold, a little above and a little below.
+    side = rng.normal(size=(70, dims))
+    side -= (side * x).sum(axis=1, keepdims=True) / (x * x).sum(axis=1, keepdims=True) * x
+    angle = np.arccos(threshold) + rng.choice([-1e-3, -1e-7, 0, 1e-7, 1e-3], size=70)
+    length = np.linalg.norm(x, axis=1, keepdims=True) / np.linalg.norm(side, axis=1, keepdims=True)
+    y = np.cos(angle)[:, None] * x + np.sin(angle)[:, None] * side * length
+    tally = {}
+    pairs = {(int(i), int(j)) for a, b in qt.close_pairs(x, y, threshold, tally) for i, j in zip(a, b)}
+    assert pairs == {(i, j) for i in range(70) for j in range(70) if qt.cosines(x[i : i + 1], y[j : j + 1])[0] >= threshold}
+    assert tally["recomputed"] < 70 * 70 / 4
+
+
+def test_quantisation_error_is_bounded():
+    rng = np.random.default_rng(1)
+    unit = qt.units(rng.normal(size=(200, 64)) ** 3)
+    q = qt.Quantised.of(unit)
+    assert np.abs(q.values).max() <= 127 and (q.values == np.rint(q.values)).all()
+    off = np.abs(unit @ unit.T - qt.products(q.values, q.values) * q.step[:, None] * q.step)
+    assert (off <= q.error[:, None] + q.error + q.error[:, None] * q.error).all()
+
+
+def test_the_query_equals_all_pairs(spark):
+    sf = "/root/testdata/sf0.001"
+    rows = [(r.vec_id, list(r.embedding)) for r in spark.read.parquet(f"{sf}/embeddings.parquet").collect()]
+    assert found(op12_quantised_tiles(spark, sf)) == plain(rows)
