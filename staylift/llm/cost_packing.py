@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import base64
+import json
 import math
 import zlib
 from collections.abc import Callable, Iterable, Iterator
@@ -22,26 +23,32 @@ END = 0
 
 
 @cache
-def encoder(ranks_path: str, pattern: str) -> Callable[[str], np.ndarray]:
-    """Byte-level BPE from a rank file, no special tokens: the ids that the vocabulary's tokenizer file gives."""
+def encoder(ranks_path: str, file_path: str, pattern: str) -> Callable[[str], np.ndarray]:
+    """Byte-level BPE: the ids that the vocabulary's tokenizer file gives as it loads, encoded by its rank file.
+
+    Tokens that the tokenizer file adds to the vocabulary have their own ids wherever a text holds them.
+    """
     import tiktoken
 
     with open(ranks_path, "rb") as lines:
         ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
-    encoding = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+    with open(file_path, "rb") as whole:
+        added = {token["content"]: token["id"] for token in json.load(whole)["added_tokens"]}
+    encoding = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens=added)
 
     def encode(text: str) -> np.ndarray:
-        return np.array(encoding.encode_ordinary(text), "<u4")
+        return np.array(encoding.encode(text, allowed_special="all"), "<u4")
 
     return encode
 
 
-def byte_bpe(name: str = "byte_bpe_50k.tiktoken") -> Callable[[], Callable[[str], np.ndarray]]:
+def byte_bpe(name: str = "byte_bpe_50k") -> Callable[[], Callable[[str], np.ndarray]]:
     """What makes the encoder of an installed public vocabulary, where it is called."""
     import public_tokenizers
 
-    ranks, pattern = str(public_tokenizers.path(name)), public_tokenizers.PATTERN
-    return lambda: encoder(ranks, pattern)
+    ranks, file = (str(public_tokenizers.path(f"{name}.{form}")) for form in ("tiktoken", "json"))
+    pattern = public_tokenizers.PATTERN
+    return lambda: encoder(ranks, file, pattern)
 
 
 def cost(lengths: np.ndarray, linear: float, quadratic: float) -> np.ndarray:

@@ -18,26 +18,29 @@ CAPACITY = 1024
 
 @pytest.fixture(scope="module")
 def tokenizer():
-    t = Tokenizer.from_file(str(public_tokenizers.path("byte_bpe_50k.json")))
-    t.encode_special_tokens = True
-    return t
+    # As it loads: no option is set.
+    return Tokenizer.from_file(str(public_tokenizers.path("byte_bpe_50k.json")))
 
 
 def odd_texts() -> list[str]:
     r = random.Random(3)
     some = " \t\n\r\x0b\x0c\x85\xa0 ​　aAzé ßİ'sLL're12٣४Ⅷ½!?<|>_-.…́中文字한😀👍🏽\U00020000﻿\x00"
     texts = ["".join(r.choice(some) for _ in range(r.randrange(60))) for _ in range(1500)]
-    return [*texts, "<|endoftext|> a", "", "x" * 5000, " " * 3000, "\n" * 400 + "a", "é" * 3000, "ab " * 4000, "I'LL we'll 'S 's"]
+    added = "<|endoftext|>"
+    around = [added, f"{added} a", f"a{added}b", f"a {added}", added * 2, f"{added}  {added}\n", f"<|{added}endoftext|>", added.upper(), added[:-1]]
+    parts = [added, "<|", "|>", " ", "  ", "\n", "a", "wörd", "1", "'s", "end", "😀"]
+    around += ["".join(r.choice(parts) for _ in range(r.randrange(12))) for _ in range(1500)]
+    return [*texts, *around, "", "x" * 5000, " " * 3000, "\n" * 400 + "a", "é" * 3000, "ab " * 4000, "I'LL we'll 'S 's"]
 
 
 def test_encoder_gives_the_tokenizers_ids(tokenizer):
-    encode = c.encoder(str(public_tokenizers.path("byte_bpe_50k.tiktoken")), public_tokenizers.PATTERN)
+    encode = c.byte_bpe()()
     for text in odd_texts():
         assert encode(text).tolist() == tokenizer.encode(text, add_special_tokens=False).ids, repr(text)
 
 
 def test_real_texts_give_the_tokenizers_ids(spark, tokenizer):
-    encode = c.encoder(str(public_tokenizers.path("byte_bpe_50k.tiktoken")), public_tokenizers.PATTERN)
+    encode = c.byte_bpe()()
     for (text,) in documents(spark, "/root/testdata/sf0.001").select("text").collect():
         assert encode(text).tolist() == tokenizer.encode(text, add_special_tokens=False).ids
 
@@ -101,8 +104,7 @@ def test_cost_is_balanced():
 
 def test_groups_are_dealt_evenly(spark):
     docs = spark.range(3000).select(F.col("id").alias("doc_id"), F.lit("the same text " * 40).alias("text"))
-    ranks = str(public_tokenizers.path("byte_bpe_50k.tiktoken"))
-    rows = c.packed(docs, lambda: c.encoder(ranks, public_tokenizers.PATTERN), group_bytes=200_000)
+    rows = c.packed(docs, lambda: c.byte_bpe()(), group_bytes=200_000)
     sizes = [x["count"] for x in rows.groupBy(F.floor(F.col("sequence_id") / c.NUMBERS)).count().collect()]
     assert len(sizes) == 9 and max(sizes) < 1.2 * min(sizes)
 
