@@ -7,7 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from staylift.llm.shared import checkpointed, running_total, word_count
+from staylift.llm.shared import SPACES, checkpointed, running_total, trimmed, word_count
+from staylift.sources.workspace import settle
 
 #: Cells by which a drawn number finds its source; a lookup reads the sources of one cell.
 CELLS = 4096
@@ -107,7 +108,8 @@ def mixed(
     """Documents and the drawn pieces of them.
 
     Documents: row (names a row of ``docs``), doc_id, text_hash, size (words), source, source_size, target.
-    Pieces: shard, epoch, row, first (word of the document), words; one per drawn block and document in it.
+    Pieces: shard, epoch, row, first (word of the document), words, lead (words of its first block that come before the
+    document); one per drawn block and document in it.
 
     The words of a source, its documents in the order of doc_id (null first) and text, are cut into blocks of ``block_words``;
     the last one may be shorter. A source's quota are the blocks whose words come nearest its target, each block at
@@ -115,8 +117,13 @@ def mixed(
     null or empty text has no words and no pieces; rows that repeat are documents of their own. Results depend on the
     rows and ``seed`` alone. Columns besides doc_id, text and source are not read. An empty table gives no rows.
     """
-    rows = docs.select("doc_id", "source", word_count(F.col("text")).alias("size"), F.xxhash64("text").alias("text_hash"))
-    sized = checkpointed(rows.withColumn("row", F.monotonically_increasing_id()))
+    return _mixed(docs.withColumn("row", F.monotonically_increasing_id()), weights, percent, cap, block_words, shard_blocks, seed)
+
+
+def _mixed(numbered: DataFrame, weights: Sequence[int], percent: int, cap: int, block_words: int, shard_blocks: int, seed: int) -> tuple[DataFrame, DataFrame]:
+    """``mixed``, given rows that have their number."""
+    size, text_hash = word_count(F.col("text")).alias("size"), F.xxhash64("text").alias("text_hash")
+    sized = checkpointed(numbered.select("doc_id", "source", size, text_hash, "row"))
     sources = checkpointed(targets(sized, weights, percent, cap))
     whole = sized.join(sources.withColumnRenamed("source", "of"), F.col("source").eqNullSafe(F.col("of"))).drop("of", "weight")
 
@@ -132,8 +139,8 @@ def mixed(
     spans = ordered.select("row", "rank", "start", "size", F.explode(reach).alias("block"))
     first = F.greatest(F.col("start"), F.col("block") * block_words)
     end = F.least(F.col("start") + F.col("size"), (F.col("block") + 1) * block_words)
-    spans = spans.select("row", "rank", "block", (first - F.col("start")).alias("first"), (end - first).alias("words"))
-    pieces = picked.join(spans, ["rank", "block"]).select("shard", "epoch", "row", "first", "words")
+    spans = spans.select("row", "rank", "block", (first - F.col("start")).alias("first"), (end - first).alias("words"), (F.col("start") % block_words).alias("lead"))
+    pieces = picked.join(spans, ["rank", "block"]).select("shard", "epoch", "row", "first", "words", "lead")
     return whole, pieces
 
 
@@ -146,25 +153,40 @@ def taken_words(docs: DataFrame, **options) -> DataFrame:
     )
 
 
-def mixed_documents(docs: DataFrame, **options) -> DataFrame:
+def _in_blocks(text: Column, lead: Column, block_words: int) -> Column:
+    """The text cut where its source's blocks begin, white space at the cuts dropped.
+
+    ``lead`` words stand in for those of the first block that come before the document, so that one pattern cuts all texts
+    at every ``block_words`` words.
+    """
+    word = r"[^\x20\x09-\x0D]++[\x20\x09-\x0D]*+"
+    led = F.concat(F.repeat(F.lit("- "), lead.cast("int")), F.ltrim(text, F.lit(SPACES)))
+    parts = F.regexp_extract_all(led, F.lit(f"(?:{word}){{1,{block_words}}}+"), F.lit(0))
+    return F.transform(parts, lambda part, k: trimmed(F.when(k == 0, F.substring(part, (2 * lead + 1).cast("int"), F.length(part))).otherwise(part)))
+
+
+def mixed_documents(
+    docs: DataFrame, weights: Sequence[int] = (3, 1, 2), percent: int = 150, cap: int = 2, block_words: int = 64,
+    shard_blocks: int = 4096, seed: int = 20,
+) -> DataFrame:
     """The mix as documents, with all columns of ``docs``: a row per document and epoch that takes words of it.
 
-    Where an epoch takes the whole document, the text is kept as it is; else it holds the drawn stretches in reading
-    order, each as it stands in the text, one a line. Other columns are kept, but for n_chars, which follows the text.
+    Where an epoch takes the whole document, the text is kept as it is; else it holds the drawn blocks' stretches in reading
+    order, each as it stands in the text, one a line. Other columns are the row's own, but for n_chars, which follows the
+    text; rows that repeat are documents of their own. See ``mixed``. An empty table gives no rows.
+
+    Rows get their number in a stored copy, by which the stretches find the text: text is moved once, and only that of
+    documents that are taken.
     """
     columns = docs.columns
-    whole, pieces = mixed(docs, **options)
-    runs = pieces.groupBy("row", "epoch").agg(F.sum("words").alias("taken"), F.sort_array(F.collect_list(F.struct("first", "words"))).alias("runs"))
-    parts = whole.select("row", "doc_id", "text_hash", "size").join(runs, "row").select(
-        F.col("doc_id").alias("id"), F.col("text_hash").alias("hash"), "row", "epoch", F.when(F.col("taken") < F.col("size"), F.col("runs")).alias("runs")
-    )
-    rows = docs.select(F.struct("*").alias("whole"), F.col("doc_id"), F.xxhash64("text").alias("text_hash"))
-    rows = rows.dropDuplicates(["doc_id", "text_hash"])
-    same = rows["doc_id"].eqNullSafe(parts["id"]) & (rows["text_hash"] == parts["hash"])
-    found = rows.join(parts, same).select("whole", "runs")
-    step = F.regexp_extract_all(F.col("whole.text"), F.lit(r"[^\x20\x09-\x0D]+[\x20\x09-\x0D]*"), F.lit(0))
-    found = found.withColumn("steps", F.when(F.col("runs").isNotNull(), step))
-    cut = F.array_join(F.transform("runs", lambda r: F.rtrim(F.array_join(F.slice("steps", (r["first"] + 1).cast("int"), r["words"].cast("int")), ""))), "\n")
+    kept = settle(docs.select(F.struct("*").alias("whole"), F.monotonically_increasing_id().alias("row")))
+    named = kept.select("row", "whole.doc_id", "whole.source", "whole.text")
+    whole, pieces = _mixed(named, weights, percent, cap, block_words, shard_blocks, seed)
+    block = F.floor((F.col("first") + F.col("lead")) / block_words).cast("int")
+    runs = pieces.groupBy("row", "epoch").agg(F.sum("words").alias("taken"), F.first("lead").alias("lead"), F.sort_array(F.collect_list(block)).alias("runs"))
+    parts = whole.select("row", "size").join(runs, "row").select("row", "lead", F.when(F.col("taken") < F.col("size"), F.col("runs")).alias("runs"))
+    found = kept.join(parts, "row").withColumn("cuts", F.when(F.col("runs").isNotNull(), _in_blocks(F.col("whole.text"), F.col("lead"), block_words)))
+    cut = F.array_join(F.transform("runs", lambda k: F.get("cuts", k)), "\n")
     text = F.when(F.col("runs").isNull(), F.col("whole.text")).otherwise(cut)
     found = found.select("whole", text.alias("mixed_text"))
     follow = {"text": F.col("mixed_text"), "n_chars": F.length("mixed_text").cast("long")}

@@ -117,3 +117,38 @@ def test_documents_of_the_mix(spark):
 def test_empty_table(spark):
     docs = spark.createDataFrame([], SCHEMA)
     assert m.taken_words(docs).collect() == [] and m.mixed_documents(docs).collect() == []
+
+
+def test_equal_documents_of_several_sources_stay_apart(spark):
+    """Rows that agree in doc_id and text are drawn, and come out, under their own source and other columns."""
+    rows = [(i, " ".join(f"w{i}x{k}" for k in range(30 + i)), source, i, *[None] * 7) for i in range(40) for source in ("a", "b", None)]
+    rows += [(i, f"only c {i} " * 9, "c", 0, *[None] * 7) for i in range(100, 105)]
+    rows += [(200, "same text and source " * 7, "a", n, *[None] * 7) for n in (1, 2, 3)]
+    docs = spark.createDataFrame(rows, SCHEMA).withColumn("mark", F.create_map(F.lit("n"), F.col("n_chars"))).repartition(3)
+    expected: Counter = Counter()
+    whole, pieces = m.mixed(docs, block_words=16)
+    for x in whole.join(pieces, "row").groupBy("source").agg(F.sum("words").alias("n")).collect():
+        expected[x.source] = x.n
+    got: Counter = Counter()
+    marks = Counter()
+    for x in m.mixed_documents(docs, block_words=16).collect():
+        got[x.source] += len(words(x.text))
+        marks[x.doc_id, x.mark["n"]] += len(words(x.text))
+    assert got == expected and set(got) == {"a", "b", "c", None}
+    assert all(marks[200, n] <= 2 * 28 for n in (1, 2, 3)) and sum(marks[200, n] for n in (1, 2, 3)) > 28
+
+
+def test_stretches_begin_and_end_with_words(spark):
+    texts = ["  \n lead " + " \n\t ".join(f"w{i}x{k}" for k in range(200)) + " \n" for i in range(9)]
+    docs = spark.createDataFrame([(i, t, "a" if i % 2 else "b", 0, *[None] * 7) for i, t in enumerate(texts)], SCHEMA)
+    cut = 0
+    for x in m.mixed_documents(docs, block_words=16).collect():
+        if x.text != texts[x.doc_id]:
+            cut += 1
+            assert x.text == x.text.strip(SPACE) and not any(line == "" for line in x.text.split(" \n\t ")[0].split("\n"))
+            at = -1
+            for word in words(x.text):
+                place = words(texts[x.doc_id]).index(word)
+                assert place > at
+                at = place
+    assert cut
