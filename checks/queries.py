@@ -900,10 +900,21 @@ def frequency_gate_mixed(spark: SparkSession, sf: str) -> DataFrame:
     return _judged(spark, sf, f"CAST({MIXED_GAPS.replace('user_id', 'acm_id')} AS INT)")
 
 
+@query()
+def frequency_gate_hot(spark: SparkSession, sf: str) -> DataFrame:
+    """All events under their five types: every key is long, and followed by links."""
+    rows = b.read(spark, sf, "events").select("event_type", F.col("ts").alias("contacted_at"), "event_id").withColumn("gap_days", F.lit(1))
+    passed = contacts.frequency_gate_batch(rows, ["event_type"], "contacted_at", "event_id", "gap_days")
+    return passed.select("event_type", "contacted_at", "event_id")
+
+
 def _gated_clicks(gap: str) -> str:
     return _with_gate(_gate_sql("e_click_contact", "acm_id", "ts", "event_id", gap, "acm_id, stamp AS contacted_at, ident AS event_id"), _GATE_SOURCE)
 
 
+SQL["frequency_gate_hot"] = _with_gate(
+    _gate_sql("events", "event_type", "ts", "event_id", "1", "event_type, stamp AS contacted_at, ident AS event_id"), _GATE_SOURCE
+)
 SQL["frequency_gate"] = SQL["frequency_gate_batch"] = _gated_clicks("7")
 SQL["frequency_gate_mixed"] = _gated_clicks(MIXED_GAPS.replace("user_id", "acm_id"))
 

@@ -15,11 +15,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from staylift.functions.clock import wall_micros
+from staylift.operators.numbering import running_total
 from staylift.sources.contact_log import append_contacts, batch_name, read_or_empty
-from staylift.sources.workspace import new_path, remove, scratch
+from staylift.sources.workspace import scratch, settle
 
-DAY_US = 86_400_000_000
 PARTS = [T.StructField("day", T.StringType()), T.StructField("batch", T.StringType())]
 
 
@@ -71,69 +70,98 @@ def start_contact_state(contacts: DataFrame, key: str, stamp: str, path: str, ch
     )
 
 
-def judge_slice(inside: DataFrame, last: DataFrame, columns: list[str], stamp: str, ident: str, until: Column) -> DataFrame:
-    """One slice of time: each key's first due contact (``fresh``), and the older ones that still count after ``until``.
+#: Contacts of one key that are judged in one array; keys with more are judged by pointers.
+SHORT = 256
+KEY = "_key"
 
-    ``last`` has the key columns (the gap in days is the last of them), ``stamp`` and ``ident`` of each key's last passed
-    contact. Both aggregations combine map-side, so a hot key is no burden.
-    """
+
+def _within_a_row(contacts: DataFrame, columns: list[str], stamp: str, ident: str) -> DataFrame:
+    """Keys of bounded length: their contacts in order, folded in one expression."""
     gap = F.make_dt_interval(days=F.col(columns[-1]))
-    known = last.select(*[F.col(c).alias(f"_{c}") for c in columns], F.col(stamp).alias("_last"))
-    same = reduce(and_, [inside[c].eqNullSafe(known[f"_{c}"]) for c in columns])
-    due = inside.join(known, same, "left").filter(F.col("_last").isNull() | (F.col(stamp) > F.col("_last") + gap))
-    first = due.groupBy(*columns).agg(F.min(F.struct(stamp, ident)).alias("p"))
-    fresh = first.select(*columns, f"p.{stamp}", f"p.{ident}", F.lit(True).alias("fresh"))
-    carried = last.filter(F.col(stamp) + gap >= until).select(*columns, stamp, ident, F.lit(False).alias("fresh"))
-    newest = F.max(F.struct(stamp, ident, "fresh")).alias("n")
-    return fresh.unionByName(carried).groupBy(*columns).agg(newest).select(*columns, f"n.{stamp}", f"n.{ident}", "n.fresh")
+    entry = F.struct(F.col(stamp).alias("at"), F.col(ident).alias("who"))
+    told = contacts.groupBy(KEY, *columns).agg(F.sort_array(F.collect_list(entry)).alias("_all"))
+
+    def judged(passed: Column, x: Column) -> Column:
+        return F.when((F.size(passed) == 0) | (x["at"] > F.element_at(passed, -1)["at"] + gap), F.concat(passed, F.array(x))).otherwise(passed)
+
+    kind = told.schema["_all"].dataType.simpleString()
+    passed = told.select(*columns, F.explode(F.aggregate("_all", F.array().cast(kind), judged)).alias("p"))
+    return passed.select(*columns, F.col("p.at").alias(stamp), F.col("p.who").alias(ident))
+
+
+def next_due(contacts: DataFrame, gap_days: str, stamp: str) -> tuple[DataFrame, DataFrame]:
+    """Contacts with their number in their key (from 0), and for each the number of the first one that is due after it.
+
+    A contact's number counts the earlier ones of its key, the other one those up to the end of its gap. Both come from one
+    running total over contacts and ends of gaps in one order, so that a key of any length is cut into many partitions.
+    """
+    ends = contacts.withColumns({"_at": F.col(stamp) + F.make_dt_interval(days=F.col(gap_days)), "_end": F.lit(True)})
+    both = contacts.withColumns({"_at": F.col(stamp), "_end": F.lit(False)}).unionByName(ends)
+    weight = F.when(F.col("_end"), 0).otherwise(1)
+    counted = settle(running_total(settle(both), [KEY], ["_at", "_end"], weight, "_upto"))
+    numbered = counted.filter("NOT _end").drop("_at", "_end").withColumnRenamed("_upto", "_no")
+    due = counted.filter("_end").select(KEY, stamp, F.col("_upto").alias("_next"))
+    return numbered, due
+
+
+def _by_pointers(contacts: DataFrame, columns: list[str], stamp: str, ident: str) -> DataFrame:
+    """Keys of any length: follow the links to the next due contact, twice as far every round.
+
+    A contact that is due after the one right before it passes whatever passed earlier: it is the head of a run, and links to
+    it need not be followed. What passes in a run is the chain of links from its head. A round joins what is reached with
+    the links of 1, 2, 4, … steps, and each link with the link where it ends; so there are as many rounds as the longest
+    chain within a run has binary digits, and links that lead out of their run are gone.
+    """
+    numbered, due = next_due(contacts, columns[-1], stamp)
+    links = settle(numbered.select(KEY, stamp, "_no").join(due, [KEY, stamp]).select(KEY, "_no", "_next"))
+    first = numbered.filter("_no = 0").select(KEY, "_no")
+    heads = settle(first.unionByName(links.filter("_next = _no + 1").select(KEY, F.col("_next").alias("_no"))))
+    to_heads = heads.select(KEY, F.col("_no").alias("_next"))
+    # A link past the last contact ends nowhere.
+    onward = links.join(to_heads, [KEY, "_next"], "left_anti").join(numbered.select(KEY, F.col("_no").alias("_next")), [KEY, "_next"], "left_semi")
+    jump = settle(onward.select(KEY, "_no", "_next"))
+    reached = heads
+    while not jump.isEmpty():
+        step = reached.join(jump, [KEY, "_no"]).select(KEY, F.col("_next").alias("_no"))
+        reached = reached.unionByName(settle(step))
+        on = jump.select(KEY, F.col("_no").alias("_next"), F.col("_next").alias("_far"))
+        jump = settle(jump.join(on, [KEY, "_next"]).select(KEY, "_no", F.col("_far").alias("_next")))
+    return numbered.join(reached, [KEY, "_no"], "left_semi").select(*columns, stamp, ident)
 
 
 def frequency_gate_batch(
-    contacts: DataFrame, keys: list[str], stamp: str, ident: str, gap_days: str, last: DataFrame | None = None
+    contacts: DataFrame, keys: list[str], stamp: str, ident: str, gap_days: str, last: DataFrame | None = None, short: int = SHORT
 ) -> DataFrame:
     """Per key, pass a contact only if the previous *passed* one is more than ``gap_days`` old. All keys alike.
 
-    ``gap_days`` names a column; contacts of one key with different gaps are judged apart. Time is cut into slices as long
-    as the smallest gap in the data, in which a key passes at most once. The rows are laid out by slice once; then each
-    slice reads its own rows and the keys whose last passed contact still counts, and stores what the next one needs. So
-    the work is linear in the rows, a slice's plan is the same however many came before, and no key meets in one task.
-    A gap that is null or not positive holds nothing back but further contacts of the same moment.
+    ``gap_days`` names a column; contacts of one key with different gaps are judged apart. Of contacts of the same moment the
+    smallest ``ident`` counts. Keys of at most ``short`` contacts are judged in one aggregation each; longer ones, of any
+    length, by links to the next due contact, followed twice as far every round, so that neither rows nor rounds follow the
+    length of time or the smallest gap. A gap that is null or not positive holds nothing back but further contacts of the
+    same moment.
 
     ``last`` (keys, gap, ``last``) continues an earlier run; a contact not later than its key's ``last`` does not pass.
-    The stored slices are scratch of the job.
+    Stored tables are scratch of the job.
     """
     spark = contacts.sparkSession
     columns = [*keys, gap_days]
     rows = contacts.select(*columns, stamp, ident)
-    types = rows.schema
     if last is None:
         last = spark.createDataFrame([], T.StructType([*rows.select(*columns).schema, T.StructField("last", T.TimestampNTZType())]))
-    waits = F.coalesce(F.col(gap_days) > 0, F.lit(False))
-    step = rows.filter(waits).agg(F.min(gap_days)).first()[0]
-    free = rows.filter(~waits).groupBy(*columns, stamp).agg(F.min(ident).alias(ident))
-    known = last.filter(~waits)
     same = reduce(and_, [F.col(f"c.{c}").eqNullSafe(F.col(f"k.{c}")) for c in columns])
-    free = free.alias("c").join(known.alias("k"), same, "left").filter(F.col("k.last").isNull() | (F.col(f"c.{stamp}") > F.col("k.last")))
-    free = free.select(*[f"c.{c}" for c in [*columns, stamp, ident]])
-    if step is None:
-        return free
-
-    laid, kept = new_path(spark, "slices"), new_path(spark, "passed")
-    number = F.floor(wall_micros(F.col(stamp)) / (step * DAY_US)).cast("long").alias("slice")
-    rows.filter(waits).select("*", number).hint("rebalance", "slice").write.partitionBy("slice").parquet(laid)
-    stored = spark.read.schema(T.StructType([*types, T.StructField("slice", T.LongType())])).parquet(laid)
-    numbers = sorted(r[0] for r in stored.select("slice").distinct().collect())
-    state = last.filter(waits).select(*columns, F.col("last").alias(stamp), F.lit(None).cast(types[ident].dataType).alias(ident))
-    state_schema = T.StructType([*types, T.StructField("fresh", T.BooleanType())])
-    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
-    for k, slice_no in enumerate(numbers):
-        until = epoch + F.make_dt_interval(days=F.lit(numbers[k + 1] * step if k + 1 < len(numbers) else (slice_no + 1) * step))
-        inside = spark.read.schema(types).parquet(f"{laid}/slice={slice_no}")
-        judge_slice(inside, state, columns, stamp, ident, until).write.parquet(f"{kept}/{slice_no}")
-        state = spark.read.schema(state_schema).parquet(f"{kept}/{slice_no}").drop("fresh")
-    remove(spark, laid)
-    passed = spark.read.schema(state_schema).parquet(*[f"{kept}/{n}" for n in numbers]).filter("fresh").drop("fresh")
-    return passed.unionByName(free)
+    waits = F.coalesce(F.col(f"c.{gap_days}") > 0, F.lit(False))
+    until = F.when(waits, F.col("k.last") + F.make_dt_interval(days=F.col(f"c.{gap_days}"))).otherwise(F.col("k.last"))
+    moments = rows.groupBy(*columns, stamp).agg(F.min(ident).alias(ident)).alias("c").join(last.alias("k"), same, "left")
+    moments = moments.filter(F.col("k.last").isNull() | (F.col(f"c.{stamp}") > until))
+    moments = settle(moments.select(*[f"c.{c}" for c in [*columns, stamp, ident]], waits.alias("_waits"), F.to_json(F.struct(*[f"c.{c}" for c in columns])).alias(KEY)))
+
+    passed = moments.filter("NOT _waits").select(*columns, stamp, ident)
+    waiting = moments.filter("_waits").drop("_waits")
+    long = settle(waiting.groupBy(KEY).agg(F.count("*").alias("n")).filter(F.col("n") > short).select(KEY))
+    if long.isEmpty():
+        return passed.unionByName(_within_a_row(waiting, columns, stamp, ident))
+    passed = passed.unionByName(_within_a_row(waiting.join(long, KEY, "left_anti"), columns, stamp, ident))
+    return passed.unionByName(_by_pointers(settle(waiting.join(long, KEY, "left_semi")), columns, stamp, ident))
 
 
 def gate_batch(arrived: DataFrame, keys: list[str], stamp: str, ident: str, gap_days: str, path: str, name: str) -> None:

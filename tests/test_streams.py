@@ -102,20 +102,44 @@ def test_gate_batch_with_nulls_and_an_earlier_run(spark):
     assert sorted(r.event_id for r in passed) == [1, 3, 4, 6, 8]
 
 
-def test_a_slice_reads_as_much_however_many_came_before(spark, monkeypatch):
-    plans = []
-    real = contacts.judge_slice
+def stored_rows(monkeypatch, rows, **options):
+    """What passes, the rows of each table that judging stores, and how many rounds followed links."""
+    sizes, real = [], contacts.settle
 
-    def spied(*args):
-        made = real(*args)
-        plans.append(made._jdf.queryExecution().optimizedPlan().toString())
+    def spied(df):
+        made = real(df)
+        sizes.append((made.columns, made.count()))
         return made
 
-    monkeypatch.setattr(contacts, "judge_slice", spied)
-    rows = [(n % 3, T0 + timedelta(days=n), n, 1) for n in range(30)]
-    assert judged(spark.createDataFrame(rows, CONTACT)).count() == 30
-    assert len(plans) == 30
-    assert len({(p.count("Relation"), p.count("Aggregate")) for p in plans[1:]}) == 1
+    monkeypatch.setattr(contacts, "settle", spied)
+    passed = told(judged(rows, **options).collect())
+    links = [n for columns, n in sizes if columns == [contacts.KEY, "_no", "_next"]]
+    return passed, sum(n for _, n in sizes), len(links) - 2
+
+
+@pytest.mark.parametrize("short", [0, 1, 20])
+@pytest.mark.parametrize("gap", [1, 14])
+def test_gate_by_links_equals_one_pass(spark, short, gap):
+    rows = [(*r[:3], gap) for r in contacts_of(gap, 300)] + [(None, T0 + timedelta(days=n * 0.7), 30_000 + n, gap) for n in range(30)]
+    passed = told(judged(spark.createDataFrame(rows, CONTACT), short=short).withColumn("acm_id", F.coalesce("acm_id", F.lit(-1))).collect())
+    assert passed == gate([(-1 if r[0] is None else r[0], *r[1:]) for r in rows])
+
+
+def test_rows_stored_do_not_follow_the_smallest_gap(spark, monkeypatch):
+    rows = [(n, T0 + timedelta(hours=n % 288), n, 25) for n in range(2000)] + [(5000, T0 + timedelta(days=n, minutes=n), 9000 + n, 1) for n in range(12)]
+    passed, stored, _ = stored_rows(monkeypatch, spark.createDataFrame(rows, CONTACT))
+    assert passed == gate(rows) and stored <= 2 * len(rows)
+
+
+def test_rounds_follow_the_chain_and_not_the_time(spark, monkeypatch):
+    # Ten years: contacts far apart are heads of runs of their own and need no round.
+    apart = [(1, T0 + timedelta(days=2 * n), n, 1) for n in range(1800)]
+    passed, stored, rounds = stored_rows(monkeypatch, spark.createDataFrame(apart, CONTACT), short=0)
+    assert len(passed) == 1800 and rounds == 0 and stored <= 9 * len(apart)
+    # One run: every second contact passes, 512 in a chain.
+    close = [(1, T0 + timedelta(hours=16 * n), n, 1) for n in range(1024)]
+    passed, stored, rounds = stored_rows(monkeypatch, spark.createDataFrame(close, CONTACT), short=100)
+    assert passed == gate(close) and rounds <= 10 and stored <= 20 * len(close)
 
 
 def stream_of(spark, path):
