@@ -194,6 +194,8 @@ def as_clicks(events: DataFrame) -> DataFrame:
     """Events as click requests: stamped at ``ts``, arriving k * 5 seconds later."""
     k = F.get_json_object("props", "$.k").cast("int")
     action = F.coalesce(
+        # Purchases of even users approve monthly reports.
+        F.when((F.col("event_type") == "purchase") & (F.col("user_id") % 2 == 0), F.lit("send_all_monthly_report")),
         F.try_element_at(F.create_map(*[F.lit(p) for item in ACTIONS.items() for p in item]), F.col("event_type")),
         F.lit("no_such_button"),
     )
@@ -213,5 +215,30 @@ def as_clicks(events: DataFrame) -> DataFrame:
     )
 
 
+#: Forms that are of no use, by event_id % 13.
+ODD_FORMS = {
+    0: "token=x", 1: "payload=%7Bbroken", 2: "payload=%7B%22type%22%3A%22url_verification%22%7D", 8: "payload=%zz",
+    3: "payload=%7B%22type%22%3A%22block_actions%22%2C%22actions%22%3A%5B%5D%7D",
+}
+
+
+def odd_clicks(events: DataFrame) -> DataFrame:
+    """Clicks of which many are of no use: forms that cannot be read, buttons without ids, ids that are none, bad stamps, repeats."""
+    kind = F.col("click_id") % 13
+    made, user = as_clicks(events), events.select(F.col("event_id").alias("click_id"), "user_id")
+
+    def sent(value: Column) -> Column:
+        action = F.struct(F.lit("send_upsell_email").alias("action_id"), value.alias("value"))
+        return F.concat(F.lit("payload="), F.url_encode(F.to_json(F.struct(F.lit("block_actions").alias("type"), F.array(action).alias("actions")))))
+
+    form = F.when(kind == 4, sent(F.lit(""))).when(kind == 5, sent(F.concat(F.col("user_id").cast("string"), F.lit(", x,")))).otherwise(F.col("form_body"))
+    for k, text in ODD_FORMS.items():
+        form = F.when(kind == k, F.lit(text)).otherwise(form)
+    odd = made.join(user, "click_id").withColumns({
+        "form_body": form, "request_ts": F.when(kind == 6, "soon").otherwise(F.col("request_ts")), "arrived_at": F.when(kind != 7, F.col("arrived_at")),
+    }).drop("user_id")
+    return odd.unionByName(odd.filter(kind == 9)).unionByName(odd.filter(kind == 9))
+
+
 def event_stream(spark: SparkSession, sf: str) -> DataFrame:
     return spark.readStream.schema(SCHEMAS["events"]).option("pathGlobFilter", "events.parquet").parquet(sf)

@@ -350,8 +350,9 @@ CTES = {
     "k_fresh": "SELECT * FROM k_click WHERE abs(date_diff('second', requested, arrived_at)) <= 300",
     "k_routed": """
     SELECT click_id, arrived_at, CASE event_type WHEN 'signup' THEN 'test_upsell_email' WHEN 'view' THEN 'test_monthly_report'
-        WHEN 'click' THEN 'send_upsell_email' ELSE 'send_all_upsell' END AS action_id,
-      user_id || ',' || k AS acm_ids, CASE event_type WHEN 'view' THEN 'monthly_report' ELSE 'weekly_upsell' END AS workflow,
+        WHEN 'click' THEN 'send_upsell_email' ELSE CASE user_id % 2 WHEN 0 THEN 'send_all_monthly_report' ELSE 'send_all_upsell' END END AS action_id,
+      user_id || ',' || k AS acm_ids,
+      CASE WHEN event_type = 'view' OR event_type = 'purchase' AND user_id % 2 = 0 THEN 'monthly_report' ELSE 'weekly_upsell' END AS workflow,
       event_type IN ('signup', 'view') AS test_mode, user_id, k
     FROM k_fresh WHERE event_type <> 'error'""",
     "k_approved": """
@@ -548,3 +549,15 @@ REPORT_HTML = (
     f"CASE WHEN change_pct > 0 THEN '#1b6f4a' WHEN change_pct < 0 THEN '#a8231c' ELSE '#5f5f5f' END, {mean_text('total', 'n')}, {PERF_LABEL}, body, "
     f"CASE WHEN perf <> 'zero' THEN '<p>' || {NL} || advert_name || ' True</p>' ELSE '' END)"
 )
+
+
+# The mails of approved runs: each workflow's real clicks and its test clicks apart.
+CTES["w_mail_test"] = CTES["w_mail_all"].replace("AND NOT test_mode", "AND test_mode")
+CTES["m_mail_real"] = CTES["m_mail_all"].replace("workflow = 'monthly_report'", "workflow = 'monthly_report' AND NOT test_mode")
+CTES["m_mail_test"] = CTES["m_mail_all"].replace("workflow = 'monthly_report'", "workflow = 'monthly_report' AND test_mode")
+CTES["k_odd"] = """
+    SELECT *, event_id % 13 AS kind, CASE
+      WHEN event_id % 13 = 7 THEN 'no arrival' WHEN event_id % 13 = 6 OR k * 5 > 300 THEN 'stale' WHEN event_id % 13 = 0 THEN 'no payload'
+      WHEN event_id % 13 IN (1, 8) THEN 'unreadable' WHEN event_id % 13 IN (2, 3) THEN 'no action' WHEN event_id % 13 = 4 THEN 'no ids'
+      WHEN event_type = 'error' AND event_id % 13 <> 5 THEN 'unknown button' END AS reason
+    FROM (SELECT *, CAST(json_extract(props, '$.k') AS INT) AS k FROM events)"""

@@ -22,7 +22,8 @@ from staylift.operators import adverts, bookings, cards, cooldown, lists, prompt
 from staylift.operators.copy import copy_rejects, last_copy, parse_copy, with_copy
 from staylift.operators.filters import in_month, month_range, nonempty_regions, only_ids, with_recipient
 from staylift.plans import monthly, weekly
-from staylift.schemas import NATIVE
+from staylift.plans.approved import mail_approved, published_mails
+from staylift.schemas import CLICK_REQUEST, NATIVE
 from staylift.sources.contact_log import merge_contacts, read_contact_log, read_contacts
 from staylift.sources.outbox import as_outbox, read_outbox, write_outbox
 from staylift.sources.tables import load_tables
@@ -940,8 +941,56 @@ def approval_stream(spark: SparkSession, sf: str) -> DataFrame:
 
 SQL["approval_stream"] = _with_gate(
     _gate_sql(
-        "(SELECT * FROM k_approved WHERE NOT test_mode)", "workflow, acm_id", "arrived_at", "click_id", "14",
+        "(SELECT * FROM k_approved WHERE NOT test_mode)", "workflow, acm_id", "arrived_at", "click_id",
+        "CASE workflow WHEN 'monthly_report' THEN 25 ELSE 14 END",
         "strftime(stamp, '%Y-%m-%d') AS run_date, workflow, 'approval' AS kind, acm_id",
     ),
     "SELECT * FROM k_approved",
 )
+
+
+@query(
+    "SELECT event_id AS click_id, reason, CAST(CASE WHEN kind = 9 AND reason IS NOT NULL THEN 3 ELSE 1 END AS BIGINT) AS n FROM k_odd WHERE reason IS NOT NULL "
+    "UNION ALL SELECT event_id, 'repeated', 2 FROM k_odd WHERE reason IS NULL AND kind = 9 "
+    "UNION ALL SELECT event_id, 'unusable id', 1 FROM k_odd WHERE reason IS NULL AND kind = 5"
+)
+def click_rejects(spark: SparkSession, sf: str) -> DataFrame:
+    """What a stream of approvals turns away, by click and reason."""
+    path, landed = new_path(spark, "approvals"), new_path(spark, "odd")
+    b.odd_clicks(b.read(spark, sf, "events")).write.parquet(landed)
+    stream = spark.readStream.schema(CLICK_REQUEST).parquet(landed)
+    approvals.start_approvals(stream, path, f"{path}-state").awaitTermination()
+    found = approvals.rejected(spark, path).filter("reason <> 'held back'")
+    return found.groupBy("click_id", "reason").agg(F.sum("rows").alias("n"))
+
+
+def _approved_sql(workflow: str, kind: str, source: str, html: str) -> str:
+    test = kind == "test_mail"
+    to, subject = ("'review@example.com'", "'[테스트] ' || subject") if test else ("coalesce(host_email, '')", "subject")
+    body = f"CASE WHEN outcome = 'success' THEN {html} ELSE '' END"
+    return f"SELECT '{workflow}' AS workflow, '{kind}' AS kind, acm_id, {to} AS recipient, {subject} AS subject, {body} AS body, outcome FROM {source}"
+
+
+@query(" UNION ALL ".join([
+    _approved_sql("weekly_upsell", "mail", "w_mail_all", o.UPSELL_HTML), _approved_sql("weekly_upsell", "test_mail", "w_mail_test", o.UPSELL_HTML),
+    _approved_sql("monthly_report", "mail", "m_mail_real", o.REPORT_HTML), _approved_sql("monthly_report", "test_mail", "m_mail_test", o.REPORT_HTML),
+]))
+def approved_mailing(spark: SparkSession, sf: str) -> DataFrame:
+    """Clicks, real ones and tests of both workflows, through the stream, taken by one run, mailed and published."""
+    path, outbox = new_path(spark, "approvals"), new_path(spark, "outbox")
+    approvals.start_approvals(b.as_clicks(b.event_stream(spark, sf)), path, f"{path}-state").awaitTermination()
+    t, m = b.upsell_tables(spark, sf), b.monthly_tables(spark, sf)
+    logs = [_shifted(b.sent_log(spark, sf, users), "last_sent") for users in (t.users, m.users)]
+    targets = weekly.weekly_targets(t, AS_OF, RULES, no_ad_limit=None, upgrade_limit=None)
+    hosts = monthly.monthly_hosts(m, AS_OF, RULES, limit=None)
+
+    def weekly_mails(ids: DataFrame, test: bool) -> DataFrame:
+        to = "review@example.com" if test else ""
+        return weekly.weekly_mailing(targets, _upsell_copy(spark, sf), logs[0], o.UPSELL_TEMPLATE, AS_OF, ids=ids, test_to=to, order="made", limited=False)
+
+    def monthly_mails(ids: DataFrame, test: bool) -> DataFrame:
+        to = "review@example.com" if test else ""
+        return monthly.monthly_mailing(hosts, _monthly_copy(spark, sf), logs[1], o.REPORT_TEMPLATE, ids, AS_OF, test_to=to, order="made")
+
+    mail_approved(spark, path, outbox, "first", AS_OF, {"weekly_upsell": weekly_mails, "monthly_report": monthly_mails})
+    return _no_nulls(published_mails(spark, outbox).select("workflow", "kind", "acm_id", "recipient", "subject", "body", "outcome"))

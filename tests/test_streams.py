@@ -6,7 +6,8 @@ from urllib.parse import quote_plus
 import pytest
 from pyspark.sql import functions as F
 
-from staylift.sources import contact_log
+from staylift.plans.approved import mail_approved, published_mails, sent_log
+from staylift.sources import contact_log, runs
 from staylift.streaming import approvals, clicks, contacts
 
 T0 = datetime(2025, 6, 1, 9, 0)
@@ -233,3 +234,113 @@ def test_approval_stream_end_to_end(spark, tmp_path):
     ]
     box = approvals.approvals_outbox(spark, out)
     assert box.filter((F.col("kind") == "approval") & (F.col("run_date") == "2025-06-27")).count() == 1
+
+
+def triage_rows():
+    """Clicks by the reason they are of no use for; None for good ones."""
+    broken = {"form_body": "payload=%7Bbroken"}
+    return [
+        (None, click(0, value="1,2")), (None, click(1, "test_upsell_email", "")), ("stale", click(2, age=301)), ("stale", {**click(3), "request_ts": "soon"}),
+        ("stale", {**click(4), "request_ts": None}), ("no payload", {**click(5), "form_body": "x=1"}), ("no payload", {**click(6), "form_body": None}),
+        ("unreadable", {**click(7), **broken}), ("unreadable", {**click(8), "form_body": "payload=%zz"}), ("no action", click(9, kind="url_verification")),
+        ("no action", click(10, actions=[])), ("no action", click(11, payload="{}")), ("no action", click(12, payload="[1]")), ("unknown button", click(13, "other")),
+        ("unknown button", click(14, actions=[{"value": "1"}])), ("no ids", click(15, value="")), ("no ids", click(16, actions=[{"action_id": "send_all_upsell"}])),
+    ]
+
+
+def test_every_click_is_good_or_has_a_reason(spark):
+    rows = batch(spark, [r for _, r in triage_rows()])
+    rows = rows.unionByName(batch(spark, [click(17)]).withColumn("arrived_at", F.lit(None).cast("timestamp_ntz")))
+    told = {r.click_id: r.reason for r in clicks.with_reason(rows).collect()}
+    assert told == {r["click_id"]: reason for reason, r in triage_rows()} | {17: "no arrival"}
+    assert set(told.values()) - {None} == set(clicks.CLICK_REASONS) - {"repeated"}
+    good = {r.click_id for r in clicks.route_clicks(clicks.fresh_clicks(rows)).collect()}
+    assert good == {k for k, reason in told.items() if reason is None}
+
+
+def test_rows_in_are_rows_out(spark, tmp_path):
+    src, out, state = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "state")
+    rows = [r for reason, r in triage_rows()] + [click(0, value="1,2")] * 2 + [click(20, value=" 5, x,,7.5"), click(21, value="1", at=T0 + timedelta(days=1))]
+    write(src, "0.json", rows)
+    write(src, "1.json", [click(30, value="1,2"), click(31, value="9", at=T0 + timedelta(days=20))])
+    approvals.start_approvals(clicks.read_clicks(spark, str(src), max_files=1), out, state).awaitTermination()
+    found = approvals.rejected(spark, out).groupBy("reason").agg(F.sum("rows").alias("n")).collect()
+    reasons = {r.reason: r.n for r in found}
+    # Clicks: every one is a delivery kept once or a reject. Click 30 repeats the delivery of click 0.
+    kept = spark.read.parquet(f"{out}-deliveries").count()
+    assert kept + sum(n for r, n in reasons.items() if r in clicks.CLICK_REASONS) == len(rows) + 2
+    assert reasons["repeated"] == 3 and reasons["stale"] == 3 and reasons["unreadable"] == 2
+    # Ids: 1, 2, 5, 9 pass, 1 again is held back, x and 7.5 are none.
+    assert sorted(r.acm_id for r in spark.read.schema(approvals.PASSED).parquet(out).collect()) == [1, 2, 5, 9]
+    assert reasons["held back"] == 1 and reasons["unusable id"] == 2
+    # A checkpoint lost: nothing passes twice.
+    approvals.start_approvals(clicks.read_clicks(spark, str(src), max_files=1), out, str(tmp_path / "again")).awaitTermination()
+    assert sorted(r.acm_id for r in spark.read.schema(approvals.PASSED).parquet(out).collect()) == [1, 2, 5, 9]
+
+
+def test_a_run_takes_approvals_once(spark, tmp_path):
+    src, path, box, state = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "box"), str(tmp_path / "state")
+
+    def arrive(name, rows):
+        write(src, name, rows)
+        approvals.start_approvals(clicks.read_clicks(spark, str(src), max_files=1), path, state).awaitTermination()
+
+    assert approvals.claim_approvals(spark, path, box, "a") is None
+    arrive("0.json", [click(1, "send_all_upsell", "1,2"), click(2, "test_monthly_report", "7"), click(3, "test_upsell_email", "")])
+    first = approvals.claim_approvals(spark, path, box, "a")
+    expected = [("monthly_report", True, 7), ("weekly_upsell", False, 1), ("weekly_upsell", False, 2)]
+    rows = {(r.workflow, r.test_mode, r.acm_id) for r in first.ids.collect()}
+    assert first.run == "a" and rows == {*expected, ("weekly_upsell", True, None)}
+    # More arrives, and the job breaks off before it publishes: the next one gets what the first had, under its name.
+    arrive("1.json", [click(4, "send_monthly_report", "1", T0 + timedelta(days=1))])
+    again = approvals.claim_approvals(spark, path, box, "b")
+    assert again.run == "a" and {(r.workflow, r.test_mode, r.acm_id) for r in again.ids.collect()} == rows
+    assert runs.publish(spark, box, "a", mails=spark.range(2)) and not runs.publish(spark, box, "a", mails=spark.range(5))
+    second = approvals.claim_approvals(spark, path, box, "b")
+    assert second.run == "b" and [tuple(r) for r in second.ids.collect()] == [("monthly_report", False, 1)]
+    assert runs.publish(spark, box, "b", mails=spark.range(3))
+    assert approvals.claim_approvals(spark, path, box, "c") is None
+    assert runs.read_published(spark, box, "mails", spark.range(1).schema).groupBy("run").count().orderBy("run").collect() == [("a", 2), ("b", 3)]
+
+
+def test_a_run_is_seen_whole_or_not_at_all(spark, tmp_path, monkeypatch):
+    box, kinds = str(tmp_path / "box"), spark.range(1).schema
+
+    def seen():
+        return [sorted(r.id for r in runs.read_published(spark, box, table, kinds).collect()) for table in ("mails", "sent")]
+
+    assert seen() == [[], []]
+    runs.publish(spark, box, "1", mails=spark.range(2), sent=spark.range(1))
+    # Breaks off after the first table; the tables of the broken run are there and not seen.
+    broken = spark.range(3).withColumn("id", F.raise_error(F.lit("lost")).cast("long"))
+    with pytest.raises(Exception, match="lost"):
+        runs.publish(spark, box, "2", mails=spark.range(9), sent=broken)
+    assert spark.read.parquet(f"{box}/mails").count() == 11 and seen() == [[0, 1], [0]]
+    runs.publish(spark, box, "2", mails=spark.range(5, 6), sent=spark.range(7, 8))
+    assert seen() == [[0, 1, 5], [0, 7]]
+
+
+def test_approved_clicks_are_mailed_once(spark, tmp_path):
+    src, path, box, state = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "box"), str(tmp_path / "state")
+    write(src, "0.json", [click(1, "send_all_upsell", "1,2"), click(2, "test_upsell_email", "2"), click(3, "send_monthly_report", "5")])
+    approvals.start_approvals(clicks.read_clicks(spark, str(src)), path, state).awaitTermination()
+    asked = []
+
+    def mailer(ids, test):
+        asked.append((sorted(r.acm_id for r in ids.collect()), test))
+        blank = {c: F.lit(None) for c in ("list_no", "pos")} | {"subject": F.lit("s"), "html": F.lit("h")}
+        to = F.lit("me@example.com") if test else F.concat(F.lit("host"), F.col("acm_id").cast("string"))
+        return ids.withColumns(blank | {"recipient": to, "outcome": F.when(F.col("acm_id") == 1, "skip").otherwise("success")})
+
+    def run(name):
+        return mail_approved(spark, path, box, name, T0, {"weekly_upsell": mailer, "monthly_report": mailer})
+
+    assert run("a") == "a" and run("b") is None
+    assert asked == [([1, 2], False), ([2], True), ([5], False)]
+    mails = published_mails(spark, box).collect()
+    assert sorted((r.workflow, r.kind, r.acm_id, r.recipient, r.outcome) for r in mails) == [
+        ("monthly_report", "mail", 5, "host5", "success"), ("weekly_upsell", "mail", 1, "host1", "skip"),
+        ("weekly_upsell", "mail", 2, "host2", "success"), ("weekly_upsell", "test_mail", 2, "me@example.com", "success"),
+    ]
+    # What was mailed is a contact; tests and what was held back are none.
+    assert [tuple(r) for r in sent_log(spark, box, "weekly_upsell").collect()] == [("host2", T0)]
