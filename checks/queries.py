@@ -793,9 +793,14 @@ def contact_log_import(spark: SparkSession, sf: str) -> DataFrame:
     """The shown log in its JSON form, with stamps at UTC, read back."""
     path = new_path(spark, "log")
     stamp = F.date_format(F.col("last_shown") - F.expr("INTERVAL 9 HOURS"), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'+00:00'")
-    entries = b.shown_log(spark, sf).select(F.struct(F.col("acm_id").cast("string"), stamp).alias("e"))
-    log = entries.agg(F.map_from_entries(F.collect_list("e")).alias("acms"))
-    log.select(F.to_json(F.struct("acms")).alias("value")).write.text(path)
+    entry = F.concat(F.to_json(F.array(F.col("acm_id").cast("string"))), F.lit(": "), F.to_json(F.array(stamp)))
+    entries = b.shown_log(spark, sf).select("acm_id", F.translate(entry, "[]", "").alias("value"))
+    # One object, written line by line: its opening, all entries but one, the last one and the end.
+    last = entries.agg(F.max(F.struct("acm_id", "value")).alias("e")).select("e.*")
+    opening = spark.range(1).select(F.lit(0).alias("part"), F.lit('{"acms": {').alias("value"))
+    others = entries.join(last.select("acm_id"), "acm_id", "left_anti").select(F.lit(1).alias("part"), F.concat("value", F.lit(",")).alias("value"))
+    ending = last.select(F.lit(2).alias("part"), F.concat(F.coalesce("value", F.lit("")), F.lit("}}")).alias("value"))
+    opening.unionByName(others).unionByName(ending).coalesce(1).sortWithinPartitions("part").select("value").write.text(path)
     return read_contact_log(spark, path, "acms", "acm_id", "last_shown", T.LongType())
 
 

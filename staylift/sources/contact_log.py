@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+import re
 import uuid
 
 from pyspark.errors import AnalysisException
@@ -41,22 +43,43 @@ def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataF
         raise
 
 
+#: An entry's value ends here; so does what a task reads, whatever byte it began at.
+ENTRY_END = '",'
+
+
+def _members(spark: SparkSession, path: str, root: str) -> DataFrame:
+    """The log cut at the ends of its entries, each piece made an object of its own; null where a piece is none."""
+    pieces = spark.read.text(path, lineSep=ENTRY_END)
+    opening = r"^\s*\{\s*" + re.escape(json.dumps(root, ensure_ascii=False)) + r"\s*:\s*\{"
+    text = F.regexp_replace(F.regexp_replace("value", opening, ""), r'"\s*\}\s*\}\s*$', "")
+    # A log without entries, or what follows the last one.
+    blank = F.regexp_replace(text, r"[\s}]", "") == ""
+    member = F.concat(F.lit("{"), text, F.lit('"}'))
+    return pieces.filter(~blank).select(F.when(F.try_parse_json(member).isNotNull(), member).alias("member"))
+
+
 def read_contact_log(
     spark: SparkSession, path: str, root: str, key: str, stamp: str, key_type: T.DataType = T.StringType()
 ) -> DataFrame:
-    """Import a JSON log ``{root: {key: iso stamp}}``; a log that does not exist yet is empty.
+    """Import a JSON log ``{root: {key: iso stamp}}``, or a folder of them; a log that does not exist yet is empty.
 
-    The JSON form is one document and so one task. It is the hand-over format only: once imported,
-    contacts live in the table written by ``append_contacts``, which reads in parallel.
+    One log is read by as many tasks as its size asks for: it is taken as text that is cut at the ends of entries, so that
+    each task begins at the next entry. Where that cannot be done (a key that holds a quote and a comma, or a root that is
+    not the first and only member) the log is parsed whole, by one task per file. Once imported, contacts live in the
+    table written by ``append_contacts``.
     """
-    schema = T.StructType([T.StructField(root, T.MapType(T.StringType(), T.StringType()))])
+    texts = T.MapType(T.StringType(), T.StringType())
     try:
-        log = spark.read.schema(schema).json(path, multiLine=True)
+        members = _members(spark, path, root)
     except AnalysisException as e:
         if _missing(e):
             return spark.createDataFrame([], _log_schema(key, stamp, key_type))
         raise
-    entries = log.select(F.explode(F.col(root)).alias("k", "v"))
+    if members.filter("member IS NULL").isEmpty():
+        entries = members.select(F.explode(F.from_json("member", texts)).alias("k", "v"))
+    else:
+        log = spark.read.schema(T.StructType([T.StructField(root, texts)])).json(path, multiLine=True)
+        entries = log.select(F.explode(F.col(root)).alias("k", "v"))
     return entries.select(F.col("k").cast(key_type).alias(key), wall_clock(F.col("v")).alias(stamp))
 
 

@@ -53,6 +53,40 @@ def test_json_log_import_and_missing_file(spark, tmp_path):
     assert none.columns == ["email", "last_sent"] and none.count() == 0
 
 
+def imported(spark, path):
+    rows = contact_log.read_contact_log(spark, str(path), "emails", "email", "last_sent")
+    return rows, sorted((r.email, r.last_sent) for r in rows.collect())
+
+
+@pytest.mark.parametrize("form", [{}, {"indent": 2}, {"separators": (",", ":")}, {"ensure_ascii": False}])
+def test_one_log_is_read_by_many_tasks(spark, tmp_path, form):
+    path, at = tmp_path / "log.json", datetime(2025, 6, 1, 9, 30)
+    keys = [f"host{n}@example.com" for n in range(500)] + ["é, {x}@b", 'quo"te', "back\\", "a: b}}", "", " 한글 "]
+    path.write_text(json.dumps({"emails": {k: "2025-06-01T09:30:00+09:00" for k in keys}}, **form))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4k")
+    try:
+        rows, found = imported(spark, path)
+        assert found == sorted((k, at) for k in keys) and rows.rdd.getNumPartitions() > 5
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+@pytest.mark.parametrize("text", ['{"emails": {}}', ' {\n "emails" : { } }\n', '{"other": {}}', "{}", '{"emails": null}'])
+def test_logs_without_entries(spark, tmp_path, text):
+    (tmp_path / "log.json").write_text(text)
+    assert imported(spark, tmp_path / "log.json")[1] == []
+
+
+def test_logs_that_cannot_be_cut_are_parsed_whole(spark, tmp_path):
+    at = "2025-06-01T09:30:00+09:00"
+    (tmp_path / "log.json").write_text(json.dumps({"emails": {'odd",key': at, "b": at, "c": at}}))
+    assert [k for k, _ in imported(spark, tmp_path / "log.json")[1]] == ["b", "c", 'odd",key']
+    (tmp_path / "two.json").write_text(json.dumps({"made": "today", "emails": {"a": at, "b": at}}))
+    assert [k for k, _ in imported(spark, tmp_path / "two.json")[1]] == ["a", "b"]
+    (tmp_path / "three.json").write_text(json.dumps({"emails": {"a": at, "b": at}, "made": "today"}))
+    assert [k for k, _ in imported(spark, tmp_path / "three.json")[1]] == ["a", "b"]
+
+
 def test_contact_table_appends_replaces_and_compacts(spark, tmp_path):
     path = str(tmp_path / "log")
     assert contact_log.read_contacts(spark, path, "email", "last_sent").count() == 0
