@@ -98,26 +98,46 @@ def append_contacts(contacts: DataFrame, path: str, batch_id: str) -> None:
     contacts.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
 
 
+MERGED = T.StructType([T.StructField("batch", T.StringType()), T.StructField("merge", T.StringType())])
+
+
+def merged_batches(spark: SparkSession, path: str) -> list[tuple[str, str]]:
+    """Batches that a compaction has put into another one, with that one's name; as many as came between two compactions."""
+    return [(r.batch, r.merge) for r in read_or_empty(spark, f"{path}-merged", MERGED).collect()]
+
+
+def _live(spark: SparkSession, path: str, key: str, stamp: str, key_type: T.DataType) -> DataFrame:
+    """The rows of the batches that are in force, with their batch. The list of merged ones is read first: a merge that
+    comes after is not missed, its batches are then read apart."""
+    merged = [batch for batch, _ in merged_batches(spark, path)]
+    rows = read_or_empty(spark, path, T.StructType([*_log_schema(key, stamp, key_type), T.StructField("batch", T.StringType())]))
+    return rows.filter(~F.col("batch").isin(merged)) if merged else rows
+
+
 def read_contacts(
     spark: SparkSession, path: str, key: str, stamp: str, key_type: T.DataType = T.StringType()
 ) -> DataFrame:
     """The appended batches reduced to the latest stamp per key; no batch yet means an empty log."""
-    rows = read_or_empty(spark, path, _log_schema(key, stamp, key_type))
-    return rows.groupBy(key).agg(F.max(stamp).alias(stamp))
+    return _live(spark, path, key, stamp, key_type).groupBy(key).agg(F.max(stamp).alias(stamp))
 
 
 def compact_contacts(
     spark: SparkSession, path: str, key: str, stamp: str, key_type: T.DataType = T.StringType()
 ) -> None:
-    """Put all batches so far into one with a row per key, in place.
+    """Put all batches so far into one with a row per key.
 
-    The merged batch is there before the old ones go, and a batch that a running stream writes again meanwhile only adds
-    what the merge has: the table says the same at every moment.
+    The merged batch is written first, then by one file the list of those it stands for, from when on readers skip them.
+    Their folders stay until the next compaction, so that a read that began before this one ends as it began. A batch that a
+    running stream writes again meanwhile only adds what the merge has: the table says the same at every moment.
     """
-    schema = T.StructType([*_log_schema(key, stamp, key_type), T.StructField("batch", T.StringType())])
-    old = [r[0] for r in read_or_empty(spark, path, schema).select("batch").distinct().collect()]
-    if len(old) < 2:
-        return
-    append_contacts(read_contacts(spark, path, key, stamp, key_type), path, f"merged-{uuid.uuid4().hex}")
-    for batch in old:
+    before = merged_batches(spark, path)
+    live = _live(spark, path, key, stamp, key_type)
+    old = sorted(r[0] for r in live.select("batch").distinct().collect())
+    if len(old) > 1:
+        merge = f"merged-{uuid.uuid4().hex}"
+        append_contacts(live.groupBy(key).agg(F.max(stamp).alias(stamp)), path, merge)
+        spark.createDataFrame([(b,) for b in old], "batch STRING").coalesce(1).write.parquet(f"{path}-merged/merge={merge}")
+    for batch, _ in before:
         remove(spark, f"{path}/batch={batch}")
+    for merge in {merge for _, merge in before}:
+        remove(spark, f"{path}-merged/merge={merge}")

@@ -99,11 +99,26 @@ def test_contact_table_appends_replaces_and_compacts(spark, tmp_path):
     add(1, ("a", days_ago(2)))
     expected = {"a": days_ago(2), "b": days_ago(8)}
     assert {r.email: r.last_sent for r in contact_log.read_contacts(spark, path, "email", "last_sent").collect()} == expected
-    contact_log.compact_contacts(spark, path, "email", "last_sent")
-    assert len(list((tmp_path / "log").glob("batch=*"))) == 1
-    assert {r.email: r.last_sent for r in contact_log.read_contacts(spark, path, "email", "last_sent").collect()} == expected
+    def told(df):
+        return {r.email: r.last_sent for r in df.collect()}
+
+    def compact():
+        contact_log.compact_contacts(spark, path, "email", "last_sent")
+        return sorted(p.name for p in (tmp_path / "log").glob("batch=*"))
+
+    # A read that began before a compaction ends as it began; the next compaction removes what the first one merged.
+    began = contact_log.read_contacts(spark, path, "email", "last_sent")
+    assert len(compact()) == 3 and told(began) == expected
+    after = contact_log.read_contacts(spark, path, "email", "last_sent")
+    assert told(after) == expected and all("merged-" in f for f in after.inputFiles())
     add(2, ("c", days_ago(3)))
-    assert contact_log.read_contacts(spark, path, "email", "last_sent").count() == 3
+    add(0, ("a", days_ago(9)), ("b", days_ago(8)))
+    began = contact_log.read_contacts(spark, path, "email", "last_sent")
+    assert len(compact()) == 3 and told(began) == expected | {"c": days_ago(3)}
+    assert told(contact_log.read_contacts(spark, path, "email", "last_sent")) == expected | {"c": days_ago(3)}
+    # Nothing to merge: only what the last one left goes.
+    assert len(compact()) == 1 and compact() == compact()
+    assert told(contact_log.read_contacts(spark, path, "email", "last_sent")) == expected | {"c": days_ago(3)}
 
 
 def test_outbox_rewrites_only_its_day(spark, tmp_path):
