@@ -15,7 +15,8 @@ ROUNDS = 10
 
 #: How the kinds are written. The first alternative that matches at a place decides; a value must then pass its check.
 PATTERNS = {
-    "email": r"(?<![\w.+-])[A-Za-z0-9][\w.+%-]*+@[A-Za-z0-9][A-Za-z0-9.-]*\.[A-Za-z]{2,}",
+    # A run of its signs is entered at its beginning, or behind a percent sign there, so that it is read no more than twice.
+    "email": r"(?:(?<![\w.+%-])|(?<=(?<![\w.+%-])%))[A-Za-z0-9][\w.+%-]*+@[A-Za-z0-9][A-Za-z0-9.-]*\.[A-Za-z]{2,}",
     "secret": r"(?:(?i:token|secret|password|passwd|api_?key) {0,2}[=:] {0,2}[\"'])[\w-]{12,}+(?=[\"'])",
     "ip": r"(?<![\w.])\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3}(?![\w]|\.\d)",
     "date": r"(?<![\w./-])(?:\d{4}-\d\d-\d\d|\d{4}/\d\d/\d\d|\d\d\.\d\d\.\d{4}|\d\d/\d\d/\d{4})(?![\w]|[./-]\d)",

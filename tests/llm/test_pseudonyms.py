@@ -3,6 +3,7 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+import time
 from datetime import date, timedelta
 
 import pytest
@@ -195,3 +196,24 @@ def test_empty_table(spark):
 def test_no_python_in_the_plan(spark):
     plan = made(spark, [(1, "x", *[None] * 4)])._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_runs_of_signs_take_linear_time(spark):
+    """Texts of 200,000 signs that begin many a value and end none; a short table warms up first."""
+    def seconds(texts):
+        docs = spark.createDataFrame(list(enumerate(texts)), "doc_id LONG, text STRING").coalesce(1)
+        began = time.perf_counter()
+        p.pseudonymised(docs, key="k").write.format("noop").mode("overwrite").save()
+        return time.perf_counter() - began
+
+    runs = ["%41" * 66_000, "a%20b" * 40_000, "%" * 200_000, "." * 200_000, " " * 200_000, "a." * 100_000, "1" * 200_000, "a@" * 100_000, "token='" * 28_000]
+    short = seconds([x[:2000] for x in runs])
+    assert seconds(runs) < short + 9
+
+
+def test_addresses_behind_percent_signs(spark):
+    texts = ["%20alice@example.com", "a%20alice@example.com", "x %40 bob@example.com", "%%alice@example.com", "mailto:%22carol@example.com%22"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id LONG, text STRING")
+    got = {r.record.doc_id: r.text for r in p.pseudonymised(docs, key="k").collect()}
+    assert [got[i] != t for i, t in enumerate(texts)] == [True, True, True, False, True]
+    assert all("@example.com" in got[i] for i in range(5))
