@@ -67,8 +67,26 @@ SENTENCES = {
         "this library is distributed in the hope that it will be useful but without any warranty without even the implied warranty of"
         " merchantability or fitness for a particular purpose",
     ],
-    "gpl-see": ["see the gnu general public license for more details", "see the gnu lesser general public license for more details"],
+    "agpl-reference": [
+        "this work is licensed under the gnu affero general public license version <version>",
+        "licensed under the gnu affero general public license version <version>",
+        "released under the gnu affero general public license version <version>",
+        "distributed under the gnu affero general public license version <version>",
+    ],
+    "agpl-grant-later": [
+        "this program is free software you can redistribute it and or modify it under the terms of the gnu affero general public license as"
+        " published by the free software foundation either version <version> of the license or at your option any later version",
+    ],
+    "agpl-grant-only": [
+        "this program is free software you can redistribute it and or modify it under the terms of the gnu affero general public license"
+        " version <version> as published by the free software foundation",
+    ],
+    "gpl-see": [
+        "see the gnu general public license for more details", "see the gnu lesser general public license for more details",
+        "see the gnu affero general public license for more details",
+    ],
     "gpl-received": [
+        "you should have received a copy of the gnu affero general public license along with this program",
         "you should have received a copy of the gnu general public license along with this program",
         "you should have received a copy of the gnu lesser general public license along with this library",
     ],
@@ -101,6 +119,47 @@ SENTENCES = {
         "licensed under a creative commons <kind> <version> international license",
         "this work is licensed under a creative commons <kind> <version> international license",
     ],
+    "epl-grant": [
+        "this program and the accompanying materials are made available under the terms of the eclipse public license v <version>",
+        "this program and the accompanying materials are made available under the terms of the eclipse public license v <version> which"
+        " accompanies this distribution",
+        "this program and the accompanying materials are made available under the terms of the eclipse public license <version> which is"
+        " available at https www eclipse org legal epl <version>",
+    ],
+    "zlib-as-is": ["this software is provided as is without any express or implied warranty"],
+    "zlib-liability": ["in no event will the authors be held liable for any damages arising from the use of this software"],
+    "zlib-grant": [
+        "permission is granted to anyone to use this software for any purpose including commercial applications and to alter it and"
+        " redistribute it freely subject to the following restrictions",
+    ],
+    "zlib-origin": ["the origin of this software must not be misrepresented"],
+    "bsl-reference": [
+        "distributed under the boost software license version <version>", "licensed under the boost software license version <version>",
+        "released under the boost software license version <version>",
+    ],
+    "bsl-grant": [
+        "permission is hereby granted free of charge to any person or organization obtaining a copy of the software and accompanying"
+        " documentation covered by this license the software to use reproduce display distribute execute and transmit the software and to"
+        " prepare derivative works of the software and to permit third parties to whom the software is furnished to do so all subject to"
+        " the following",
+    ],
+    "cc0-reference": [
+        "licensed under cc0 <version>", "licensed under cc0 <version> universal", "this work is licensed under cc0 <version>",
+        "released under cc0 <version>", "released under cc0 <version> universal",
+    ],
+    "cc0-waiver": ["to the extent possible under law <who> has waived all copyright and related or neighboring rights to this work"],
+    # How the licences' own full texts begin.
+    "apache-2-title": ["apache license version 2 0 january 2004"],
+    "gpl-2-title": ["gnu general public license version 2 june 1991"],
+    "gpl-3-title": ["gnu general public license version 3 29 june 2007"],
+    "lgpl-2-title": ["gnu lesser general public license version 2 1 february 1999"],
+    "lgpl-3-title": ["gnu lesser general public license version 3 29 june 2007"],
+    "agpl-3-title": ["gnu affero general public license version 3 19 november 2007"],
+    "mpl-2-title": ["mozilla public license version 2 0"],
+    "epl-1-title": ["eclipse public license v 1 0"],
+    "epl-2-title": ["eclipse public license v 2 0"],
+    "bsl-1-title": ["boost software license version 1 0 august 17th 2003"],
+    "cc0-title": ["cc0 1 0 universal"],
     "unlicense-grant": ["this is free and unencumbered software released into the public domain"],
     "public-domain": ["this work is in the public domain", "released into the public domain"],
     "copyright": ["copyright <who>", "copyright c <who>", "c copyright <who>"],
@@ -116,6 +175,9 @@ RULES = [
     ("GPL-{0}-only", ["gpl-grant-only", "gpl-warranty?", "gpl-see?", "gpl-received?"]),
     ("GPL-{0}-only", ["gpl-reference", "gpl-warranty?", "gpl-see?", "gpl-received?"]),
     ("LGPL-{0}-or-later", ["lgpl-grant-later", "gpl-warranty?", "gpl-see?", "gpl-received?"]),
+    ("AGPL-{0}-or-later", ["agpl-grant-later", "gpl-warranty?", "gpl-see?", "gpl-received?"]),
+    ("AGPL-{0}-only", ["agpl-grant-only", "gpl-warranty?", "gpl-see?", "gpl-received?"]),
+    ("AGPL-{0}-only", ["agpl-reference", "gpl-warranty?", "gpl-see?", "gpl-received?"]),
     ("MIT", ["mit-grant", "mit-notice", "mit-as-is?", "mit-liability?"]),
     ("MIT", ["mit-reference"]),
     ("BSD-3-Clause", ["bsd-grant", "bsd-source", "bsd-binary", "bsd-name", "bsd-as-is?"]),
@@ -124,6 +186,23 @@ RULES = [
     ("MPL-{0}", ["mpl-grant", "mpl-copy?"]),
     ("ISC", ["isc-grant", "mit-as-is?"]),
     ("CC-{0}", ["cc-reference"]),
+    ("EPL-{0}", ["epl-grant"]),
+    ("Zlib", ["zlib-as-is?", "zlib-liability?", "zlib-grant", "zlib-origin?"]),
+    ("BSL-1.0", ["bsl-1-title?", "bsl-grant"]),
+    ("BSL-1.0", ["bsl-1-title"]),
+    ("BSL-{0}", ["bsl-reference"]),
+    ("CC0-1.0", ["cc0-title"]),
+    ("CC0-1.0", ["cc0-waiver"]),
+    ("CC0-{0}", ["cc0-reference"]),
+    ("Apache-2.0", ["apache-2-title"]),
+    ("GPL-2.0", ["gpl-2-title"]),
+    ("GPL-3.0", ["gpl-3-title"]),
+    ("LGPL-2.1", ["lgpl-2-title"]),
+    ("LGPL-3.0", ["lgpl-3-title"]),
+    ("AGPL-3.0", ["agpl-3-title"]),
+    ("MPL-2.0", ["mpl-2-title"]),
+    ("EPL-1.0", ["epl-1-title"]),
+    ("EPL-2.0", ["epl-2-title"]),
     ("Unlicense", ["unlicense-grant"]),
     ("Public-Domain", ["public-domain"]),
     ("Proprietary", ["all-rights"]),
@@ -131,7 +210,7 @@ RULES = [
 
 #: Parts of words one of which every known sentence holds; texts and sentences without any are not looked at further.
 #: Each lies within a word, so that line ends and signs between words do not hide it.
-TRIGGERS = ("licen", "copyright", "permission", "redistribution", "software", "warrant", "domain", "liab", "mozilla", "mpl", "reserved", "released")
+TRIGGERS = ("licen", "copyright", "permission", "redistribution", "software", "warrant", "domain", "liab", "mozilla", "mpl", "reserved", "released", "misrepresented", "cc0")
 
 _GAPS = {"<version>": r"(\d{1,2}(?: \d{1,2})?)", "<kind>": r"((?:by|nc|nd|sa|zero|attribution|noncommercial|sharealike|noderivatives|noderivs)(?: (?:by|nc|nd|sa|attribution|noncommercial|sharealike|noderivatives|noderivs))*)", "<who>": r"(?:\S+ ){0,30}?\S+"}
 _SHORT = {"attribution": "BY", "noncommercial": "NC", "sharealike": "SA", "noderivatives": "ND", "noderivs": "ND"}
@@ -187,14 +266,18 @@ class Sentence:
     end: int
 
 
-# A sentence ends at a stop before white space (whatever signs stand between) or at a blank line.
-_END = re.compile(r"[.;:?][^\w\s]*(?=\s|$)|\n[^\S\n]*\n")
+# A sentence ends at a run of signs before white space, one of them a stop, or at a blank line. A run is entered at its
+# beginning alone and never given back, so that it is read once however long it is.
+_END = re.compile(r"(?<![^\w\s])[^\w\s]++(?=\s|$)|\n[^\S\n]*+\n")
+_STOPS = re.compile(r"[.;:?\n]")
 _LINE = re.compile(r"[^\n]+")
 
 
 def _stretches(text: str) -> Iterator[tuple[int, int]]:
     at = 0
     for stop in _END.finditer(text):
+        if not _STOPS.search(stop[0]):
+            continue
         yield at, stop.end()
         at = stop.end()
     yield at, len(text)

@@ -1,6 +1,9 @@
 from __future__ import annotations
 
+import itertools
+import random
 import re
+import time
 from collections import Counter
 
 import pytest
@@ -123,3 +126,60 @@ def test_nulls_repeats_and_clashing_names(spark):
         (0, ["MPL-2.0"]), (1, []), (2, []), (3, ["GPL-3.0-or-later"]), (3, ["GPL-3.0-or-later"]),
     ]
     assert l.recognised(docs.limit(0)).collect() == []
+
+
+@pytest.mark.parametrize(("text", "expected"), [
+    ("                    GNU GENERAL PUBLIC LICENSE\n                       Version 3, 29 June 2007\n\n Copyright (C) 2007 The Foundation\n", ["GPL-3.0"]),
+    ("GNU AFFERO GENERAL PUBLIC LICENSE\nVersion 3, 19 November 2007\n\nmore", ["AGPL-3.0"]),
+    ("Apache License\nVersion 2.0, January 2004\nhttp://www.example.org/", ["Apache-2.0"]),
+    ("Boost Software License - Version 1.0 - August 17th, 2003\n\nPermission is hereby granted, free of charge, to any person or organization", ["BSL-1.0"]),
+    ("This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any damages arising"
+     " from the use of this software.\n\nPermission is granted to anyone to use this software for any purpose, including commercial applications, and to"
+     " alter it and redistribute it freely, subject to the following restrictions:\n\n1. The origin of this software must not be misrepresented; you", ["Zlib"]),
+    ("This program and the accompanying materials are made available under the terms of the Eclipse Public License v1.0 which accompanies it", []),
+    ("This program and the accompanying materials are made available under the terms of the Eclipse Public License v. 2.0 which accompanies this distribution.", ["EPL-2.0"]),
+    ("To the extent possible under law, Some One has waived all copyright and related or neighboring rights to this work.", ["CC0-1.0"]),
+    ("This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by"
+     " the Free Software Foundation, either version 3 of the License, or (at your option) any later version.", ["AGPL-3.0-or-later"]),
+])
+def test_more_licences(text, expected):
+    assert names(text) == expected
+
+
+def test_sequences_of_all_sentences_as_brute_force():
+    """Known sentences in any order between others: their identifiers in that order, and the rules found by plain search."""
+    r = random.Random(4)
+    known = [(n, x) for n, group in l.SENTENCES.items() for x in group if n != "copyright"]
+    for _ in range(60):
+        picked = [r.choice(known) for _ in range(r.randrange(1, 25))]
+        text, expected = "", []
+        for name, sentence in picked:
+            if r.random() < 0.4:
+                text += f"Other words {r.randrange(9)} stand here. "
+            filled = sentence.replace("<version>", r.choice(["2.0", "3", "1.1"])).replace("<who>", "some one").replace("<kind>", "by-sa")
+            words = filled.split()
+            text += r.choice([" ", "\n", " \n# "]).join(words) + r.choice([". ", ";\n", ".\n\n"])
+            expected.append(name)
+        found = l.sentences(text)
+        assert [s.name for s in found] == expected, text
+        rest, told = expected, []
+        while rest:
+            for title, rule in l.RULES:
+                own = [w.rstrip("?") for w in rule]
+                fits = [k for k in itertools.product(*[(True, False) if w.endswith("?") else (True,) for w in rule])]
+                taken = max((sum(k) for k in fits if any(k) and rest[: sum(k)] == [w for w, on in zip(own, k) if on]), default=0)
+                if taken:
+                    told.append(title.split("{")[0])
+                    rest = rest[taken:]
+                    break
+            else:
+                rest = rest[1:]
+        assert [n[: len(t)] for (n, _, _), t in zip(l.licences(found), told, strict=True)] == told
+
+
+@pytest.mark.parametrize("long", ["." * 200_000, ".!" * 100_000 + "x", "copyright" + "." * 200_000 + "x", " " * 200_000, "\n" * 200_000, "\n " * 100_000, "%" * 200_000,
+                                  "copyright " + ". x" * 66_000, "copyright " * 20_000, "licensed under " * 14_000, "c " * 100_000 + "licensed"])
+def test_long_runs_take_linear_time(long):
+    began = time.perf_counter()
+    l.sentences(long + " licensed")
+    assert time.perf_counter() - began < 2
