@@ -7,6 +7,11 @@ from pyspark.sql import functions as F
 
 from staylift.functions.names import region_of
 from staylift.operators.filters import live_accommodations
+from staylift.operators.membership import bloom
+
+#: Size of the filter of region pieces: 4 kB, good for some thousand regions.
+PIECE_BITS = 1 << 15
+
 
 def _patterns(regions: DataFrame) -> DataFrame:
     """The part of each region to look up: its longest stretch free of ``%``.
@@ -49,7 +54,9 @@ def match_regions(named: DataFrame, regions: DataFrame, *, match: str = "like")
     equality join: a name is cut into its stretches of the lengths (and ``_`` places) that occur among
     the regions, and those are looked up. The work is linear in the names, not names times regions, and
     Spark sends the regions around while they are small.
-    The shapes are as many as there are distinct region lengths, and come in as a scalar subquery.
+    The shapes are as many as there are distinct region lengths, and come in as a scalar subquery. So does a Bloom filter of
+    the regions' pieces, by which stretches that no region has are dropped inside the row: what is exploded and joined is
+    little more than what matches.
     ``exact``: the name's own region equals the text.
     """
     if match == "exact":
@@ -58,8 +65,10 @@ def match_regions(named: DataFrame, regions: DataFrame, *, match: str = "like")
         raise ValueError(f"match must be 'like' or 'exact', not {match!r}")
     patterns = _patterns(regions)
     shapes = patterns.agg(F.collect_set(F.struct(F.length("piece").alias("size"), "holes"))).scalar()
-    shaped = named.withColumn("shapes", shapes)
-    pieces = shaped.withColumn("piece", F.explode(_pieces_of(F.col("acm_name"), F.col("shapes")))).drop("shapes")
+    known = bloom(patterns, "piece", PIECE_BITS, keep=False)
+    shaped = named.withColumns({"shapes": shapes, "known": known.words()})
+    likely = F.filter(_pieces_of(F.col("acm_name"), F.col("shapes")), lambda piece: known.may_hold(piece, F.col("known")))
+    pieces = shaped.withColumn("piece", F.explode(likely)).drop("shapes", "known")
     keys = patterns.select("piece", "region", "partial")
     like = F.expr(r"acm_name LIKE concat('%', replace(region, '\\', '\\\\'), '%')")
     return pieces.join(keys, "piece").filter(~F.col("partial") | like).drop("piece", "partial")

@@ -41,6 +41,30 @@ def test_contains_match_equals_brute_force(spark, names, regions):
     assert pairs(spark, names, regions) == brute(names, regions)
 
 
+def test_stretches_are_dropped_before_they_are_exploded(spark):
+    """Rows that the lookup of pieces is given, with and without regions that the names hold."""
+    names = [f"[region {n % 50}/kind] a rather long name of place {n}" for n in range(400)]
+    named = spark.createDataFrame([(i, n) for i, n in enumerate(names)], "acm_id LONG, acm_name STRING")
+    regions = [f"region {n}/" for n in range(50)] + ["nowhere at all"]
+    matched = match_regions(named, spark.createDataFrame([(r,) for r in regions], "region STRING"))
+    assert matched.count() == 400
+    matched.collect()
+    plan = matched._jdf.queryExecution().executedPlan()
+    made = generated_rows(plan)
+    assert made and max(made) <= 400 * 1.1
+
+
+def generated_rows(plan):
+    """Output rows of all Generate nodes of an executed plan."""
+    if plan.getClass().getSimpleName() == "AdaptiveSparkPlanExec":
+        plan = plan.executedPlan()
+    name, children = plan.nodeName(), plan.children()
+    if plan.getClass().getSimpleName().endswith("QueryStageExec"):
+        return generated_rows(plan.plan())
+    own = [plan.metrics().apply("numOutputRows").value()] if name == "Generate" else []
+    return own + [n for k in range(children.size()) for n in generated_rows(children.apply(k))]
+
+
 def test_exact_match_and_bad_option(spark):
     assert pairs(spark, NAMES, ["강릉", "강릉시"], match="exact") == [(0, "강릉"), (1, "강릉시")]
     with pytest.raises(ValueError):
