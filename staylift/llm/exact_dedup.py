@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from staylift.llm.shared import ascii_lower, checkpointed
+from staylift.llm.shared import ascii_lower, checkpointed, other_columns
+from staylift.operators.membership import Bloom, bloom
 
 
 def text_digest(norm: Column) -> Column:
@@ -27,28 +28,26 @@ def _with_digest(docs: DataFrame, digest, salts: int, *more: Column) -> DataFram
     return docs.select("doc_id", "text", *more, F.coalesce(digest(norm), F.lit("")).alias("digest"), (F.spark_partition_id() % salts).alias("salt"))
 
 
-def twin_digests(rows: DataFrame) -> DataFrame:
-    """Digests of more than one row. The others need no comparison: their texts differ from all. No text is moved."""
-    counts = rows.groupBy("digest").agg(F.count("*").alias("n"))
-    return checkpointed(counts.filter("n > 1").select("digest"))
-
+def twin_filter(rows: DataFrame) -> Bloom:
+    """A filter of the digests of more than one row. No text is moved: digests are counted, and combine map-side.
 
-def salted(twins: DataFrame, salts: int) -> DataFrame:
-    """Each twin digest with every salt, so that rows meet it by digest and salt: those of a digest that a third of all
-    rows have are dealt over as many tasks as there are salts."""
-    return twins.select("digest", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt"))
+    What the filter turns away differs from all others and needs no comparison; what it lets through by mistake is compared
+    for nothing.
+    """
+    counts = rows.groupBy("digest").agg(F.count("*").alias("n"))
+    return bloom(counts.filter("n > 1").select("digest"), "digest")
 
 
 def copy_groups(rows: DataFrame) -> DataFrame:
     """A row per distinct normalised text of ``rows`` (doc_id, text, digest, salt): digest, keep_id (largest doc_id), group_size, norm.
 
-    Two combining stages, each grouping on the content itself and not on its digest alone: rows of one salt of a digest,
-    and the salts' winners of a digest. Where ``rows`` come dealt by digest and salt, the first needs no shuffle.
+    Three combining stages, each grouping on the content itself and not on its digest alone: the rows of a task, before
+    anything is shuffled; what the tasks of one salt have of a digest; and the salts' winners of a digest.
 
     ``norm`` is null unless two texts share the digest; then the content has to tell their rows apart.
     """
     shares = rows.select("doc_id", "digest", "salt", normalised(F.col("text")).alias("norm")).groupBy("digest", "salt", "norm")
-    winners = shares.agg(F.max("doc_id").alias("keep_id"), F.count("*").alias("n")).repartition("digest")
+    winners = shares.agg(F.max("doc_id").alias("keep_id"), F.count("*").alias("n"))
     whole = winners.groupBy("digest", "norm").agg(F.max("keep_id").alias("keep_id"), F.sum("n").alias("group_size"))
     shared = F.count("*").over(Window.partitionBy("digest")) > 1
     return checkpointed(whole.select("digest", "keep_id", "group_size", F.when(shared, F.col("norm")).alias("norm")))
@@ -60,36 +59,44 @@ def mark_copies(docs: DataFrame, salts: int = 32, digest=text_digest) -> DataFra
     Texts are equal when identical after lower-casing A-Z; null counts as the empty text. The row with the largest
     doc_id stays; a null doc_id is smaller than any. Rows that repeat both doc_id and text are one document and carry
     the same flags. Other columns are not read. An empty table gives no rows.
+
+    Text that no other row has is read and never moved; of copies each task sends one. Rows meet their group by digest and
+    salt, so that a text that a third of all rows have is dealt over as many tasks as there are salts.
     """
-    rows = _with_digest(docs.select("doc_id", "text"), digest, salts)
-    groups = copy_groups(rows.join(salted(twin_digests(rows), salts), ["digest", "salt"], "left_semi"))
-    names = ["digest"]
+    read = _with_digest(docs.select("doc_id", "text"), digest, salts)
+    rows = checkpointed(read.drop("text"))
+    likely = twin_filter(rows)
+    groups = copy_groups(read.filter(likely.may_hold(F.col("digest"))))
+    suspects, names = rows.filter(likely.may_hold(F.col("digest"))), ["digest", "salt"]
     if not groups.filter("norm IS NOT NULL").isEmpty():
         # Some digest has two contents: from here on the content is part of what names a text with such a digest.
         clashing = groups.filter("norm IS NOT NULL").select("digest", F.lit(True).alias("clash")).distinct()
-        rows = rows.join(clashing, "digest", "left").withColumn("norm", F.when(F.col("clash"), normalised(F.col("text"))).otherwise("")).drop("clash")
-        groups, names = groups.withColumn("norm", F.coalesce("norm", F.lit(""))), ["digest", "norm"]
-    found = rows.drop("text").join(groups if len(names) > 1 else groups.drop("norm"), names, "left")
-    alone = F.col("group_size").isNull()
-    found = found.withColumn("keep_id", F.when(alone, F.col("doc_id")).otherwise(F.col("keep_id")))
-    return found.select(
-        "doc_id", "keep_id", F.coalesce("group_size", F.lit(1)).alias("group_size"), F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"),
-        F.col("digest").alias("text_sha256"),
+        again = read.filter(likely.may_hold(F.col("digest"))).join(clashing, "digest", "left")
+        suspects = again.withColumn("norm", F.when(F.col("clash"), normalised(F.col("text"))).otherwise("")).drop("clash", "text")
+        groups, names = groups.withColumn("norm", F.coalesce("norm", F.lit(""))), [*names, "norm"]
+    else:
+        groups = groups.drop("norm")
+    dealt = groups.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    found = suspects.join(dealt, names).select("doc_id", "keep_id", "group_size", "digest")
+    alone = rows.filter(~likely.may_hold(F.col("digest"))).select("doc_id", F.col("doc_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"), "digest")
+    return found.unionByName(alone).select(
+        "doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), F.col("digest").alias("text_sha256")
     )
 
 
 def drop_copies(docs: DataFrame, salts: int = 32, digest=text_digest) -> DataFrame:
     """One document of every group of equal texts, with all columns of ``docs`` whatever their names.
 
-    The rule is that of ``mark_copies``, with the same stages, which here carry the winners' whole rows; of rows that
-    repeat both doc_id and text one stays. Documents whose digest no other has go through untouched.
+    The rule is that of ``mark_copies``, with the same stages, which here carry the winners' whole rows; of rows that tie in
+    doc_id the one whose other columns, as JSON, and then text come last stays. Documents whose digest no other has go
+    through untouched and are not shuffled. An empty table gives no rows.
     """
-    packed = _with_digest(docs, digest, salts, F.struct("*").alias("whole"))
-    twins = salted(twin_digests(packed), salts).hint("shuffle_hash")
+    packed = _with_digest(docs, digest, salts, F.struct("*").alias("whole")).drop("text")
+    likely = twin_filter(packed)
     rows = packed.select("digest", "salt", "whole")
-    alone = rows.join(twins, ["digest", "salt"], "left_anti").select("whole.*")
-    copied = rows.join(twins, ["digest", "salt"], "left_semi")
-    last = F.max_by("whole", F.struct("whole.doc_id")).alias("whole")
-    shares = copied.withColumn("norm", normalised(F.col("whole.text"))).groupBy("digest", "salt", "norm").agg(last)
+    alone = rows.filter(~likely.may_hold(F.col("digest"))).select("whole.*")
+    copied = rows.filter(likely.may_hold(F.col("digest"))).withColumn("norm", normalised(F.col("whole.text")))
+    last = F.max_by("whole", F.struct("whole.doc_id", other_columns(docs, "whole"), "whole.text")).alias("whole")
+    shares = copied.groupBy("digest", "salt", "norm").agg(last)
     winners = shares.groupBy("digest", "norm").agg(last)
     return alone.unionByName(winners.select("whole.*"))
