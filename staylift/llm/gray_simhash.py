@@ -10,7 +10,8 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from staylift.llm.shared import checkpointed, running_total
+from staylift.llm.shared import checkpointed, other_columns, running_total
+from staylift.operators.membership import bloom
 
 SEED = 42
 
@@ -235,9 +236,19 @@ def near_copies(docs: DataFrame, length: int, radius: int) -> DataFrame:
 
 
 def drop_near_copies(docs: DataFrame, length: int, radius: int) -> DataFrame:
-    """One document of each component, with all columns of ``docs`` whatever their names; see ``near_copies``."""
-    first = near_copies(docs, length, radius).filter("first").select(F.col("doc_id").alias("id"), F.col("text_hash").alias("hash"))
-    rows = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), F.struct("*").alias("whole"))
-    once = rows.dropDuplicates(["doc_id", "text_hash"])
-    same = once["doc_id"].eqNullSafe(first["id"]) & (once["text_hash"] == first["hash"])
-    return once.join(first, same, "left_semi").select("whole.*")
+    """One document of each component, with all columns of ``docs`` whatever their names; see ``near_copies``.
+
+    Of rows that repeat doc_id and text the one whose other columns, as JSON, come last stays. Only rows that may go, told by
+    a filter of their doc_ids and texts, are shuffled; the others go straight through.
+    """
+    marks = near_copies(docs, length, radius).groupBy("doc_id", "text_hash").agg(F.max("first").alias("first"), F.count("*").alias("n"))
+    marks = checkpointed(marks.withColumn("key", F.xxhash64("doc_id", "text_hash")))
+    likely = bloom(marks.filter("NOT first OR n > 1"), "key")
+    rows = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), F.struct("*").alias("whole")).withColumn("key", F.xxhash64("doc_id", "text_hash"))
+    clear = rows.filter(~likely.may_hold(F.col("key"))).select("whole.*")
+    first = marks.filter("first").filter(likely.may_hold(F.col("key"))).select("key", F.col("doc_id").alias("id"), F.col("text_hash").alias("hash"))
+    some = rows.filter(likely.may_hold(F.col("key"))).alias("r")
+    same = (F.col("r.key") == F.col("f.key")) & F.col("r.doc_id").eqNullSafe(F.col("f.id")) & (F.col("r.text_hash") == F.col("f.hash"))
+    led = some.join(first.alias("f"), same, "left_semi")
+    once = led.groupBy("key", "doc_id", "text_hash").agg(F.max_by("whole", other_columns(docs, "whole")).alias("whole"))
+    return clear.unionByName(once.select("whole.*"))

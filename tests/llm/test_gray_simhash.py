@@ -130,3 +130,19 @@ def test_documents_as_brute_force(spark):
 def test_empty_table(spark):
     docs = spark.createDataFrame([], SCHEMA)
     assert g.near_copies(docs, 3, 2).collect() == [] and g.drop_near_copies(docs, 3, 2).collect() == []
+
+
+def test_clear_documents_are_not_shuffled(spark):
+    """Only rows that may go are dealt anew; repeats of doc_id and text leave the one whose other columns come last."""
+    rows = [(i, f"w{i} x{i} y{i} z{i} " * 4, 0) for i in range(60)] + [(100, "one two three four", 1), (101, "One two three four", 1), (101, "One two three four", 2)]
+    rows += [(7, "w7 x7 y7 z7 " * 4, 5), (7, "w7 x7 y7 z7 " * 4, 9), (None, "no id at all here", 1), (None, None, 1), (200, None, 2)]
+    docs = spark.createDataFrame(rows, "doc_id LONG, text STRING, mark INT").repartition(3)
+    kept = g.drop_near_copies(docs, 3, 2)
+    found = {(r.doc_id, r.mark) for r in kept.collect()}
+    # Texts without words link through fingerprint zero; the one with an id stays.
+    assert found == {(i, 0) for i in range(60) if i != 7} | {(7, 9), (100, 1), (None, 1), (200, 2)} and kept.count() == 63
+    # The first side of the union is the scan and a filter, no more.
+    lines = kept._jdf.queryExecution().sparkPlan().toString().splitlines()
+    at = next(k for k, line in enumerate(lines) if line.strip() == "Union")
+    second = next(k for k, line in enumerate(lines) if k > at and line.startswith("+- "))
+    assert second > at and not any("Aggregate" in line or "Join" in line or "Sort" in line for line in lines[at + 1 : second])
