@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from staylift.operators.numbering import checkpointed
 
 WORD = 64
+MOST_BITS = 1 << 23
 
 
 def _places(key: Column, bits: int, hashes: int) -> list[Column]:
@@ -46,11 +47,15 @@ class Bloom:
         return found
 
 
-def bloom(keys: DataFrame, key: str, bits: int = 1 << 23, hashes: int = 2, *, keep: bool = True) -> Bloom:
+def bloom(keys: DataFrame, key: str, bits: int | None = None, hashes: int = 2, *, keep: bool = True) -> Bloom:
     """The filter of a column's values. Its bits are gathered map-side, so that one task sees ``bits`` / 64 longs at most.
 
-    With ``keep`` it is computed now and stored, for use in several places; without, by the query that uses it.
+    ``bits`` are a power of two, 64 at least; None asks for 16 a key, MOST_BITS (1 MB) at most. With ``keep`` the filter is
+    computed now and stored, for use in several places; without, by the query that uses it.
     """
+    if bits is None:
+        keys = checkpointed(keys.select(key))
+        bits = min(MOST_BITS, 1 << max(12, (16 * keys.count() - 1).bit_length()))
     place = F.explode(F.array(*_places(F.col(key), bits, hashes))).alias("place")
     words = keys.select(place).groupBy(F.floor(F.col("place") / WORD).alias("word")).agg(F.bit_or(_bit(F.col("place"))).alias("mask"))
     every = keys.sparkSession.range(bits // WORD).join(words, F.col("id") == F.col("word"), "left").select("id", F.coalesce("mask", F.lit(0).cast("long")).alias("mask"))

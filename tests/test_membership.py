@@ -24,3 +24,11 @@ def test_the_test_needs_no_exchange(spark):
     rows = spark.range(1000).filter(some.may_hold(F.col("id")))
     plan = rows._jdf.queryExecution().executedPlan().toString().split("Subquery")[0]
     assert "Exchange" not in plan and "Join" not in plan and rows.count() >= 10
+
+
+def test_bits_follow_the_keys(spark):
+    keys = spark.range(5000).withColumnRenamed("id", "key")
+    some = bloom(keys, "key")
+    assert some.bits == 1 << 17 and bloom(keys.limit(0), "key").bits == 1 << 12
+    assert keys.filter(some.may_hold(F.col("key"))).count() == 5000
+    assert spark.range(10_000, 20_000).filter(some.may_hold(F.col("id"))).count() < 300
