@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import replace
+from datetime import date, timedelta
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,10 +22,10 @@ from staylift.functions.text import fix_words
 from staylift.operators import adverts, bookings, cards, cooldown, lists, prompts, render, scoring
 from staylift.operators.copy import copy_rejects, last_copy, parse_copy, with_copy
 from staylift.operators.filters import in_month, month_range, nonempty_regions, only_ids, with_recipient
-from staylift.plans import monthly, weekly
+from staylift.plans import booking_days, monthly, weekly
 from staylift.plans.approved import mail_approved, published_mails
 from staylift.schemas import CLICK_REQUEST, NATIVE
-from staylift.sources.contact_log import merge_contacts, read_contact_log, read_contacts
+from staylift.sources.contact_log import batch_name, merge_contacts, read_contact_log, read_contacts
 from staylift.sources.outbox import as_outbox, read_outbox, write_outbox
 from staylift.sources.tables import load_tables
 from staylift.sources.templates import load_template
@@ -66,7 +67,7 @@ def _window_sql(name: str, statuses: str, stamp: str, days: int) -> str:
     return f"CAST(count(*) FILTER (re.status IN ({statuses}) AND {_within(stamp, days)}) AS BIGINT) AS {name}"
 
 
-@query(
+WEEKLY_ACTIVITY = (
     f"""SELECT r.o_custkey AS acm_id, {_window_sql('booked', '1, 3, 6, 7, 8, 12', 'created_at', 90)},
     {_window_sql('confirmed', '7, 8', 'success_at', 180)}, {_window_sql('baseline', '7, 8', 'success_at', 90)},
     CAST(coalesce(sum({o.price('<> 0')}) FILTER (re.status IN (7, 8, 12) AND {_within('created_at', 90)}), 0) AS BIGINT) AS booked_gmv,
@@ -75,20 +76,54 @@ def _window_sql(name: str, statuses: str, stamp: str, days: int) -> str:
     WHERE (re.status IN (7, 8) AND {_within('success_at', 180)}) OR {_within('created_at', 90)}
     GROUP BY r.o_custkey"""
 )
+MONTHLY_ACTIVITY = (
+    "SELECT acm_id, res_this AS res_this_month, gmv_this AS gmv_this_month, res_last AS res_last_month, gmv_last AS gmv_last_month "
+    "FROM m_month WHERE res_this + res_last > 0"
+)
+
+
+@query(WEEKLY_ACTIVITY)
 def weekly_activity(spark: SparkSession, sf: str) -> DataFrame:
     t = b.upsell_tables(spark, sf)
     return bookings.weekly_activity(t.reservations, t.rooms, AS_OF, RULES)
 
 
-@query(
-    "SELECT acm_id, res_this AS res_this_month, gmv_this AS gmv_this_month, res_last AS res_last_month, gmv_last AS gmv_last_month "
-    "FROM m_month WHERE res_this + res_last > 0"
-)
+@query(MONTHLY_ACTIVITY)
 def monthly_activity(spark: SparkSession, sf: str) -> DataFrame:
     t = b.monthly_tables(spark, sf)
     return bookings.monthly_activity(t.reservations, t.rooms, AS_OF, RULES)
 
 
+def _kept_days(reservations: DataFrame, first: date, last: date) -> str:
+    """Daily sums kept over two runs: days as they stood before some bookings came in late and others were confirmed, then
+    those days again that this changed. Days after ``last`` are left to the bookings."""
+    path = new_path(reservations.sparkSession, "days")
+    late = (F.dayofmonth("created_at") == 5) & (F.col("room_id") % 3 == 0)
+    unconfirmed = (F.dayofmonth("success_at") == 20) & F.col("status").isin(*RULES.confirmed_statuses)
+    before = reservations.filter(~late).withColumns(
+        {"status": F.when(unconfirmed, 1).otherwise(F.col("status")), "success_at": F.when(~unconfirmed, F.col("success_at"))}
+    )
+    booking_days.state_days(before, path, batch_name(1), [first + timedelta(days=k) for k in range((last - first).days + 1)])
+    changes = reservations.filter(late | unconfirmed)
+    days = [d for d in booking_days.changed_days(changes) if first <= d <= last]
+    booking_days.state_days(reservations, path, batch_name(2), days)
+    return path
+
+
+@query(WEEKLY_ACTIVITY)
+def weekly_activity_from_days(spark: SparkSession, sf: str) -> DataFrame:
+    t = b.upsell_tables(spark, sf)
+    path = _kept_days(t.reservations, (AS_OF - timedelta(days=170)).date(), (AS_OF - timedelta(days=4)).date())
+    return booking_days.weekly_activity(t.reservations, t.rooms, path, AS_OF, RULES)
+
+
+@query(MONTHLY_ACTIVITY)
+def monthly_activity_from_days(spark: SparkSession, sf: str) -> DataFrame:
+    t = b.monthly_tables(spark, sf)
+    path = _kept_days(t.reservations, (AS_OF - timedelta(days=100)).date(), (AS_OF - timedelta(days=20)).date())
+    return booking_days.monthly_activity(t.reservations, t.rooms, path, AS_OF, RULES)
+
+
 # --- weekly: targets -------------------------------------------------------------------------------
 
 

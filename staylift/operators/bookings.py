@@ -17,7 +17,8 @@ from staylift.functions.prices import realised_price
 from staylift.operators.filters import between_months, in_month, since, status_in
 
 
-def _per_accommodation(bookings: DataFrame, rooms: DataFrame, measures: dict[str, Column]) -> DataFrame:
+def per_accommodation(bookings: DataFrame, rooms: DataFrame, measures: dict[str, Column]) -> DataFrame:
+    """``measures`` summed per room, then per accommodation."""
     per_room = bookings.groupBy("room_id").agg(*[m.alias(name) for name, m in measures.items()])
     owners = rooms.selectExpr("id AS room_id", "accommodation_id AS acm_id")
     return (
@@ -41,7 +42,7 @@ def booked_in_window(reservations: DataFrame, rooms: DataFrame, as_of: datetime,
         since("created_at", as_of, rules.no_ad_days) & status_in(rules.booked_statuses)
     )
     paid = status_in(rules.paid_statuses)
-    return _per_accommodation(
+    return per_accommodation(
         kept, rooms, {"res": F.count(F.lit(1)), "gmv": _value(paid, realised_price(positive_only=False))}
     )
 
@@ -56,7 +57,7 @@ def confirmed_in_window(
     measures = {"res": F.count(F.lit(1))}
     if with_value:
         measures["gmv"] = F.coalesce(F.sum(realised_price(positive_only=False)), F.lit(0))
-    return _per_accommodation(kept, rooms, measures)
+    return per_accommodation(kept, rooms, measures)
 
 
 def weekly_activity(reservations: DataFrame, rooms: DataFrame, as_of: datetime, rules: Rules) -> DataFrame:
@@ -69,7 +70,7 @@ def weekly_activity(reservations: DataFrame, rooms: DataFrame, as_of: datetime,
     # The windows' common span alone, first: it is what the scan can skip row groups by.
     span = max(rules.no_ad_days, rules.upgrade_days, rules.baseline_days)
     recent = since("created_at", as_of, span) | since("success_at", as_of, span)
-    return _per_accommodation(
+    return per_accommodation(
         reservations.filter(recent).filter(booked | upgrade | baseline),
         rooms,
         {
@@ -100,6 +101,11 @@ def monthly_activity(
         _count(last).alias("res_last_month"),
         _value(last, price).alias("gmv_last_month"),
     )
+    return months_per_accommodation(per_room, rooms, fanout_compat=fanout_compat)
+
+
+def months_per_accommodation(per_room: DataFrame, rooms: DataFrame, *, fanout_compat: bool) -> DataFrame:
+    """Both months' sums per room as sums per accommodation."""
     gmv_this, gmv_last = "gmv_this_month", "gmv_last_month"
     if fanout_compat:
         gmv_this, gmv_last = f"{gmv_this} * greatest(res_last_month, 1)", f"{gmv_last} * greatest(res_this_month, 1)"

@@ -78,14 +78,16 @@ def region_month_baseline(
 
 
 def monthly_hosts(
-    t: Tables, as_of: datetime, rules: Rules, *, limit: int | None = HOST_LIMIT, match: str = "like", ids: DataFrame | None = None
+    t: Tables, as_of: datetime, rules: Rules, *, limit: int | None = HOST_LIMIT, match: str = "like", ids: DataFrame | None = None,
+    activity: DataFrame | None = None,
 ) -> DataFrame:
     """Scored hosts in report order (``pos``). Bookings are scanned once for hosts and baselines.
 
     What is stored: the month's activity, and the hosts, which regions, phones and the caller read. With ``ids`` the
-    limit applies to the allowed accommodations alone; a limit of None lists all.
+    limit applies to the allowed accommodations alone; a limit of None lists all. ``activity`` replaces the scan: what
+    ``booking_days.monthly_activity`` puts together from daily sums.
     """
-    activity = settle(bookings.monthly_activity(t.reservations, t.rooms, as_of, rules))
+    activity = settle(bookings.monthly_activity(t.reservations, t.rooms, as_of, rules) if activity is None else activity)
     found = monthly_ad_hosts(t, as_of, rules, limit, activity=activity, ids=ids, phones=False).withColumn("list_no", F.lit(1))
     order = [F.col("res_this_month").desc(), "acm_id", "advert_name"]
     hosts = settle(lists.numbered(found, ["list_no"], order, "pos", limited=limit is not None))

@@ -101,15 +101,17 @@ def region_ad_baseline(
 def weekly_targets(
     t: Tables, as_of: datetime, rules: Rules, *, no_ad_limit: int | None = NO_AD_LIMIT, upgrade_limit: int | None = UPGRADE_LIMIT,
     shown_log: DataFrame | None = None, limit_after_cooldown: bool = False, match: str = "like", ids: DataFrame | None = None,
+    activity: DataFrame | None = None,
 ) -> DataFrame:
     """Both scored lists with positions and their region's figures.
 
     The bookings are scanned once for all three windows, and the result (a row per active accommodation) is stored, as is
     the scored list, which regions, phones and the caller read. With ``ids`` the limits apply to the allowed
-    accommodations alone; a limit of None lists all.
+    accommodations alone; a limit of None lists all. ``activity`` replaces the scan: what
+    ``booking_days.weekly_activity`` puts together from daily sums.
     """
     limited = no_ad_limit is not None and upgrade_limit is not None
-    activity = settle(bookings.weekly_activity(t.reservations, t.rooms, as_of, rules))
+    activity = settle(bookings.weekly_activity(t.reservations, t.rooms, as_of, rules) if activity is None else activity)
     common = {"shown_log": shown_log if limit_after_cooldown else None, "ids": ids, "phones": False}
     no_ad = no_ad_targets(
         t, as_of, rules, no_ad_limit, **common,
