@@ -7,7 +7,6 @@ rows, the one whose covariance has the least determinant, found by concentration
 from __future__ import annotations
 
 import math
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -23,7 +22,7 @@ SPREAD = {"v_length": 0.05, "v_symbols": 0.05, "v_lines": 0.14, "v_repeats": 0.1
 VECTOR = list(SPREAD)
 P = len(VECTOR)
 PAIRS = [(i, j) for i in range(P) for j in range(i + 1)]
-BINS = 4096
+BINS, MOST_STEPS = 4096, 20
 
 
 # --- counts of one text -------------------------------------------------------------------------------
@@ -32,59 +31,14 @@ BINS = 4096
 def repeat_words(words: Column, n: Column) -> Column:
     """Words in three-word windows that the text holds twice or more, in one sort of the window hashes.
 
-    Each window is one long: the upper bits of its hash over its place. Sorted, equal windows are neighbours; their words
-    are compared before they count, and a text in which neighbours agree in these bits alone is sorted by words instead.
-    Then the places found are merged to stretches. Counts are exact whatever the hashes.
+    Each window is one long: the upper bits of its hash over its place. Sorted, equal windows are neighbours; their
+    words are compared before they count. Then the places found are merged to stretches.
     """
     last = (n - 3).cast("int")
     hashes = F.transform(F.sequence(F.lit(0), last), lambda i: F.xxhash64(F.get(words, i), F.get(words, i + 1), F.get(words, i + 2)))
     return F.when(n < 4, F.lit(0)).otherwise(_covered(hashes, words, n))
 
 
-def _same_window(words: Column, i: Column, j: Column) -> Column:
-    equal = F.lit(True)
-    for k in range(3):
-        equal = equal & (F.get(words, i + k) == F.get(words, j + k))
-    return equal
-
-
-def _beside_one(pairs: Column, k: Column) -> Column:
-    """Whether a place in order equals the next one or the one before."""
-    after, before = F.get(pairs, k) == 1, F.when(k > 0, F.get(pairs, k - 1) == 1)
-    return F.coalesce(after, F.lit(False)) | F.coalesce(before, F.lit(False))
-
-
-def _stretches(found: Column) -> Column:
-    """Words in the windows that begin at the given places."""
-    start = F.struct(F.lit(0).alias("total"), F.lit(0).alias("end"))
-    return F.aggregate(
-        F.sort_array(found), start,
-        lambda acc, x: F.struct((acc["total"] + x + 3 - F.greatest(x, acc["end"])).alias("total"), (x + 3).alias("end")),
-        lambda acc: acc["total"],
-    )
-
-
-def _covered_by_words(words: Column, n: Column) -> Column:
-    """The same without hashes: windows sorted by their words, so that equal ones are neighbours whatever they are."""
-    places = F.sequence(F.lit(0), (n - 3).cast("int"))
-    windows = F.transform(places, lambda i: F.struct(*[F.get(words, i + k).alias(f"w{k}") for k in range(3)], i.alias("place")))
-
-    def of_sorted(s: Column) -> Column:
-        last = F.size(s) - 1
-        pairs = F.transform(
-            F.sequence(F.lit(0), last - 1),
-            lambda k: F.when(_same_window(words, F.get(s, k)["place"], F.get(s, k + 1)["place"]), F.lit(1)).otherwise(F.lit(0)),
-        )
-
-        def of_pairs(p: Column) -> Column:
-            equal = F.filter(F.sequence(F.lit(0), last), lambda k: _beside_one(p, k))
-            return _stretches(F.transform(equal, lambda k: F.get(s, k)["place"]))
-
-        return F.get(F.transform(F.array(pairs), of_pairs), F.lit(0))
-
-    return F.get(F.transform(F.array(F.sort_array(windows)), of_sorted), F.lit(0))
-
-
 def _covered(hashes: Column, words: Column, n: Column) -> Column:
     low = F.pow(F.lit(2.0), F.ceil(F.log2(n))).cast("long") - 1
 
@@ -93,21 +47,26 @@ def _covered(hashes: Column, words: Column, n: Column) -> Column:
         packed = F.transform(hashes, lambda h, i: h.bitwiseAND(F.bitwise_not(mask)).bitwiseOR(i.cast("long")))
 
         def of_sorted(s: Column) -> Column:
-            def beside(k: Column) -> Column:
-                """0: the hash bits of this place and the next differ; 1: the windows are equal; 2: only the hash bits are."""
-                x, y = F.get(s, k), F.get(s, k + 1)
+            def same(a: Column, b: Column) -> Column:
+                x, y = F.get(s, a), F.get(s, b)
                 i, j = x.bitwiseAND(mask).cast("int"), y.bitwiseAND(mask).cast("int")
-                apart = x.bitwiseXOR(y)
-                return F.when((apart > mask) | (apart < 0), F.lit(0)).when(_same_window(words, i, j), F.lit(1)).otherwise(F.lit(2))
-
-            def of_pairs(pairs: Column) -> Column:
-                places = F.filter(F.sequence(F.lit(0), F.size(s) - 1), lambda k: _beside_one(pairs, k))
-                found = F.transform(places, lambda k: F.get(s, k).bitwiseAND(mask).cast("int"))
-                # Windows that share their hash bits with others may stand between equal ones: then the words are sorted.
-                return F.when(F.array_contains(pairs, 2), _covered_by_words(words, n)).otherwise(_stretches(found))
-
-            pairs = F.transform(F.sequence(F.lit(0), F.size(s) - 2), beside)
-            return F.get(F.transform(F.array(pairs), of_pairs), F.lit(0))
+                equal = x.bitwiseXOR(y) <= mask
+                equal = equal & (x.bitwiseXOR(y) >= 0)
+                for k in range(3):
+                    equal = equal & (F.get(words, i + k) == F.get(words, j + k))
+                return equal
+
+            size = F.size(s)
+            places = F.filter(
+                F.sequence(F.lit(0), size - 1),
+                lambda k: F.coalesce(same(k, k + 1), F.lit(False)) | F.coalesce(F.when(k > 0, same(k - 1, k)), F.lit(False)),
+            )
+            found = F.sort_array(F.transform(places, lambda k: F.get(s, k).bitwiseAND(mask).cast("int")))
+            start = F.struct(F.lit(0).alias("total"), F.lit(0).alias("end"))
+            return F.aggregate(
+                found, start, lambda acc, x: F.struct((acc["total"] + x + 3 - F.greatest(x, acc["end"])).alias("total"), (x + 3).alias("end")),
+                lambda acc: acc["total"],
+            )
 
         return F.get(F.transform(F.array(F.sort_array(packed)), of_sorted), F.lit(0))
 
@@ -250,25 +209,21 @@ def robust_estimates(rows: DataFrame, share: float) -> DataFrame:
     """A row per ``grp`` of ``rows`` (with a vector): the estimate of lower determinant of the two starts.
 
     Equal vectors of a group are counted together first, map-side, so that the steps read counts and not documents, and
-    a group with a third of all rows is no larger than its distinct vectors. Each start takes steps for as long as they
-    lower its determinant, which ends by itself, since there are finitely many subsets; there is no limit of steps.
+    a group with a third of all rows is no larger than its distinct vectors.
     """
     cells = checkpointed(rows.groupBy("grp", *VECTOR).agg(F.count("*").alias("n")))
-    moving = checkpointed(_estimates(_concentrated(_starts(cells), share), share))
-    rested: list[DataFrame] = []
-    while not moving.isEmpty():
-        apart = cells.join(moving, "grp")
-        apart = apart.select("grp", "start", *VECTOR, "n", _distance(apart).alias("d"))
-        stepped = _estimates(_concentrated(apart, share), share)
-        before = moving.select("grp", "start", F.col("log_det").alias("was"))
-        both = checkpointed(stepped.join(before, ["grp", "start"]))
-        lower = F.col("log_det") < F.col("was")
-        # A start whose step no longer lowers the determinant rests where it was; the others go on.
-        rested.append(moving.join(both.filter(~lower).select("grp", "start"), ["grp", "start"], "left_semi"))
-        moving = both.filter(lower).drop("was")
-    estimates = reduce(DataFrame.unionByName, rested, moving)
+    moments = checkpointed(_concentrated(_starts(cells), share))
+    before = None
+    for _ in range(MOST_STEPS):
+        now = moments.agg(F.sum(F.xxhash64(*moments.columns).cast("decimal(38,0)"))).first()
+        if now == before:
+            break
+        before = now
+        estimates = _estimates(moments, share)
+        apart = cells.join(estimates, "grp")
+        moments = checkpointed(_concentrated(apart.select("grp", "start", *VECTOR, "n", _distance(apart).alias("d")), share))
     ordered = Window.partitionBy("grp").orderBy("log_det", "start")
-    return estimates.withColumn("turn", F.row_number().over(ordered)).filter("turn = 1").drop("turn", "start")
+    return _estimates(moments, share).withColumn("turn", F.row_number().over(ordered)).filter("turn = 1").drop("turn", "start")
 
 
 def judged(docs: DataFrame, share: float = 0.75, tail: float = 1e-3, least: int = 30) -> DataFrame:

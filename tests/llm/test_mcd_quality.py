@@ -48,22 +48,6 @@ def test_counts_as_brute_force(spark):
     }
 
 
-def test_counts_are_exact_when_hashes_collide(spark):
-    r = random.Random(9)
-    texts = [" ".join(r.choice([f"w{i}" for i in range(size)]) for _ in range(r.randrange(4, 150))) for size in (2, 5, 9, 30, 500) for _ in range(20)]
-    rows = [(i, t, *[None] * 7) for i, t in enumerate([*texts, "a b c d e f a b c", "a b c x y z a b c x y z q"])]
-    df = spark.createDataFrame(rows, SCHEMA).withColumn("words", m.words_of(F.col("text")))
-    n = F.size("words")
-    last = (n - 3).cast("int")
-    # Hashes that tell nothing, and hashes of three values: windows that differ stand between equal ones.
-    none = F.transform(F.sequence(F.lit(0), last), lambda i: F.lit(0).cast("long"))
-    few = F.transform(F.sequence(F.lit(0), last), lambda i: F.pmod(F.xxhash64(F.get("words", i)), F.lit(3)).bitwiseXOR(F.lit(1)) * (1 << 60))
-    exact = m._covered_by_words(F.col("words"), n)
-    got = df.select("doc_id", *[f.alias(k) for k, f in (("a", m._covered(none, F.col("words"), n)), ("b", m._covered(few, F.col("words"), n)), ("c", exact))])
-    for x in got.collect():
-        assert x.a == x.b == x.c == counts(rows[x.doc_id][1])[5], rows[x.doc_id][1]
-
-
 def plain_estimate(x: np.ndarray, share: float) -> tuple[np.ndarray, np.ndarray]:
     """Concentration steps on the rows themselves."""
     least = np.diag([(s * m.SCALE) ** 2 for s in m.SPREAD.values()])
@@ -75,17 +59,16 @@ def plain_estimate(x: np.ndarray, share: float) -> tuple[np.ndarray, np.ndarray]
     z = (x - centre) ** 2 / ((1.4826 * median(np.abs(x - centre))) ** 2 + np.diag(least))
     best = None
     for d in (z.sum(axis=1), z.max(axis=1) * m.P):
-        rest = None
-        while True:
+        core = None
+        for _ in range(m.MOST_STEPS + 1):
             bins = np.minimum(np.floor(np.log2(1 + d) * 128), m.BINS - 1)
-            core = bins <= np.sort(bins)[math.ceil(share * len(x)) - 1]
+            now = bins <= np.sort(bins)[math.ceil(share * len(x)) - 1]
+            if core is not None and (now == core).all():
+                break
+            core = now
             mean = x[core].mean(axis=0)
             cov = np.cov(x[core].T, bias=True) * m.consistency(share) + least
-            if rest is not None and np.linalg.slogdet(cov)[1] >= rest[2] - 1e-9:
-                break
             d = np.einsum("ij,jk,ik->i", x - mean, np.linalg.inv(cov), x - mean)
-            rest = (mean, cov, np.linalg.slogdet(cov)[1], d)
-        mean, cov, _, d = rest
         if best is None or np.linalg.slogdet(cov)[1] < best[2] - 1e-9:
             best = (mean, cov, np.linalg.slogdet(cov)[1], d)
     return best[3]
