@@ -19,7 +19,7 @@ from staylift.functions import formats as fmt
 from staylift.functions.names import region_of
 from staylift.functions.prices import realised_price
 from staylift.functions.text import fix_words
-from staylift.operators import adverts, bookings, cards, cooldown, lists, prompts, render, scoring
+from staylift.operators import advert_timeline, adverts, bookings, cards, cooldown, lists, prompts, render, scoring
 from staylift.operators.copy import copy_rejects, last_copy, parse_copy, with_copy
 from staylift.operators.filters import in_month, month_range, nonempty_regions, only_ids, with_recipient
 from staylift.plans import booking_days, monthly, weekly
@@ -180,6 +180,40 @@ def latest_advert(spark: SparkSession, sf: str) -> DataFrame:
     return _plain(adverts.latest_advert(adverts.commission_at_least(active, RULES.report_min_rate)))
 
 
+#: The fifteenth of the twelve months up to now.
+REPLAYED = [AS_OF.replace(year=AS_OF.year - (m > AS_OF.month), month=m) for m in range(1, 13)]
+REPLAY_SQL = "(SELECT unnest([{}]) AS as_of) d".format(", ".join(f"TIMESTAMP '{m:%Y-%m-%d}'" for m in REPLAYED))
+RUNS_THEN = "success_at <= d.as_of AND (expiration_at IS NULL OR expiration_at > d.as_of)"
+
+
+@query(
+    "SELECT as_of, acm_id, advert_name, advert_commission FROM (SELECT DISTINCT d.as_of, acm_id, advert_name, rate::DOUBLE AS advert_commission, "
+    f"max(rate) OVER (PARTITION BY d.as_of, acm_id) = rate AS best FROM u_advert, {REPLAY_SQL} WHERE {RUNS_THEN} AND rate <= 0.15) WHERE best"
+)
+def best_adverts_replayed(spark: SparkSession, sf: str) -> DataFrame:
+    low = adverts.commission_at_most(b.upsell_tables(spark, sf).accommodation_adverts, RULES.upgrade_max_rate)
+    return _plain(advert_timeline.replayed(advert_timeline.best_timeline(low), REPLAYED))
+
+
+@query(
+    "SELECT as_of, acm_id, advert_name, rate::DOUBLE AS advert_commission, success_at, CAST(count(*) AS BIGINT) AS copies "
+    "FROM (SELECT d.as_of, u.*, max(success_at) OVER (PARTITION BY d.as_of, acm_id) AS newest "
+    f"FROM u_advert u, {REPLAY_SQL} WHERE {RUNS_THEN}) WHERE success_at = newest GROUP BY ALL"
+)
+def latest_adverts_replayed(spark: SparkSession, sf: str) -> DataFrame:
+    found = b.upsell_tables(spark, sf).accommodation_adverts
+    return _plain(advert_timeline.replayed(advert_timeline.latest_timeline(found), REPLAYED))
+
+
+@query(
+    "SELECT * EXCLUDE (advert_commission), advert_commission::DOUBLE AS advert_commission FROM u_upgrade_20"
+)
+def upgrade_targets_by_timeline(spark: SparkSession, sf: str) -> DataFrame:
+    t = b.upsell_tables(spark, sf)
+    low = advert_timeline.best_timeline(adverts.commission_at_most(t.accommodation_adverts, RULES.upgrade_max_rate))
+    return _plain(weekly.upgrade_targets(t, AS_OF, RULES, tiers=advert_timeline.counting_on(low, AS_OF)))
+
+
 def _all_regions(t) -> DataFrame:
     return nonempty_regions(t.accommodations.select(region_of(F.col("name_expression")).alias("region")))
 

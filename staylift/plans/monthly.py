@@ -39,20 +39,23 @@ def _qualifying(t: Tables, as_of: datetime, rules: Rules) -> DataFrame:
 def monthly_ad_hosts(
     t: Tables, as_of: datetime, rules: Rules, limit: int | None = HOST_LIMIT, *,
     activity: DataFrame | None = None, fanout_compat: bool = False, compat: bool = False,
-    ids: DataFrame | None = None, phones: bool = True,
+    ids: DataFrame | None = None, phones: bool = True, latest: DataFrame | None = None,
 ) -> DataFrame:
     """Accommodations with a running advert of the reported tiers, and their last two full months.
 
     ``fanout_compat`` inflates the values as the two joins per room do; ``compat`` lets repeated phone
     records and identical adverts weigh on the values. ``ids`` is an allow-list that comes before the limit. Phones are
-    looked up for what the limit leaves; without ``phones`` the rows carry ``user_id`` instead.
+    looked up for what the limit leaves; without ``phones`` the rows carry ``user_id`` instead. ``latest`` replaces the
+    look at the adverts: what ``advert_timeline.counting_on`` finds among those of the reported tiers.
     """
+    if latest is None:
+        latest = adverts.latest_advert(_qualifying(t, as_of, rules))
     if activity is None:
         activity = bookings.monthly_activity(t.reservations, t.rooms, as_of, rules, fanout_compat=fanout_compat)
     acm = eligible_accommodations(t, rules)
     if ids is not None:
         acm = only_ids(acm, ids)
-    reported = acm.join(adverts.latest_advert(_qualifying(t, as_of, rules)), "acm_id").join(activity, "acm_id", "left")
+    reported = acm.join(latest, "acm_id").join(activity, "acm_id", "left")
     found = with_users(reported, t, rules, exclude_test=True)
     weight = F.lit(1)
     if compat:

@@ -67,20 +67,22 @@ def no_ad_targets(
 def upgrade_targets(
     t: Tables, as_of: datetime, rules: Rules, limit: int | None = UPGRADE_LIMIT, *,
     activity: DataFrame | None = None, compat: bool = False, exclude_test: bool = False,
-    shown_log: DataFrame | None = None, ids: DataFrame | None = None, phones: bool = True,
+    shown_log: DataFrame | None = None, ids: DataFrame | None = None, phones: bool = True, tiers: DataFrame | None = None,
 ) -> DataFrame:
-    """Accommodations on a low tier, with their best running advert of that tier; zero bookings stay."""
+    """Accommodations on a low tier, with their best running advert of that tier; zero bookings stay.
+
+    ``tiers`` replaces the look at the adverts: what ``advert_timeline.counting_on`` finds among low ones.
+    """
     if activity is None:
         activity = bookings.confirmed_in_window(t.reservations, t.rooms, as_of, rules.upgrade_days, rules)
-    low = adverts.commission_at_most(
-        adverts.active_adverts(t.accommodation_adverts, as_of), rules.upgrade_max_rate
-    )
+    if tiers is None:
+        tiers = adverts.top_tier(adverts.commission_at_most(adverts.active_adverts(t.accommodation_adverts, as_of), rules.upgrade_max_rate))
     acm = eligible_accommodations(t, rules)
     if ids is not None:
         acm = only_ids(acm, ids)
     if shown_log is not None:
         acm = cooldown.not_recently_shown(acm, shown_log, as_of, SHOWN_DAYS)
-    counted = acm.join(adverts.top_tier(low), "acm_id").join(activity, "acm_id", "left").fillna(0, ["res", "gmv"])
+    counted = acm.join(tiers, "acm_id").join(activity, "acm_id", "left").fillna(0, ["res", "gmv"])
     columns = [*_HOST, "advert_name", "advert_commission", *_CONTACT, *_MEASURES]
     return _listed(with_users(counted, t, rules, exclude_test=exclude_test), t, columns, limit, compat, phones)
 
