@@ -19,7 +19,7 @@ from staylift.functions import formats as fmt
 from staylift.functions.names import region_of
 from staylift.functions.prices import realised_price
 from staylift.functions.text import fix_words
-from staylift.operators import advert_timeline, adverts, bookings, cards, cooldown, lists, prompts, render, scoring
+from staylift.operators import advert_timeline, adverts, bookings, cards, cooldown, lists, prompts, render, scoring, versions
 from staylift.operators.copy import copy_rejects, last_copy, parse_copy, with_copy
 from staylift.operators.filters import in_month, month_range, nonempty_regions, only_ids, with_recipient
 from staylift.plans import booking_days, monthly, weekly
@@ -94,6 +94,27 @@ def monthly_activity(spark: SparkSession, sf: str) -> DataFrame:
     return bookings.monthly_activity(t.reservations, t.rooms, AS_OF, RULES)
 
 
+def _landed(reservations: DataFrame) -> DataFrame:
+    """The bookings with some landed twice, and some beside the state they had before they were confirmed."""
+    again = reservations.filter("room_id % 5 = 0")
+    before = reservations.filter("room_id % 3 = 0").withColumns({"status": F.lit(3), "success_at": F.expr("success_at - INTERVAL 20 DAYS")})
+    return reservations.unionByName(again).unionByName(before)
+
+
+@query(WEEKLY_ACTIVITY)
+def weekly_activity_of_versions(spark: SparkSession, sf: str) -> DataFrame:
+    t = b.upsell_tables(spark, sf)
+    return bookings.weekly_activity(versions.last_versions(_landed(t.reservations), "id", versions.LAST_BY["reservations"]), t.rooms, AS_OF, RULES)
+
+
+@query(
+    "SELECT CAST(copies AS BIGINT) AS copies, CAST(count(*) AS BIGINT) AS bookings "
+    "FROM (SELECT 1 + (room_id % 5 = 0)::INT + (room_id % 3 = 0)::INT AS copies FROM u_res) WHERE copies > 1 GROUP BY copies"
+)
+def repeated_bookings(spark: SparkSession, sf: str) -> DataFrame:
+    return versions.repeated(_landed(b.upsell_tables(spark, sf).reservations)).groupBy("copies").agg(F.count("*").alias("bookings"))
+
+
 def _kept_days(reservations: DataFrame, first: date, last: date) -> str:
     """Daily sums kept over two runs: days as they stood before some bookings came in late and others were confirmed, then
     those days again that this changed. Days after ``last`` are left to the bookings."""
