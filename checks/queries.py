@@ -22,7 +22,7 @@ from staylift.functions.text import fix_words
 from staylift.operators import advert_timeline, adverts, bookings, cards, cooldown, lists, prompts, render, scoring, versions
 from staylift.operators.copy import copy_rejects, last_copy, parse_copy, with_copy
 from staylift.operators.filters import in_month, month_range, nonempty_regions, only_ids, with_recipient
-from staylift.plans import booking_days, monthly, weekly
+from staylift.plans import booking_days, monthly, posted, weekly
 from staylift.plans.approved import mail_approved, published_mails
 from staylift.schemas import CLICK_REQUEST, NATIVE
 from staylift.sources.contact_log import batch_name, merge_contacts, read_contact_log, read_contacts
@@ -783,6 +783,29 @@ def weekly_report(spark: SparkSession, sf: str) -> DataFrame:
     return _outbox(weekly.weekly_report(targets, _upsell_copy(spark, sf), AS_OF, RULES, order="made"))
 
 
+@query()
+def posted_weekly_report(spark: SparkSession, sf: str) -> DataFrame:
+    """The report as a published run, beside one that broke off before it was."""
+    log, path = _shifted(b.shown_log(spark, sf), "last_shown"), new_path(spark, "posted")
+    targets = weekly.weekly_targets(b.upsell_tables(spark, sf), AS_OF, RULES, shown_log=log)
+    copies = _upsell_copy(spark, sf)
+    weekly.weekly_report(targets, copies, AS_OF, RULES, order="made").write.parquet(f"{path}/reports/run=broken off")
+    posted.post_weekly_report(spark, path, "posted", targets, copies, AS_OF, RULES, order="made")
+    return _outbox(posted.posted_reports(spark, path))
+
+
+SQL["posted_weekly_report"] = SQL["weekly_report"]
+
+
+@query("SELECT DISTINCT acm_id, TIMESTAMP '1998-01-15' AS last_shown FROM w_listed WHERE overall <= 30")
+def shown_by_posted_report(spark: SparkSession, sf: str) -> DataFrame:
+    """Whom a published report leaves in the log."""
+    log, path = _shifted(b.shown_log(spark, sf), "last_shown"), new_path(spark, "posted")
+    targets = weekly.weekly_targets(b.upsell_tables(spark, sf), AS_OF, RULES, shown_log=log)
+    posted.post_weekly_report(spark, path, "posted", targets, _upsell_copy(spark, sf), AS_OF, RULES, order="made")
+    return posted.shown_log(spark, path)
+
+
 def _upsell_ids(spark: SparkSession, sf: str) -> DataFrame:
     return _approved(spark, sf).filter((F.col("workflow") == "weekly_upsell") & ~F.col("test_mode"))
 
