@@ -89,3 +89,12 @@ def test_a_single_file_goes_through_runs_and_compaction(spark, tmp_path, monkeyp
     monkeypatch.setattr(line_runs.LineRuns, "_merged", lambda self, names: merged.append(len(names)) or whole(self, names))
     assert got(line_runs.drop_repeated_lines(batches, 10)) == expected(rows, 10)
     assert merged == [3, 3, 2]  # two levels filled, and the runs that are left
+
+
+def test_a_single_file_with_maps_and_nulls_is_cut(spark, tmp_path):
+    rows = [*rows_of(40), (None, None, None, None, None), (None, None, None, None, None)]
+    table = spark.createDataFrame(rows, SCHEMA).withColumn("tags", F.create_map(F.lit("a"), F.col("doc_id")))
+    table.repartition(1).write.parquet(f"{tmp_path}/t")
+    batches = line_runs.file_batches(spark, f"{tmp_path}/t", 4)
+    assert len(batches) == 4 and sum(b.count() for b in batches) == len(rows)
+    assert got(line_runs.drop_repeated_lines(batches, 10)) == expected(rows, 10)
