@@ -19,13 +19,14 @@ def normalised(text: Column) -> Column:
 
 
 def _with_digest(docs: DataFrame, digest, salts: int, *more: Column) -> DataFrame:
-    """Documents with the digest of their normalised text, which is never null, and a salt.
+    """Documents with their normalised text, ``norm``, its digest, which is never null, and a salt.
 
     The salt is that of the task that reads the document, drawn before any shuffle, after which all rows of a digest
-    would have the same.
+    would have the same. Who needs the normalised text takes it from here: made again, it would cost each task a second
+    Python worker beside the digest's.
     """
-    norm = normalised(F.col("text"))
-    return docs.select("doc_id", "text", *more, F.coalesce(digest(norm), F.lit("")).alias("digest"), (F.spark_partition_id() % salts).alias("salt"))
+    read = docs.select("doc_id", "text", *more, normalised(F.col("text")).alias("norm"))
+    return read.withColumns({"digest": F.coalesce(digest(F.col("norm")), F.lit("")), "salt": F.spark_partition_id() % salts})
 
 
 def twin_filter(rows: DataFrame) -> Bloom:
@@ -39,14 +40,14 @@ def twin_filter(rows: DataFrame) -> Bloom:
 
 
 def copy_groups(rows: DataFrame) -> DataFrame:
-    """A row per distinct normalised text of ``rows`` (doc_id, text, digest, salt): digest, keep_id (largest doc_id), group_size, norm.
+    """A row per distinct normalised text of ``rows`` (doc_id, norm, digest, salt): digest, keep_id (largest doc_id), group_size, norm.
 
     Three combining stages, each grouping on the content itself and not on its digest alone: the rows of a task, before
     anything is shuffled; what the tasks of one salt have of a digest; and the salts' winners of a digest.
 
     ``norm`` is null unless two texts share the digest; then the content has to tell their rows apart.
     """
-    shares = rows.select("doc_id", "digest", "salt", normalised(F.col("text")).alias("norm")).groupBy("digest", "salt", "norm")
+    shares = rows.groupBy("digest", "salt", "norm")
     winners = shares.agg(F.max("doc_id").alias("keep_id"), F.count("*").alias("n"))
     whole = winners.groupBy("digest", "norm").agg(F.max("keep_id").alias("keep_id"), F.sum("n").alias("group_size"))
     shared = F.count("*").over(Window.partitionBy("digest")) > 1
@@ -64,7 +65,7 @@ def mark_copies(docs: DataFrame, salts: int = 32, digest=text_digest) -> DataFra
     salt, so that a text that a third of all rows have is dealt over as many tasks as there are salts.
     """
     read = _with_digest(docs.select("doc_id", "text"), digest, salts)
-    rows = checkpointed(read.drop("text"))
+    rows = checkpointed(read.drop("text", "norm"))
     likely = twin_filter(rows)
     groups = copy_groups(read.filter(likely.may_hold(F.col("digest"))))
     suspects, names = rows.filter(likely.may_hold(F.col("digest"))), ["digest", "salt"]
@@ -72,7 +73,7 @@ def mark_copies(docs: DataFrame, salts: int = 32, digest=text_digest) -> DataFra
         # Some digest has two contents: from here on the content is part of what names a text with such a digest.
         clashing = groups.filter("norm IS NOT NULL").select("digest", F.lit(True).alias("clash")).distinct()
         again = read.filter(likely.may_hold(F.col("digest"))).join(clashing, "digest", "left")
-        suspects = again.withColumn("norm", F.when(F.col("clash"), normalised(F.col("text"))).otherwise("")).drop("clash", "text")
+        suspects = again.withColumn("norm", F.when(F.col("clash"), F.col("norm")).otherwise("")).drop("clash", "text")
         groups, names = groups.withColumn("norm", F.coalesce("norm", F.lit(""))), [*names, "norm"]
     else:
         groups = groups.drop("norm")
@@ -93,9 +94,8 @@ def drop_copies(docs: DataFrame, salts: int = 32, digest=text_digest) -> DataFra
     """
     packed = _with_digest(docs, digest, salts, F.struct("*").alias("whole")).drop("text")
     likely = twin_filter(packed)
-    rows = packed.select("digest", "salt", "whole")
-    alone = rows.filter(~likely.may_hold(F.col("digest"))).select("whole.*")
-    copied = rows.filter(likely.may_hold(F.col("digest"))).withColumn("norm", normalised(F.col("whole.text")))
+    alone = packed.filter(~likely.may_hold(F.col("digest"))).select("whole.*")
+    copied = packed.filter(likely.may_hold(F.col("digest")))
     last = F.max_by("whole", F.struct("whole.doc_id", other_columns(docs, "whole"), "whole.text")).alias("whole")
     shares = copied.groupBy("digest", "salt", "norm").agg(last)
     winners = shares.groupBy("digest", "norm").agg(last)

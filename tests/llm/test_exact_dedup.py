@@ -110,3 +110,23 @@ def test_rows_that_tie_are_told_apart_by_their_other_columns(spark):
         assert sorted((r.doc_id, r.mark) for r in kept) == [(1, 3), (2, 5)]
     bare = exact_dedup.drop_copies(docs.select("doc_id", "text")).collect()
     assert sorted(r.doc_id for r in bare) == [1, 2]
+
+
+def python_in_a_row(df) -> int:
+    """The most Python steps that one path of the plan has: as many workers each of its tasks holds."""
+    most, path = 0, []
+    for line in df._jdf.queryExecution().optimizedPlan().toString().splitlines():
+        depth = len(line) - len(line.lstrip(" :+-"))
+        path = [step for step in path if step[0] < depth]
+        path.append((depth, line.lstrip(" :+-").startswith("ArrowEvalPython")))
+        most = max(most, sum(python for _, python in path))
+    return most
+
+
+def test_a_task_has_one_python_worker(spark, monkeypatch):
+    stored, plans = exact_dedup.checkpointed, []
+    monkeypatch.setattr(exact_dedup, "checkpointed", lambda df: plans.append(python_in_a_row(df)) or stored(df))
+    df = spark.createDataFrame(ROWS, SCHEMA)
+    exact_dedup.mark_copies(df).collect()
+    plans.append(python_in_a_row(exact_dedup.drop_copies(df)))
+    assert max(plans) == 1
